@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding
+from . import decontamination, exact_dedup, mixing, sharding, simhash, substring_dedup
 
 
 def queries() -> dict:
-    return {"op2_sharding": sharding.op2_sharding, "op5_mixing": mixing.op5_mixing, "op10_exact_dedup": exact_dedup.op10_exact_dedup}
+    return {
+        "op2_sharding": sharding.op2_sharding,
+        "op5_mixing": mixing.op5_mixing,
+        "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+        "op7_simhash": simhash.op7_simhash,
+        "op8_decontamination": decontamination.op8_decontamination,
+        "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.SQL, "op10_exact_dedup": exact_dedup.SQL}
+    return {"op5_mixing": mixing.SQL, "op6_substring_dedup": substring_dedup.SQL, "op8_decontamination": decontamination.SQL, "op10_exact_dedup": exact_dedup.SQL}
