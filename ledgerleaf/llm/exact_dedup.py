@@ -6,20 +6,23 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import cut
 
-SPACE = r"[\x20\x09-\x0D]+"
+SPACE = " \t\n\x0b\x0c\r"
 
 
 def _class(mod: int, rest: int) -> str:
-    """Letters and digits of Latin scripts with a code point of this remainder."""
-    return "[" + "".join(c for c in map(chr, range(0x30, 0x250)) if c.isalnum() and ord(c) % mod == rest) + "]"
+    """ASCII letters and digits with a code of this remainder."""
+    return "[" + "".join(c for c in map(chr, range(0x30, 0x7B)) if c.isalnum() and ord(c) % mod == rest) + "]"
 
 
 #: A chunk ends after three characters of these classes, from 256 characters on; without such an end after 4096.
-CHUNK = rf"(?s).{{253,4093}}?(?:{_class(4, 1)}{_class(4, 0)}{_class(8, 3)})|.{{1,4096}}"
+CHUNK = rf"(?s).{{253,4093}}?{_class(4, 1)}{_class(4, 0)}{_class(8, 3)}|.{{1,4096}}"
 
 
 def normalised(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, "")
+    out = F.coalesce(text, F.lit(""))
+    for c in SPACE:
+        out = F.replace(out, F.lit(c))
+    return out
 
 
 def chunk_names(docs: DataFrame, text: str, bits: int) -> tuple[DataFrame, Column, Column]:
@@ -43,7 +46,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", hash_b
     rows, name = chunk_names(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text", hash_bits)
     facts = [F.monotonically_increasing_id().alias("_row"), "_key", F.length(F.coalesce("_text", F.lit(""))).alias("_points"), F.sha2(F.col("_norm").cast("binary"), 256).alias("_sha")]
     recipes = cut(rows.select(*facts, F.transform("_chunks", name).alias("_recipe")), "recipes")
-    chunks = rows.select(F.explode("_chunks").alias("_c")).select(name(F.col("_c")).alias("_h"), "_c").distinct()
+    # the outer form: else Spark infers a filter that cuts every text once more
+    chunks = rows.select(F.explode_outer("_chunks").alias("_c")).where("_c IS NOT NULL").select(name(F.col("_c")).alias("_h"), "_c").distinct()
     clash = cut(chunks.groupBy("_h").count().where("count > 1").select("_h"), "clash")
     if clash.take(1):
         ranks = chunks.join(clash, "_h", "left_semi").withColumn("_k", F.row_number().over(W.partitionBy("_h").orderBy("_c")))
