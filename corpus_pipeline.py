@@ -1,7 +1,52 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again as the next one's input."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from ledgerleaf.llm.common import new_dir, table
+from ledgerleaf.llm.decontamination import decontaminated
+from ledgerleaf.llm.language_id import known_language
+from ledgerleaf.llm.mixing import mixed
+from ledgerleaf.llm.sharding import shuffle_shards
+from ledgerleaf.llm.simhash import near_dedup
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: documents whose text has a language; texts without any letter go."""
+    return known_language(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: of each group of near copies the document with the smallest doc_id."""
+    return near_dedup(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: documents in which no window of a benchmark item occurs."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: each document as often as the mix of sources takes it."""
+    return mixed(docs)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: all rows in random order over 24 even shards; adds _shard and _slot."""
+    return shuffle_shards(docs)
+
+
+STAGES = [("language", language), ("near_copies", near_copies), ("benchmark", benchmark), ("mix", mix), ("shards", shards)]
+
+#: SQL cannot express kernel regression, SimHash or the shuffle; tests hold run() against a plain version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over the documents of sf_dir."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(path := new_dir(spark, name))
+        docs = spark.read.parquet(path)
+    return docs
