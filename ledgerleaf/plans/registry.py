@@ -2,10 +2,195 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..functions import markup as M, text as X
+from ..operators import catalog as C, index as I, pages as H, sections as S
+from ..sources import tables as R
+from . import jobs, synth as Y
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def _add(name: str, query, sql: str | None = None) -> None:
+    _QUERIES[name] = query
+    if sql:
+        _SQL[name] = sql
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# selection, links, names
+
+_years = "substr(Date, 1, 4)"
+
+
+def _quarters(df: DataFrame) -> DataFrame:
+    return df.withColumns({"year": F.substring("Date", 1, 4).cast("int"), "quarter": F.ceil(F.substring("Date", 6, 2).cast("int") / 3).cast("int")})
+
+
+_add("p1_prune_quarters", lambda s, d: I.prune_quarters(_quarters(Y.index_rows(s, d)), 2001, 2003, [1, 2, 3], dt.date(2003, 5, 10)).groupBy("year", "quarter").agg(F.count("*").alias("n")), f"WITH {Y.INDEX}, q AS (SELECT CAST(substr(Date, 1, 4) AS INTEGER) AS year, CAST(ceil(CAST(substr(Date, 6, 2) AS INTEGER) / 3.0) AS INTEGER) AS quarter FROM idx) SELECT year, quarter, count(*) AS n FROM q WHERE year BETWEEN 2001 AND 2003 AND quarter IN (1, 2, 3) AND (year < 2003 OR quarter <= 2) GROUP BY ALL")
+_add("p2_filter_filing_types", lambda s, d: I.filter_filing_types(Y.index_rows(s, d), ["10-K", "8-K"]).select("k", "Type"), f"WITH {Y.INDEX} SELECT k, Type FROM idx WHERE Type IN ('10-K', '8-K')")
+_add("p3_archive_links", lambda s, d: I.archive_links(Y.index_rows(s, d)).select("k", "complete_text_file_link", "html_index"), f"WITH {Y.INDEX} SELECT k, 'https://www.sec.gov/Archives/' || complete_text_file_link AS complete_text_file_link, 'https://www.sec.gov/Archives/' || html_index AS html_index FROM idx")
+_add("p4_index_page_link", lambda s, d: Y.index_rows(s, d).select("k", R.index_page_link(F.col("complete_text_file_link")).alias("page")), f"WITH {Y.INDEX} SELECT k, html_index AS page FROM idx")
+_link = "coalesce(replace(htm_file_link, 'ix?doc=/', ''), complete_text_file_link)"
+_ext = f"CASE WHEN htm_file_link LIKE '%ix?doc=/%' THEN 'htm' ELSE regexp_extract({_link}, '[^.]*$') END"
+_add("p5_resolve_document_link", lambda s, d: I.resolve_document_link(Y.metadata_rows(s, d)).select("k", "link", "extension"), f"WITH {Y.META} SELECT k, {_link} AS link, {_ext} AS extension FROM meta")
+_name = lambda: I.filing_name(F.col("CIK"), F.col("Type"), F.col("`Period of Report`"), F.col("complete_text_file_link"), F.col("extension"))
+_sql_name = f"""CIK || '_' || regexp_replace(Type, '[-/\\\\]', '', 'g') || '_' || substr("Period of Report", 1, 4) || '_' || regexp_extract(complete_text_file_link, '([^/]*)\\.[^./]*$', 1) || '.' || {_ext}"""
+_add("p6_filing_name", lambda s, d: I.resolve_document_link(Y.metadata_rows(s, d)).select("k", _name().alias("name")), f"WITH {Y.META} SELECT k, {_sql_name} AS name FROM meta")
+_add("p7_drop_throttled_pages", lambda s, d: I.drop_throttled_pages(Y.read(s, d, "pages").withColumn("html", F.when(F.col("page_id") % 7 == 0, F.concat("html", F.lit(I.THROTTLED))).otherwise(F.col("html")))).select("page_id"), "SELECT page_id FROM pages WHERE page_id % 7 <> 0")
+_add("p8_require_period", lambda s, d: I.require_period(Y.metadata_rows(s, d))[0].select("k", F.lit("kept").alias("side")).union(I.require_period(Y.metadata_rows(s, d))[1].select("k", F.lit("reject"))), f"WITH {Y.META} SELECT k, CASE WHEN \"Period of Report\" IS NULL THEN 'reject' ELSE 'kept' END AS side FROM meta")
+_add("p9_output_metadata", lambda s, d: R.output_metadata(Y.metadata_rows(s, d), "k"), f"WITH {Y.META} SELECT k, " + ", ".join(f'"{c}" AS {o}' for o, c in R.OUTPUT.items()) + " FROM meta")
+_lists = "CASE form " + " ".join(f"WHEN '{f}' THEN {C.ITEMS[f]!r}" for f in C.ITEMS) + " END"
+_forms = f"forms AS (SELECT *, {_lists} AS catalog FROM (SELECT *, CASE WHEN Type IN ('10-K', '10-Q') THEN Type WHEN Type = '8-K' THEN CASE WHEN Date > '2004-08-23' THEN '8-K' ELSE '8-K-old' END END AS form FROM idx))"
+_add("p10_items_for_filing", lambda s, d: C.items_for_filing(Y.index_rows(s, d), ["7", "1", "2.02", "part_1__2"]).select("k", "form", F.array_join("items", ",").alias("items"), "reject"), f"WITH {Y.INDEX}, {_forms} SELECT k, form, array_to_string(list_filter(catalog, lambda x: list_contains(['7', '1', '2.02', 'part_1__2'], x)), ',') AS items, CASE WHEN form IS NULL THEN 'unknown filing type' END AS reject FROM forms")
+_add("p11_section_key", lambda s, d: C.items_for_filing(Y.index_rows(s, d)).where("reject IS NULL").select("k", F.explode("items").alias("i")).select("k", "i", C.section_key(F.col("i")).alias("out_key")), f"WITH {Y.INDEX}, {_forms}, x AS (SELECT k, unnest(catalog) AS i FROM forms WHERE form IS NOT NULL) SELECT k, i, CASE WHEN i = 'SIGNATURE' THEN i WHEN contains(i, '__') THEN replace(i, '__', '_item_') ELSE 'item_' || i END AS out_key FROM x")
+_lines = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.transform(F.slice(F.split("text", "\n"), 1, 3), lambda x: F.struct(F.when(F.length(x) > 40, x).otherwise("").alias("section_text"))).alias("sections"))
+_add("p12_drop_empty_filings", lambda s, d: S.drop_empty_filings(_lines(s, d)).select("doc_id"), "SELECT doc_id FROM documents WHERE len(list_filter(list_slice(string_split(text, chr(10)), 1, 3), lambda x: length(x) > 40)) > 0")
+
+# joins and set operations
+
+_entries = lambda s, d: Y.read(s, d, "orders").where("o_orderkey % 10 = 0").select(F.when(F.col("o_orderkey") % 20 == 0, F.col("o_custkey").cast("string")).otherwise(F.concat(F.lit("T"), (F.col("o_orderkey") % 800).cast("string"))).alias("entry"))
+_sql_ciks = f"{Y.TICKERS}, entry AS (SELECT CASE WHEN o_orderkey % 20 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'T' || (o_orderkey % 800) END AS e FROM orders WHERE o_orderkey % 10 = 0), ciks AS (SELECT DISTINCT CASE WHEN regexp_full_match(e, '[0-9]+') THEN e ELSE cik END AS CIK FROM entry LEFT JOIN tick ON e = ticker WHERE regexp_full_match(e, '[0-9]+') OR cik IS NOT NULL)"
+_ciks = lambda s, d: I.resolve_companies(_entries(s, d), R.tickers_of(Y.tickers(s, d)))
+_held = lambda s, d: Y.metadata_rows(s, d).where("k % 3 = 0")
+_listing = lambda s, d: Y.metadata_rows(s, d).where("k % 5 < 3").select("Type", "filename")
+_add("j1_resolve_companies", _ciks, f"WITH {_sql_ciks} SELECT CIK FROM ciks")
+_add("j2_filter_companies", lambda s, d: I.filter_companies(Y.index_rows(s, d), _ciks(s, d)).select("k", "CIK"), f"WITH {Y.INDEX}, {_sql_ciks} SELECT k, CIK FROM idx WHERE CIK IN (SELECT CIK FROM ciks)")
+_add("j2_filter_companies_none", lambda s, d: I.filter_companies(Y.index_rows(s, d), _ciks(s, d).where("CIK = 'x'")).select("k", "CIK"), f"WITH {Y.INDEX} SELECT k, CIK FROM idx")
+_add("j3_new_filings", lambda s, d: I.new_filings(Y.index_rows(s, d), _held(s, d)).select("k"), f"WITH {Y.INDEX} SELECT k FROM idx WHERE k % 3 <> 0")
+_add("j4_held_filings", lambda s, d: I.held_filings(Y.metadata_rows(s, d), _listing(s, d)).select("k"), f"WITH {Y.INDEX} SELECT k FROM idx WHERE k % 5 < 3")
+_filled = 'coalesce(m.SIC, c.SIC) AS SIC, coalesce(m."State of Inc", c."State of Inc") AS inc, coalesce(m."State location", c."State location") AS loc, coalesce(m."Fiscal Year End", c."Fiscal Year End") AS fye'
+_add("j5_fill_company_info", lambda s, d: I.fill_company_info(Y.metadata_rows(s, d), Y.companies(s, d)).select("k", "SIC", F.col("State of Inc").alias("inc"), F.col("State location").alias("loc"), F.col("Fiscal Year End").alias("fye")), f"WITH {Y.META}, {Y.COMPANIES} SELECT k, {_filled} FROM meta m LEFT JOIN comp c USING (CIK)")
+_add("j6_attach_content", lambda s, d: I.attach_content(Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form").where("Type <> '8-K'")).select("filename", F.length("content").cast("long").alias("chars")).where("chars > 0").select("filename"), "SELECT doc_id || '_f.htm' AS filename FROM documents WHERE doc_id % 4 < 2")
+_add("j7_pending_filings", lambda s, d: I.pending_filings(Y.metadata_rows(s, d), Y.metadata_rows(s, d).where("k % 7 = 0").select(F.col("Type").alias("filing_type"), F.regexp_replace("filename", r"\.htm", ".json").alias("filename"))).select("k"), f"WITH {Y.INDEX} SELECT k FROM idx WHERE k % 7 <> 0")
+_add("j8_attach_pages", lambda s, d: I.attach_pages(Y.index_rows(s, d), H.page_dates(Y.index_pages(s, d)).drop("html")).select("k", F.col("Filing Date").alias("filed")), f"WITH {Y.INDEX} SELECT k, Date AS filed FROM idx")
+_add("u1_union_indices", lambda s, d: I.union_indices([Y.index_rows(s, d).where(f"k % 4 = {i}") for i in range(4)]).groupBy("Type").agg(F.count("*").alias("n")), f"WITH {Y.INDEX} SELECT Type, count(*) AS n FROM idx GROUP BY Type")
+_add("u2_merge_metadata", lambda s, d: I.merge_metadata(_held(s, d).withColumn("Company", F.lit("held")), Y.metadata_rows(s, d)).select("k", "Company"), f"WITH {Y.INDEX} SELECT k, CASE WHEN k % 3 = 0 THEN 'held' ELSE Company END AS Company FROM idx")
+_add("o1_sorted_tickers", lambda s, d: R.sorted_tickers(R.tickers_of(Y.tickers(s, d))), f"WITH {Y.TICKERS} SELECT ticker, cik FROM tick ORDER BY ticker")
+_add("s7_company_tickers", lambda s, d: R.tickers_of(Y.tickers(s, d)), f"WITH {Y.TICKERS} SELECT ticker, cik FROM tick")
+_add("s8_upsert_company_info", lambda s, d: R.upsert_company_info(Y.companies(s, d).where("CIK % 2 = 0").withColumn("SIC", F.lit("held")), Y.companies(s, d)).select("CIK", "SIC"), f"WITH {Y.COMPANIES} SELECT CIK, CASE WHEN CAST(CIK AS BIGINT) % 2 = 0 THEN 'held' ELSE SIC END AS SIC FROM comp")
+_add("wl1_worklist", lambda s, d: jobs.worklist(Y.index_rows(s, d), I.archive_links(_held(s, d)), _listing(s, d), ["10-K", "10-Q", "8-K"], _ciks(s, d)).select("k"), f"WITH {Y.INDEX}, {_sql_ciks} SELECT k FROM idx WHERE Type IN ('10-K', '10-Q', '8-K') AND CIK IN (SELECT CIK FROM ciks) AND NOT (k % 3 = 0 AND k % 5 < 3)")
+
+# aggregates
+
+_add("a1_run_summary", lambda s, d: I.run_summary(Y.metadata_rows(s, d), F.col("k") % 13 == 0), f"WITH {Y.INDEX} SELECT Type, count(*) AS filings, count(*) FILTER (WHERE k % 13 <> 0) AS done, count(*) FILTER (WHERE k % 13 = 0) AS failed FROM idx GROUP BY Type")
+_add("a3_char_ratios", lambda s, d: Y.read(s, d, "documents").select("doc_id", X.char_ratios(F.col("text")).alias("r")).select("doc_id", "r.*"), r"SELECT doc_id, CASE WHEN length(text) - s > 0 THEN g / (length(text) - s) ELSE 0 END AS digit_ratio, CASE WHEN length(text) > 0 THEN s / length(text) ELSE 0 END AS space_ratio FROM (SELECT *, length(text) - length(regexp_replace(text, '[0-9]', '', 'g')) AS g, length(text) - length(regexp_replace(text, '\s', '', 'g')) AS s FROM documents)")
+_add("a4_dedupe_companies", lambda s, d: I.dedupe_companies(Y.index_rows(s, d)), f"WITH {Y.INDEX} SELECT DISTINCT CIK FROM idx")
+
+# windows and order
+
+_sql_catalog = "cat AS (" + " UNION ALL ".join(f"SELECT '{f}' AS form, {i} AS ord, '{x}' AS item_index" for f, xs in C.ITEMS.items() for i, x in enumerate(xs)) + ")"
+_add("w1_next_items", lambda s, d: C.items_for_filing(Y.index_rows(s, d)).where("form IS NOT NULL").groupBy("form").agg(F.count("*").alias("filings")).join(C.next_items(C.item_catalog(s)), "form").select("form", "filings", "item_index", F.array_join("followers", ",").alias("followers")), f"WITH {Y.INDEX}, {_forms}, {_sql_catalog}, n AS (SELECT form, count(*) AS filings FROM forms WHERE form IS NOT NULL GROUP BY form) SELECT c.form, filings, c.item_index, coalesce((SELECT string_agg(b.item_index, ',' ORDER BY b.ord) FROM cat b WHERE b.form = c.form AND b.ord > c.ord), '') AS followers FROM cat c JOIN n USING (form)")
+_plain = lambda s, d: Y.filings(s, d).where("_form = '10-K'").select("doc_id", X.clean_text(F.col("content")).alias("x"))
+_heads = ["ITEM 1.", "ITEM 1A.", "ITEM 7.", "ITEM 8.", "SIGNATURE"]
+_add("w2_segment_by_headers", lambda s, d: S.segment_by_headers(_plain(s, d), "x", "doc_id").where("upper").select("doc_id", "n", "label"), "SELECT doc_id, CAST(n AS INTEGER) AS n, label FROM (SELECT doc_id FROM documents WHERE doc_id % 4 = 0), (VALUES (4, 'ITEM 1'), (5, 'ITEM 1A'), (6, 'ITEM 7'), (7, 'ITEM 8'), (8, 'SIGNATURE')) v(n, label)")
+_pieces = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+_sql_pieces = "pieces AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents)"
+_add("w3_longest_candidate", lambda s, d: S.longest_candidate(_pieces(s, d), ["doc_id"], F.length("line"), F.col("pos")).select("doc_id", F.col("pos").cast("long").alias("pos")), f"WITH {_sql_pieces} SELECT doc_id, pos FROM pieces QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(line) DESC, pos) = 1")
+_add("w4_nth_header", lambda s, d: S.nth_header(_pieces(s, d), ["doc_id"], F.col("pos"), 2).select("doc_id", F.col("pos").cast("long").alias("pos")), f"WITH {_sql_pieces} SELECT doc_id, pos FROM pieces WHERE pos >= 2")
+_add("w4_last_header", lambda s, d: S.last_header(_pieces(s, d), ["doc_id"], "pos").select("doc_id", F.col("pos").cast("long").alias("pos")), f"WITH {_sql_pieces} SELECT doc_id, max(pos) AS pos FROM pieces GROUP BY doc_id")
+
+# text
+
+_t2 = "translate(x, " + Y.sql_text("".join(C_ for C_ in X.rules.CHARACTERS)) + ", " + Y.sql_text("".join(X.rules.CHARACTERS.values())) + ")"
+
+
+def _re(x: str, *rules: tuple[str, str]) -> str:
+    for pattern, by in rules:
+        x = f"regexp_replace({x}, '{pattern}', '{by}', 'gi')"
+    return x
+
+
+_b = "[ \\t]*"
+_sql_word = lambda w: _b.join(f"({c})" for c in w)
+_t3_rules = [(rf"(\n{_b}){_sql_word('PART')}([ \t]+)((?:[0-9]{{1,2}}|[IV]{{1,2}})[AB]?)", r"\1\2\3\4\5\6\7"), (rf"(\n{_b}){_sql_word('ITEM')}([ \t]+)([0-9]{{1,2}}[AB]?)", r"\1\2\3\4\5\6\7"), (r"(ITEM|PART)(\s+[0-9]{1,2}[AB]?)([\-•])", r"\1\2 \3 ")]
+_dash = "[-‒–—]*"
+_t4_rules = [(rf"\n{_b}(?:TABLE\s+OF\s+CONTENTS|INDEX\s+TO\s+FINANCIAL\s+STATEMENTS|BACK\s+TO\s+CONTENTS|QUICKLINKS){_b}\n", "\n"), (rf"\n{_b}{_dash}[0-9]+{_dash}{_b}\n", "\n"), (rf"\n{_b}[0-9]+{_b}\n", "\n"), (rf"\sF{_dash}[0-9]+", ""), (rf"\n{_b}Page\s[0-9*]+{_b}\n", "")]
+_t6 = lambda x: f"regexp_replace(trim(regexp_replace(replace(regexp_replace({x}, ' *\\n *\\n[ \\n]*', '#NEWLINE', 'g'), chr(10), ' '), '(#NEWLINE)+', chr(10), 'g'), ' ' || chr(10)), ' {{2,}}', ' ', 'g')"
+
+
+def _text(name: str, function, sql: str) -> None:
+    _add(name, lambda s, d: Y.noisy(s, d).select("doc_id", function(F.col("x")).alias("y")), f"WITH {Y.NOISY} SELECT doc_id, {sql} AS y FROM noisy")
+
+
+_t4_fixed = [(p, "' || chr(10) || '" if by == "\n" else by) for p, by in _t4_rules]
+_text("t2_normalize_characters", X.normalize_characters, _t2)
+_text("t3_repair_headers", lambda c: X.repair_headers(X.normalize_characters(c)), _re(_t2, *_t3_rules))
+_text("t4_drop_page_furniture", lambda c: X.drop_page_furniture(X.normalize_characters(c)), _re(_t2, *_t4_fixed))
+_text("t5_clean_text", X.clean_text, _re(_re(_t2, *_t3_rules), *_t4_fixed))
+_text("t6_collapse_lines", lambda c: X.collapse_lines(X.normalize_characters(c)), _t6(_t2))
+_text("t7_drop_embedded_pdf", X.drop_embedded_pdf, "regexp_replace(x, '(?is)<PDF>.*?</PDF>', '', 'g')")
+_text("t11_drop_text_tables", X.drop_text_tables, "regexp_replace(x, '(?is)<TABLE>.*?</TABLE>', '', 'g')")
+_docs = lambda s, d: Y.filings(s, d).where("Type = '8-K'")
+_add("t8_split_documents", lambda s, d: _docs(s, d).select("doc_id", F.explode(X.split_documents(F.col("content"))).alias("b")).select("doc_id", "b.type"), "SELECT doc_id, type FROM documents, (VALUES ('8-K'), ('EX-99')) v(type) WHERE doc_id % 4 >= 2")
+_add("t9_main_document", lambda s, d: Y.filings(s, d).select("doc_id", (F.length(X.main_document(F.col("content"))) < F.length("content")).alias("cut")), "SELECT doc_id, doc_id % 4 >= 2 AS cut FROM documents")
+_add("t10_is_html", lambda s, d: Y.filings(s, d).select("doc_id", X.is_html(F.col("content")).alias("html")), "SELECT doc_id, doc_id % 4 = 1 AS html FROM documents")
+_cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
+_bold = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.concat(F.lit("<div><b class='x'>"), F.regexp_replace("text", "[<>&]", ""), F.lit("</b></div><br/>end&amp;<!-- no --><p>")).alias("h"))
+_bare = "regexp_replace(text, '[<>&]', '', 'g')"
+_add("t1_strip_html", lambda s, d: M.strip_html(_bold(s, d), "h", "y").select("doc_id", "y"), f"SELECT doc_id, {_bare} || chr(10) || chr(10) || chr(10) || chr(10) || 'end&' AS y FROM documents")
+_tables = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.array(F.lit("1"), F.lit("7")).alias("items"), F.concat(F.lit("<div>a<table><tr><td style='background-color: "), F.when(F.col("doc_id") % 3 == 0, "White").otherwise("#CCE"), F.lit("'>"), F.when(F.col("doc_id") % 5 == 0, "<p>x</p>Item 7. y").otherwise("z"), F.lit("</td></tr></table></div>")).alias("h"))
+_add("t12_drop_numeric_tables", lambda s, d: M.drop_numeric_tables(_tables(s, d), "h", "items", "y").select("doc_id", F.col("y").contains("<table>").alias("kept")), "SELECT doc_id, doc_id % 3 = 0 OR doc_id % 5 = 0 AS kept FROM documents")
+_spans = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.concat(F.lit("B<span>USI</span>NESS"), F.lit("<span style='margin-top:9pt'></span>"), F.col("doc_id").cast("string"), F.lit("<span>x<span> </span></span>")).alias("h"))
+_add("t13_flatten_spans", lambda s, d: M.flatten_spans(_spans(s, d), "h", "y").select("doc_id", "y"), "SELECT doc_id, 'BUSINESS ' || doc_id || 'x ' AS y FROM documents")
+_text_spans = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.concat(F.lit('a<SPAN style="margin-left:9pt">x</span>'), F.col("doc_id").cast("string"), F.lit('<span style="margin-top: 9.5pt">y</span>b')).alias("h"))
+_add("t13_flatten_text_spans", lambda s, d: _text_spans(s, d).select("doc_id", X.flatten_text_spans(F.col("h")).alias("y")), "SELECT doc_id, 'a ' || doc_id || chr(10) || 'b' AS y FROM documents")
+
+# pages
+
+_add("h1_page_dates", lambda s, d: H.page_dates(Y.index_pages(s, d)).select("url", F.col("Filing Date").alias("filed"), F.col("Period of Report").alias("period")), f"WITH {Y.META} SELECT html_index AS url, Date AS filed, \"Period of Report\" AS period FROM meta")
+_add("h2_page_company_facts", lambda s, d: H.page_company_facts(Y.index_pages(s, d)).select("url", F.col("State of Inc").alias("inc"), F.col("Fiscal Year End").alias("fye"), "SIC"), f"WITH {Y.META} SELECT html_index AS url, CASE WHEN k % 2 = 0 THEN 'NY' END AS inc, '0930' AS fye, SIC FROM meta")
+_sql_links = "CASE WHEN k % 4 < 2 AND Type IN ('10-K', '10-Q', '8-K') THEN 'https://www.sec.gov' || CASE WHEN k % 4 = 0 THEN '/ix?doc=/a/' || k || '.htm' ELSE '/a/' || k || '.html' END END"
+_sql_whole = "CASE WHEN k % 4 < 2 AND Type IN ('10-K', '10-Q', '8-K') THEN {} ELSE 'https://www.sec.gov/b/0-' || k || '.txt' END"
+_add("h3_page_document_links", lambda s, d: H.choose_links(H.page_documents(Y.index_pages(s, d)), ["10-K", "10-Q", "8-K"]).select("url", "htm_file_link", "complete_text_file_link"), f"WITH {Y.INDEX} SELECT html_index AS url, {_sql_links} AS htm_file_link, {_sql_whole.format('CAST(NULL AS VARCHAR)')} AS complete_text_file_link FROM idx")
+_add("h4_company_facts", lambda s, d: H.company_facts(Y.company_pages(s, d)).select("CIK", F.col("Company Name").alias("name"), "SIC", F.col("State location").alias("loc"), F.col("State of Inc").alias("inc"), F.col("Fiscal Year End").alias("fye")), f"WITH {Y.COMPANIES} SELECT CIK, \"Company Name\" AS name, SIC, \"State location\" AS loc, \"State of Inc\" AS inc, \"Fiscal Year End\" AS fye FROM comp")
+_add("h5_enrich_index", lambda s, d: H.enrich_index(Y.index_rows(s, d), Y.index_pages(s, d), Y.company_pages(s, d), ["10-K", "10-Q", "8-K"])[0].select("k", "filename", "htm_file_link", "SIC", F.col("State of Inc").alias("inc"), F.col("State location").alias("loc"), F.col("Fiscal Year End").alias("fye")), f"""WITH {Y.META}, {Y.COMPANIES}, l AS (SELECT *, {_sql_links} AS hl, {_sql_whole.format('complete_text_file_link')} AS cl FROM meta WHERE k % 11 <> 0 AND k % 7 <> 0)
+SELECT k, l.CIK || '_' || regexp_replace(Type, '[-/]', '', 'g') || '_' || substr("Period of Report", 1, 4) || '_' || regexp_extract(cl, '([^/]*)\\.[^./]*$', 1) || '.' || CASE WHEN hl IS NULL THEN 'txt' WHEN k % 4 = 0 THEN 'htm' ELSE 'html' END AS filename, replace(hl, 'ix?doc=/', '') AS htm_file_link,
+       coalesce(l.SIC, c.SIC) AS SIC, CASE WHEN k % 2 = 0 THEN 'NY' ELSE 'DE' END AS inc, c."State location" AS loc, '0930' AS fye FROM l JOIN comp c USING (CIK)""")
+
+# sections
+
+
+def _extracted(s, d, *forms: str, **options) -> DataFrame:
+    """(filename, form, sections) of the synthetic filings of some forms."""
+    rows = C.items_for_filing(Y.filing_metadata(s, d)).where(F.col("form").isin(*forms)).drop("form", "catalog", "items", "reject")
+    return jobs.extract_filings(rows, Y.filings(s, d).where(F.col("_form").isin(*forms)).drop("doc_id", "_form"), **options)[0]
+
+
+def _long(df: DataFrame) -> DataFrame:
+    return S.sections_long(df, "filename").where("section_text <> ''").select("filename", "out_key", "section_text")
+
+
+def _expect(*forms: str) -> str:
+    return f"WITH {Y.EXPECTED} SELECT filename, out_key, section_text FROM expected WHERE form IN ({', '.join(map(repr, forms))})"
+
+
+_add("x2_locate_headers", lambda s, d: S.segment_by_headers(_plain(s, d), "x", "doc_id").where("label <> ''").groupBy("doc_id").agg(F.count("*").alias("headers"), F.count_if("upper").alias("upper"), F.max("end").cast("long").alias("end")).select("doc_id", "headers", "upper"), "SELECT doc_id, CAST(8 AS BIGINT) AS headers, CAST(5 AS BIGINT) AS upper FROM documents WHERE doc_id % 4 = 0")
+_add("x3_extract_section", lambda s, d: _long(_extracted(s, d, "10-K", items=["7"])), f"WITH {Y.EXPECTED} SELECT filename, out_key, section_text FROM expected WHERE form = '10-K' AND out_key = 'item_7'")
+_add("x4_extract_10k", lambda s, d: _long(_extracted(s, d, "10-K")), _expect("10-K"))
+_add("x5_extract_8k", lambda s, d: _long(_extracted(s, d, "8-K", "8-K-old")), _expect("8-K", "8-K-old"))
+_parts = lambda df: _long(df).where("out_key IN ('part_1', 'part_2')")
+_add("x6_split_10q_parts", lambda s, d: _parts(_extracted(s, d, "10-Q")), f"WITH {Y.EXPECTED} SELECT filename, out_key, section_text FROM expected WHERE form = '10-Q' AND out_key IN ('part_1', 'part_2')")
+_add("x7_extract_10q", lambda s, d: _long(_extracted(s, d, "10-Q")), _expect("10-Q"))
+_add("x8_extract_filings", lambda s, d: _long(_extracted(s, d, "10-K", "10-Q", "8-K", "8-K-old")), _expect("10-K", "10-Q", "8-K", "8-K-old"))
+_add("x8_signature_only", lambda s, d: _long(_extracted(s, d, "10-K", "8-K", "8-K-old", items=["SIGNATURE"], include_signature=True)), "SELECT doc_id || '_f.htm' AS filename, 'SIGNATURE' AS out_key, 'SIGNATURE' || chr(10) || 'By the officer' AS section_text FROM documents WHERE doc_id % 4 <> 1")
+_wide = [k for k, *_ in Y.FORMS["10-K"]]
+_add("x9_sections_wide", lambda s, d: S.sections_wide(_extracted(s, d, "10-K"), "10-K", "filename").select("filename", *_wide, F.col("item_16")), f"WITH {Y.EXPECTED} SELECT filename, " + ", ".join(f"max(section_text) FILTER (WHERE out_key = '{k}') AS {k}" for k in _wide) + ", '' AS item_16 FROM expected WHERE form = '10-K' GROUP BY filename")
+_add("x9_wide_to_long", lambda s, d: S.wide_to_long(S.sections_wide(_extracted(s, d, "10-K"), "10-K", "filename"), S.out_keys("10-K"), "filename").where("section_text <> ''").select("filename", "out_key", "section_text"), _expect("10-K"))
+_add("o2_ordered_sections", lambda s, d: I.ordered_sections(S.sections_long(_extracted(s, d, "10-Q"), "filename")).where("section_text <> ''").select("filename", "ord", "out_key"), f"WITH {Y.EXPECTED} SELECT filename, CAST(CASE out_key WHEN 'part_1' THEN 0 WHEN 'part_1_item_1' THEN 1 WHEN 'part_1_item_2' THEN 3 WHEN 'part_2' THEN 8 WHEN 'part_2_item_1' THEN 9 ELSE 21 END AS INTEGER) AS ord, out_key FROM expected WHERE form = '10-Q'")
+_longs = lambda s, d: S.sections_long(_extracted(s, d, "10-K"), "filename")
+_wrong = lambda s, d: _longs(s, d).where("out_key IN ('item_1', 'item_7')").withColumn("section_text", F.when(F.col("filename").like("%4\\_f.htm"), "other").otherwise(F.col("section_text")))
+_add("a2_extraction_quality", lambda s, d: I.extraction_quality(_wrong(s, d), _longs(s, d).where("out_key IN ('item_1', 'item_7')")), "SELECT out_key, count(*) AS filings, count(*) FILTER (WHERE doc_id % 10 <> 4) AS exact FROM documents, (VALUES ('item_1'), ('item_7')) v(out_key) WHERE doc_id % 4 = 0 GROUP BY out_key")
+_add("a2_failed_items", lambda s, d: I.failed_items(_wrong(s, d), _longs(s, d).where("out_key IN ('item_1', 'item_7')")).select("filename", F.array_join("failed", ",").alias("failed")), "SELECT doc_id || '_f.htm' AS filename, 'item_1,item_7' AS failed FROM documents WHERE doc_id % 4 = 0 AND doc_id % 10 = 4")
+_add("t14_filing_text", lambda s, d: M.filing_text(C.items_for_filing(I.attach_content(Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form")))).select("filename", F.col("text").contains("<").alias("tags"), F.col("text").contains("-12-").alias("numbers")), "SELECT doc_id || '_f.htm' AS filename, contains(text, '<') AS tags, false AS numbers FROM documents")
