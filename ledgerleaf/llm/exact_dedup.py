@@ -51,7 +51,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", hash_b
     clash = cut(chunks.groupBy("_h").count().where("count > 1").select("_h"), "clash")
     if clash.take(1):
         ranks = chunks.join(clash, "_h", "left_semi").withColumn("_k", F.row_number().over(W.partitionBy("_h").orderBy("_c")))
-        parts = rows.select(*facts, F.posexplode_outer("_chunks").alias("_pos", "_c")).withColumn("_h", name(F.col("_c"))).join(ranks, ["_h", "_c"], "left")
+        parts = rows.select(*facts, "_chunks").select("_row", "_key", "_points", "_sha", F.posexplode_outer("_chunks").alias("_pos", "_c")).withColumn("_h", name(F.col("_c"))).join(ranks, ["_h", "_c"], "left")
         recipes = cut(
             parts.groupBy("_row", "_key", "_points", "_sha")
             .agg(F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_h", F.coalesce("_k", F.lit(0)).alias("_k"))))).alias("_recipe")),
