@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions import markup as M, rules, text as X
 from ledgerleaf.operators.catalog import header_pattern, items_for_filing
-from ledgerleaf.operators.sections import extract_section, sections_of, split_parts, Text
+from ledgerleaf.operators.sections import collapsed, extract_section, sections_of, split_parts, Text
 
 LONG = "word " * 30
 
@@ -104,7 +104,7 @@ def test_lines_collapse_as_with_the_repeated_group(spark):
 
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r[0]: r[1] for r in rows.select("i", X.collapse_lines(F.col("t"))).collect()}
-    assert all(got[i] == plain(t) for i, t in enumerate(texts))
+    assert all(got[i] == plain(t) == collapsed(t) for i, t in enumerate(texts))
 
 
 def test_cleaning_agrees_on_both_sides(spark):
