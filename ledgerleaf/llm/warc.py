@@ -15,7 +15,9 @@ from .common import new_dir, table
 #: Fixed value: a gzip member without content (its bytes as Latin-1). It closes a normalised archive.
 END = bytes([0x1F, 0x8B, 8, 0, 0, 0, 0, 0, 0, 3, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
 BREAK = b"\r\n\r\n"
-INDEX = "page_id: long, offset: long, length: long"
+ENTRIES = "archive string, entries array<struct<page_id: long, offset: long, length: long>>"
+#: Records whose index entries (24 bytes each) may be broadcast.
+INDEXED = 500_000
 
 
 def digest(payload: bytes) -> str:
@@ -79,16 +81,28 @@ def inflated(gz: bytes, step: int = 1 << 20) -> Iterator[bytes]:
                 break
 
 
-def normalise(gz: bytes) -> tuple[bytes, list[dict]]:
-    """A whole-file gzip stream as one member per record, and each record's page, offset and length."""
-    out, index, at = [], [], 0
+def normalise(gz: bytes) -> bytes:
+    """A whole-file gzip stream as one member per record."""
+    out = []
     for raw in records(inflated(gz)):
         pack = zlib.compressobj(6, zlib.DEFLATED, 31)
-        member = pack.compress(raw) + pack.flush()
-        index.append({"page_id": number(parse(raw)[0].get("WARC-Record-ID")), "offset": at, "length": len(member)})
-        out.append(member)
-        at += len(member)
-    return b"".join(out), index
+        out.append(pack.compress(raw) + pack.flush())
+    return b"".join(out)
+
+
+def offsets(archive: bytes) -> list[dict]:
+    """Page, offset and length of each member that holds a record."""
+    index, at, view = [], 0, memoryview(archive)
+    while at < len(archive):
+        unpack, raw, end = zlib.decompressobj(31), [], at
+        while not unpack.eof and end < len(archive):
+            raw.append(unpack.decompress(view[end : end + (1 << 16)]))
+            end += min(1 << 16, len(archive) - end)
+        end -= len(unpack.unused_data)
+        if head := b"".join(raw):
+            index.append({"page_id": number(parse(head)[0].get("WARC-Record-ID")), "offset": at, "length": end - at})
+        at = end
+    return index
 
 
 def write_monolithic(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html") -> None:
@@ -103,7 +117,8 @@ def write_monolithic(pages: DataFrame, path: str, key: str = "page_id", url: str
     given = pages.select(F.col(key).cast("long").alias("k"), F.col(url).cast("string").alias("url"), payload.alias("html"), F.sha2(payload, 256).alias("sha"))
     first = given.groupBy("sha").agg(F.min("k").alias("first"))
     kinds = given.select("k", "sha").distinct().join(first, "sha").withColumn("refers", F.when(~F.col("k").eqNullSafe(F.col("first")), F.col("first"))).select(F.col("k").alias("_k"), F.col("sha").alias("_sha"), "refers")
-    rows = given.join(kinds, F.col("k").eqNullSafe(F.col("_k")) & (F.col("sha") == F.col("_sha"))).select("k", "url", "html", "refers")
+    # payloads are shuffled at every size: what tells responses from revisits grows with them
+    rows = given.join(kinds.hint("shuffle_merge"), F.col("k").eqNullSafe(F.col("_k")) & (F.col("sha") == F.col("_sha"))).select("k", "url", "html", "refers")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -116,29 +131,40 @@ def write_monolithic(pages: DataFrame, path: str, key: str = "page_id", url: str
 
 def normalise_archives(spark: SparkSession, source: str, path: str) -> None:
     """Rewrites each gzip WARC file under source: inflated once, every record its own member. Writes path/archives
-    (archive=<name>/ with one .gz-formatted file each) and the sidecar path/index (archive, entries of page_id, offset and
-    length). A file is handled whole by one task, so the writer's file size bounds its memory."""
+    (archive=<name>/ with one gzip file each) and then the sidecar path/index (archive, entries of page_id, offset and
+    length), made from the archives as they were written. A file is handled whole by one task, so the writer's file size
+    bounds its memory."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "content")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, gz in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                members, index = normalise(gz)
-                kind = pa.list_(pa.struct({"page_id": pa.int64(), "offset": pa.int64(), "length": pa.int64()}))
-                yield pa.RecordBatch.from_arrays([pa.array([name.rsplit("/", 1)[-1].split(".")[0]]), pa.array([members], pa.binary()), pa.array([index], kind)], ["archive", "members", "entries"])
+                yield pa.RecordBatch.from_arrays([pa.array([name.rsplit("/", 1)[-1].split(".")[0]]), pa.array([normalise(gz)], pa.binary())], ["archive", "members"])
+
+    made = files.mapInArrow(rewrite, "archive string, members binary").select("archive", F.col("members").cast("string"))
+    # the writer puts an empty member after each row, which closes the archive; Latin-1 keeps its bytes as they are
+    made.write.partitionBy("archive").option("encoding", "ISO-8859-1").option("lineSep", END.decode("latin-1")).text(f"{path}/archives")
+
+    def list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct({"page_id": pa.int64(), "offset": pa.int64(), "length": pa.int64()}))
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([offsets(x) for x in b.column(1).to_pylist()], kind)], ["archive", "entries"])
+
+    _archives(spark, path).mapInArrow(list_members, ENTRIES).write.parquet(f"{path}/index")
+
 
-    made = files.mapInArrow(rewrite, f"archive string, members binary, entries array<struct<{INDEX}>>")
-    made.write.parquet(f"{path}/both")
-    both = spark.read.schema(made.schema).parquet(f"{path}/both")
-    both.select("archive", "entries").write.parquet(f"{path}/index")
-    both.select("archive", F.col("members").cast("string")).write.partitionBy("archive").option("encoding", "ISO-8859-1").option("lineSep", END.decode("latin-1")).text(f"{path}/archives")
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    """(archive, content) of normalised archives; none if nothing was written."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{path}/archives")
+    return files.select(F.regexp_extract("path", "archive=([^/]+)/", 1).alias("archive"), "content")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record, read at its offset: page_id, payload_bytes, payload_digest, record_type, refers_to, url and
-    payload (null for revisits). A response whose payload does not have its digest is an error."""
-    files = spark.read.format("binaryFile").option("basePath", f"{path}/archives").load(f"{path}/archives/archive=*").select(F.regexp_extract("path", "archive=([^/]+)/", 1).alias("archive"), "content")
-    index = spark.read.schema(f"archive string, entries array<struct<{INDEX}>>").parquet(f"{path}/index")
+    payload (null for revisits). A response whose payload does not have its digest is an error. The index is broadcast to
+    the archives while it has at most INDEXED records, else both are shuffled by archive."""
+    index = spark.read.schema(ENTRIES).parquet(f"{path}/index")
+    records_listed = index.agg(F.sum(F.size("entries"))).first()[0] or 0
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -154,7 +180,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
 
-    return files.join(index, "archive").select("content", "entries").mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+    near = F.broadcast(index) if records_listed <= INDEXED else index
+    return _archives(spark, path).join(near, "archive").select("content", "entries").mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
