@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: Whitespace that separates words wherever a contract says `[^\x20\x09-\x0D]+`.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,6 +53,32 @@ def crc_mod(col: Column, n: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def with_results(docs: DataFrame, text: str, keep: list[str] | None, added: str, found: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """The columns `keep` of docs (all, if None) and those that found makes of each batch of texts; added: their schema.
+
+    A column of docs with the name of an added one gives way to it. Names of docs never meet those used here. The text
+    goes to the tasks once, also where it is kept. No row moves.
+    """
+    new = T._parse_datatype_string(added)
+    names = [c for c in docs.columns if (keep is None or c in keep) and c not in new.names]
+    at = names.index(text) if text in names else len(names)
+    schema = T.StructType([*[T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)], *new.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], *found(b.column(at))], names=schema.names)
+
+    given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], *[F.col(text).alias("_text")] * (at == len(names)))
+    return given.mapInArrow(run, schema).toDF(*names, *new.names)
+
+
+def rows_where(docs: DataFrame, text: str, added: str, found: Callable[[pa.Array], list[pa.Array]], keep: Column) -> DataFrame:
+    """The rows of docs, with its columns alone, for which `keep` holds on the columns that found makes."""
+    plain = docs.toDF(*[f"in{i}" for i in range(len(docs.columns))])
+    rows = with_results(plain, f"in{docs.columns.index(text)}", None, added, found).where(keep)
+    return rows.select(plain.columns).toDF(*docs.columns)
+
+
 def prefix_sums(counts: DataFrame, key: str, n: str, out: str, block: int = 4096) -> DataFrame:
     """Adds out, the sum of n over all smaller keys. Blocks of keys are summed first, so no window has more than
     `block` rows but the one over the blocks."""

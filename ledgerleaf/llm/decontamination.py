@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import cut, table
+from .common import cut, rows_where, table, with_results
 
 #: Bytes of the table that maps A-Z to a-z and all other ASCII but a-z and 0-9 to a space.
 FOLD = bytes(c | 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -127,6 +128,28 @@ def search(texts: list[bytes | None], q: Queries) -> list[tuple]:
     return out
 
 
+_SPAN = pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()}))
+_MATCH = pa.list_(pa.struct({"item_id": pa.string(), "doc_word": pa.int32(), "item_word": pa.int32(), "n_words": pa.int32()}))
+KINDS = [pa.int64(), pa.int64(), pa.list_(pa.string()), _MATCH, _SPAN]
+
+
+def _passes(bench: DataFrame, text: str) -> int:
+    return max(1, -(-(bench.agg(F.sum(F.octet_length(text))).first()[0] or 0) // PASS_BYTES))
+
+
+def _found(bench: DataFrame, text: str, item: str, window: int, passes: int, k: int):
+    """What the k-th pass does with a batch of texts; its share of the benchmark is at most about PASS_BYTES."""
+    part = F.pmod(F.xxhash64(F.col(item).cast("string"), F.col(text)), F.lit(passes))
+    rows = bench.where(part == k).select(F.col(item).cast("string"), text).collect()
+    held = bench.sparkSession.sparkContext.broadcast(Queries(sorted(map(tuple, rows), key=lambda x: (x[0] or "", x[1] or "")), window))
+
+    def found(texts: pa.Array) -> list[pa.Array]:
+        rows = search(texts.cast(pa.binary()).to_pylist(), held.value)
+        return [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(KINDS)]
+
+    return found
+
+
 def find_items(docs: DataFrame, bench: DataFrame, text: str = "text", item: str = "item_id", window: int = 10, keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of docs (all, if None) and n_words, n_hit, items, matches, hits of each row's whole text.
 
@@ -138,35 +161,14 @@ def find_items(docs: DataFrame, bench: DataFrame, text: str = "text", item: str
 
     Benchmark text goes to the tasks in passes of at most PASS_BYTES; more of it takes more passes over the documents.
     """
-    size = bench.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    passes = max(1, -(-size // PASS_BYTES))
-    part = F.pmod(F.xxhash64(F.col(item).cast("string"), F.col(text)), F.lit(passes))
-    docs = docs.withColumn("_row", F.monotonically_increasing_id()) if passes > 1 else docs
-    docs = cut(docs, "documents") if passes > 1 else docs
-    names = [c for c in docs.columns if (keep is None or c in keep or c == "_row") and c not in ("n_words", "n_hit", "items", "matches", "hits")]
-    result = T._parse_datatype_string(RESULT)
-    schema = T.StructType([*[T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)], *result.fields])
-    given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(text).cast("binary").alias("_text"))
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct({"item_id": pa.string(), "doc_word": pa.int32(), "item_word": pa.int32(), "n_words": pa.int32()})), pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()}))]
-
-    def one_pass(k: int) -> DataFrame:
-        rows = bench.where(part == k).select(F.col(item).cast("string"), text).collect()
-        held = docs.sparkSession.sparkContext.broadcast(Queries(sorted(map(tuple, rows), key=lambda x: (x[0] or "", x[1] or "")), window))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                found = search(b.column(len(names)).to_pylist(), held.value)
-                yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], *(pa.array([row[i] for row in found], kind) for i, kind in enumerate(kinds))], names=schema.names)
-
-        return given.mapInArrow(run, schema)
-
-    out = one_pass(0).toDF(*names, *result.names)
+    passes = _passes(bench, text)
+    docs = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "documents") if passes > 1 else docs
+    added = T._parse_datatype_string(RESULT).names
+    names = [c for c in docs.columns if (keep is None or c in keep or (c == "_row" and passes > 1)) and c not in added]
+    one_pass = lambda k: with_results(docs, text, names, RESULT, _found(bench, text, item, window, passes, k))
     if passes == 1:
-        return out
-    rest = [one_pass(k).toDF(*names, *result.names) for k in range(passes)]
-    for other in rest[1:]:
-        rest[0] = rest[0].unionByName(other.select(*names, *result.names))
-    merged = rest[0].groupBy("_row").agg(
+        return one_pass(0)
+    merged = reduce(DataFrame.union, map(one_pass, range(passes))).groupBy("_row").agg(
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.flatten(F.collect_list("matches")).alias("matches"),
@@ -174,12 +176,15 @@ def find_items(docs: DataFrame, bench: DataFrame, text: str = "text", item: str
     )
     merged = merged.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["end"] - 1))))).cast("long"))
     kept = docs.select(*names)
-    return kept.join(merged, "_row").select(*[c for c in names if c != "_row"], *result.names)
+    return kept.join(merged, "_row").select(*[c for c in names if c != "_row"], *added)
 
 
-def decontaminated(docs: DataFrame, bench: DataFrame, **kw) -> DataFrame:
-    """The rows of docs in which no benchmark window occurs, with their columns alone."""
-    return find_items(docs.withColumn("_in", F.struct("*")), bench, keep=["_in"], **kw).where("n_hit = 0").select("_in.*")
+def decontaminated(docs: DataFrame, bench: DataFrame, text: str = "text", item: str = "item_id", window: int = 10) -> DataFrame:
+    """The rows of docs in which no benchmark window occurs, with their columns alone; each pass searches what the one
+    before has left."""
+    for k in range(passes := _passes(bench, text)):
+        docs = rows_where(docs, text, RESULT, _found(bench, text, item, window, passes, k), F.col("n_hit") == 0)
+    return docs
 
 
 def op8_decontamination(spark, sf_dir):

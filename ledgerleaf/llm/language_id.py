@@ -8,9 +8,9 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import crc_mod, table
+from .common import crc_mod, rows_where, table, with_results
 
 UNKNOWN = "und"
 #: Bounds of what is learned from: rows of the sample over all languages, and landmarks among them.
@@ -122,29 +122,32 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "l
     return train([r["lang"] for r in got], [np.array(r["grams"], np.int64).view(np.uint64) for r in got])
 
 
+ADDED = "lang_pred string, score double"
+
+
+def _found(spark: SparkSession, model: Model):
+    held = spark.sparkContext.broadcast(model)
+
+    def found(texts: pa.Array) -> list[pa.Array]:
+        lang, score = held.value.predict(texts.to_pylist())
+        return [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+
+    return found
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of docs (all, if None) with lang_pred and score (0 to 1) for each row's whole text.
 
     Null texts and texts without letters give `und` and 0, as do all texts if nothing could be learned. An added column
     replaces one of docs with its name. No row moves.
     """
-    names = [c for c in docs.columns if (keep is None or c in keep) and c not in ("lang_pred", "score")]
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*[T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lang, score = held.value.predict(b.column(len(names)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=schema.names)
-
-    given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(text).alias("_text"))
-    return given.mapInArrow(run, schema).toDF(*names, "lang_pred", "score")
+    return with_results(docs, text, keep, ADDED, _found(docs.sparkSession, model))
 
 
 def known_language(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
     """The rows of docs whose text has a language; learned from docs' own labels. Texts without letters go."""
     model = fit(docs.where(crc_mod(F.col(key), 4) != 2), text, key, lang)
-    return predict(docs.select(F.struct("*").alias("_in"), F.col(text).alias("_text")), model, "_text", keep=["_in"]).where(F.col("lang_pred") != UNKNOWN).select("_in.*")
+    return rows_where(docs, text, ADDED, _found(docs.sparkSession, model), F.col("lang_pred") != UNKNOWN)
 
 
 def op1_language_id(spark, sf_dir):

@@ -9,9 +9,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from .common import crc_mod, cut, table
+from .common import crc_mod, cut, table, with_results
 
 #: Bounds of what is learned from: toxic and other rows, and terms in the lexicon.
 TOXIC_ROWS, CLEAN_ROWS, TERMS = 4000, 8000, 400
@@ -229,16 +229,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     Null and empty texts meet no term and get the score of such texts. An added column replaces one of docs with its
     name. No row moves. With nothing learned, all scores are 0.5.
     """
-    names = [c for c in docs.columns if (keep is None or c in keep) and c not in ("score", "predicted")]
     held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*[T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)], T.StructField("score", T.DoubleType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(held.value.score(b.column(len(names)).to_pylist()), pa.float64())], names=schema.names)
-
-    given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(text).alias("_text"))
-    return given.mapInArrow(run, schema).toDF(*names, "score").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    rows = docs.drop("predicted")
+    scored = with_results(rows, text, keep, "score double", lambda texts: [pa.array(held.value.score(texts.to_pylist()), pa.float64())])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op3_toxicity(spark, sf_dir):
