@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions import markup as M, text as X
 from ..operators import catalog as C, index as I, pages as H, sections as S
 from ..sources import tables as R
+from ..sources.scratch import new_dir
 from . import jobs, synth as Y
 
 _QUERIES: dict = {}
@@ -194,3 +195,42 @@ _wrong = lambda s, d: _longs(s, d).where("out_key IN ('item_1', 'item_7')").with
 _add("a2_extraction_quality", lambda s, d: I.extraction_quality(_wrong(s, d), _longs(s, d).where("out_key IN ('item_1', 'item_7')")), "SELECT out_key, count(*) AS filings, count(*) FILTER (WHERE doc_id % 10 <> 4) AS exact FROM documents, (VALUES ('item_1'), ('item_7')) v(out_key) WHERE doc_id % 4 = 0 GROUP BY out_key")
 _add("a2_failed_items", lambda s, d: I.failed_items(_wrong(s, d), _longs(s, d).where("out_key IN ('item_1', 'item_7')")).select("filename", F.array_join("failed", ",").alias("failed")), "SELECT doc_id || '_f.htm' AS filename, 'item_1,item_7' AS failed FROM documents WHERE doc_id % 4 = 0 AND doc_id % 10 = 4")
 _add("t14_filing_text", lambda s, d: M.filing_text(C.items_for_filing(I.attach_content(Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form")))).select("filename", F.col("text").contains("<").alias("tags"), F.col("text").contains("-12-").alias("numbers")), "SELECT doc_id || '_f.htm' AS filename, contains(text, '<') AS tags, false AS numbers FROM documents")
+
+# files: written from the tables and read again
+
+
+def _master_index(s, d) -> DataFrame:
+    rows = Y.index_rows(s, d).select(F.concat_ws("|", "CIK", "Company", "Type", "Date", "complete_text_file_link").alias("value"))
+    head = Y.read(s, d, "region").where("r_regionkey = 0").select(F.lit("CIK|Company Name|Form Type|Date Filed|Filename").alias("value"))
+    head.union(rows).write.option("encoding", "ISO-8859-1").text(path := new_dir(s, "master"))
+    return R.read_master_index(s, path)
+
+
+def _quarter_files(s, d) -> DataFrame:
+    root = new_dir(s, "quarters")
+    for q in (1, 2):
+        _quarters(Y.index_rows(s, d)).where(f"year = 2001 AND quarter = {q}").select("CIK", "Company", "Type", "Date", "complete_text_file_link", "html_index").write.csv(f"{root}/2001_QTR{q}.tsv", sep="|", quote="")
+    return R.read_quarter_indices(s, root, range(2001, 2003), [1, 2, 3])
+
+
+def _metadata_file(s, d) -> DataFrame:
+    R.write_filings_metadata(Y.metadata_rows(s, d).withColumn("Company", F.when(F.col("k") % 2 == 0, F.concat("Company", F.lit(', "Inc"'))).otherwise("NA")), path := new_dir(s, "metadata"))
+    return R.read_filings_metadata(s, path)
+
+
+def _extracted_files(s, d) -> DataFrame:
+    R.write_extracted_filings(_extracted(s, d, "10-K", "10-Q"), path := new_dir(s, "extracted"))
+    keys = S.out_keys("10-Q")
+    return S.wide_to_long(R.read_extracted_filings(s, path, "10-Q"), keys, "filename").where("section_text <> ''").select("filename", "out_key", "section_text")
+
+
+def _company_list(s, d) -> DataFrame:
+    _entries(s, d).select(F.concat(F.lit(" "), "entry", F.lit("  "))).union(_entries(s, d).select(F.lit("  "))).write.text(path := new_dir(s, "companies"))
+    return R.read_company_list(s, path).groupBy("entry").agg(F.count("*").alias("n"))
+
+
+_add("s1_read_master_index", lambda s, d: _master_index(s, d).select("CIK", "Company", "Type", "Date", "html_index"), f"WITH {Y.INDEX} SELECT CIK, Company, Type, Date, html_index FROM idx")
+_add("s2_read_quarter_indices", lambda s, d: _quarter_files(s, d).select("CIK", "Company", "Date", "html_index", "filename"), f"WITH {Y.INDEX} SELECT CIK, Company, Date, html_index, CAST(NULL AS VARCHAR) AS filename FROM idx WHERE Date BETWEEN '2001-01-01' AND '2001-06-30'")
+_add("s3_s4_metadata_file", lambda s, d: _metadata_file(s, d).select("CIK", "Company", "SIC", "htm_file_link", "filename", F.col("Period of Report").alias("period")), f"WITH {Y.META} SELECT CIK, CASE WHEN k % 2 = 0 THEN Company || ', \"Inc\"' END AS Company, SIC, htm_file_link, filename, \"Period of Report\" AS period FROM meta")
+_add("s6_extracted_files", _extracted_files, _expect("10-Q"))
+_add("s9_company_list", _company_list, f"WITH {_sql_ciks} SELECT e AS entry, count(*) AS n FROM entry GROUP BY e")
