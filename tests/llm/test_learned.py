@@ -32,12 +32,14 @@ def test_kernel_regression_is_multiplied_out_rightly():
     texts = ["the cat and the dog", "der hund und die katze", "the red house", "das rote haus", "a dog in the house", "ein hund im haus"] * 3
     labels = ["en", "de", "en", "de", "en", "de"] * 3
     grams = [L.grams(t + str(i)) for i, t in enumerate(texts)]
-    model = L.train(labels, grams, landmarks=4)
-    k = lambda a, b: len(np.intersect1d(a, b)) / np.sqrt(len(a) * len(b))
-    marks = [grams[i] for i in (0, 1, 2, 3)] if False else None
-    f = model.scores(grams)
-    assert f.shape == (18, 2) and (f.argmax(1) == [model.languages.index(x) for x in labels]).all()
-    assert k(grams[0], grams[0]) == 1.0 and marks is None
+    kernel = np.array([[len(np.intersect1d(a, b)) / np.sqrt(len(a) * len(b)) for b in grams] for a in grams])
+    model = L.train(labels, grams, landmarks=len(texts), ridge=0.5)
+    y = np.array([[1.0 if x == lang else -1.0 for lang in model.languages] for x in labels])
+    # with all texts as landmarks, Nyström features give kernel ridge regression itself
+    want = kernel @ np.linalg.solve(kernel + 0.5 * len(texts) / 2 * np.eye(len(texts)), y)
+    assert np.allclose(model.scores(grams), want, atol=1e-3)
+    few = L.train(labels, grams, landmarks=4).scores(grams)
+    assert (few.argmax(1) == [model.languages.index(x) for x in labels]).all()
 
 
 def test_language_of_awkward_rows(spark):
