@@ -174,7 +174,8 @@ def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", most: i
     """The rows of docs that stay: of each group of near copies that with the smallest key, and one row of a key."""
     own = F.col(key).eqNullSafe(F.col("component"))
     kept = cut(simhash_components(docs, text, key, most).where(own).groupBy(F.col(key).alias("_kept")).count(), "kept")
-    rows = docs.join(kept, docs[key].eqNullSafe(kept["_kept"]), "left_semi")
+    # one row per kept document: it grows with the input, so it is shuffled at every size
+    rows = docs.join(kept.hint("shuffle_merge"), docs[key].eqNullSafe(kept["_kept"]), "left_semi")
     return rows.dropDuplicates([key]) if kept.where("count > 1").take(1) else rows
 
 
