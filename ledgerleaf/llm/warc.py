@@ -117,12 +117,19 @@ def write_monolithic(pages: DataFrame, path: str, key: str = "page_id", url: str
     given = pages.select(F.col(key).cast("long").alias("k"), F.col(url).cast("string").alias("url"), payload.alias("html"), F.sha2(payload, 256).alias("sha"))
     first = given.groupBy("sha").agg(F.min("k").alias("first"))
     kinds = given.select("k", "sha").distinct().join(first, "sha").withColumn("refers", F.when(~F.col("k").eqNullSafe(F.col("first")), F.col("first"))).select(F.col("k").alias("_k"), F.col("sha").alias("_sha"), "refers")
-    # payloads are shuffled at every size: what tells responses from revisits grows with them
-    rows = given.join(kinds.hint("shuffle_merge"), F.col("k").eqNullSafe(F.col("_k")) & (F.col("sha") == F.col("_sha"))).select("k", "url", "html", "refers")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            html = b.column(2).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([zlib.compress(x, 1) for x in html], pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in html], pa.string())], ["k", "url", "packed", "sha"])
+
+    # payloads are shuffled at every size, as what tells responses from revisits grows with them; packed, they are half as large
+    packed = given.select("k", "url", "html").mapInArrow(pack, "k long, url string, packed binary, sha string")
+    rows = packed.join(kinds.hint("shuffle_merge"), F.col("k").eqNullSafe(F.col("_k")) & (F.col("sha") == F.col("_sha"))).select("k", "url", "packed", "refers")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [record(*x) for x in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True)]
+            made = [record(k, u, zlib.decompress(x), r) for k, u, x, r in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
 
     # the text writer puts out a string's bytes as they are, so its gzip files are WARC files
