@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import cut
+from .common import cut, table
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -25,8 +27,8 @@ def normalised(text: Column) -> Column:
     return out
 
 
-def chunk_names(docs: DataFrame, text: str, bits: int) -> tuple[DataFrame, Column, Column]:
-    """Each document with its normalised text and chunks; a chunk's hash; the test that two equal hashes differ in text."""
+def chunked(docs: DataFrame, text: str, bits: int) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """Each document with its normalised text and chunks, and how a chunk is hashed."""
     rows = docs.withColumn("_norm", normalised(F.col(text))).withColumn("_chunks", F.regexp_extract_all("_norm", F.lit(CHUNK), F.lit(0)))
     name = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << bits) - 1 if bits < 64 else -1))
     return rows, name
@@ -43,7 +45,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", hash_b
     text; a hash with two texts gives each a name of its own, so equal names mean equal chunks. Documents are then
     compared by the ordered list of chunk names, and no text moves again. hash_bits is lowered only in tests.
     """
-    rows, name = chunk_names(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text", hash_bits)
+    rows, name = chunked(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text", hash_bits)
     facts = [F.monotonically_increasing_id().alias("_row"), "_key", F.length(F.coalesce("_text", F.lit(""))).alias("_points"), F.sha2(F.col("_norm").cast("binary"), 256).alias("_sha")]
     recipes = cut(rows.select(*facts, F.transform("_chunks", name).alias("_recipe")), "recipes")
     # the outer form: else Spark infers a filter that cuts every text once more
@@ -58,15 +60,14 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", hash_b
             "recipes",
         )
     best = F.min(F.struct((-F.col("_points")).alias("p"), F.col("_key").isNull().alias("n"), F.col("_key").alias("key"), F.col("_row").alias("row")))
-    groups = recipes.groupBy("_recipe").agg(best.alias("_best"), F.count("*").alias("_size"))
+    # written, so that the join has an exchange of its own on either side and Spark can split the recipe of a large group
+    groups = cut(recipes.groupBy("_recipe").agg(best.alias("_best"), F.count("*").alias("_size")), "groups")
     return recipes.join(groups, "_recipe").select(
         F.col("_key").alias(key), F.col("_best.key").alias("keep"), F.col("_size").alias("group_size"), (F.col("_row") == F.col("_best.row")).alias("kept"), F.col("_sha").alias("text_sha256")
     )
 
 
 def op10_exact_dedup(spark, sf_dir):
-    from .common import table
-
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("keep", "keep_id")
 
 
