@@ -117,9 +117,12 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "l
 
     near = rows.where(F.pmod("h", F.lit(1 << 40)) < limit[F.col("lang")])
     sample = near.mapInArrow(spread, "lang string, h long, grams array<long>").withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h"))).where(F.col("k") <= each)
-    got = sorted(sample.select("lang", "h", "grams").toArrow().to_pylist(), key=lambda r: (r["lang"], r["h"]))
-    got = [r for r in got if r["grams"]]
-    return train([r["lang"] for r in got], [np.array(r["grams"], np.int64).view(np.uint64) for r in got])
+    got = sample.select("lang", "h", "grams").toArrow()
+    lists = got["grams"].combine_chunks()
+    ends, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+    place = zip(got["lang"].to_pylist(), got["h"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+    kept = sorted((lang, h, a, b) for lang, h, a, b in place if b > a)
+    return train([lang for lang, *_ in kept], [values[a:b] for *_, a, b in kept])
 
 
 ADDED = "lang_pred string, score double"
