@@ -7,10 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut, table
 from .components import components
+from .sharding import ATOMIC
 
 #: Fingerprints a leaf should hold, and the bounds of the sample and of the depth of the tree that deals them out.
 LEAF, SAMPLE, DEPTH = 4096, 1 << 16, 14
@@ -170,13 +171,36 @@ def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     return rows.join(names, "fp").select(F.col("key").alias(key), "fp", "component")
 
 
-def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int = 3) -> DataFrame:
-    """The rows of docs that stay: of each group of near copies that with the smallest key, and one row of a key."""
-    own = F.col(key).eqNullSafe(F.col("component"))
-    kept = cut(simhash_components(docs, text, key, most).where(own).groupBy(F.col(key).alias("_kept")).count(), "kept")
+def _identity(docs: DataFrame, text: str, key: str) -> list[Column]:
+    """Columns that tell rows apart by what they hold: key, text and all plain columns. They do not depend on where a row is read."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, ATOMIC)]
+    return [F.col(key).alias("_k"), F.xxhash64(text).alias("_t"), F.xxhash64(F.lit(1), text).alias("_u"), F.xxhash64(F.lit(2), *plain).alias("_p")]
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, group: str, text: str, key: str) -> DataFrame:
+    """Of each group the row of docs with the smallest key (null last), then by identity. rows: identities and group.
+
+    A row is chosen by its identity, not by its key: rows without a key, and rows that share one, are judged apart.
+    """
+    least = F.min(F.struct(F.col("_k").isNull().alias("n"), "_k", "_t", "_u", "_p")).alias("_least")
+    counted = rows.groupBy(group, "_k", "_t", "_u", "_p").count()
+    kept = cut(counted.groupBy(group).agg(least, F.max("count").alias("_n")).select("_least.*", "_n"), "kept").drop("n")
+    ids = ["_k", "_t", "_u", "_p"]
+    marked = docs.select(F.struct("*").alias("_in"), *_identity(docs, text, key))
+    right = kept.select(*[F.col(c).alias(f"r{c}") for c in ids]).hint("shuffle_merge")
     # one row per kept document: it grows with the input, so it is shuffled at every size
-    rows = docs.join(kept.hint("shuffle_merge"), docs[key].eqNullSafe(kept["_kept"]), "left_semi")
-    return rows.dropDuplicates([key]) if kept.where("count > 1").take(1) else rows
+    stay = marked.join(right, F.col("_k").eqNullSafe(F.col("r_k")) & (F.col("_t") == F.col("r_t")) & (F.col("_u") == F.col("r_u")) & (F.col("_p") == F.col("r_p")), "left_semi")
+    return (stay.dropDuplicates(ids) if kept.where("_n > 1").take(1) else stay).select("_in.*")
+
+
+def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int = 3) -> DataFrame:
+    """The rows of docs that stay: of each group of near copies that with the smallest key."""
+    kind = docs.schema[key].dataType.simpleString()
+    ids = _identity(docs, text, key)
+    rows = cut(docs.select(F.struct(*ids).alias("id"), F.col(text).alias("text")).mapInArrow(_fingerprints, f"key struct<_k: {kind}, _t: long, _u: long, _p: long>, fp long").select("key.*", "fp"), "prints")
+    prints = cut(rows.select("fp").distinct(), "distinct")
+    roots = components(near_links(prints, prints.count(), most), "a", "b").withColumnRenamed("node", "fp")
+    return one_of_each(docs, rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "root", text, key)
 
 
 def op7_simhash(spark, sf_dir):

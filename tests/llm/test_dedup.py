@@ -190,3 +190,12 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted({r["component"] for r in H.simhash_components(awkward(spark)).collect() if r["component"] is not None})
     assert kept.columns == awkward(spark).columns
     assert H.near_dedup(empty(spark)).count() == 0
+
+
+def test_rows_are_kept_by_identity_not_by_key(spark):
+    a, b, c, d, e, f = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcdef")
+    rows = [(None, a), (5, a), (None, b), (None, b), (9, c), (10, c), (9, d), (11, d), (9, e), (2, e), (None, f), (9, f), (9, f)]
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
+    want = sorted(map(repr, [(5, a), (None, b), (9, c), (9, d), (2, e), (9, f)]))
+    for n in (1, 3):
+        assert sorted(repr((r["doc_id"], r["text"])) for r in H.near_dedup(docs.repartition(n)).collect()) == want
