@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut, table
 from .components import components
+from .near_sets import set_groups
 from .sharding import ATOMIC
 
 #: Fingerprints a leaf should hold, and the bounds of the sample and of the depth of the tree that deals them out.
@@ -193,14 +194,15 @@ def one_of_each(docs: DataFrame, rows: DataFrame, group: str, text: str, key: st
     return (stay.dropDuplicates(ids) if kept.where("_n > 1").take(1) else stay).select("_in.*")
 
 
-def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int = 3) -> DataFrame:
-    """The rows of docs that stay: of each group of near copies that with the smallest key."""
-    kind = docs.schema[key].dataType.simpleString()
+def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of docs that stay: of each group of near copies that with the smallest key.
+
+    Near copies have a Jaccard similarity of 0.8 or more of their 5-word shingles. At this similarity fingerprints differ
+    in about ten bits and up to 17, where vantage points tell nothing apart, so near_sets finds them by MinHash.
+    """
     ids = _identity(docs, text, key)
-    rows = cut(docs.select(F.struct(*ids).alias("id"), F.col(text).alias("text")).mapInArrow(_fingerprints, f"key struct<_k: {kind}, _t: long, _u: long, _p: long>, fp long").select("key.*", "fp"), "prints")
-    prints = cut(rows.select("fp").distinct(), "distinct")
-    roots = components(near_links(prints, prints.count(), most), "a", "b").withColumnRenamed("node", "fp")
-    return one_of_each(docs, rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "root", text, key)
+    kind = f"struct<_k: {docs.schema[key].dataType.simpleString()}, _t: long, _u: long, _p: long>"
+    return one_of_each(docs, set_groups(docs, ids, text, kind), "root", text, key)
 
 
 def op7_simhash(spark, sf_dir):

@@ -199,3 +199,51 @@ def test_rows_are_kept_by_identity_not_by_key(spark):
     want = sorted(map(repr, [(5, a), (None, b), (9, c), (9, d), (2, e), (9, f)]))
     for n in (1, 3):
         assert sorted(repr((r["doc_id"], r["text"])) for r in H.near_dedup(docs.repartition(n)).collect()) == want
+
+
+def plain_near_roots(rows):
+    def shingles(t):
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets = [shingles(t) for _, t in rows]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    return plain_components(range(len(rows)), near), near
+
+
+def planted(seed):
+    """Texts with near copies from far over to far below the bound, a chain, and a group around one text."""
+    rng = random.Random(seed)
+    out = []
+    for n in (8, 40, 100, 300):
+        for _ in range(6):
+            base = [f"q{rng.randint(0, 5000)}" for _ in range(n)]
+            out.append(base)
+            for share in (0.002, 0.01, 0.02, 0.03, 0.05):
+                out.append([w if rng.random() > share else "z" + str(rng.randint(0, 5000)) for w in base])
+    chain = [f"c{i}" for i in range(200)]
+    for i in range(12):
+        out.append(chain := chain[8:] + [f"d{i}x{j}" for j in range(8)])
+    hub = [f"h{i}" for i in range(200)]
+    for i in range(40):
+        at = rng.sample(range(0, 200, 8), 4)
+        out.append([f"m{i}x{k}" if k in at else w for k, w in enumerate(hub)])
+    out.append(hub)
+    rng.shuffle(out)
+    return [(i, " ".join(w)) for i, w in enumerate(out)]
+
+
+def test_near_copies_are_found_by_jaccard(spark):
+    rows = planted(3)
+    root, near = plain_near_roots(rows)
+    prints = [plain_fingerprint(t) for _, t in rows]
+    assert sum((prints[i] ^ prints[j]).bit_count() > 3 for i, j in near) > 20
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(3)
+    assert sorted(r["doc_id"] for r in H.near_dedup(docs).collect()) == sorted(i for i in root if root[i] == i)
+
+
+def test_near_copies_of_the_table_are_found_by_jaccard(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = sorted(tuple(r) for r in docs.select("doc_id", "text").collect())
+    root, _ = plain_near_roots(rows)
+    assert sorted(r["doc_id"] for r in H.near_dedup(docs).collect()) == [rows[i][0] for i in root if root[i] == i]
