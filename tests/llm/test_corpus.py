@@ -49,6 +49,17 @@ def test_shards_are_even_and_whole(spark, size):
     assert got.columns == [*[c for c in awkward(spark).columns], "_shard", "_slot"]
 
 
+def test_equal_rows_are_spread_over_buckets(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(S, "prefix_sums", lambda counts, *a: seen.append(max(r["_n"] for r in counts.collect())) or prefix_sums(counts, *a))
+    prefix_sums = importlib.import_module("ledgerleaf.llm.common").prefix_sums
+    same = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    docs = same.union(spark.range(3000).select("id", F.lit("text").alias("text")))
+    runs = [S.shuffle_shards(d, 5, bucket_bytes=3600).orderBy("_shard", "_slot").collect() for d in (docs, docs.repartition(7))]
+    assert runs[0] == runs[1] and Counter(r["doc_id"] for r in runs[0]) == Counter([None] * 3000 + list(range(3000)))
+    assert max(Counter(r["_shard"] for r in runs[0]).values()) == 1200 and max(seen) < 600
+
+
 def test_shards_of_few_and_no_rows(spark):
     assert S.shuffle_shards(empty(spark), 24).count() == 0
     one = S.shuffle_shards(awkward(spark).limit(3), 24).collect()
