@@ -1,4 +1,4 @@
-"""Near copies by 5-word shingles: MinHash bands propose pairs, exact Jaccard similarity decides."""
+"""Near copies by 5-word shingles: SimHash trees and MinHash bands propose pairs, exact Jaccard similarity decides."""
 
 from __future__ import annotations
 
@@ -14,11 +14,14 @@ from .components import components
 from .substring_dedup import _pair, _word_hashes, names
 
 #: Words of a shingle, and the similarity of near copies as a fraction. A pair at it shares none of the bands with a
-#: probability of (1 - 0.8 ** 4) ** 20 < 0.00003.
+#: probability of (1 - 0.8 ** 6) ** 34 < 0.00004.
 SHINGLE, LIKE = 5, (4, 5)
-BANDS, ROWS = 20, 4
-#: Shingles that are hashed at once, and hubs that a bucket may have in a round.
-AT_ONCE, MOST_HUBS = 1 << 18, 64
+BANDS, ROWS = 34, 6
+#: Least hashes of which a sketch has a byte each, and how many of them agree at least: a pair at LIKE has 77 of them on
+#: average and fewer than that with a probability below 0.00001.
+SKETCH, AGREE = 96, 58
+#: Shingles that are hashed at once, and members of a bucket that a block holds.
+AT_ONCE, BLOCK = 1 << 18, 1024
 _SEEDS = np.random.Generator(np.random.PCG64(23)).integers(0, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -32,16 +35,21 @@ def _name(s: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(s.tobytes())
 
 
-def bands(sets: list[np.ndarray]) -> np.ndarray:
-    """Of each set the names of its bands, each of ROWS least hashes."""
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each set the names of its bands (of ROWS least hashes each), its sketch and its SimHash."""
     flat, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), BANDS), np.uint64)
+    found, sketch = np.empty((len(sets), BANDS), np.uint64), np.empty((len(sets), SKETCH), np.uint8)
     for band in range(BANDS):
         h = np.full(len(sets), band, np.uint64)
-        for a, b in _SEEDS[band * ROWS : (band + 1) * ROWS]:
-            h = _pair(h, np.minimum.reduceat(flat * a + b, starts))
-        out[:, band] = h
-    return out
+        for k in range(band * ROWS, (band + 1) * ROWS):
+            least = np.minimum.reduceat(flat * _SEEDS[k, 0] + _SEEDS[k, 1], starts)
+            if k < SKETCH:
+                sketch[:, k] = _pair(least, least) >> np.uint64(56)
+            h = _pair(h, least)
+        found[:, band] = h
+    ones = np.add.reduceat(np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), starts, axis=0, dtype=np.int64)
+    half = np.diff(np.append(starts, len(flat)))[:, None]
+    return found, sketch, np.packbits(2 * ones > half, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def _parts(sets: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -67,10 +75,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sets = _texts(b, 1)
         if sets:
-            found = np.concatenate([bands(p) for p in _parts(sets)])
+            found, sketch, fp = map(np.concatenate, zip(*map(signatures, _parts(sets)), strict=True))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), _signed(found.reshape(-1)))
             sid, n = np.fromiter(map(_name, sets), np.uint64, len(sets)), np.fromiter(map(len, sets), np.int64, len(sets))
-            yield pa.RecordBatch.from_arrays([b.column(0), _signed(sid), pa.array(n), lists], ["id", "sid", "n", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _signed(sid), pa.array(n), _signed(fp), pa.array([x.tobytes() for x in sketch], pa.binary()), lists], ["id", "sid", "n", "fp", "sketch", "bands"])
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,52 +93,121 @@ def _alike(common: Column, both: Column) -> Column:
     return common * LIKE[1] >= both * LIKE[0]
 
 
-def set_links(members: DataFrame, contents: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all sets of a bucket with a similarity of LIKE or more, and no others.
-
-    members: g (bucket), sid, n (shingles); contents: sid, s. In each round some members of a bucket, its hubs, are
-    compared with all others that are not connected with them yet, and leave it; a bucket in which all others are
-    connected is done. So a group of near copies gives a few links a member, yet no pair of a bucket is passed over. The
-    number of hubs doubles: a bucket of m sets that are not near copies takes about log m rounds.
+def verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets whose similarity is LIKE or more. contents: sid, s."""
+    one, two = contents.select(F.col("sid").alias("a"), F.col("s").alias("sa")), contents.select(F.col("sid").alias("b"), F.col("s").alias("sb"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(one, "a").join(two, "b").where(_alike(common, F.size("sa") + F.size("sb") - common)).select("a", "b")
+
+
+def _compare(sid: np.ndarray, root: np.ndarray, n: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a block whose sketches agree, as (a, b, more). Of the pairs that would connect the same two roots the
+    `most` likeliest; more: others of these two roots are left."""
+    found = []
+    for at in range(0, len(sid) - 1, 64):
+        own = slice(at, at + 64)
+        fits = (root[own, None] != root[None, at:]) & (LIKE[1] * np.minimum(n[own, None], n[None, at:]) >= LIKE[0] * np.maximum(n[own, None], n[None, at:]))
+        i, j = np.nonzero(np.triu(fits, 1))
+        if len(i):
+            agree = np.concatenate([(sketch[at + i[k : k + 65536]] == sketch[at + j[k : k + 65536]]).sum(1) for k in range(0, len(i), 65536)])
+            near = agree >= AGREE
+            found.append(np.column_stack((at + i[near], at + j[near], agree[near])))
+    i, j, agree = np.concatenate(found).T if found else np.zeros((3, 0), np.int64)
+    x, y = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+    order = np.lexsort((np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j]), -agree, y, x))
+    i, j, x, y = i[order], j[order], x[order], y[order]
+    new = np.ones(len(i), bool)
+    new[1:] = (np.diff(x) != 0) | (np.diff(y) != 0)
+    start = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    kept = np.arange(len(i)) - start[group] < most if len(i) else new
+    many = np.diff(np.append(start, len(i))) > most
+    return np.maximum(sid[i], sid[j])[kept], np.minimum(sid[i], sid[j])[kept], many[group][kept]
+
+
+def block_pairs(members: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b, more) of members of the same bucket that have different roots and sketches that agree.
+
+    members: g (bucket), sid, root, n, sketch. Small buckets share a task. The members of a large one are dealt to
+    blocks: those of its most frequent root, which are connected already, and the others; each block of others meets
+    every block once, so no task holds a large bucket and connected members do not meet.
+    """
+    roots = members.groupBy("g", "root").count()
+    sizes = roots.groupBy("g").agg(F.max(F.struct("count", "root")).alias("main"), F.sum("count").alias("m"))
+    packs = max(1, members.count() // (2 * BLOCK))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    is_main = F.col("root") == F.col("main.root")
+    nm, nr = blocks(F.col("main.count")), blocks(F.col("m") - F.col("main.count"))
+    own = F.pmod(F.xxhash64("sid"), F.when(is_main, nm).otherwise(nr)).cast("int")
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    rest = F.concat(F.transform(upto(nr), lambda r: pair(F.least(own, r), F.greatest(own, r))), F.transform(upto(nm), lambda k: pair(own, nr + k)))
+    met = F.when(F.col("m") <= BLOCK, F.array(pair(F.lit(-1), F.lit(-1)))).when(is_main, F.transform(upto(nr), lambda r: pair(r, nr + own))).otherwise(rest)
+    dealt = members.join(sizes, "g").withColumn("p", F.explode(met)).select("g", "p.i", "p.j", "sid", "root", "n", "sketch")
+    at = F.when(F.col("i") < 0, F.pmod(F.xxhash64("g"), F.lit(packs))).otherwise(F.xxhash64("g", "i", "j"))
+
+    def meet(t: pa.Table) -> pa.Table:
+        g, i, j, sid, root, n = (t[c].to_numpy() for c in ("g", "i", "j", "sid", "root", "n"))
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        order = np.lexsort((sid, j, i, g))
+        ends = np.flatnonzero((np.diff(g[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
+        found = [_compare(sid[o], root[o], n[o], sketch[o], most) for o in np.split(order, ends)]
+        a, b, more = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64), "more": more.astype(bool)}).group_by(["a", "b"]).aggregate([("more", "max")]).rename_columns(["a", "b", "more"])
+
+    return dealt.withColumn("at", at).groupBy("at").applyInArrow(meet, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+
+
+def set_links(members: DataFrame, facts: DataFrame, first: DataFrame, contents: DataFrame) -> DataFrame:
+    """(node, root) of all sets that links of a similarity of LIKE or more connect with others.
+
+    members: g (bucket), sid; facts: sid, n, sketch; first: pairs to begin with; contents: sid, s. Large groups of near
+    copies are connected by the first pairs; what is not yet connected in a bucket is compared by blocks. Of two groups
+    the likeliest pairs are held against the sets first; others follow only if these do not connect the two.
     """
-    spark, round_, hubs_n = members.sparkSession, 0, 1
-    links, checked = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "a long, b long")
-    left = members.withColumn("root", F.col("sid"))
-    while True:
+    n = lambda c: facts.select(F.col("sid").alias(c), F.col("n").alias(f"n{c}"))
+    sized = first.join(n("a"), "a").join(n("b"), "b").where(_alike(F.least("na", "nb"), F.greatest("na", "nb"))).select("a", "b")
+    checked, most, more = cut(sized.distinct(), "pairs"), 4, True
+    roots = cut(components(verified(checked, contents), "a", "b"), "roots")
+    while more:
+        left = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         several = left.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("g")
-        left = cut(left.join(several, "g", "left_semi"), "open")
-        if not left.take(1):
-            return links
-        slot = F.pmod(F.xxhash64("sid", F.lit(round_)), F.lit(hubs_n))
-        hubs = F.array_compact(F.array(*[F.min(F.when(slot == k, F.struct("sid", "n", "root"))) for k in range(hubs_n)]))
-        dealt = cut(left.join(left.groupBy("g").agg(hubs.alias("hubs")), "g"), "dealt")
-        pairs = dealt.select("sid", "n", "root", F.explode("hubs").alias("h")).where("root <> h.root")
-        pairs = pairs.where(_alike(F.least("n", "h.n"), F.greatest("n", "h.n"))).select(F.greatest("sid", "h.sid").alias("a"), F.least("sid", "h.sid").alias("b"))
-        pairs = cut(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
-        one, two = contents.select(F.col("sid").alias("a"), F.col("s").alias("sa")), contents.select(F.col("sid").alias("b"), F.col("s").alias("sb"))
-        common = F.size(F.array_intersect("sa", "sb"))
-        found = pairs.join(one, "a").join(two, "b").where(_alike(common, F.size("sa") + F.size("sb") - common)).select("a", "b")
-        links, checked = links.union(cut(found, "found")), checked.union(pairs)
-        roots = cut(components(links, "a", "b"), "roots")
-        left = dealt.where(~F.array_contains("hubs.sid", F.col("sid"))).select("g", "sid", "n").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
-        left = left.select("g", "sid", "n", F.coalesce("root", "sid").alias("root"))
-        round_, hubs_n = round_ + 1, min(2 * hubs_n, MOST_HUBS)
-
-
-def set_groups(docs: DataFrame, ids: list[Column], text: str, kind: str) -> DataFrame:
+        left = cut(left.join(several, "g", "left_semi").join(facts.select("sid", "n", "sketch"), "sid"), "open")
+        pairs = cut(block_pairs(left, most), "agree")
+        more, most = bool(pairs.where("more").take(1)), 8 * most
+        pairs = cut(pairs.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")
+        found = cut(verified(pairs, contents), "found")
+        if found.take(1):
+            checked = checked.union(pairs)
+            roots = cut(components(found.union(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b"), "roots")
+        elif more:
+            checked = checked.union(pairs)
+    return roots
+
+
+def set_groups(docs: DataFrame, ids: list[Column], text: str, kind: str, tree_links) -> DataFrame:
     """One row per document: its identity (ids, a struct of type `kind`) and root, the same for all that near copies connect.
 
-    Documents with one set of shingles are one node. Bands of MinHash put sets that may be near copies into buckets; the
-    texts of sets that are not alone in a bucket are read again for their shingles, and pairs are held against these.
+    Documents with one set of shingles are one node. Pairs come from tree_links (prints, n), which connects near SimHash
+    fingerprints, and from buckets by bands of MinHash; the texts of sets that may have a partner are read again for
+    their shingles, and the pairs are held against these.
     """
     named = docs.select(F.struct(*ids).alias("id"), F.col(text).alias("text"))
-    rows = cut(named.mapInArrow(_signatures, f"id {kind}, sid long, n long, bands array<long>").select("id.*", "sid", "n", "bands"), "sets")
-    sets = rows.dropDuplicates(["sid"])
-    members = cut(sets.select(F.explode("bands").alias("g"), "sid", "n", "_t", "_u", "_p"), "members")
-    shared = members.groupBy("g").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("g")
-    members = cut(members.join(shared, "g", "left_semi"), "buckets")
-    told = cut(members.select("_t", "_u", "_p").distinct(), "told")
-    texts = join_small(docs.select(F.col(text).alias("text"), *ids[1:]), told, ["_t", "_u", "_p"], "left_semi").select("text")
+    rows = cut(named.mapInArrow(_signatures, f"id {kind}, sid long, n long, fp long, sketch binary, bands array<long>").select("id.*", "sid", "n", "fp", "sketch", "bands"), "sets")
+    dealt = rows.select(F.explode("bands").alias("g"), "sid")
+    shared = cut(dealt.groupBy("g").agg(F.min("sid").alias("hub"), F.max("sid").alias("other")).where("hub <> other").select("g", "hub"), "shared")
+    members = cut(dealt.join(shared, "g").distinct(), "buckets")
+    star = members.where("sid <> hub").select(F.col("sid").alias("a"), F.col("hub").alias("b"))
+    prints = cut(rows.groupBy("fp").agg(F.min("sid").alias("first"), F.max("sid").alias("last")), "distinct")
+    links = tree_links(prints.select("fp"), prints.count())
+    end = lambda c: prints.select(F.col("fp").alias(c), F.col("first").alias(f"s{c}"))
+    near = links.join(end("a"), "a").join(end("b"), "b").select(F.col("sa").alias("a"), F.col("sb").alias("b"))
+    same = rows.select("fp", "sid").join(prints.where("first <> last"), "fp").select(F.col("sid").alias("a"), F.col("first").alias("b"))
+    first = star.union(near).union(same).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    first = cut(first.distinct(), "first")
+    needed = cut(first.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "needed")
+    facts = cut(rows.select("sid", "n", "sketch", "_t", "_u").join(needed, "sid", "left_semi").dropDuplicates(["sid"]), "facts")
+    texts = join_small(docs.select(F.col(text).alias("text"), *ids[1:3]), facts.select("_t", "_u"), ["_t", "_u"], "left_semi").select("text")
     contents = cut(texts.mapInArrow(_contents, "sid long, s array<long>").dropDuplicates(["sid"]), "contents")
-    roots = cut(components(set_links(members.select("g", "sid", "n"), contents), "a", "b"), "roots")
-    return rows.drop("n", "bands").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    roots = set_links(members.select("g", "sid"), facts, first, contents)
+    return rows.drop("n", "bands", "fp", "sketch").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))

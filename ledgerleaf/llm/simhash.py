@@ -197,12 +197,14 @@ def one_of_each(docs: DataFrame, rows: DataFrame, group: str, text: str, key: st
 def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs that stay: of each group of near copies that with the smallest key.
 
-    Near copies have a Jaccard similarity of 0.8 or more of their 5-word shingles. At this similarity fingerprints differ
-    in about ten bits and up to 17, where vantage points tell nothing apart, so near_sets finds them by MinHash.
+    Near copies have a Jaccard similarity of 0.8 or more of their 5-word shingles, also by chains. SimHash fingerprints of
+    these shingles, searched by the vantage-point trees, connect those within 3 bits. At this similarity fingerprints
+    differ in about ten bits and up to 17, where vantage points tell nothing apart, so bands of MinHash propose the other
+    pairs (near_sets). All pairs are held against their shingles. Texts without words are copies of each other.
     """
     ids = _identity(docs, text, key)
     kind = f"struct<_k: {docs.schema[key].dataType.simpleString()}, _t: long, _u: long, _p: long>"
-    return one_of_each(docs, set_groups(docs, ids, text, kind), "root", text, key)
+    return one_of_each(docs, set_groups(docs, ids, text, kind, near_links), "root", text, key)
 
 
 def op7_simhash(spark, sf_dir):
