@@ -7,16 +7,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut, rows_where, table, with_results
 
 #: Bytes of the table that maps A-Z to a-z and all other ASCII but a-z and 0-9 to a space.
 FOLD = bytes(c | 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-#: Benchmark text that one pass over the documents searches for.
-PASS_BYTES = 32 << 20
+#: Benchmark text that one pass over the documents searches for, and document text that one suffix array holds (or one document).
+PASS_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
 
-RESULT = "n_words long, n_hit long, items array<string>, matches array<struct<item_id: string, doc_word: int, item_word: int, n_words: int>>, hits array<struct<start: int, end: int>>"
+HITS = "array<struct<start: int, end: int>>"
+MATCHES = "array<struct<doc_word: int, item_word: int, n_words: int, item_id: string>>"
+RESULT = f"n_words long, n_hit long, items array<string>, matches {MATCHES}, hits {HITS}"
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -24,86 +26,112 @@ def words_of(raw: bytes | None) -> list[bytes]:
 
 
 class Queries:
-    """The test suffixes: for each window length its distinct windows, and where in which items they start."""
+    """The test suffixes: the words of all items as numbers, a 0 after each item, and the suffixes that begin a window of
+    n words for each length n. Their order by first words is made once in each Python worker."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int) -> None:
-        self.ids = [i for i, _ in items]
-        tokens = [words_of((t or "").encode()) for _, t in items]
-        self.vocabulary = {w: k for k, w in enumerate(dict.fromkeys(w for t in tokens for w in t), 1)}
-        self.bits = max(1, len(self.vocabulary).bit_length())
-        self.groups = []
-        for n in sorted({min(window, len(t)) for t in tokens if t}):
-            starts = [(i, j) for i, t in enumerate(tokens) if min(window, len(t)) == n for j in range(len(t) - n + 1)]
-            ids = [np.array([self.vocabulary[w] for w in t], np.int64) for t in tokens]
-            rows = np.stack([ids[i][j : j + n] for i, j in starts])
-            distinct, of = np.unique(rows, axis=0, return_inverse=True)
-            order = np.argsort(of.ravel(), kind="stable")
-            first = np.searchsorted(of.ravel()[order], np.arange(len(distinct) + 1))
-            self.groups.append((n, distinct, first, np.array(starts, np.int64)[order]))
-
-    def keys(self, at, n: int) -> list[np.ndarray]:
-        """The n words from each position on, packed into as few whole numbers as they fit in. at(k): the k-th words."""
-        per, out = max(1, 62 // self.bits), []
-        for a in range(0, n, per):
-            key = at(a).astype(np.int64)
-            for k in range(a + 1, min(n, a + per)):
-                key = (key << self.bits) | at(k)
-            out.append(key)
-        return out
-
-
-def ranks(keys: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of two sets of rows of keys in one order, the first key first."""
-    n, rank = len(keys[0][0]), None
-    for a, b in keys:
-        own, at = np.unique(np.concatenate((a, b)), return_inverse=True)
-        rank = at.astype(np.int64) if rank is None else np.unique(rank * len(own) + at, return_inverse=True)[1].astype(np.int64)
-    return rank[:n], rank[n:]
-
-
-def occurrences(ids: np.ndarray, q: Queries) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For each window length: (length, group number, positions in ids, window found there). ids: the words of all
-    documents of a shard, 0 for words in no item and after each document.
-
-    A suffix array of the shard: suffixes that begin with enough known words, sorted by their first words. Every test
-    window is looked up in it by binary search; the range found gives all places where it occurs.
+        self.ids, self.vocabulary, lists = [i for i, _ in items], {}, []
+        for _, text in items:
+            found = words_of((text or "").encode())
+            lists.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in found] + [0], np.int32))
+        self.ends = np.cumsum([len(x) for x in lists], dtype=np.int64)
+        self.flat = np.concatenate([*lists, np.zeros(window, np.int32)])
+        self.window, self.bits = window, max(1, len(self.vocabulary).bit_length())
+        self.per = max(1, min(window, 62 // self.bits))
+        self._groups: list | None = None
+
+    def key(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The `per` words from each place on, packed into a whole number that sorts as they do."""
+        key = flat[at].astype(np.int64)
+        for k in range(1, self.per):
+            key = (key << self.bits) | flat[at + k]
+        return key
+
+    def groups(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """For each window length n: n, the suffixes that begin a window of n words in order of their first words, and these."""
+        if self._groups is None:
+            length = np.diff(self.ends, prepend=0) - 1
+            own, self._groups = np.minimum(length, self.window), []
+            for n in np.unique(own[own > 0]).tolist():
+                of = np.flatnonzero(own == n)
+                many = length[of] - n + 1
+                at = np.repeat(self.ends[of] - 1 - length[of], many) + spread(many)
+                key = self.key(self.flat, at)
+                order = np.argsort(key, kind="stable")
+                self._groups.append((n, at[order], key[order]))
+        return self._groups
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_groups": None}
+
+
+def spread(many: np.ndarray) -> np.ndarray:
+    """0 to m - 1 for each m of many, one after the other."""
+    return np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
+def occurrences(ids: np.ndarray, q: Queries) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each window length n: (n, places in ids, the test suffixes found there). ids: the words of all documents of a
+    shard, 0 for words in no item and after each document, and as many 0 at the end as a window has words.
+
+    The suffix array of the shard is sorted by the suffixes' first words; every test suffix is looked up in it by binary
+    search. Only the ranges that are found are sorted on by the words that follow, until n words agree.
     """
-    zeros = np.flatnonzero(ids == 0)
-    run = np.diff(np.concatenate(([-1], zeros))) - 1  # known words before each zero
-    for g, (n, windows, _, _) in enumerate(q.groups):
-        long = run >= n
-        start = np.repeat(zeros[long] - run[long], run[long] - n + 1)
-        if not len(start):
-            continue
-        step = np.arange(len(start)) - np.repeat(np.cumsum(run[long] - n + 1) - (run[long] - n + 1), run[long] - n + 1)
-        suffixes = start + step
-        own, test = ranks(list(zip(q.keys(lambda k, s=suffixes: ids[s + k], n), q.keys(lambda k, w=windows: w[:, k], n), strict=True)))
-        array = np.argsort(own, kind="stable")
-        ordered = own[array]
-        low, high = np.searchsorted(ordered, test, "left"), np.searchsorted(ordered, test, "right")
+    known = np.flatnonzero(ids[: len(ids) - q.window])
+    known = known[ids[known] > 0]
+    key = q.key(ids, known)
+    order = np.argsort(key, kind="stable")
+    suffixes, key = known[order], key[order]
+    for n, tests, first in q.groups():
+        rest = q.bits * max(0, q.per - n)
+        low, high = np.searchsorted(key, first >> rest << rest, "left"), np.searchsorted(key, (first >> rest) + 1 << rest, "left")
+        met = np.flatnonzero(high > low)
+        own, start = np.unique(low[met], return_inverse=True)
+        many = high[met][np.unique(low[met], return_index=True)[1]] - own
+        at, at_range = suffixes[np.repeat(own, many) + spread(many)], np.repeat(np.arange(len(own)), many)
+        test, test_range = tests[met], start
+        for done in range(q.per, n, q.per):  # the words that follow, the last ones as far as n
+            rest = q.bits * max(0, done + q.per - n)
+            a, b = q.key(ids, at + done) >> rest, q.key(q.flat, test + done) >> rest
+            values, of = np.unique(np.concatenate((a, b)), return_inverse=True)
+            of = np.concatenate((at_range, test_range)) * np.int64(len(values)) + of
+            of = np.unique(of, return_inverse=True)[1]
+            a, b = of[: len(at)], of[len(at) :]
+            both = np.intersect1d(a, b)
+            stay, ask = np.isin(a, both), np.isin(b, both)
+            at, at_range, test, test_range = at[stay], a[stay], test[ask], b[ask]
+        array = np.argsort(at_range, kind="stable")
+        low, high = np.searchsorted(at_range[array], test_range, "left"), np.searchsorted(at_range[array], test_range, "right")
         many = high - low
-        at = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        yield n, g, suffixes[array[at]], np.repeat(np.arange(len(windows)), many)
+        yield n, at[array[np.repeat(low, many) + spread(many)]], np.repeat(test, many)
 
 
 def search(texts: list[bytes | None], q: Queries) -> list[tuple]:
     """Per text: words, words hit, ids of items found, longest matches with their places, ranges hit."""
+    out, shard, n = [], [], 0
+    for raw in texts:
+        shard.append(raw)
+        if (n := n + len(raw or b"")) >= SHARD_BYTES:
+            out += _search(shard, q)
+            shard, n = [], 0
+    return out + _search(shard, q)
+
+
+def _search(texts: list[bytes | None], q: Queries) -> list[tuple]:
     ids, lengths = [], []
     for raw in texts:
         found = words_of(raw)
         get = q.vocabulary.get
         lengths.append(len(found))
-        ids.append(np.array([get(w, 0) for w in found] + [0], np.int64))
-    ends = np.cumsum([len(x) for x in ids]) if ids else np.zeros(0, np.int64)
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        ids.append(np.array([get(w, 0) for w in found] + [0], np.int32))
+    ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
+    flat = np.concatenate([*ids, np.zeros(q.window, np.int32)])
     hit, spots = np.zeros(len(flat) + 1, np.int32), []
-    for n, g, at, window in occurrences(flat, q):
+    for n, at, test in occurrences(flat, q):
         np.add.at(hit, at, 1)
         np.add.at(hit, at + n, -1)
-        first, starts = q.groups[g][2:]
-        many = first[window + 1] - first[window]
-        k = np.repeat(first[window], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        spots.append(np.column_stack((np.repeat(at, many), starts[k], np.full(len(k), n))))
+        item = np.searchsorted(q.ends, test, "right")
+        spots.append(np.column_stack((at, item, test - np.concatenate(([0], q.ends))[item], np.full(len(at), n))))
     covered = np.cumsum(hit)[:-1] > 0
     out = [[n, 0, [], [], []] for n in lengths]
     if spots:
@@ -116,7 +144,7 @@ def search(texts: list[bytes | None], q: Queries) -> list[tuple]:
         doc = np.searchsorted(ends, spots[begin, 0], "right")
         base = np.concatenate(([0], ends))[doc]
         for d, p, i, j, n in zip(doc.tolist(), (spots[begin, 0] - base).tolist(), spots[begin, 1].tolist(), spots[begin, 2].tolist(), length.tolist(), strict=True):
-            out[d][3].append({"item_id": q.ids[i], "doc_word": p, "item_word": j, "n_words": n})
+            out[d][3].append({"doc_word": p, "item_word": j, "n_words": n, "item_id": q.ids[i]})
         edge = np.flatnonzero(np.diff(np.concatenate(([0], covered.astype(np.int8), [0]))))
         for a, b in edge.reshape(-1, 2).tolist():
             d = int(np.searchsorted(ends, a, "right"))
@@ -125,23 +153,25 @@ def search(texts: list[bytes | None], q: Queries) -> list[tuple]:
             out[d][1] += b - a
     for row in out:
         row[2] = sorted({m["item_id"] for m in row[3] if m["item_id"] is not None})
+        row[3].sort(key=lambda m: (m["doc_word"], m["item_word"], m["n_words"], m["item_id"] is not None, m["item_id"] or ""))
     return out
 
 
 _SPAN = pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32()}))
-_MATCH = pa.list_(pa.struct({"item_id": pa.string(), "doc_word": pa.int32(), "item_word": pa.int32(), "n_words": pa.int32()}))
+_MATCH = pa.list_(pa.struct({"doc_word": pa.int32(), "item_word": pa.int32(), "n_words": pa.int32(), "item_id": pa.string()}))
 KINDS = [pa.int64(), pa.int64(), pa.list_(pa.string()), _MATCH, _SPAN]
 
 
-def _passes(bench: DataFrame, text: str) -> int:
-    return max(1, -(-(bench.agg(F.sum(F.octet_length(text))).first()[0] or 0) // PASS_BYTES))
+def _items(bench: DataFrame, text: str, item: str) -> tuple[DataFrame, int]:
+    """The distinct items, and how many passes they take."""
+    rows = bench.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
+    return rows, max(1, -(-(rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // PASS_BYTES))
 
 
-def _found(bench: DataFrame, text: str, item: str, window: int, passes: int, k: int):
+def _found(items: DataFrame, window: int, passes: int, k: int):
     """What the k-th pass does with a batch of texts; its share of the benchmark is at most about PASS_BYTES."""
-    part = F.pmod(F.xxhash64(F.col(item).cast("string"), F.col(text)), F.lit(passes))
-    rows = bench.where(part == k).select(F.col(item).cast("string"), text).collect()
-    held = bench.sparkSession.sparkContext.broadcast(Queries(sorted(map(tuple, rows), key=lambda x: (x[0] or "", x[1] or "")), window))
+    rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k).collect()
+    held = items.sparkSession.sparkContext.broadcast(Queries(sorted(map(tuple, rows), key=lambda x: (x[0] or "", x[1])), window))
 
     def found(texts: pa.Array) -> list[pa.Array]:
         rows = search(texts.cast(pa.binary()).to_pylist(), held.value)
@@ -150,40 +180,53 @@ def _found(bench: DataFrame, text: str, item: str, window: int, passes: int, k:
     return found
 
 
+def _merged(hits: Column) -> Column:
+    """Ranges in order, those that touch or overlap made one."""
+    def add(done: Column, h: Column) -> Column:
+        last = F.element_at(done, -1)
+        one = F.struct(last["start"].alias("start"), F.greatest(last["end"], h["end"]).alias("end"))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= h["start"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(one))).otherwise(F.concat(done, F.array(h)))
+
+    return F.aggregate(F.array_sort(hits), F.array().cast(HITS), add)
+
+
 def find_items(docs: DataFrame, bench: DataFrame, text: str = "text", item: str = "item_id", window: int = 10, keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of docs (all, if None) and n_words, n_hit, items, matches, hits of each row's whole text.
 
     Words are runs of ASCII letters and digits, lower-cased, and of other characters beyond ASCII. A window is `window`
     consecutive words of an item, or all words of a shorter one. hits are the ranges of words inside occurrences of
-    windows; matches are the longest verbatim runs with their places; items the ids of items found. Null texts have no
-    words; items without words are never found; an item with a null id marks words but is not listed; of items with
-    equal ids one is listed. An added column replaces one of docs with its name.
+    windows, in order; matches are the longest verbatim runs with their places; items the ids of items found. Null texts
+    have no words; items without words are never found; an item with a null id marks words but is not listed; of items
+    with equal ids one is listed. Repeated rows are judged alike. An added column replaces one of docs with its name.
 
-    Benchmark text goes to the tasks in passes of at most PASS_BYTES; more of it takes more passes over the documents.
+    Benchmark text goes to the tasks in passes of at most PASS_BYTES; more of it takes more passes over the documents and
+    gives the same rows. A single item of more than that is a pass of its own.
     """
-    passes = _passes(bench, text)
-    docs = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "documents") if passes > 1 else docs
-    added = T._parse_datatype_string(RESULT).names
-    names = [c for c in docs.columns if (keep is None or c in keep or (c == "_row" and passes > 1)) and c not in added]
-    one_pass = lambda k: with_results(docs, text, names, RESULT, _found(bench, text, item, window, passes, k))
+    items, passes = _items(bench, text, item)
     if passes == 1:
-        return one_pass(0)
-    merged = reduce(DataFrame.union, map(one_pass, range(passes))).groupBy("_row").agg(
+        return with_results(docs, text, keep, RESULT, _found(items, window, 1, 0))
+    inner = {c: f"in{i}" for i, c in enumerate(docs.columns)}  # no name of docs meets those used here
+    rows = cut(docs.toDF(*inner.values()).withColumn("row", F.monotonically_increasing_id()), "documents")
+    parts = [with_results(rows.select("row", inner[text]), inner[text], ["row"], RESULT, _found(items, window, passes, k)) for k in range(passes)]
+    merged = reduce(DataFrame.union, parts).groupBy("row").agg(
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.flatten(F.collect_list("matches")).alias("matches"),
-        F.flatten(F.collect_list("hits")).alias("hits"),
+        F.array_sort(F.flatten(F.collect_list("matches"))).alias("matches"),
+        _merged(F.flatten(F.collect_list("hits"))).alias("hits"),
     )
-    merged = merged.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["end"] - 1))))).cast("long"))
-    kept = docs.select(*names)
-    return kept.join(merged, "_row").select(*[c for c in names if c != "_row"], *added)
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
+    added = {"n_words": "n_words", "n_hit": n_hit, "items": "items", "matches": "matches", "hits": "hits"}
+    names = [c for c in docs.columns if (keep is None or c in keep) and c not in added]
+    joined = rows.join(merged, "row")
+    return joined.select(*[F.col(inner[c]).alias(c) for c in names], *[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in added.items()])
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, text: str = "text", item: str = "item_id", window: int = 10) -> DataFrame:
     """The rows of docs in which no benchmark window occurs, with their columns alone; each pass searches what the one
-    before has left."""
-    for k in range(passes := _passes(bench, text)):
-        docs = rows_where(docs, text, RESULT, _found(bench, text, item, window, passes, k), F.col("n_hit") == 0)
+    before has left. Null and empty texts stay, repeated rows are judged alike, an empty benchmark leaves all rows."""
+    items, passes = _items(bench, text, item)
+    for k in range(passes):
+        docs = rows_where(docs, text, RESULT, _found(items, window, passes, k), F.col("n_hit") == 0)
     return docs
 
 

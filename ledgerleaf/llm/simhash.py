@@ -9,13 +9,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, table
+from .common import cut, join_small, table
 from .components import components
 from .near_sets import set_groups
 from .sharding import ATOMIC
 
-#: Fingerprints a leaf should hold, and the bounds of the sample and of the depth of the tree that deals them out.
-LEAF, SAMPLE, DEPTH = 4096, 1 << 16, 14
+#: Fingerprints a leaf should hold, the size from which a leaf is dealt again, and the bound of the sample that a tree is
+#: planted on.
+LEAF, LARGE, SAMPLE = 4096, 1 << 16, 1 << 16
 
 
 def fingerprint(raw: bytes, n: int = 3, seed: int = 42) -> int:
@@ -45,11 +46,14 @@ def halves(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def plant(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """A full vantage-point tree as arrays in heap order: each node's vantage point and radius (the median distance)."""
-    points, radii = np.zeros((1 << depth) - 1, np.uint32), np.full((1 << depth) - 1, 15, np.uint8)
-    parts = {0: sample}
-    for node in range(len(points)):
-        if len(own := parts.pop(node, sample[:0])):
+    """A full vantage-point tree as arrays in heap order: each node's vantage point and radius (the median distance). Below
+    the nodes that have values of the sample, any values of it are vantage points with half the bits as radius."""
+    size = (1 << depth) - 1
+    points = np.resize(sample, size) if len(sample) else np.zeros(size, np.uint32)
+    radii, parts = np.full(size, 16, np.uint8), {0: sample}
+    while parts:
+        node, own = parts.popitem()
+        if node < size and len(own) > 1:
             points[node] = own[0]
             d = np.bitwise_count(own ^ own[0])
             radii[node] = int(np.median(d))
@@ -92,20 +96,37 @@ class Sets:
             np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
 
 
-def link(fp: np.ndarray, half: np.ndarray, home: np.ndarray, guest: np.ndarray, reach: int, most: int, sets: Sets, rng: np.random.Generator) -> None:
-    """Joins in sets all homes with homes and guests that differ in at most `most` bits. home, guest: indexes into fp.
-    Large leaves are divided on by further vantage points, small ones are compared in blocks."""
+def parted(bits: int) -> list[int]:
+    """A set of bits as two sets of half as many each."""
+    own = [1 << i for i in range(64) if bits >> i & 1]
+    return [sum(own[: len(own) // 2]), sum(own[len(own) // 2 :])]
+
+
+def link(fp: np.ndarray, home: np.ndarray, guest: np.ndarray, bits: int, reach: int, rest: int, most: int, sets: Sets, rng: np.random.Generator) -> None:
+    """Joins in sets all homes with homes and guests that differ in at most `most` bits, if in at most reach of `bits`.
+    home, guest: indexes into fp; rest: the bits that have not been looked at.
+
+    Large leaves are divided on by further vantage points, small ones are compared in blocks. Where all values agree
+    nearly in `bits`, the others tell them apart: of two halves of `rest` one differs in at most most // 2 bits, and each is
+    divided by vantage points in its turn.
+    """
     if len(home) > 256:
-        v = half[home[rng.integers(len(home))]]
-        d = np.bitwise_count(half[home] ^ v).astype(np.int16)
-        r = int(np.median(d))
-        if r == d.max():
-            r -= 1
-        inside = d <= r
-        if inside.any() and not inside.all() and max(inside.mean(), 1 - inside.mean()) < 0.95:
-            g = np.bitwise_count(half[guest] ^ v).astype(np.int16)
-            link(fp, half, home[inside], guest[g <= r + reach], reach, most, sets, rng)
-            link(fp, half, home[~inside], np.concatenate((guest[g + reach > r], home[inside & (d + reach > r)])), reach, most, sets, rng)
+        mask = np.uint64(bits)
+        own, others = fp[home] & mask, fp[guest] & mask
+        for v in own[rng.integers(len(home), size=3)]:
+            d = np.bitwise_count(own ^ v).astype(np.int16)
+            r = int(np.median(d))
+            r -= r == d.max()
+            inside = d <= r
+            if inside.any() and max(inside.mean(), 1 - inside.mean()) < 0.95:
+                g = np.bitwise_count(others ^ v).astype(np.int16)
+                link(fp, home[inside], guest[g <= r + reach], bits, reach, rest, most, sets, rng)
+                link(fp, home[~inside], np.concatenate((guest[g + reach > r], home[inside & (d + reach > r)])), bits, reach, rest, most, sets, rng)
+                return
+        if rest.bit_count() >= 8:
+            one, two = parted(rest)
+            link(fp, home, guest, one, most // 2, two, most, sets, rng)
+            link(fp, home, guest, two, most // 2, one, most, sets, rng)
             return
     for a in range(0, len(home), 512):
         own = home[a : a + 512]
@@ -117,14 +138,17 @@ def link(fp: np.ndarray, half: np.ndarray, home: np.ndarray, guest: np.ndarray,
 
 
 def near_links(prints: DataFrame, n: int, most: int = 3) -> DataFrame:
-    """From distinct fingerprints (column fp, n of them) links (a, b) that connect all those within `most` bits.
+    """From distinct fingerprints (column fp, n of them) links (a, b) that connect all those within `most` (at most 3) bits.
 
     If two fingerprints differ in at most `most` bits, one of their halves differs in at most most // 2. Each half has a
     vantage-point tree, planted on a bounded sample (at most SAMPLE values, 1 of 128), that deals all fingerprints to
     leaves, and near ones over the boundaries too. In a leaf, links are reduced to one for each member of a component
-    there, so a group of copies gives no square of links.
+    there, so a group of copies gives no square of links. A leaf of more than LARGE values, as one of equal halves may
+    be, is dealt again by the four bytes of the other half, one of which is equal in any two that are linked.
     """
-    depth = min(DEPTH, max(0, int(np.ceil(np.log2(max(1, n) / LEAF)))))
+    if most > 3:
+        raise ValueError("bytes of a half tell linked fingerprints apart beyond 3 bits")
+    depth = max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
     reach = most // 2
     trees = [(np.zeros(0, np.uint32), np.zeros(0, np.uint8))] * 2
     if depth:
@@ -147,13 +171,21 @@ def near_links(prints: DataFrame, n: int, most: int = 3) -> DataFrame:
         signed, guest = signed[order], guest[order]
         fp = signed.view(np.uint64)
         sets = Sets(len(fp))
-        link(fp, halves(fp)[t["leaf"][0].as_py() >> 32], np.flatnonzero(~guest), np.flatnonzero(guest), reach, most, sets, np.random.Generator(np.random.PCG64(3)))
+        low = (1 << 32) - 1
+        bits, rest = (low << 32, low) if t["leaf"][0].as_py() >> 32 else (low, low << 32)
+        link(fp, np.flatnonzero(~guest), np.flatnonzero(guest), bits, reach, rest, most, sets, np.random.Generator(np.random.PCG64(3)))
         root = sets.find(np.arange(len(fp)))
         child = np.flatnonzero(root != np.arange(len(fp)))
         return pa.table({"a": signed[child], "b": signed[root[child]]})
 
-    dealt = prints.select("fp").mapInArrow(deal, "leaf long, fp long, guest boolean")
-    return dealt.groupBy("leaf").applyInArrow(meet, "a long, b long")
+    dealt = cut(prints.select("fp").mapInArrow(deal, "leaf long, fp long, guest boolean").withColumn("part", F.lit(-1)), "leaves")
+    large = cut(dealt.groupBy("leaf").count().where(F.col("count") > LARGE).select("leaf"), "large")
+    if large.take(1):
+        other = F.when(F.col("leaf") < (1 << 32), 32).otherwise(0)
+        byte = lambda k: F.lit(256 * k) + F.shiftrightunsigned("fp", other + 8 * k).bitwiseAND(F.lit(255))
+        again = join_small(dealt, large, ["leaf"], "left_semi").select("leaf", "fp", "guest", F.explode(F.array(*map(byte, range(4)))).cast("int").alias("part"))
+        dealt = join_small(dealt, large, ["leaf"], "left_anti").union(again)
+    return dealt.groupBy("leaf", "part").applyInArrow(meet, "a long, b long")
 
 
 def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id", most: int = 3) -> DataFrame:
