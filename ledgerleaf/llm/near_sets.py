@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut, join_small
 from .components import components
-from .substring_dedup import _pair, _word_hashes, names
+from .substring_dedup import _pair, names
+from .words import word_hashes
 
 #: Words of a shingle, and the similarity of near copies as a fraction. A pair at it shares none of the bands with a
 #: probability of (1 - 0.8 ** 6) ** 34 < 0.00004.
@@ -20,15 +21,18 @@ BANDS, ROWS = 34, 6
 #: Least hashes of which a sketch has a byte each, and how many of them agree at least: a pair at LIKE has 77 of them on
 #: average and fewer than that with a probability below 0.00001.
 SKETCH, AGREE = 96, 58
-#: Shingles that are hashed at once, and members of a bucket that a block holds.
-AT_ONCE, BLOCK = 1 << 18, 1024
+#: Bytes of text that are hashed at once, and members of a bucket that a block holds.
+AT_ONCE, BLOCK = 1 << 20, 1024
 _SEEDS = np.random.Generator(np.random.PCG64(23)).integers(0, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingles(raw: bytes) -> np.ndarray:
-    """The distinct 64-bit names of a text's shingles, sorted. A shorter text is one shingle, and so are all empty ones."""
-    words = raw.lower().split()
-    return np.unique(names(_word_hashes(words), min(SHINGLE, len(words)))) if words else np.zeros(1, np.uint64)
+def shingles(texts: list[bytes]) -> list[np.ndarray]:
+    """Of each text the distinct 64-bit names of its shingles, sorted. A shorter text is one shingle, and so are all empty ones."""
+    hashes, ends = word_hashes([t.lower() for t in texts])
+    x, out = names(hashes, SHINGLE), []
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        out.append(np.unique(x[a : b - SHINGLE + 1]) if b - a >= SHINGLE else names(hashes[a:b], b - a) if b > a else np.zeros(1, np.uint64))
+    return out
 
 
 def _name(s: np.ndarray) -> int:
@@ -52,19 +56,16 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return found, sketch, np.packbits(2 * ones > half, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def _parts(sets: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+def _parts(texts: list[bytes | None]) -> Iterator[list[np.ndarray]]:
+    """The shingles of texts, about AT_ONCE bytes at a time."""
     part, n = [], 0
-    for s in sets:
-        part.append(s)
-        if (n := n + len(s)) >= AT_ONCE:
-            yield part
+    for raw in texts:
+        part.append(raw or b"")
+        if (n := n + len(part[-1])) >= AT_ONCE:
+            yield shingles(part)
             part, n = [], 0
     if part:
-        yield part
-
-
-def _texts(b: pa.RecordBatch, at: int) -> list[np.ndarray]:
-    return [shingles(x or b"") for x in b.column(at).cast(pa.binary()).to_pylist()]
+        yield shingles(part)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -73,17 +74,18 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sets = _texts(b, 1)
-        if sets:
-            found, sketch, fp = map(np.concatenate, zip(*map(signatures, _parts(sets)), strict=True))
+        ids, at = b.column(0), 0
+        for sets in _parts(b.column(1).cast(pa.binary()).to_pylist()):
+            found, sketch, fp = signatures(sets)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), _signed(found.reshape(-1)))
             sid, n = np.fromiter(map(_name, sets), np.uint64, len(sets)), np.fromiter(map(len, sets), np.int64, len(sets))
-            yield pa.RecordBatch.from_arrays([b.column(0), _signed(sid), pa.array(n), _signed(fp), pa.array([x.tobytes() for x in sketch], pa.binary()), lists], ["id", "sid", "n", "fp", "sketch", "bands"])
+            yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), _signed(sid), pa.array(n), _signed(fp), pa.array([x.tobytes() for x in sketch], pa.binary()), lists], ["id", "sid", "n", "fp", "sketch", "bands"])
+            at += len(sets)
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for part in _parts(_texts(b, 0)):
+        for part in _parts(b.column(0).cast(pa.binary()).to_pylist()):
             ends = pa.array(np.cumsum([0, *map(len, part)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([_signed(np.fromiter(map(_name, part), np.uint64, len(part))), pa.ListArray.from_arrays(ends, _signed(np.concatenate(part)))], ["sid", "s"])
 

@@ -3,27 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import table
+from .common import cut, join_small, table
+from .words import word_hashes
 
 #: Bytes of text that one group of documents holds, and of hashes that one bucket of them gets.
 BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 24 << 20
+#: Bytes of text whose words are looked at together.
+CHUNK_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(29), np.uint64(32))
-_known: dict[bytes, int] = {}
-
-
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_known) > 500_000:
-        _known.clear()
-    for w in set(words).difference(_known):
-        _known[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -53,12 +47,11 @@ def _sliding(x: np.ndarray, n: int, pick) -> np.ndarray:
     return x
 
 
-def anchors(x: np.ndarray, n: int, alive: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Of windows of n names each: the least name, and where in x the least name of some window that is alive stands."""
-    least = _sliding(x, n, np.minimum)
-    told = least if alive is None else np.where(alive, least, np.uint64(0))
+def anchors(x: np.ndarray, n: int, alive: np.ndarray) -> np.ndarray:
+    """Where in x the least name of some window of n names that is alive stands. alive: one flag for each window."""
+    told = np.where(alive, _sliding(x, n, np.minimum), np.uint64(0))
     edge = np.zeros(n - 1, np.uint64)
-    return least, np.flatnonzero(_sliding(np.concatenate((edge, told, edge)), n, np.maximum) == x)
+    return np.flatnonzero(_sliding(np.concatenate((edge, told, edge)), n, np.maximum) == x)
 
 
 def _member(x: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -66,10 +59,24 @@ def _member(x: np.ndarray, of: np.ndarray) -> np.ndarray:
     return of[np.minimum(np.searchsorted(of, x), len(of) - 1)] == x if len(of) else np.zeros(len(x), bool)
 
 
-def _texts(t: pa.Table) -> list[tuple[int | None, list[bytes]]]:
-    """(key, words) of a block's documents in key order, null keys last."""
-    rows = zip(t["key"].to_pylist(), t["text"].cast(pa.binary()).to_pylist(), strict=True)
-    return sorted(((k, (raw or b"").split()) for k, raw in rows), key=lambda x: LAST if x[0] is None else x[0])
+def _texts(t: pa.Table) -> list[tuple[int | None, bytes, int]]:
+    """(key, text, copies) of a block's documents in key order, null keys last."""
+    rows = zip(t["key"].to_pylist(), t["text"].cast(pa.binary()).to_pylist(), t["many"].to_pylist(), strict=True)
+    return sorted(((k, raw or b"", n) for k, raw, n in rows), key=lambda x: LAST if x[0] is None else x[0])
+
+
+def _chunks(texts: list[tuple[int | None, bytes, int]], window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts some at a time: (number of the first, hashes of all their words, places of their ends among these, whether a
+    window that starts at a word lies in one text)."""
+    at = 0
+    while at < len(texts):
+        to, n = at, 0
+        while to < len(texts) and (to == at or n + len(texts[to][1]) <= CHUNK_BYTES):
+            n, to = n + len(texts[to][1]), to + 1
+        hashes, ends = word_hashes([raw for _, raw, _ in texts[at:to]])
+        room = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(hashes))
+        yield at, hashes, ends, (room >= window)[: max(0, len(hashes) - window + 1)]
+        at = to
 
 
 def _flat(lists: list[np.ndarray], kind) -> np.ndarray:
@@ -105,7 +112,7 @@ def _lists(values: np.ndarray, row: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32)), pa.array(values))
 
 
-def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = 20, seed_words: int = 10, with_text: bool = False) -> DataFrame:
+def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = 20, seed_words: int = 5, with_text: bool = False) -> DataFrame:
     """One row per document: key, n_words, n_removed, kept_sha256, spans (ranges of removed words) and, on demand, kept_text.
 
     A word goes if it lies in a window of `window` words whose words also start at an earlier place: a smaller key, or the
@@ -117,30 +124,37 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     anchor, the same in all copies of it) is counted over the corpus; candidates whose anchor stands alone are done, the
     others are extended to twice the length, until at `window` words the full names find each one's first place.
     Documents are dealt once to blocks of bounded size by a hash of key and text, and this exchange is used by all levels.
-    A block sends each distinct name once, so the most frequent passage takes one entry per block.
+    A block sends each distinct name once, so the most frequent passage takes one entry per block. Wholly equal rows that
+    fill a quarter of a block are judged once, with their number.
     """
     levels = [seed_words]
     while levels[-1] < window:
         levels.append(2 * levels[-1])
     if levels[-1] != window or len(levels) < 2:
         raise ValueError("window must be seed_words times a power of two")
-    total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    given = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.lit(1).cast("long").alias("many"), F.xxhash64(key, text).alias("h"))
+    sizes = cut(given.select("h", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")).groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("c")), "sizes")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    hot = cut(sizes.where((F.col("c") > 1) & (F.col("n") > BLOCK_BYTES // 4)).select("h"), "hot")
+    if several := bool(hot.take(1)):
+        once = join_small(given, hot, ["h"], "left_semi").groupBy("key", "text", "h").agg(F.sum("many").alias("many"))
+        given = join_small(given, hot, ["h"], "left_anti").select("key", "text", "many", "h").union(once.select("key", "text", "many", "h"))
     n_blocks, n_names, n_firsts = max(1, -(-total // BLOCK_BYTES)), max(32, total // (4 * BUCKET_BYTES)), max(32, 4 * total // BUCKET_BYTES)
-    keyed = docs.select(F.pmod(F.xxhash64(key, text), F.lit(n_blocks)).alias("block"), F.col(key).cast("long").alias("key"), F.col(text).alias("text")).groupBy("block")
+    block = F.pmod("h", F.lit(n_blocks)).alias("block")
+    keyed = given.select(block, "key", "text", "many").repartition(min(n_blocks, 100_000), "block").groupBy("block")
 
-    def alive(hashes: np.ndarray, length: int, found: np.ndarray) -> np.ndarray:
-        return _member(_sliding(names(hashes, length), window - length + 1, np.minimum), found)
+    def alive(hashes: np.ndarray, fits: np.ndarray, length: int, found: np.ndarray) -> np.ndarray:
+        return fits & _member(_sliding(names(hashes, length), window - length + 1, np.minimum), found) if len(fits) else fits
 
     def level_names(length: int, before: int | None):
         def send(docs: pa.Table, found: pa.Table) -> pa.Table:
             known = np.unique(_values(found["h"])) if len(found) else np.zeros(0, np.uint64)
             out = []
-            for _, words in _texts(docs):
-                if len(words) >= window:
-                    hashes = _word_hashes(words)
+            for _, hashes, _, fits in _chunks(_texts(docs), window):
+                live = fits if before is None else alive(hashes, fits, before, known)
+                if live.any():
                     x = names(hashes, length)
-                    live = None if before is None else alive(hashes, before, known)
-                    out.append(x[anchors(x, window - length + 1, live)[1]])
+                    out.append(x[anchors(x, window - length + 1, live)])
             distinct, many = np.unique(_flat(out, np.uint64), return_counts=True)
             block = docs["block"][0].as_py() if len(docs) else 0
             return _by_bucket(block, n_names, distinct, {"h": distinct, "twice": many > 1})
@@ -158,32 +172,31 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
         kept = again[at]
         return pa.table({"block": t["block"], "h": _lists(h[kept], row[kept], len(t))})
 
-    def windows(docs: pa.Table, found: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of a block: its texts; of the windows that are candidates: number of the text, start, both halves' names, and
+    def windows(docs: pa.Table, found: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of a block: its texts and their numbers of words; of the windows that are candidates: number of the text, start, both halves' names, and
         the place of the first equal one of the block, in order of keys and starts."""
         known = np.unique(_values(found["h"])) if len(found) else np.zeros(0, np.uint64)
         texts, number, start, one, two, half = _texts(docs), [], [], [], [], window // 2
-        for i, (_, words) in enumerate(texts):
-            if len(words) < window:
-                continue
-            hashes = _word_hashes(words)
-            at = np.flatnonzero(alive(hashes, levels[-2], known))
-            x = names(hashes, half)
-            number.append(np.full(len(at), i))
-            start.append(at)
+        words = []
+        for first, hashes, ends, fits in _chunks(texts, window):
+            at = np.flatnonzero(alive(hashes, fits, levels[-2], known))
+            of, x = np.searchsorted(ends, at, "right"), names(hashes, half)
+            words.append(np.diff(ends, prepend=0))
+            number.append(first + of)
+            start.append(at - np.concatenate(([0], ends))[of])
             one.append(x[at])
             two.append(x[at + half])
         number, start, one, two = _flat(number, np.int64), _flat(start, np.int64), _flat(one, np.uint64), _flat(two, np.uint64)
-        key = np.array([LAST if k is None else k for k, _ in texts], np.int64)[number] if len(number) else np.zeros(0, np.int64)
+        key = np.array([LAST if k is None else k for k, _, _ in texts], np.int64)[number] if len(number) else np.zeros(0, np.int64)
         order = np.lexsort((start, key, two, one))
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
         first = np.empty(len(order), np.int64)
         first[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
-        return texts, number, start, np.stack((one, two)), key, first
+        return texts, _flat(words, np.int64), number, start, np.stack((one, two)), key, first
 
     def send_windows(docs: pa.Table, found: pa.Table) -> pa.Table:
-        _, _, start, (one, two), key, first = windows(docs, found)
+        _, _, _, start, (one, two), key, first = windows(docs, found)
         own = np.flatnonzero(first == np.arange(len(first)))
         block = docs["block"][0].as_py() if len(docs) else 0
         return _by_bucket(block, n_firsts, _pair(one[own], two[own]), {"one": one[own], "two": two[own], "key": key[own], "start": start[own]})
@@ -200,24 +213,25 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
 
     def clean(docs: pa.Table, found: pa.Table) -> pa.Table:
         """found: rows with h (repeated names of the level before) and rows with one and two (windows first elsewhere)."""
-        texts, number, start, (one, two), key, first = windows(docs, found)
+        texts, words, number, start, (one, two), key, first = windows(docs, found)
         a, b = _values(found["one"]), _values(found["two"])
         gone = _in_pairs(one, two, a, b) | (key[first] != key) | (start[first] != start)
-        out = {c: [] for c in ("key", "n_words", "n_removed", "kept_sha256", "spans", "kept_text")}
+        number, start = number[gone], start[gone]
+        out = {c: [] for c in ("key", "n_words", "n_removed", "kept_sha256", "spans", "kept_text", "many")}
         at = np.searchsorted(number, np.arange(len(texts) + 1))
-        for i, (k, words) in enumerate(texts):
-            mine = slice(at[i], at[i + 1])
-            marks = np.zeros(len(words) + 1, np.int64)
-            places = start[mine][gone[mine]]
-            np.add.at(marks, places, 1)
-            np.add.at(marks, places + window, -1) if len(places) else None
-            drop = np.cumsum(marks[:-1]) > 0
-            left = b" ".join([w for w, d in zip(words, drop.tolist(), strict=True) if not d]) if len(places) else b" ".join(words)
-            edge = np.flatnonzero(np.diff(np.concatenate(([0], drop.astype(np.int8), [0])))).reshape(-1, 2) if len(places) else []
-            for c, v in zip(out, (k, len(words), int(drop.sum()), hashlib.sha256(left).hexdigest(), [{"start": int(x), "end": int(y)} for x, y in edge], left.decode() if with_text else None), strict=True):
+        for i, (k, raw, many) in enumerate(texts):
+            left, spans, removed = raw.split(), [], 0
+            if len(places := start[at[i] : at[i + 1]]):
+                new = np.flatnonzero(np.diff(places, prepend=-window - 1) > window)  # windows that touch make one range
+                begin, end = places[new], places[np.append(new[1:], len(places)) - 1] + window
+                spans, removed = [{"start": int(x), "end": int(y)} for x, y in zip(begin, end, strict=True)], int((end - begin).sum())
+                for s in reversed(spans):
+                    del left[s["start"] : s["end"]]
+            left = b" ".join(left)
+            for c, v in zip(out, (k, int(words[i]), removed, hashlib.sha256(left).hexdigest(), spans, left.decode() if with_text else None, many), strict=True):
                 out[c].append(v)
         span = pa.list_(pa.struct({"start": pa.int64(), "end": pa.int64()}))
-        return pa.table([pa.array(out["key"], pa.int64()), pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept_sha256"], pa.string()), pa.array(out["spans"], span), pa.array(out["kept_text"], pa.string())], names=list(out))
+        return pa.table([pa.array(out["key"], pa.int64()), pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["kept_sha256"], pa.string()), pa.array(out["spans"], span), pa.array(out["kept_text"], pa.string()), pa.array(out["many"], pa.int64())], names=list(out))
 
     found = None
     for length, before in zip(levels[:-1], [None, *levels], strict=False):
@@ -229,8 +243,10 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     gone = firsts.groupBy("bucket").applyInArrow(later, "block long, one array<long>, two array<long>")
     empty = F.array().cast("array<long>")
     replies = found.select("block", "h", empty.alias("one"), empty.alias("two")).union(gone.select("block", empty, "one", "two"))
-    out = keyed.cogroup(replies.groupBy("block")).applyInArrow(clean, "key long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start: long, end: long>>, kept_text string")
-    return out.withColumnRenamed("key", key) if with_text else out.drop("kept_text").withColumnRenamed("key", key)
+    out = keyed.cogroup(replies.groupBy("block")).applyInArrow(clean, "key long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start: long, end: long>>, kept_text string, many long")
+    if several:
+        out = out.withColumn("many", F.explode(F.sequence(F.lit(1).cast("long"), "many")))
+    return out.drop("many", *(["kept_text"] if not with_text else [])).withColumnRenamed("key", key)
 
 
 def _in_pairs(one: np.ndarray, two: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
