@@ -1,12 +1,34 @@
-"""Connected components of a link table by alternating large-star and small-star steps."""
+"""Connected components: of a link table by alternating large-star and small-star steps, of arrays inside a task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .common import cut
 
 
+class Sets:
+    """Disjoint sets over 0..n-1, joined by arrays of pairs."""
+
+    def __init__(self, n: int) -> None:
+        self.root = np.arange(n)
+
+    def find(self, i: np.ndarray) -> np.ndarray:
+        at = self.root[i]
+        while not np.array_equal(up := self.root[at], at):
+            at = up
+        return at
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        while len(i):
+            a, b = self.find(i), self.find(j)
+            self.root[i], self.root[j] = a, b
+            apart = a != b
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 

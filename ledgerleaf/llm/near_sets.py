@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut, join_small
-from .components import components
+from .components import Sets, components
 from .substring_dedup import _pair, names
 from .words import word_hashes
 
@@ -18,9 +18,8 @@ from .words import word_hashes
 #: probability of (1 - 0.8 ** 6) ** 34 < 0.00004.
 SHINGLE, LIKE = 5, (4, 5)
 BANDS, ROWS = 34, 6
-#: Least hashes of which a sketch has a byte each, and how many of them agree at least: a pair at LIKE has 77 of them on
-#: average and fewer than that with a probability below 0.00001.
-SKETCH, AGREE = 96, 58
+#: Least shingles of a set by which it is compared first: sets of no more are compared by all they have.
+HEAD = 512
 #: Bytes of text that are hashed at once, and members of a bucket that a block holds.
 AT_ONCE, BLOCK = 1 << 20, 1024
 _SEEDS = np.random.Generator(np.random.PCG64(23)).integers(0, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -39,21 +38,18 @@ def _name(s: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(s.tobytes())
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each set the names of its bands (of ROWS least hashes each), its sketch and its SimHash."""
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set the names of its bands (of ROWS least hashes each) and its SimHash."""
     flat, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-    found, sketch = np.empty((len(sets), BANDS), np.uint64), np.empty((len(sets), SKETCH), np.uint8)
+    found = np.empty((len(sets), BANDS), np.uint64)
     for band in range(BANDS):
         h = np.full(len(sets), band, np.uint64)
         for k in range(band * ROWS, (band + 1) * ROWS):
-            least = np.minimum.reduceat(flat * _SEEDS[k, 0] + _SEEDS[k, 1], starts)
-            if k < SKETCH:
-                sketch[:, k] = _pair(least, least) >> np.uint64(56)
-            h = _pair(h, least)
+            h = _pair(h, np.minimum.reduceat(flat * _SEEDS[k, 0] + _SEEDS[k, 1], starts))
         found[:, band] = h
     ones = np.add.reduceat(np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), starts, axis=0, dtype=np.int64)
     half = np.diff(np.append(starts, len(flat)))[:, None]
-    return found, sketch, np.packbits(2 * ones > half, axis=1, bitorder="little").view(np.uint64).ravel()
+    return found, np.packbits(2 * ones > half, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def _parts(texts: list[bytes | None]) -> Iterator[list[np.ndarray]]:
@@ -76,10 +72,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, at = b.column(0), 0
         for sets in _parts(b.column(1).cast(pa.binary()).to_pylist()):
-            found, sketch, fp = signatures(sets)
+            found, fp = signatures(sets)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), _signed(found.reshape(-1)))
-            sid, n = np.fromiter(map(_name, sets), np.uint64, len(sets)), np.fromiter(map(len, sets), np.int64, len(sets))
-            yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), _signed(sid), pa.array(n), _signed(fp), pa.array([x.tobytes() for x in sketch], pa.binary()), lists], ["id", "sid", "n", "fp", "sketch", "bands"])
+            sid = np.fromiter(map(_name, sets), np.uint64, len(sets))
+            yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), _signed(sid), _signed(fp), lists], ["id", "sid", "fp", "bands"])
             at += len(sets)
 
 
@@ -102,35 +98,61 @@ def verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(_alike(common, F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def _compare(sid: np.ndarray, root: np.ndarray, n: np.ndarray, sketch: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of a block whose sketches agree, as (a, b, more). Of the pairs that would connect the same two roots the
-    `most` likeliest; more: others of these two roots are left."""
-    found = []
-    for at in range(0, len(sid) - 1, 64):
-        own = slice(at, at + 64)
-        fits = (root[own, None] != root[None, at:]) & (LIKE[1] * np.minimum(n[own, None], n[None, at:]) >= LIKE[0] * np.maximum(n[own, None], n[None, at:]))
-        i, j = np.nonzero(np.triu(fits, 1))
-        if len(i):
-            agree = np.concatenate([(sketch[at + i[k : k + 65536]] == sketch[at + j[k : k + 65536]]).sum(1) for k in range(0, len(i), 65536)])
-            near = agree >= AGREE
-            found.append(np.column_stack((at + i[near], at + j[near], agree[near])))
-    i, j, agree = np.concatenate(found).T if found else np.zeros((3, 0), np.int64)
-    x, y = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
-    order = np.lexsort((np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j]), -agree, y, x))
-    i, j, x, y = i[order], j[order], x[order], y[order]
-    new = np.ones(len(i), bool)
-    new[1:] = (np.diff(x) != 0) | (np.diff(y) != 0)
-    start = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    kept = np.arange(len(i)) - start[group] < most if len(i) else new
-    many = np.diff(np.append(start, len(i))) > most
-    return np.maximum(sid[i], sid[j])[kept], np.minimum(sid[i], sid[j])[kept], many[group][kept]
-
-
-def block_pairs(members: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b, more) of members of the same bucket that have different roots and sketches that agree.
-
-    members: g (bucket), sid, root, n, sketch. Small buckets share a task. The members of a large one are dealt to
+def _agree(n: np.ndarray, heads: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of sets are near copies as far as their heads tell, and for which the heads are all they have.
+
+    Below the lesser of two heads' ends, what is common of both is a sample of what is common of the sets. Of u values
+    at a similarity of 0.8 at least 0.8 u - 1.8 sqrt(u) are common but for a probability of 0.00001.
+    """
+    m, flat = len(heads), np.concatenate(heads)
+    values, at, many = np.unique(flat, return_inverse=True, return_counts=True)
+    row, place = np.repeat(np.arange(m), [len(h) for h in heads]), np.cumsum(many > 1) - 1
+    common, width = np.zeros((m, m), np.float32), max(1, (1 << 23) // m)
+    row, column = row[many[at] > 1], place[at[many[at] > 1]]
+    for a in range(0, int(column.max(initial=-1)) + 1, width):
+        part = (column >= a) & (column < a + width)
+        x = np.zeros((m, width if column.max() >= a + width else int(column.max()) - a + 1), np.float32)
+        x[row[part], column[part] - a] = 1
+        common += x @ x.T
+    whole = n <= HEAD
+    end = np.where(whole, np.uint32(0xFFFFFFFF), np.array([h[-1] for h in heads], np.uint32))
+    below = np.stack([np.searchsorted(h, end, "right") for h in heads])
+    both = below + below.T - common
+    exact = whole[:, None] & whole[None, :]
+    return np.where(exact, LIKE[1] * common >= LIKE[0] * both, common >= 0.8 * both - 1.8 * np.sqrt(both)), exact
+
+
+def _compare(sid: np.ndarray, root: np.ndarray, n: np.ndarray, heads: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a block that agree and have different roots, as (a, b, more). Of pairs that are exact enough that connect
+    the roots; of others the first `most` that would connect the same two roots. more: others of these two roots are left."""
+    agree, exact = _agree(n, heads)
+    i, j = np.nonzero(np.triu(agree & (root[:, None] != root[None, :]), 1))
+    sure = exact[i, j]
+    names_, code = np.unique(root, return_inverse=True)
+    sets, picked, left = Sets(len(names_)), [], np.flatnonzero(sure)
+    while len(left):
+        a, b = sets.find(code[i[left]]), sets.find(code[j[left]])
+        left, a, b = left[a != b], a[a != b], b[a != b]
+        own = np.unique(np.concatenate((np.unique(a, return_index=True)[1], np.unique(b, return_index=True)[1])))
+        picked.append(left[own])
+        sets.join(a[own], b[own])
+    i_open, j_open = i[~sure], j[~sure]
+    x, y = np.minimum(root[i_open], root[j_open]), np.maximum(root[i_open], root[j_open])
+    order = np.lexsort((sid[i_open], sid[j_open], y, x))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0)
+    start, group = np.flatnonzero(new), np.cumsum(new) - 1
+    kept = np.arange(len(order)) - start[group] < most if len(order) else new
+    many = np.diff(np.append(start, len(order))) > most
+    own = np.concatenate([*picked, np.flatnonzero(~sure)[order[kept]]]).astype(np.int64)
+    more = np.concatenate((np.zeros(len(own) - int(kept.sum()), bool), many[group[kept]] if len(order) else kept))
+    return np.maximum(sid[i[own]], sid[j[own]]), np.minimum(sid[i[own]], sid[j[own]]), more
+
+
+def block_pairs(members: DataFrame, heads: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b, more) of members of the same bucket that have different roots and heads that agree.
+
+    members: g (bucket), sid, root; heads: sid, n, head. Small buckets share a task. The members of a large one are dealt to
     blocks: those of its most frequent root, which are connected already, and the others; each block of others meets
     every block once, so no task holds a large bucket and connected members do not meet.
     """
@@ -145,45 +167,48 @@ def block_pairs(members: DataFrame, most: int) -> DataFrame:
     upto = lambda n: F.sequence(F.lit(0), n - 1)
     rest = F.concat(F.transform(upto(nr), lambda r: pair(F.least(own, r), F.greatest(own, r))), F.transform(upto(nm), lambda k: pair(own, nr + k)))
     met = F.when(F.col("m") <= BLOCK, F.array(pair(F.lit(-1), F.lit(-1)))).when(is_main, F.transform(upto(nr), lambda r: pair(r, nr + own))).otherwise(rest)
-    dealt = members.join(sizes, "g").withColumn("p", F.explode(met)).select("g", "p.i", "p.j", "sid", "root", "n", "sketch")
+    dealt = members.join(sizes, "g").withColumn("p", F.explode(met)).select("g", "p.i", "p.j", "sid", "root")
     at = F.when(F.col("i") < 0, F.pmod(F.xxhash64("g"), F.lit(packs))).otherwise(F.xxhash64("g", "i", "j"))
 
     def meet(t: pa.Table) -> pa.Table:
         g, i, j, sid, root, n = (t[c].to_numpy() for c in ("g", "i", "j", "sid", "root", "n"))
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        lists = t["head"].combine_chunks()
+        values, ends = lists.flatten().to_numpy().view(np.uint32), np.cumsum(lists.value_lengths().to_numpy())
+        head = np.split(values, ends[:-1])
         order = np.lexsort((sid, j, i, g))
-        ends = np.flatnonzero((np.diff(g[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
-        found = [_compare(sid[o], root[o], n[o], sketch[o], most) for o in np.split(order, ends)]
+        cuts = np.flatnonzero((np.diff(g[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
+        found = [_compare(sid[o], root[o], n[o], [head[k] for k in o], most) for o in np.split(order, cuts)]
         a, b, more = (np.concatenate(x) for x in zip(*found, strict=True))
         return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64), "more": more.astype(bool)}).group_by(["a", "b"]).aggregate([("more", "max")]).rename_columns(["a", "b", "more"])
 
-    return dealt.withColumn("at", at).groupBy("at").applyInArrow(meet, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    dealt = dealt.withColumn("at", at).join(heads, "sid")
+    return dealt.groupBy("at").applyInArrow(meet, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
-def set_links(members: DataFrame, facts: DataFrame, first: DataFrame, contents: DataFrame) -> DataFrame:
+def set_links(members: DataFrame, first: DataFrame, contents: DataFrame) -> DataFrame:
     """(node, root) of all sets that links of a similarity of LIKE or more connect with others.
 
-    members: g (bucket), sid; facts: sid, n, sketch; first: pairs to begin with; contents: sid, s. Large groups of near
-    copies are connected by the first pairs; what is not yet connected in a bucket is compared by blocks. Of two groups
-    the likeliest pairs are held against the sets first; others follow only if these do not connect the two.
+    members: g (bucket), sid; first: pairs to begin with; contents: sid, s. Large groups of near copies are connected by the
+    first pairs; what is not yet connected in a bucket is compared by blocks, by all that small sets have and the heads of
+    large ones. Of two groups some pairs of large sets are held against the sets first; others follow only if these do
+    not connect the two.
     """
-    n = lambda c: facts.select(F.col("sid").alias(c), F.col("n").alias(f"n{c}"))
+    head = F.transform(F.slice("s", 1, HEAD), lambda h: F.shiftright(h, 32).cast("int"))
+    heads = cut(contents.select("sid", F.size("s").alias("n"), head.alias("head")), "heads")
+    n = lambda c: heads.select(F.col("sid").alias(c), F.col("n").alias(f"n{c}"))
     sized = first.join(n("a"), "a").join(n("b"), "b").where(_alike(F.least("na", "nb"), F.greatest("na", "nb"))).select("a", "b")
     checked, most, more = cut(sized.distinct(), "pairs"), 4, True
     roots = cut(components(verified(checked, contents), "a", "b"), "roots")
     while more:
         left = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         several = left.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("g")
-        left = cut(left.join(several, "g", "left_semi").join(facts.select("sid", "n", "sketch"), "sid"), "open")
-        pairs = cut(block_pairs(left, most), "agree")
+        left = cut(left.join(several, "g", "left_semi"), "open")
+        pairs = cut(block_pairs(left, heads, most), "agree")
         more, most = bool(pairs.where("more").take(1)), 8 * most
         pairs = cut(pairs.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")
-        found = cut(verified(pairs, contents), "found")
+        checked, found = checked.union(pairs), cut(verified(pairs, contents), "found")
         if found.take(1):
-            checked = checked.union(pairs)
             roots = cut(components(found.union(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b"), "roots")
-        elif more:
-            checked = checked.union(pairs)
     return roots
 
 
@@ -195,7 +220,7 @@ def set_groups(docs: DataFrame, ids: list[Column], text: str, kind: str, tree_li
     their shingles, and the pairs are held against these.
     """
     named = docs.select(F.struct(*ids).alias("id"), F.col(text).alias("text"))
-    rows = cut(named.mapInArrow(_signatures, f"id {kind}, sid long, n long, fp long, sketch binary, bands array<long>").select("id.*", "sid", "n", "fp", "sketch", "bands"), "sets")
+    rows = cut(named.mapInArrow(_signatures, f"id {kind}, sid long, fp long, bands array<long>").select("id.*", "sid", "fp", "bands"), "sets")
     dealt = rows.select(F.explode("bands").alias("g"), "sid")
     shared = cut(dealt.groupBy("g").agg(F.min("sid").alias("hub"), F.max("sid").alias("other")).where("hub <> other").select("g", "hub"), "shared")
     members = cut(dealt.join(shared, "g").distinct(), "buckets")
@@ -208,8 +233,8 @@ def set_groups(docs: DataFrame, ids: list[Column], text: str, kind: str, tree_li
     first = star.union(near).union(same).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     first = cut(first.distinct(), "first")
     needed = cut(first.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "needed")
-    facts = cut(rows.select("sid", "n", "sketch", "_t", "_u").join(needed, "sid", "left_semi").dropDuplicates(["sid"]), "facts")
-    texts = join_small(docs.select(F.col(text).alias("text"), *ids[1:3]), facts.select("_t", "_u"), ["_t", "_u"], "left_semi").select("text")
+    told = cut(rows.select("sid", "_t", "_u").join(needed, "sid", "left_semi").dropDuplicates(["sid"]), "told")
+    texts = join_small(docs.select(F.col(text).alias("text"), *ids[1:3]), told.select("_t", "_u"), ["_t", "_u"], "left_semi").select("text")
     contents = cut(texts.mapInArrow(_contents, "sid long, s array<long>").dropDuplicates(["sid"]), "contents")
-    roots = set_links(members.select("g", "sid"), facts, first, contents)
-    return rows.drop("n", "bands", "fp", "sketch").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    roots = set_links(members.select("g", "sid"), first, contents)
+    return rows.drop("bands", "fp").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut, join_small, table
-from .components import components
+from .components import Sets, components
 from .near_sets import set_groups
 from .sharding import ATOMIC
 
@@ -75,27 +75,6 @@ def route(x: np.ndarray, tree: tuple[np.ndarray, np.ndarray], depth: int, reach:
     return at, node, guest
 
 
-class Sets:
-    """Disjoint sets over 0..n-1, joined by arrays of pairs."""
-
-    def __init__(self, n: int) -> None:
-        self.root = np.arange(n)
-
-    def find(self, i: np.ndarray) -> np.ndarray:
-        at = self.root[i]
-        while not np.array_equal(up := self.root[at], at):
-            at = up
-        return at
-
-    def join(self, i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
-            a, b = self.find(i), self.find(j)
-            self.root[i], self.root[j] = a, b
-            apart = a != b
-            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
-
-
 def parted(bits: int) -> list[int]:
     """A set of bits as two sets of half as many each."""
     own = [1 << i for i in range(64) if bits >> i & 1]

@@ -16,8 +16,8 @@ from .common import new_dir, table
 END = bytes([0x1F, 0x8B, 8, 0, 0, 0, 0, 0, 0, 3, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
 BREAK = b"\r\n\r\n"
 ENTRIES = "archive string, entries array<struct<page_id: long, offset: long, length: long>>"
-#: Records whose index entries (24 bytes each) may be broadcast.
-INDEXED = 500_000
+#: Bytes of records that one archive holds, or one record of more; bytes that are inflated at once.
+ARCHIVE_BYTES, STEP = 48 << 20, 1 << 20
 
 
 def digest(payload: bytes) -> str:
@@ -51,67 +51,88 @@ def number(urn: str | None) -> int | None:
 
 def records(parts: Iterator[bytes]) -> Iterator[bytes]:
     """The records of a stream of WARC bytes, closing breaks included, however the stream is cut into parts."""
-    held, need = b"", None
+    held, at, seen, need = bytearray(), 0, 0, None
     for part in parts:
+        if at > len(held) // 2:  # what has been given is dropped now and then, so each byte moves a few times at most
+            del held[:at]
+            seen, need, at = seen - at, None if need is None else need - at, 0
         held += part
         while True:
             if need is None:
-                end = held.find(BREAK)
+                end = held.find(BREAK, max(at, seen - len(BREAK)))
                 if end < 0:
+                    seen = len(held)
                     break
-                size = next(int(x.split(b":")[1]) for x in held[:end].split(b"\r\n") if x.lower().startswith(b"content-length:"))
+                size = next(int(x.split(b":")[1]) for x in bytes(held[at:end]).split(b"\r\n") if x.lower().startswith(b"content-length:"))
                 need = end + len(BREAK) + size + len(BREAK)
             if len(held) < need:
                 break
-            yield held[:need]
-            held, need = held[need:], None
-
-
-def inflated(gz: bytes, step: int = 1 << 20) -> Iterator[bytes]:
-    """A gzip stream of one or more members, inflated once from end to end in parts."""
-    unpack = zlib.decompressobj(31)
-    for at in range(0, len(gz), step):
-        data = gz[at : at + step]
-        while data:
-            yield unpack.decompress(data)
-            data = unpack.unused_data
+            yield bytes(held[at:need])
+            at = seen = need
+            need = None
+
+
+def inflated(gz: bytes, step: int = STEP) -> Iterator[bytes]:
+    """A gzip stream of one or more members, inflated once from end to end, at most `step` bytes at a time."""
+    unpack, data = zlib.decompressobj(31), memoryview(gz)
+    while len(data):
+        rest = data[:step]
+        data = data[len(rest) :]
+        while len(rest):
+            if part := unpack.decompress(rest, step):
+                yield part
             if unpack.eof:
-                unpack = zlib.decompressobj(31)
+                rest, unpack = unpack.unused_data, zlib.decompressobj(31)
             else:
-                break
+                rest = unpack.unconsumed_tail
+    while part := unpack.decompress(b"", step) if not unpack.eof else b"":
+        yield part
+
+
+def _packed(raw: bytes, level: int = 6) -> bytes:
+    pack = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return pack.compress(raw) + pack.flush()
 
 
 def normalise(gz: bytes) -> bytes:
     """A whole-file gzip stream as one member per record."""
-    out = []
-    for raw in records(inflated(gz)):
-        pack = zlib.compressobj(6, zlib.DEFLATED, 31)
-        out.append(pack.compress(raw) + pack.flush())
-    return b"".join(out)
+    return b"".join(map(_packed, records(inflated(gz))))
 
 
-def offsets(archive: bytes) -> list[dict]:
-    """Page, offset and length of each member that holds a record."""
-    index, at, view = [], 0, memoryview(archive)
+def members(archive: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and record of each member that holds one."""
+    at, view = 0, memoryview(archive)
     while at < len(archive):
         unpack, raw, end = zlib.decompressobj(31), [], at
         while not unpack.eof and end < len(archive):
             raw.append(unpack.decompress(view[end : end + (1 << 16)]))
-            end += min(1 << 16, len(archive) - end)
+            end = min(end + (1 << 16), len(archive))
         end -= len(unpack.unused_data)
-        if head := b"".join(raw):
-            index.append({"page_id": number(parse(head)[0].get("WARC-Record-ID")), "offset": at, "length": end - at})
+        if record := b"".join(raw):
+            yield at, end - at, record
         at = end
-    return index
 
 
-def write_monolithic(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html") -> None:
-    """Writes one record per page into WARC files that are each a single gzip stream, one per task.
+def offsets(archive: bytes) -> list[dict]:
+    """Page, offset and length of each member that holds a record."""
+    return [{"page_id": number(parse(r)[0].get("WARC-Record-ID")), "offset": at, "length": n} for at, n, r in members(archive)]
+
 
-    Payload: the html in UTF-8, null as empty. Of pages with equal payloads (by SHA-256 and length), that with the
-    smallest key is a response and the others are revisits of it. Rows that repeat the smallest key are responses too.
-    Null keys come last: they refer to the smallest key; if a payload has no other, all are responses. Only hashes are grouped; each payload
-    moves once, with its own key, so a page that a third of all rows repeat makes no large task.
+def _write_files(rows: DataFrame, path: str) -> None:
+    """One file for each row of a binary column, which must hold gzip members: the text writer puts out a string's bytes as
+    they are and END as line end, written as Latin-1, which closes the file with an empty member."""
+    rows.select(F.col(rows.columns[0]).cast("string")).write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", END.decode("latin-1")).text(path)
+
+
+def write_monolithic(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html") -> None:
+    """Writes one record per page into WARC files that are each a single gzip stream of at most ARCHIVE_BYTES of records
+    (or one record of more), with an empty member at the end.
+
+    Payload: the html in UTF-8, null as empty. Of pages with equal payloads (by SHA-256), that with the smallest key is a
+    response and the others are revisits of it. Rows that repeat the smallest key are responses too. Null keys come last:
+    they refer to the smallest key; if a payload has no other, all are responses. Only hashes are grouped; each payload
+    moves once, with its own key, so a page that a third of all rows repeat makes no large task. An empty table gives no
+    records; other columns are not read.
     """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     given = pages.select(F.col(key).cast("long").alias("k"), F.col(url).cast("string").alias("url"), payload.alias("html"), F.sha2(payload, 256).alias("sha"))
@@ -128,67 +149,114 @@ def write_monolithic(pages: DataFrame, path: str, key: str = "page_id", url: str
     rows = packed.join(kinds.hint("shuffle_merge"), F.col("k").eqNullSafe(F.col("_k")) & (F.col("sha") == F.col("_sha"))).select("k", "url", "packed", "refers")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, n, stream = [], 0, zlib.compressobj(1, zlib.DEFLATED, 31)
+
+        def archive() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"".join([*made, stream.flush()])], pa.binary())], ["archive"])
+
         for b in batches:
-            made = [record(k, u, zlib.decompress(x), r) for k, u, x, r in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["record"])
+            for k, u, x, r in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                raw = record(k, u, zlib.decompress(x), r) + BREAK
+                if n and n + len(raw) > ARCHIVE_BYTES:
+                    yield archive()
+                    made, n, stream = [], 0, zlib.compressobj(1, zlib.DEFLATED, 31)
+                made.append(stream.compress(raw))
+                n += len(raw)
+        if n:
+            yield archive()
 
-    # the text writer puts out a string's bytes as they are, so its gzip files are WARC files
-    rows.mapInArrow(build, "record binary").select(F.col("record").cast("string")).write.option("compression", "gzip").option("lineSep", BREAK.decode()).text(path)
+    _write_files(rows.mapInArrow(build, "archive binary"), path)
 
 
 def normalise_archives(spark: SparkSession, source: str, path: str) -> None:
-    """Rewrites each gzip WARC file under source: inflated once, every record its own member. Writes path/archives
-    (archive=<name>/ with one gzip file each) and then the sidecar path/index (archive, entries of page_id, offset and
-    length), made from the archives as they were written. A file is handled whole by one task, so the writer's file size
-    bounds its memory."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "content")
+    """Rewrites each gzip WARC file under source: inflated once, every record its own member. Writes path/archives (a gzip
+    file for each) and then the sidecar path/index (archive: the file's name; entries: page_id, offset and length), made
+    from the archives as they were written. A file is handled whole by one task, so the size of archives bounds its memory."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(source).select("content")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, gz in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([name.rsplit("/", 1)[-1].split(".")[0]]), pa.array([normalise(gz)], pa.binary())], ["archive", "members"])
+            for gz in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array([normalise(gz.as_py())], pa.binary())], ["members"])
 
-    made = files.mapInArrow(rewrite, "archive string, members binary").select("archive", F.col("members").cast("string"))
-    # the writer puts an empty member after each row, which closes the archive; Latin-1 keeps its bytes as they are
-    made.write.partitionBy("archive").option("encoding", "ISO-8859-1").option("lineSep", END.decode("latin-1")).text(f"{path}/archives")
+    _write_files(files.mapInArrow(rewrite, "members binary"), f"{path}/archives")
 
     def list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct({"page_id": pa.int64(), "offset": pa.int64(), "length": pa.int64()}))
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([offsets(x) for x in b.column(1).to_pylist()], kind)], ["archive", "entries"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([offsets(x.as_py()) for x in b.column(1)], kind)], ["archive", "entries"])
 
     _archives(spark, path).mapInArrow(list_members, ENTRIES).write.parquet(f"{path}/index")
 
 
-def _archives(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, content) of normalised archives; none if nothing was written."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{path}/archives")
-    return files.select(F.regexp_extract("path", "archive=([^/]+)/", 1).alias("archive"), "content")
+def _archives(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """(archive, content) of normalised archives, of those named alone if names are given; none if nothing was written."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
+    found = files.load(f"{path}/archives" if names is None else [f"{path}/archives/{n}" for n in names])
+    return found.select(F.regexp_extract("path", "[^/]+$", 0).alias("archive"), "content")
+
+
+_RECORD = pa.schema({"archive": pa.string(), "offset": pa.int64(), "length": pa.int64(), "page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "url": pa.string(), "payload": pa.binary()})
+RECORD = "archive string, offset long, length long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
+
+
+def _fields(raw: bytes) -> tuple:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, url and payload of a record. A response whose
+    payload does not have its digest is an error."""
+    fields, http, payload = parse(raw)
+    size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.startswith(b"Content-Length:"))
+    sha, full = fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"] == "response"
+    if full and (len(payload) != size or digest(payload) != sha):
+        raise ValueError(f"the payload of record {fields['WARC-Record-ID']} is damaged")
+    return number(fields["WARC-Record-ID"]), size, sha, fields["WARC-Type"], number(fields.get("WARC-Refers-To")), fields["WARC-Target-URI"], payload if full else None
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_RECORD)], schema=_RECORD)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record, read at its offset: page_id, payload_bytes, payload_digest, record_type, refers_to, url and
-    payload (null for revisits). A response whose payload does not have its digest is an error. The index is broadcast to
-    the archives while it has at most INDEXED records, else both are shuffled by archive."""
-    index = spark.read.schema(ENTRIES).parquet(f"{path}/index")
-    records_listed = index.agg(F.sum(F.size("entries"))).first()[0] or 0
+    """One row per entry of the sidecar index: page_id, payload_bytes, payload_digest, record_type, refers_to, url and
+    payload (null for revisits). Archives are read member by member where they lie; only what the index says of a record
+    (archive, offset, length) is joined to it, so no content moves for the index, whatever its size. Without reading the
+    payload column, payloads do not move either."""
+    entries = spark.read.schema(ENTRIES).parquet(f"{path}/index").select(F.col("archive").alias("_archive"), F.explode("entries").alias("e"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                rows, n = [], 0
+                for at, length, raw in members(content.as_py()):
+                    rows.append((name, at, length, *_fields(raw)))
+                    if (n := n + len(raw)) > STEP:
+                        yield _rows(rows)
+                        rows, n = [], 0
+                yield _rows(rows)
+
+    there = (F.col("archive") == F.col("_archive")) & (F.col("offset") == F.col("e.offset")) & (F.col("length") == F.col("e.length"))
+    return _archives(spark, path).mapInArrow(read, RECORD).join(entries, there).select(*_RECORD.names[3:])
+
+
+def read_pages(spark: SparkSession, path: str, pages: DataFrame, key: str = "page_id", most: int = 10_000) -> DataFrame:
+    """The records of some pages (at most `most` entries of the index), each cut out of its archive at its offset; only
+    archives that hold one are read. More entries are an error: read_archives is the way to read all."""
+    index = spark.read.schema(ENTRIES).parquet(f"{path}/index").select("archive", F.explode("entries").alias("e"))
+    wanted = index.join(pages.select(F.col(key).alias("_key")).distinct(), F.col("e.page_id") == F.col("_key"), "left_semi").limit(most + 1).collect()
+    if len(wanted) > most:
+        raise ValueError(f"more than {most} entries")
+    at: dict[str, list] = {}
+    for r in wanted:
+        at.setdefault(r["archive"], []).append((r["e"]["offset"], r["e"]["length"]))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for content, entries in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows = []
-                for e in entries:
-                    fields, http, payload = parse(zlib.decompress(content[e["offset"] : e["offset"] + e["length"]], 31))
-                    size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.startswith(b"Content-Length:"))
-                    sha, full = fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"] == "response"
-                    if full and (len(payload) != size or digest(payload) != sha):
-                        raise ValueError(f"the payload of record {fields['WARC-Record-ID']} is damaged")
-                    rows.append((number(fields["WARC-Record-ID"]), size, sha, fields["WARC-Type"], number(fields.get("WARC-Refers-To")), fields["WARC-Target-URI"], payload if full else None))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
-
-    near = F.broadcast(index) if records_listed <= INDEXED else index
-    return _archives(spark, path).join(near, "archive").select("content", "entries").mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+            for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                gz = content.as_py()
+                yield _rows([(name, o, n, *_fields(zlib.decompress(gz[o : o + n], 31))) for o, n in at[name]])
+
+    if not at:
+        return spark.createDataFrame([], RECORD).select(*_RECORD.names[3:])
+    return _archives(spark, path, sorted(at)).mapInArrow(read, RECORD).select(*_RECORD.names[3:])
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
