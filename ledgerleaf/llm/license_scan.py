@@ -4,26 +4,16 @@ from __future__ import annotations
 
 import math
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import table
-
-# Sentences by which license notices are known.
-NOTICES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", "You may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-]
-SHINGLE, CONTAINED, BANDS = 5, 0.8, 16
-#: Templates that fit into the plan as literals.
-MOST_TEMPLATES = 1000
+from .common import BROADCAST_ROWS, cut, table
+from .license_texts import TEXTS
+
+SHINGLE, CONTAINED, BANDS = 5, 0.8, 24
+#: Shingles of templates that a pass over the documents broadcasts.
+PASS_SHINGLES = 2_000_000
 
 
 def words(text: Column) -> Column:
@@ -63,37 +53,42 @@ def scan(docs: DataFrame, templates: DataFrame, text: str = "text", key: str = "
 
     A template is found where a window of the text holds at least 80 % of its 5-word shingles; containment is the highest
     share, windows the number of windows over all templates of that license. Null and short texts hold nothing; templates
-    of fewer than five words are passed over; a document counts once per row. Other columns are not read.
+    of fewer than five words are passed over; a document counts once per row, so repeated rows give repeated findings.
+    Texts of any length are read whole. Other columns are not read.
 
-    All stages are row by row, inside the scan: a document that has no shingle of any template meets none in any band, so
-    its windows are not signed; the windows of the others are signed and looked up by band in the templates' table (a
-    plan literal of at most MOST_TEMPLATES); those met are verified by set intersection. Only findings are shuffled.
+    The bands of all templates are a table by their MinHash. As the MinHash of a window is one of its shingles, the
+    documents' shingles are joined with that table; of the windows around a hit, those whose MinHash in that band it is
+    have met the template and are held against its shingles. All of this is row by row: bands and templates are
+    broadcast in passes of bounded size, and only findings are shuffled.
     """
-    known = templates.select("license", F.monotonically_increasing_id().alias("_row"), words(F.col("text")).alias("w"))
-    known = known.select("license", F.array_distinct(shingles(F.col("w"))).alias("s")).where(F.size("s") > 0).select("license", "s", signature(F.col("s")).alias("b"))
-    known = sorted(((r["license"], r["s"], r["b"]) for r in known.limit(MOST_TEMPLATES + 1).collect()), key=lambda x: (x[0], x[1]))
-    if len(known) > MOST_TEMPLATES:
-        raise ValueError(f"more than {MOST_TEMPLATES} templates")
-    spark = docs.sparkSession
-    shape = "license string, n int, s array<bigint>, b array<bigint>"
-    entries = spark.createDataFrame([(k, len(s), s, b) for k, s, b in known], shape)
-    longs = lambda xs: F.array(*map(F.lit, xs)).cast("array<bigint>")
-    every = longs(sorted({h for _, s, _ in known for h in s}))
-    sizes = sorted({len(s) for _, s, _ in known})
-    # the row number also keeps Spark from moving the filter below the words, which would then be cut for each shingle anew
-    rows = docs.select(F.col(key).alias("_key"), F.monotonically_increasing_id().alias("_row"), words(F.col(text)).alias("_words"))
-    rows = rows.select("_key", "_row", shingles(F.col("_words")).alias("_s")).where(F.arrays_overlap("_s", every))
-    classes = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(math.ceil(n / 4)).alias("step"), F.lit(n + math.ceil(n / 4) - 1).alias("wide")) for n in sizes] or [F.struct(F.lit(0).alias("n"), F.lit(1).alias("step"), F.lit(1).alias("wide"))])
-    rows = rows.withColumn("_c", F.explode(classes)).withColumn("_at", F.explode(F.sequence(F.lit(0), F.size("_s") - 1, F.col("_c.step"))))
-    rows = rows.select("_key", "_row", "_at", F.col("_c.n").alias("n"), F.array_distinct(F.slice("_s", F.col("_at") + 1, F.col("_c.wide"))).alias("_w")).where(F.arrays_overlap("_w", every))
-    met = rows.withColumn("_b", signature(F.col("_w"))).join(F.broadcast(entries), "n").where(F.exists(F.arrays_zip(F.col("_b").alias("x"), F.col("b").alias("y")), lambda z: z["x"] == z["y"]))
-    share = F.size(F.array_intersect("_w", "s")) / F.col("n")
-    found = met.select("_key", "_row", "license", "n", "_at", share.alias("share")).where(F.col("share") >= CONTAINED)
-    return found.groupBy("_row", "_key", "license").agg(F.max("share").alias("containment"), F.count("*").alias("windows")).select(F.col("_key").alias(key), "license", "containment", "windows")
+    known = templates.select("license", words(F.col("text")).alias("w")).select("license", F.array_distinct(shingles(F.col("w"))).alias("s")).where(F.size("s") > 0).distinct()
+    known = cut(known.select("license", "s", F.size("s").alias("n"), signature(F.col("s")).alias("b"), F.monotonically_increasing_id().alias("t")), "templates")
+    count, total = known.agg(F.count("*"), F.sum("n")).first()
+    passes = max(1, -(-count * BANDS // BROADCAST_ROWS), -(-(total or 0) // PASS_SHINGLES))
+    # the row number also keeps Spark from cutting the words anew for each shingle
+    rows = docs.select(F.col(key).alias("_key"), F.monotonically_increasing_id().alias("_row"), words(F.col(text)).alias("_words")).select("_key", "_row", shingles(F.col("_words")).alias("_s"))
+    # the outer form: else Spark infers a filter that makes all shingles once more
+    exploded = rows.select("_key", "_row", "_s", F.posexplode_outer("_s").alias("_pos", "_h"))
+    step = F.ceil(F.col("n") / 4).cast("int")
+    masked = lambda h: h.bitwiseXOR(F.array(*map(F.lit, masks()))[F.col("j")])
+
+    def found(k: int) -> DataFrame:
+        part = known.where(F.pmod(F.xxhash64("t"), F.lit(passes)) == k)
+        bands = part.select("t", "n", F.posexplode("b").alias("j", "h"))
+        hits = exploded.join(F.broadcast(bands), F.col("_h") == F.col("h")).withColumn("step", step).withColumn("wide", F.col("n") + F.col("step") - 1)
+        first = F.ceil(F.greatest(F.lit(0), F.col("_pos") - F.col("wide") + 1) / F.col("step")).cast("int") * F.col("step")
+        hits = hits.where(first <= F.col("_pos")).withColumn("_at", F.explode(F.sequence(first, F.col("_pos"), F.col("step"))))
+        hits = hits.select("_key", "_row", "_at", "t", "n", "j", "h", F.slice("_s", F.col("_at") + 1, F.col("wide")).alias("_w"))
+        met = hits.where(F.array_min(F.transform("_w", masked)) == masked(F.col("h")))
+        held = met.join(F.broadcast(part.select("t", "license", "s")), "t").select("_key", "_row", "license", "t", "_at", (F.size(F.array_intersect("_w", "s")) / F.col("n")).alias("share"))
+        return held.where(F.col("share") >= CONTAINED).groupBy("_row", "_key", "license", "t", "_at").agg(F.max("share").alias("share"))
+
+    windows = reduce(DataFrame.union, map(found, range(passes)))
+    return windows.groupBy("_row", "_key", "license").agg(F.max("share").alias("containment"), F.count("*").alias("windows")).select(F.col("_key").alias(key), "license", "containment", "windows")
 
 
 def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NOTICES, "license string, text string")
+    return spark.createDataFrame(TEXTS, "license string, text string")
 
 
 def op9_license_scan(spark, sf_dir):
@@ -102,7 +97,7 @@ def op9_license_scan(spark, sf_dir):
 
 def _sql() -> str:
     """The same by joining all shingles of the windows: the bands' probability of missing a window is under 1e-5."""
-    rows = ", ".join("('{}', '{}')".format(*n) for n in NOTICES)
+    rows = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in TEXTS)
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS t, l, regexp_extract_all(lower(x), '[\p{{L}}\p{{N}}]+') AS w FROM (VALUES {rows}) v(l, x)),
      ts AS (SELECT DISTINCT t, l, array_to_string(w[p : p + 4], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - 3)) AS p FROM t WHERE len(w) >= 5)),
