@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import cut, prefix_sums, table
+from .common import cut, new_dir, prefix_sums, table
 
 ATOMIC = (T.StringType, T.BinaryType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
 
@@ -36,9 +36,10 @@ def shuffle_shards(docs: DataFrame, n_shards: int = 24, text: str = "text", seed
     k-th even part, and the slots of a shard count from 0. The result depends on rows, shard count, seed and bucket
     bytes alone, so a task that runs again gives the same rows. Rows that agree in all plain columns share a bucket, unless they fill a
     quarter of one: these are counted, and each copy is dealt by its number (not with map or variant columns, which
-    Spark cannot group by). Null texts count as
-    empty; an empty table gives no rows; input columns named as those used here keep their names and values.
+    Spark cannot group by). Null texts count as empty; an empty table gives no rows. Columns of docs with the names
+    _shard and _slot give way to the added ones; all others keep their names and values.
     """
+    docs = docs.drop("_shard", "_slot")
     plain = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, ATOMIC)]
     hashed = F.xxhash64(F.lit(seed), *plain)
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 8
@@ -78,13 +79,15 @@ def shuffle_shards(docs: DataFrame, n_shards: int = 24, text: str = "text", seed
     return placed.groupBy("_bucket").applyInArrow(shuffled, schema).toDF(*names, "_shard", "_slot")
 
 
-def write_shards(docs: DataFrame, path: str, **kw) -> None:
-    """Writes the shards as Parquet folders _shard=k, each in slot order."""
+def write_shards(docs: DataFrame, path: str, **kw) -> DataFrame:
+    """Writes the shards as Parquet folders _shard=k and reads them again. Each task writes the buckets it has shuffled, a file
+    for each shard that they reach, in slot order: no row moves again, and no task holds a shard."""
     rows = shuffle_shards(docs, **kw)
-    rows.repartitionByRange(kw.get("n_shards", 24), "_shard").sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    rows.sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def op2_sharding(spark, sf_dir):
-    rows = shuffle_shards(table(spark, sf_dir, "documents"))
+    rows = write_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), new_dir(spark, "shards"))
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return rows.select("doc_id", (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.lit("rows").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
