@@ -21,7 +21,7 @@ BANDS, ROWS = 34, 6
 #: Least shingles of a set by which it is compared first: sets of no more are compared by all they have.
 HEAD = 512
 #: Bytes of text that are hashed at once, and members of a bucket that a block holds.
-AT_ONCE, BLOCK = 1 << 20, 1024
+AT_ONCE, BLOCK = 1 << 18, 384
 _SEEDS = np.random.Generator(np.random.PCG64(23)).integers(0, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -107,7 +107,7 @@ def _agree(n: np.ndarray, heads: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
     m, flat = len(heads), np.concatenate(heads)
     values, at, many = np.unique(flat, return_inverse=True, return_counts=True)
     row, place = np.repeat(np.arange(m), [len(h) for h in heads]), np.cumsum(many > 1) - 1
-    common, width = np.zeros((m, m), np.float32), max(1, (1 << 23) // m)
+    common, width = np.zeros((m, m), np.float32), max(1, (1 << 20) // m)
     row, column = row[many[at] > 1], place[at[many[at] > 1]]
     for a in range(0, int(column.max(initial=-1)) + 1, width):
         part = (column >= a) & (column < a + width)
@@ -116,7 +116,7 @@ def _agree(n: np.ndarray, heads: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
         common += x @ x.T
     whole = n <= HEAD
     end = np.where(whole, np.uint32(0xFFFFFFFF), np.array([h[-1] for h in heads], np.uint32))
-    below = np.stack([np.searchsorted(h, end, "right") for h in heads])
+    below = np.stack([np.searchsorted(h, end, "right").astype(np.float32) for h in heads])
     both = below + below.T - common
     exact = whole[:, None] & whole[None, :]
     return np.where(exact, LIKE[1] * common >= LIKE[0] * both, common >= 0.8 * both - 1.8 * np.sqrt(both)), exact
@@ -158,7 +158,7 @@ def block_pairs(members: DataFrame, heads: DataFrame, most: int) -> DataFrame:
     """
     roots = members.groupBy("g", "root").count()
     sizes = roots.groupBy("g").agg(F.max(F.struct("count", "root")).alias("main"), F.sum("count").alias("m"))
-    packs = max(1, members.count() // (2 * BLOCK))
+    packs = max(1, members.count() // (4 * BLOCK))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     is_main = F.col("root") == F.col("main.root")
     nm, nr = blocks(F.col("main.count")), blocks(F.col("m") - F.col("main.count"))

@@ -15,7 +15,7 @@ from .words import word_hashes
 #: Bytes of text that one group of documents holds, and of hashes that one bucket of them gets.
 BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 24 << 20
 #: Bytes of text whose words are looked at together.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 LAST = np.iinfo(np.int64).max
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(29), np.uint64(32))
 

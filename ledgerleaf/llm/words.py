@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes that are hashed at once.
-STEP = 1 << 20
+STEP = 1 << 18
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BYTE = np.where(SPACE, np.uint64(0), np.random.Generator(np.random.PCG64(41)).integers(1, 1 << 63, 256, dtype=np.uint64))
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
