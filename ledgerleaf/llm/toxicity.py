@@ -9,25 +9,47 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import crc_mod, cut, table, with_results
 
-#: Bounds of what is learned from: toxic and other rows, and terms in the lexicon.
-TOXIC_ROWS, CLEAN_ROWS, TERMS = 4000, 8000, 400
+#: Bounds of what is learned from: toxic and other rows.
+TOXIC_ROWS, CLEAN_ROWS = 4000, 8000
 #: Words on either side of a term that its context score looks at.
 CONTEXT = 8
 TOKEN = re.compile(r'[^\W_]+|["“”«»„]')
+#: Scripts that are written without spaces: their terms may begin at any letter of a run.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+#: Letters of the longest beginning of a word that is learned besides the whole word, and of one in unspaced scripts.
+LONGEST, LONGEST_UNSPACED = 12, 6
 MARKS = set('"“”«»„')
 # Words that report speech, and words that address somebody, in the languages at hand.
 REPORTED = frozenset("said says wrote quoted called quote dit écrit cite sagte schrieb zitat dijo escribió cita".split())
 ADDRESS = frozenset("you your youre du dich dein ihr tu toi te vous votre usted ustedes tú".split())
 
 
+def tokens_of(text: str | None) -> list[str]:
+    """Words and quotation marks of a whole text, lower-cased. A run of an unspaced script gives what follows each letter."""
+    found = TOKEN.findall((text or "").lower())
+    if not UNSPACED.search(text or ""):
+        return found
+    out = []
+    for w in found:
+        out += [w[i : i + LONGEST] for i in range(len(w))] if UNSPACED.search(w) else [w]
+    return out
+
+
+def beginnings(w: str) -> set[str]:
+    """What may be learned of a word: its beginnings, and itself."""
+    if UNSPACED.match(w):
+        return {w[:k] for k in range(1, min(LONGEST_UNSPACED, len(w)) + 1)}
+    return {w, *(w[:k] for k in range(3, min(LONGEST, len(w)) + 1))}
+
+
 class Automaton:
     """All words that begin, up to one edit, with a term: the trie of the terms and the Levenshtein automaton walked
     together. Its states are sets of (trie node, edits), made when a word first needs them. Terms of fewer than five
-    letters allow no edit."""
+    letters allow no edit; those of fewer than three are whole words, but in unspaced scripts."""
 
     def __init__(self, terms: list[str]) -> None:
         self.child: list[dict[str, int]] = [{}]
@@ -43,6 +65,7 @@ class Automaton:
                 self.edits[node] = max(self.edits[node], int(len(t) >= 5))
             self.term[node] = k
         self.lengths = [len(t) for t in terms]
+        self.whole = [len(t) < 3 and not UNSPACED.match(t) for t in terms]
         self.number: dict[frozenset, int] = {frozenset(): 0}
         self.sets, self.hits, self.step = [frozenset()], [None], [{}]
         self.start = self._state({(0, 0)})
@@ -78,14 +101,14 @@ class Automaton:
     def match(self, word: str) -> tuple[int, int] | None:
         """(edits, term) of the nearest term that the word begins with, the first of several."""
         state, best = self.start, None
-        for c in word:
+        for at, c in enumerate(word, 1):
             step = self.step[state]
             if c not in step:
                 step[c] = self._next(state, c)
             state = step[c]
             if state == 0:
                 break
-            if (hit := self.hits[state]) is not None and (best is None or hit < best):
+            if (hit := self.hits[state]) is not None and (best is None or hit < best) and (at == len(word) or not self.whole[hit[1]]):
                 best = hit
         return best
 
@@ -95,7 +118,7 @@ class Model:
     terms: list[str]
     worth: list[float]
     vague: list[float]
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(5))
+    weights: np.ndarray = field(default_factory=lambda: np.array([0.0, 0.0, 0.0, 0.0, -np.inf]))
     _known: dict = field(default_factory=dict)
     _automaton: Automaton | None = None
 
@@ -106,7 +129,7 @@ class Model:
         """The tokens of a whole text, and of those that are near a term: place, edits and term."""
         if self._automaton is None:
             self._automaton = Automaton(self.terms)
-        tokens, known = TOKEN.findall((text or "").lower()), self._known
+        tokens, known = tokens_of(text), self._known
         if len(known) > 400_000:
             known.clear()
         for w in set(tokens).difference(known):
@@ -134,6 +157,9 @@ class Model:
         return [np.log1p(abuse), np.log1p(quoted), most, np.log1p(100 * abuse / max(20, len(tokens))), 1.0]
 
     def score(self, texts: list[str | None]) -> np.ndarray:
+        """0 to 1, higher if the text is likelier toxic; 0 for all texts if nothing was learned."""
+        if self.weights[4] == -np.inf:
+            return np.zeros(len(texts))
         return 1 / (1 + np.exp(-np.clip(np.array([self.features(t) for t in texts]).reshape(-1, 5) @ self.weights, -30, 30)))
 
 
@@ -146,10 +172,9 @@ def lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> Model
     chosen: dict[str, float] = {}
     for term in sorted(rated.keys() - grown, key=lambda x: (len(x), x)):
         odds = min(rated[term][1], 6.0)
-        if odds > 2.5 + max([0.0, *(chosen[term[:k]] - 1.8 for k in range(3, len(term)) if term[:k] in chosen)]):
+        if odds > 2.5 + max([0.0, *(chosen[term[:k]] - 1.8 for k in range(1, len(term)) if term[:k] in chosen)]):
             chosen[term] = odds
-    best = sorted(chosen, key=lambda x: (-np.sqrt(rated[x][0]) * chosen[x], x))[:TERMS]
-    best.sort(key=lambda x: (-chosen[x], x))
+    best = sorted(chosen, key=lambda x: (-chosen[x], x))
     return Model(best, [chosen[x] for x in best], [chosen[x] / 2 for x in best])
 
 
@@ -168,7 +193,8 @@ def regress(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1e-2
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", toxic: str = "toxic", toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
     """Learns terms and weights from a sample of the labelled rows, bounded by toxic_rows and clean_rows and chosen by a
-    hash of the key. Null keys and labels are passed over; a key with several labels counts as its highest one."""
+    hash of key and text. Null keys and labels are passed over; a key with several labels counts as its highest one; rows
+    that agree in key and text count once. All terms of the sample that tell the two kinds apart are learned."""
     own = labels.where(F.col(key).isNotNull() & F.col(toxic).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(toxic).cast("int").alias("y"))
     own = cut(own, "labels")
     n = {r["y"]: r["count"] for r in own.where("y in (0, 1)").groupBy("y").count().collect()}
@@ -177,14 +203,16 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     place = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("_key")), F.lit(1 << 40))
     picked = own.where(((F.col("y") == 1) & (place < int(share[1] * (1 << 40)))) | ((F.col("y") == 0) & (place < int(share[0] * (1 << 40)))))
     # at most toxic_rows + clean_rows rows but for chance, so it may be broadcast
-    sample = cut(docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(picked), "_key").select("y", "text"), "sample")
+    joined = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(picked), "_key").select("y", F.xxhash64("_key", "text").alias("h"), "text")
+    # a key may have any number of texts; the first bound, a constant, is kept by each task before the exchange
+    placed = joined.dropDuplicates(["y", "h"]).withColumn("k", F.row_number().over(W.partitionBy("y").orderBy("h"))).where(F.col("k") <= max(toxic_rows, clean_rows))
+    sample = cut(placed.where(F.col("k") <= F.when(F.col("y") == 1, toxic_rows).otherwise(clean_rows)).select("y", "text"), "sample")
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             by: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = {w for w in TOKEN.findall((t or "").lower()) if len(w) > 2}
-                by[y].update({w[:k] for w in words for k in range(3, min(13, len(w) + 1))})
+                by[y].update(set().union(*map(beginnings, set(tokens_of(t)) - MARKS)))
             terms = list(by[1])  # what no toxic row has is of no use
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([by[1][t] for t in terms], pa.int64()), pa.array([by[0][t] for t in terms], pa.int64())], ["term", "t", "c"])
             rest = [t for t in by[0] if t not in by[1]]
@@ -195,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     # so many toxic rows that chance gives none of ten million terms all of them
     least = max(3, int(np.ceil(np.log(1e7) / np.log(1 + (rows.get(0, 0) + 1) / max(1, rows.get(1, 0))))))
     odds = F.col("t") / max(1, rows.get(1, 0)) > 5 * F.col("c") / max(1, rows.get(0, 0))
-    counts = sums.where((F.col("t") >= least) & odds).orderBy(F.desc("t"), "term").limit(20 * TERMS).collect()
+    counts = sums.where((F.col("t") >= least) & odds).collect()
     model = lexicon([tuple(r) for r in counts], rows.get(1, 0), rows.get(0, 0))
     if not rows:
         return model
@@ -226,8 +254,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of docs (all, if None) with score (0 to 1) and predicted (score >= 0.5) for each whole text.
 
-    Null and empty texts meet no term and get the score of such texts. An added column replaces one of docs with its
-    name. No row moves. With nothing learned, all scores are 0.5.
+    Null and empty texts meet no term and get the score of such texts; equal texts, and so repeated rows, get equal
+    scores; texts of any length are read whole. An added column replaces one of docs with its name. No row moves. With
+    nothing learned, all scores are 0, so no text is called toxic.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.drop("predicted")
