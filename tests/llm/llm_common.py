@@ -1,4 +1,4 @@
-"""A small table with all that is awkward, and plain versions to compare with."""
+"""A small table with all that is awkward."""
 
 from pyspark.sql import functions as F
 
@@ -19,7 +19,7 @@ ROWS = [
     (None, "The cat sat on the mat and the dog lay on the rug near the old red door.", "en", "a"),
     (None, None, None, None),
 ]
-CLASHES = ["key", "fp", "_row", "_key", "block", "bucket", "n_words", "score", "_in", "_size", "_hash", "_bucket", "c0", "h", "g", "count", "_text"]
+CLASHES = ["key", "fp", "_row", "_key", "block", "bucket", "n_words", "score", "_in", "_size", "_hash", "_bucket", "c0", "h", "g", "count", "_text", "_shard", "_slot", "_kept", "_in", "_source", "known", "hits", "many", "_k", "_t"]
 SCHEMA = "doc_id long, text string, lang string, source string"
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from ledgerleaf.llm import simhash as H
+from ledgerleaf.llm import near_sets as N, simhash as H
 from ledgerleaf.llm.components import components
 from ledgerleaf.llm.exact_dedup import exact_dedup
 from ledgerleaf.llm.substring_dedup import repeated_words
@@ -98,9 +98,19 @@ def test_removed_words_in_many_blocks(spark, monkeypatch):
     from ledgerleaf.llm import substring_dedup as S
 
     monkeypatch.setattr(S, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(S, "CHUNK_BYTES", 300)
     assert got_removed(repeated_words(awkward(spark))) == plain_removed(ROWS, 20)
 
 
+def test_wholly_equal_rows_are_judged_once(spark, monkeypatch):
+    from ledgerleaf.llm import substring_dedup as S
+
+    monkeypatch.setattr(S, "BLOCK_BYTES", 4000)
+    text = " ".join(f"r{i}" for i in range(60))
+    rows = [(None, text, None, None)] * 300 + [(7, text, None, None)] * 200 + [(3, "x " + text[:150], None, None)] + [(i, f"alone {i}", None, None) for i in range(50)]
+    assert got_removed(repeated_words(spark.createDataFrame(rows, SCHEMA).repartition(4))) == plain_removed(rows, 20)
+
+
 def test_kept_text_and_empty(spark):
     row = repeated_words(spark.createDataFrame([(1, "a b  c", None, None)], SCHEMA), with_text=True).first()
     assert row["kept_text"] == "a b c"
@@ -156,9 +166,10 @@ def test_near_copies_of_the_table(spark, sf):
     check_near(spark, docs, [tuple(r) for r in docs.select("doc_id", "text").collect()])
 
 
-@pytest.mark.parametrize("leaf", [16, 4096])
-def test_trees_lose_no_link(spark, monkeypatch, leaf):
+@pytest.mark.parametrize(("leaf", "large"), [(16, 1 << 16), (4096, 1 << 16), (64, 100)])
+def test_trees_lose_no_link(spark, monkeypatch, leaf, large):
     monkeypatch.setattr(H, "LEAF", leaf)
+    monkeypatch.setattr(H, "LARGE", large)
     rng = np.random.default_rng(leaf)
     base = rng.integers(0, 2**64, 600, dtype=np.uint64)
     values = [base]
@@ -169,7 +180,9 @@ def test_trees_lose_no_link(spark, monkeypatch, leaf):
         values.append(base ^ flip)
     centre = np.uint64(12345)
     ball = np.array([centre ^ (np.uint64(1) << np.uint64(a)) ^ (np.uint64(1) << np.uint64(b)) for a in range(40) for b in range(a)], np.uint64)
-    fp = np.unique(np.concatenate([*values, ball]))
+    half = rng.integers(0, 2**32, 700, dtype=np.uint64) | np.uint64(77 << 32)
+    half = np.concatenate((half, half ^ np.uint64(5), half << np.uint64(32) | np.uint64(9)))
+    fp = np.unique(np.concatenate([*values, ball, half]))
     prints = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long").repartition(3)
     links = H.near_links(prints, len(fp)).collect()
     near = np.argwhere(np.triu(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3, 1))
@@ -178,6 +191,25 @@ def test_trees_lose_no_link(spark, monkeypatch, leaf):
     assert len(links) < 40 * len(fp)
 
 
+def test_a_large_leaf_of_equal_halves(monkeypatch):
+    rng = np.random.default_rng(1)
+    fp = np.unique(rng.integers(0, 1 << 32, 30_000, dtype=np.uint64) | np.uint64(77 << 32))
+    got, want = H.Sets(len(fp)), H.Sets(len(fp))
+    low = (1 << 32) - 1
+    H.link(fp, np.arange(len(fp)), np.zeros(0, np.int64), low << 32, 1, low, 3, got, np.random.default_rng(3))
+    for a in range(0, len(fp), 512):
+        i, j = np.nonzero(np.bitwise_count(fp[a : a + 512, None] ^ fp[None, :]) <= 3)
+        want.join(i + a, j)
+    names = [np.unique(x.find(np.arange(len(fp))), return_inverse=True)[1] for x in (got, want)]
+    assert np.array_equal(*names)
+
+
+def test_simhash_query(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r["fingerprint"] for r in H.op7_simhash(spark, sf).collect()}
+    assert got == {r["doc_id"]: f"{plain_fingerprint(r['text']):016x}" for r in rows}
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 200 + i) for i in range(300)] + [(7, 7), (500, 499), (499, 500)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
@@ -187,7 +219,12 @@ def test_components_of_chains_and_stars(spark):
 
 def test_one_of_each_group_stays(spark):
     kept = H.near_dedup(awkward(spark))
-    assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted({r["component"] for r in H.simhash_components(awkward(spark)).collect() if r["component"] is not None})
+    rows = [(k, t) for k, t, *_ in ROWS]
+    root, _ = plain_near_roots(rows)
+    least = {}
+    for i, (k, t) in enumerate(rows):
+        least[root[i]] = min(least.get(root[i], (True, 0, "")), (k is None, k or 0, t or ""))
+    assert sorted(repr((r["doc_id"], r["text"] or "")) for r in kept.collect()) == sorted(repr((None if n else k, t)) for n, k, t in least.values())
     assert kept.columns == awkward(spark).columns
     assert H.near_dedup(empty(spark)).count() == 0
 
@@ -233,7 +270,10 @@ def planted(seed):
     return [(i, " ".join(w)) for i, w in enumerate(out)]
 
 
-def test_near_copies_are_found_by_jaccard(spark):
+@pytest.mark.parametrize(("block", "head"), [(384, 512), (3, 40)])
+def test_near_copies_are_found_by_jaccard(spark, monkeypatch, block, head):
+    monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "HEAD", head)
     rows = planted(3)
     root, near = plain_near_roots(rows)
     prints = [plain_fingerprint(t) for _, t in rows]

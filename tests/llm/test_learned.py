@@ -1,6 +1,7 @@
 """Operators 1 and 3: held-out accuracy, what may be learned from, and the automaton against edit distance."""
 
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def test_kernel_regression_is_multiplied_out_rightly():
 
 def test_language_of_awkward_rows(spark):
     got = L.predict(awkward(spark), L.fit(awkward(spark)))
-    assert got.columns == [c for c in awkward(spark).columns if c != "score"] + ["lang_pred", "score", "known"] and got.count() == len(ROWS)
+    assert got.columns == [c for c in awkward(spark).columns if c not in ("score", "known")] + ["lang_pred", "score", "known"] and got.count() == len(ROWS)
     by = {r["doc_id"]: r for r in got.where("doc_id is not null").collect()}
     assert all(by[i]["lang_pred"] == "und" and by[i]["score"] == 0 for i in (3, 4, 5, 6)) and by[9]["lang_pred"] == "de"
     assert L.predict(empty(spark), L.fit(empty(spark))).count() == 0
@@ -52,6 +53,36 @@ def test_language_of_awkward_rows(spark):
     assert sorted(r["doc_id"] for r in L.known_language(awkward(spark)).where("doc_id is not null").collect()) == [1, 2, 7, 8, 9, 10, 11, 11]
 
 
+def test_language_stage_uses_the_classifier(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    other = spark.createDataFrame([(-1, "привет как дела сегодня у вас всё хорошо"), (-2, "漢字かな交じり文です"), (-3, "12 34"), (-4, None)], "doc_id long, text string")
+    rows = docs.unionByName(other, allowMissingColumns=True)
+    kept = L.known_language(rows).select("doc_id").collect()
+    assert len(kept) == docs.count() and all(r["doc_id"] >= 0 for r in kept)
+    # without labels, texts with letters stay
+    bare = L.known_language(other.withColumn("lang", F.lit(None).cast("string")))
+    assert sorted(r["doc_id"] for r in bare.collect()) == [-2, -1]
+
+
+def test_language_sample_of_repeated_and_null_ids(spark):
+    texts = [("en", f"the house number {i} and the garden of the old man") for i in range(300)] + [("de", f"das haus nummer {i} und der garten von dem alten mann") for i in range(300)]
+    docs = spark.createDataFrame([(None if i % 2 else 5, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = L.fit(docs, sample_rows=40)
+    assert model.languages == ["de", "en"] and model.predict(["the garden", "der garten"])[0] == ["en", "de"]
+    many = spark.createDataFrame([(i, f"word{i} text", f"l{i:03d}") for i in range(60)], "doc_id long, text string, lang string")
+    assert len(L.fit(many, sample_rows=20).languages) == 20
+
+
+def test_language_query(spark, sf):
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = L.op1_language_id(spark, sf).collect()
+    langs = {r["lang"] for r in docs.values()} - {None}
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1
+        assert r["lang_pred"] in langs if any(map(str.isalpha, docs[r["doc_id"]]["text"] or "")) else r["lang_pred"] == "und"
+
+
 def test_toxicity_held_out(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = X.op3_toxicity(spark, SF).join(labels, "doc_id").where("held_out").toPandas()
@@ -80,6 +111,67 @@ def test_automaton_is_edit_distance_of_beginnings():
         assert machine.match(word) == (min(ok) if ok else None), word
 
 
+def plain_features(text, model):
+    """The features by edit distance, word by word."""
+    tokens, hits = X.tokens_of(text), []
+    for i, w in enumerate(tokens):
+        near = [(min(distance(t, w[:k]) for k in ([len(w)] if len(t) < 3 else range(len(w) + 1))), k) for k, t in enumerate(model.terms)]
+        if ok := [(e, k) for e, k in near if e <= int(len(model.terms[k]) >= 5)]:
+            e, k = min(ok)
+            if (worth := (model.vague if e else model.worth)[k]) > 0:
+                hits.append((i, worth))
+    abuse = quoted = most = 0.0
+    for i, worth in hits:
+        near = tokens[max(0, i - 8) : i + 9]
+        if sum(w in X.MARKS for w in tokens[:i]) % 2 or X.REPORTED & set(near):
+            quoted += worth
+            continue
+        before, after = [i - j for j, _ in hits if j < i], [j - i for j, _ in hits if j > i]
+        worth *= 1 + 0.25 * (bool(before) and min(before) <= 8) + 0.25 * (bool(after) and min(after) <= 8) + 0.5 * bool(X.ADDRESS & set(near))
+        abuse, most = abuse + worth, max(most, worth)
+    return [np.log1p(abuse), np.log1p(quoted), most, np.log1p(100 * abuse / max(20, len(tokens))), 1.0]
+
+
+def test_features_and_score_against_a_plain_version():
+    rng = random.Random(6)
+    model = X.Model(["worthless", "scum", "xy", "idiot"], [5.0, 4.0, 3.0, 2.0], [2.5, 1.0, 1.0, -1.0], np.array([0.7, -0.4, 0.3, 0.2, -2.0]))
+    pool = ["worthless", "worthles", "wortless", "worthlessly", "scum", "skum", "scummy", "xy", "xyz", "idiot", "idiiot", "you", "said", "“", "”", '"', "plain", "text", "and", "more"]
+    texts = [" ".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(150)] + [None, ""]
+    for t in texts:
+        want = plain_features(t, model)
+        assert np.allclose(model.features(t), want)
+        assert np.isclose(model.score([t])[0], 1 / (1 + np.exp(-np.dot(want, model.weights))))
+
+
+def test_terms_of_any_number_length_and_script(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    bad, plain = [word() for _ in range(500)] + ["verylongtoxicterm" + "abcdefgh", "qz", "毒語"], [word() for _ in range(500)]
+    rows, labels = [], []
+    for i in range(3000):
+        y = i % 2
+        own = rng.choices(plain, k=8) + ([bad[(i // 2 * 12 + k) % len(bad)] for k in range(12)] if y else [])
+        rows.append((i, " ".join(own) if "毒語" not in own else " ".join(own).replace("毒語", "文毒語文")))
+        labels.append((i, y))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = X.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len(model.terms) > 400
+    scores = model.score([f"{rng.choice(plain)} {w}" for w in ("qz", "漢字毒語文", bad[3], bad[500])] + [" ".join(plain[:5]), "qzq"])
+    assert (scores[:4] > 0.5).all() and (scores[4:] < 0.5).all()
+
+
+def test_nothing_learned_calls_no_text_toxic(spark):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    rows = X.score(awkward(spark), X.fit(awkward(spark).select("doc_id", "text"), none)).collect()
+    assert {(r["score"], r["predicted"]) for r in rows} == {(0.0, 0)}
+
+
+def test_a_key_with_many_texts_does_not_widen_the_sample(spark):
+    docs = spark.createDataFrame([(1, f"text {i} here") for i in range(500)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert isinstance(X.fit(docs, labels, toxic_rows=20, clean_rows=20), X.Model)
+
+
 def test_misspelled_and_quoted():
     model = X.Model(["worthless", "scum"], [5.0, 5.0], [2.5, 2.5], np.array([2.0, 0.0, 0.0, 0.0, -3.0]))
     score = lambda t: float(model.score([t])[0])
