@@ -16,10 +16,13 @@ from .text import clean_text, drop_embedded_pdf, drop_text_tables, flatten_text_
 
 # Fixed values of HTML: elements without content, and what ends where another one starts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+CELLS = frozenset("td th".split())
 ENDS = {
-    "p": frozenset("address article blockquote center dir div dl fieldset form h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul".split()),
+    "p": frozenset("address article blockquote center dir div dl fieldset form h1 h2 h3 h4 h5 h6 hr menu ol p pre table td th tr ul".split()),
     "li": frozenset({"li"}), "dd": frozenset({"dd", "dt"}), "dt": frozenset({"dd", "dt"}), "option": frozenset({"option"}),
     "td": frozenset({"td", "th", "tr", "tbody", "thead", "tfoot"}), "th": frozenset({"td", "th", "tr", "tbody", "thead", "tfoot"}), "tr": frozenset({"tr", "tbody", "thead", "tfoot"}),
+    "a": CELLS | {"a", "fieldset", "table"}, "b": CELLS | {"center", "p"}, "font": CELLS | {"center"}, "i": CELLS | {"center", "p"}, "span": CELLS, "u": CELLS | {"p"},
+    "big": frozenset({"p"}), "s": frozenset({"p"}), "small": frozenset({"p"}), "strike": frozenset({"p"}), "tt": frozenset({"p"}),
 }
 # Backgrounds that do not count as a colour.
 PLAIN = frozenset({"none", "transparent", "#ffffff", "#fff", "white"})
@@ -31,6 +34,11 @@ _CLOSERS = (
 )
 
 
+#: A declaration of a style: semicolons in parentheses and quotes do not end it. What may stand behind its value.
+_DECLARATION = re.compile(r"""(?:[^;("']|\([^)]*\)|"[^"]*"|'[^']*'|[("'])+""")
+_IMPORTANT = re.compile(r"\s*!\s*important\s*$", re.IGNORECASE)
+
+
 class _Data(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -62,7 +70,7 @@ def clean(text: str) -> str:
 
 class Node:
     def __init__(self, tag: str, attrs: dict[str, str] | None = None, up: Node | None = None) -> None:
-        self.tag, self.attrs, self.up, self.inside = tag, attrs or {}, up, []
+        self.tag, self.attrs, self.up, self.inside, self.bare = tag, attrs or {}, up, [], False
 
     def all(self) -> Iterator[Node]:
         todo = [self]
@@ -107,6 +115,8 @@ class _Tree(HTMLParser):
         self.root = self.at = Node("")
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.at.bare and tag in ENDS["p"]:
+            self.at = self.at.up
         while self.at.tag in ENDS and tag in ENDS[self.at.tag]:
             self.at = self.at.up
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
@@ -125,6 +135,10 @@ class _Tree(HTMLParser):
             self.at = node.up
 
     def handle_data(self, data: str) -> None:
+        if self.at is self.root and data.strip():  # text outside of all elements is a paragraph
+            self.at = Node("p", up=self.root)
+            self.at.bare = True
+            self.root.inside.append(self.at)
         self.at.inside.append(data)
 
 
@@ -140,9 +154,9 @@ def coloured(cell: Node) -> bool:
     if "bgcolor" in cell.attrs and cell.attrs["bgcolor"].lower() not in PLAIN:
         return True
     style: dict[str, str] = {}
-    for part in cell.attrs.get("style", "").split(";"):
+    for part in _DECLARATION.findall(cell.attrs.get("style", "")):
         name, _, value = part.partition(":")
-        style[name.strip().lower()] = value.strip().lower()
+        style[name.strip().lower()] = _IMPORTANT.sub("", value).strip().lower()
     return any((v := style.get(k)) and v not in PLAIN for k in ("background", "background-color"))
 
 

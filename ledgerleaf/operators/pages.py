@@ -2,57 +2,185 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import re
+from collections.abc import Iterator
+from html import unescape
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.batches import with_helper
-from ..functions.markup import Node, tree
+from ..sources.scratch import cut
 from . import index as I
 
 SITE = "https://www.sec.gov"
 DOCUMENTS = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("description", "href", "type")]))
-
-
-def _last(html: Column, head: str) -> Column:
-    """The text of the div.info after the last div.infoHead with this text."""
-    found = F.regexp_extract_all(html, F.lit(rf'(?s)<div class="infoHead">{head}</div>\s*<div class="info">([^<]*)</div>'), F.lit(1))
-    return F.try_element_at(found, F.lit(-1))
+FACTS = T.StructType([*[T.StructField(c, T.StringType()) for c in ("filed", "period", "inc", "end", "sic")], T.StructField("documents", DOCUMENTS)])
+COMPANY = T.StructType([T.StructField(c, T.StringType()) for c in ("name", "sic", "location", "inc", "end")])
+# Labels and names that the pages use.
+FILED, PERIOD, INC, END = "Filing Date", "Period of Report", ("State of Inc.", "State of Incorp.", "State of Incorporation."), "Fiscal Year End"
+TABLE, WHOLE = "Document Format Files", "Complete submission text file"
+
+_TAG = re.compile(r"""<!--.*?-->|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
+_ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+
+
+def _attrs(text: str) -> dict[str, str]:
+    return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(text)}
+
+
+def _events(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
+    """(kind, name or text, attributes) of a page: "open", "shut" and "text", references resolved."""
+    at = 0
+    for m in _TAG.finditer(html):
+        if m.start() > at:
+            yield "text", unescape(html[at : m.start()]), {}
+        at = m.end()
+        if m[2]:
+            yield ("shut" if m[1] else "open"), m[2].lower(), _attrs(m[3]) if m[3] else {}
+    if at < len(html):
+        yield "text", unescape(html[at:]), {}
+
+
+class _Held:
+    """An element whose text is gathered: its pieces in order, and its links as (address, text)."""
+
+    def __init__(self, tag: str, mark: str, href: str = "") -> None:
+        self.tag, self.mark, self.href, self.depth, self.pieces, self.links = tag, mark, href, 1, [], []
+
+    def text(self) -> str:
+        return "".join(self.pieces)
+
+
+def _mark(name: str, attrs: dict[str, str], inside: set[str]) -> str | None:
+    """What an element is held as, if it is."""
+    classes = attrs.get("class", "").split()
+    if name == "div":
+        return next((c for c in ("infoHead", "info", "companyInfo") if c in classes), None)
+    if name == "p" and "identInfo" in classes:
+        return "ident"
+    if name == "span" and "companyName" in classes:
+        return "name"
+    if name == "table":
+        return "documents" if attrs.get("summary") == TABLE else None
+    if name in ("tr", "td", "th") and "documents" in inside:
+        return "row" if name == "tr" else "cell"
+    return "link" if name == "a" and inside & {"ident", "companyInfo", "cell"} else None
+
+
+def _elements(html: str) -> Iterator[tuple[_Held, list[_Held]]]:
+    """The held elements of a page in the order of their ends, each with those around it. Cells, rows and paragraphs that
+    are left open end where the next one starts or what is around them ends."""
+    held: list[_Held] = []
+
+    def ended(at: int) -> Iterator[tuple[_Held, list[_Held]]]:
+        while len(held) > at:
+            one = held.pop()
+            yield one, held
+
+    for kind, name, attrs in _events(html):
+        if kind == "text":
+            for h in held:
+                h.pieces.append(name)
+            continue
+        if kind == "open":
+            ends = {"td": ("cell",), "th": ("cell",), "tr": ("cell", "row"), "p": ("ident",)}.get(name, ())
+            first = next((i for i, h in enumerate(held) if h.mark in ends), len(held))
+            yield from ended(first)
+            for h in held:
+                h.depth += h.tag == name
+            if mark := _mark(name, attrs, {h.mark for h in held}):
+                held.append(_Held(name, mark, attrs.get("href", "")))
+            continue
+        for i, h in enumerate(held):
+            if h.tag == name:
+                h.depth -= 1
+                if h.depth == 0:
+                    yield from ended(i)
+                    break
+    yield from ended(0)
+
+
+def _page(html: str | None) -> dict | None:
+    """H1, H2 and H3 of one index page, in one scan."""
+    if html is None:
+        return None
+    out: dict = dict.fromkeys(FACTS.names)
+    head, ident, cells, rows = None, None, [], None
+    for h, around in _elements(html):
+        marks = [x.mark for x in around]
+        if h.mark == "infoHead":
+            head = h.text().strip()
+        elif h.mark == "info":
+            if head == FILED:
+                out["filed"] = h.text()
+            elif head == PERIOD:
+                out["period"] = h.text()
+            head = None
+        elif h.mark == "link":
+            for x in around:
+                x.links.append((h.href, h.text()))
+        elif h.mark == "ident":
+            if out["sic"] is None:
+                out["sic"] = next((text for href, text in h.links if "SIC" in href), None)
+            if ident is None and "companyInfo" in marks:
+                ident = h.text()
+        elif h.mark == "cell":
+            cells.append(h)
+        elif h.mark == "row":
+            rows = [] if rows is None else rows
+            rows.append(cells)
+            cells = []
+        elif h.mark == "documents" and out["documents"] is None:
+            out["documents"] = [{"description": c[1].text(), "href": c[2].links[0][0] if c[2].links else None, "type": c[3].text()} for c in (rows or [])[1:] if len(c) >= 4]
+    for part in (ident or "").split("|"):
+        name, _, value = part.partition(":")
+        if name.strip() in INC:
+            out["inc"] = value.split(":")[0].strip()
+    if m := re.search(rf"{END}: *(\d{{4}})", ident or ""):
+        out["end"] = m[1]
+    return out
+
+
+def _company(html: str | None) -> dict | None:
+    """H4 of one company page."""
+    if html is None:
+        return None
+    out: dict = dict.fromkeys(COMPANY.names)
+    for h, _ in _elements(html):
+        if h.mark == "name" and out["name"] is None:
+            out["name"] = (h.pieces[0].strip() if h.pieces else "") or None
+        elif h.mark == "link":
+            for key, sign in (("sic", ";SIC="), ("location", ";State=")):
+                if out[key] is None and sign in h.href:
+                    out[key] = h.text().strip() or None
+        elif h.mark == "companyInfo":
+            for i, piece in enumerate(h.pieces):
+                if "State of Inc" in piece and out["inc"] is None and i + 1 < len(h.pieces):
+                    out["inc"] = h.pieces[i + 1].strip() or None
+                if END in piece and out["end"] is None:
+                    out["end"] = (piece.split(END)[1].split() or [None])[-1]
+    return out
+
+
+def page_facts(pages: DataFrame) -> DataFrame:
+    """H1, H2 and the part of H3 that reads markup: adds the struct facts (filed, period, inc, end, sic, documents); null for
+    a page without a body. Entities are resolved; nested elements, other quotes and more attributes do not matter."""
+    return with_helper(pages, "facts", FACTS, _page, "html")
 
 
 def page_dates(pages: DataFrame) -> DataFrame:
-    """H1: adds `Filing Date` and `Period of Report`."""
-    return pages.withColumns({"Filing Date": _last(F.col("html"), "Filing Date"), "Period of Report": _last(F.col("html"), "Period of Report")})
+    """H1: adds `Filing Date` and `Period of Report`, the text of the div.info after the last head of that name."""
+    return page_facts(pages).withColumns({FILED: F.col("facts.filed"), PERIOD: F.col("facts.period")}).drop("facts")
 
 
 def page_company_facts(pages: DataFrame) -> DataFrame:
     """H2: adds State of Inc, Fiscal Year End and SIC; the state of location is never on an index page."""
-    info = F.regexp_extract("html", r'(?s)<div class="companyInfo">.*?<p class="identInfo">(.*?)</p>', 1)
-    words = F.regexp_replace(info, "<[^>]*>", "")
-    parts = F.transform(F.split(words, r"\|"), lambda p: F.split(p, ":"))
-    inc = F.filter(parts, lambda p: F.trim(p[0]).isin("State of Incorp.", "State of Inc.", "State of Incorporation."))
-    null = lambda c: F.when(c != "", c)
-    sic = F.regexp_extract("html", r'(?s)class="identInfo".*?<a[^>]*href="[^"]*SIC[^"]*"[^>]*>([^<]*)</a>', 1)
-    return pages.withColumns({"State of Inc": F.trim(F.try_element_at(inc, F.lit(-1))[1]), "Fiscal Year End": null(F.regexp_extract(words, r"Fiscal Year End: *(\d{4})", 1)), "SIC": null(sic)})
-
-
-def _document_rows(html: str | None) -> list[dict] | None:
-    """The rows after the header of the table of document files: description, link and type."""
-    if html is None:
-        return None
-    for table in tree(html).all():
-        if table.tag == "table" and table.attrs.get("summary") == "Document Format Files":
-            out = []
-            for row in [n for n in table.all() if n.tag == "tr"][1:]:
-                cells = [n for n in row.inside if isinstance(n, Node) and n.tag in ("td", "th")]
-                if len(cells) >= 4:
-                    link = next((n.attrs.get("href") for n in cells[2].all() if n.tag == "a"), None)
-                    out.append({"description": cells[1].text(), "href": link, "type": cells[3].text()})
-            return out
-    return None
+    return page_facts(pages).withColumns({"State of Inc": F.col("facts.inc"), END: F.col("facts.end"), "SIC": F.col("facts.sic")}).drop("facts")
 
 
 def page_documents(pages: DataFrame) -> DataFrame:
-    """H3, the part that reads markup: adds documents."""
-    return with_helper(pages, "documents", DOCUMENTS, _document_rows, "html")
+    """H3, the part that reads markup: adds documents, the rows after the header of the table of document files."""
+    return page_facts(pages).withColumn("documents", F.col("facts.documents")).drop("facts")
 
 
 def choose_links(df: DataFrame, types: list[str]) -> DataFrame:
@@ -60,7 +188,7 @@ def choose_links(df: DataFrame, types: list[str]) -> DataFrame:
     search. Adds htm_file_link, complete_text_file_link (as it was, if none is found) and document_type."""
     wanted = lambda d: d["type"].isin(types)
     htm = lambda d: wanted(d) & F.substring_index(d["href"], ".", -1).isin("htm", "html")
-    whole = lambda d: ~wanted(d) & (d["description"] == "Complete submission text file")
+    whole = lambda d: ~wanted(d) & (d["description"] == WHOLE)
     stop = F.try_element_at(F.filter("documents", lambda d: htm(d) | whole(d)), F.lit(1))
     seen = F.try_element_at(F.filter("documents", wanted), F.lit(-1))["type"]
     link = F.concat(F.lit(SITE), F.col("_stop.href"))
@@ -73,27 +201,29 @@ def choose_links(df: DataFrame, types: list[str]) -> DataFrame:
 
 def company_facts(pages: DataFrame) -> DataFrame:
     """H4: (CIK, Company Name, SIC, State location, State of Inc, Fiscal Year End) from company pages (cik, html)."""
-    get = lambda p: F.regexp_extract("html", p, 1)
-    null = lambda c: F.when(c != "", c)
-    return pages.select(
-        F.col("cik").alias("CIK"),
-        null(F.trim(get(r'<span class="companyName">([^<]*)'))).alias("Company Name"),
-        null(get(r'<a[^>]*;SIC=[^>]*>([^<]*)</a>')).alias("SIC"),
-        null(get(r'<a[^>]*;State=[^>]*>([^<]*)</a>')).alias("State location"),
-        null(get(r"State of Inc[^<]*<[^>]*>([^<]*)<")).alias("State of Inc"),
-        null(get(r"Fiscal Year End[^<]*?([^\s<]+)\s*<")).alias("Fiscal Year End"),
-    )
+    rows = with_helper(pages.select(F.col("cik").alias("CIK"), "html"), "facts", COMPANY, _company, "html")
+    return rows.select("CIK", F.col("facts.name").alias("Company Name"), F.col("facts.sic").alias("SIC"), F.col("facts.location").alias("State location"), F.col("facts.inc").alias("State of Inc"), F.col("facts.end").alias(END))
 
 
 def enrich_index(index: DataFrame, pages: DataFrame, company_pages: DataFrame, types: list[str]) -> tuple[DataFrame, DataFrame]:
-    """H5: index rows with all facts, link and filename; and the rejects (index row and reason). Pages are parsed to short
-    columns before the join."""
-    facts = page_documents(page_company_facts(page_dates(I.drop_throttled_pages(pages)))).select("url", F.col("Filing Date").alias("_filed"), F.col("Period of Report").alias("_period"), F.col("State of Inc").alias("_inc"), F.col("Fiscal Year End").alias("_end"), F.col("SIC").alias("_sic"), "documents")
+    """H5: index rows with all facts, link and filename; and the rejects: every other index row with its reason (no page,
+    throttled page, no period of report, no document link).
+
+    Throttled pages and those that do not name a period are told by a look for these words and not parsed; the others are
+    parsed to short columns, all facts in one scan, before the join, so no markup is shuffled. The joined rows are written
+    once, for both results."""
+    throttled = F.coalesce(F.col("html").contains(I.THROTTLED), F.lit(False))
+    looked = pages.withColumn("_throttled", throttled).withColumn("html", F.when(~throttled & F.col("html").contains(PERIOD), F.col("html")))
+    facts = page_facts(looked).select("url", "_throttled", "facts")
     rows = index.withColumnRenamed("html_index", "url").join(facts, "url", "left").withColumnRenamed("url", "html_index")
-    rows = rows.withColumns({"Filing Date": F.col("_filed"), "Period of Report": F.col("_period"), "State of Inc": F.col("_inc"), "Fiscal Year End": F.col("_end"), "SIC": F.col("_sic"), "State location": F.lit(None).cast("string")}).drop("_filed", "_period", "_inc", "_end", "_sic")
-    kept, rejected = I.require_period(rows)
-    kept = choose_links(I.fill_company_info(kept, company_facts(company_pages)), types)
-    kept = I.resolve_document_link(kept.withColumn("_found", F.col("htm_file_link").isNotNull() | F.exists("documents", lambda d: d["description"] == "Complete submission text file")))
-    name = I.filing_name(F.col("CIK"), F.col("document_type"), F.col("`Period of Report`"), F.col("complete_text_file_link"), F.col("extension"))
+    given = {FILED: "filed", PERIOD: "period", "State of Inc": "inc", END: "end", "SIC": "sic"}
+    rows = rows.withColumns({c: F.col(f"facts.{k}") for c, k in given.items()} | {"State location": F.lit(None).cast("string"), "documents": F.col("facts.documents")}).drop("facts")
+    rows = choose_links(rows, types)
+    linked = F.col("htm_file_link").isNotNull() | F.coalesce(F.exists("documents", lambda d: d["description"] == WHOLE), F.lit(False))
+    link = F.coalesce("htm_file_link", "complete_text_file_link").isNotNull()
+    reason = F.when(F.col("_throttled").isNull(), "no page").when(F.col("_throttled"), "throttled page").when(F.col(f"`{PERIOD}`").isNull(), "no period of report").when(~(linked & link), "no document link")
+    rows = cut(rows.withColumn("_reason", reason).drop("_throttled", "documents"), "enriched")
+    kept = I.resolve_document_link(I.fill_company_info(rows.where("_reason IS NULL"), company_facts(company_pages)))
+    name = I.filing_name(F.col("CIK"), F.col("document_type"), F.col(f"`{PERIOD}`"), F.col("complete_text_file_link"), F.col("extension"))
     kept = kept.withColumn("htm_file_link", F.replace("htm_file_link", F.lit("ix?doc=/"), F.lit(""))).withColumn("filename", name)
-    return kept.where("_found").drop("_found", "documents", "link", "extension", "document_type"), rejected.select("html_index", F.lit("no period of report").alias("reason"))
+    return kept.drop("_reason", "link", "extension", "document_type"), rows.where("_reason IS NOT NULL").select("html_index", F.col("_reason").alias("reason"))

@@ -10,6 +10,7 @@ from ..functions import markup as M, text as X
 from ..operators import catalog as C, index as I, pages as H, sections as S
 from ..sources import tables as R
 from ..sources.scratch import new_dir
+from ..streaming.incremental import extract_new_rows_stream
 from . import jobs, synth as Y
 
 _QUERIES: dict = {}
@@ -56,8 +57,8 @@ _lists = "CASE form " + " ".join(f"WHEN '{f}' THEN {C.ITEMS[f]!r}" for f in C.IT
 _forms = f"forms AS (SELECT *, {_lists} AS catalog FROM (SELECT *, CASE WHEN Type IN ('10-K', '10-Q') THEN Type WHEN Type = '8-K' THEN CASE WHEN Date > '2004-08-23' THEN '8-K' ELSE '8-K-old' END END AS form FROM idx))"
 _add("p10_items_for_filing", lambda s, d: C.items_for_filing(Y.index_rows(s, d), ["7", "1", "2.02", "part_1__2"]).select("k", "form", F.array_join("items", ",").alias("items"), "reject"), f"WITH {Y.INDEX}, {_forms} SELECT k, form, array_to_string(list_filter(catalog, lambda x: list_contains(['7', '1', '2.02', 'part_1__2'], x)), ',') AS items, CASE WHEN form IS NULL THEN 'unknown filing type' END AS reject FROM forms")
 _add("p11_section_key", lambda s, d: C.items_for_filing(Y.index_rows(s, d)).where("reject IS NULL").select("k", F.explode("items").alias("i")).select("k", "i", C.section_key(F.col("i")).alias("out_key")), f"WITH {Y.INDEX}, {_forms}, x AS (SELECT k, unnest(catalog) AS i FROM forms WHERE form IS NOT NULL) SELECT k, i, CASE WHEN i = 'SIGNATURE' THEN i WHEN contains(i, '__') THEN replace(i, '__', '_item_') ELSE 'item_' || i END AS out_key FROM x")
-_lines = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.transform(F.slice(F.split("text", "\n"), 1, 3), lambda x: F.struct(F.when(F.length(x) > 40, x).otherwise("").alias("section_text"))).alias("sections"))
-_add("p12_drop_empty_filings", lambda s, d: S.drop_empty_filings(_lines(s, d)).select("doc_id"), "SELECT doc_id FROM documents WHERE len(list_filter(list_slice(string_split(text, chr(10)), 1, 3), lambda x: length(x) > 40)) > 0")
+_lines = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.transform(F.split("text", "\n"), lambda x: F.struct(F.when(F.length(x) > 40, x).otherwise("").alias("section_text"))).alias("sections"))
+_add("p12_drop_empty_filings", lambda s, d: S.drop_empty_filings(_lines(s, d)).select("doc_id"), "SELECT doc_id FROM documents WHERE len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 40)) > 0")
 
 # joins and set operations
 
@@ -73,14 +74,15 @@ _add("j3_new_filings", lambda s, d: I.new_filings(Y.index_rows(s, d), _held(s, d
 _add("j4_held_filings", lambda s, d: I.held_filings(Y.metadata_rows(s, d), _listing(s, d)).select("k"), f"WITH {Y.INDEX} SELECT k FROM idx WHERE k % 5 < 3")
 _filled = 'coalesce(m.SIC, c.SIC) AS SIC, coalesce(m."State of Inc", c."State of Inc") AS inc, coalesce(m."State location", c."State location") AS loc, coalesce(m."Fiscal Year End", c."Fiscal Year End") AS fye'
 _add("j5_fill_company_info", lambda s, d: I.fill_company_info(Y.metadata_rows(s, d), Y.companies(s, d)).select("k", "SIC", F.col("State of Inc").alias("inc"), F.col("State location").alias("loc"), F.col("Fiscal Year End").alias("fye")), f"WITH {Y.META}, {Y.COMPANIES} SELECT k, {_filled} FROM meta m LEFT JOIN comp c USING (CIK)")
-_add("j6_attach_content", lambda s, d: I.attach_content(Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form").where("Type <> '8-K'")).select("filename", F.length("content").cast("long").alias("chars")).where("chars > 0").select("filename"), "SELECT doc_id || '_f.htm' AS filename FROM documents WHERE doc_id % 4 < 2")
+_add("j6_attach_content", lambda s, d: I.attach_content(Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form")).select("filename", "content"), f"WITH {Y.FILED_SQL} SELECT filename, content FROM filed")
+_add("j6_missing_content", lambda s, d: I.missing_content(Y.filing_metadata(s, d), Y.filings(s, d).where("doc_id % 3 > 0").select("Type", "filename")).select("filename"), "SELECT doc_id || '_f.htm' AS filename FROM documents WHERE doc_id % 3 = 0")
 _add("j7_pending_filings", lambda s, d: I.pending_filings(Y.metadata_rows(s, d), Y.metadata_rows(s, d).where("k % 7 = 0").select(F.col("Type").alias("filing_type"), F.regexp_replace("filename", r"\.htm", ".json").alias("filename"))).select("k"), f"WITH {Y.INDEX} SELECT k FROM idx WHERE k % 7 <> 0")
 _add("j8_attach_pages", lambda s, d: I.attach_pages(Y.index_rows(s, d), H.page_dates(Y.index_pages(s, d)).drop("html")).select("k", F.col("Filing Date").alias("filed")), f"WITH {Y.INDEX} SELECT k, Date AS filed FROM idx")
 _add("u1_union_indices", lambda s, d: I.union_indices([Y.index_rows(s, d).where(f"k % 4 = {i}") for i in range(4)]).groupBy("Type").agg(F.count("*").alias("n")), f"WITH {Y.INDEX} SELECT Type, count(*) AS n FROM idx GROUP BY Type")
 _add("u2_merge_metadata", lambda s, d: I.merge_metadata(_held(s, d).withColumn("Company", F.lit("held")), Y.metadata_rows(s, d)).select("k", "Company"), f"WITH {Y.INDEX} SELECT k, CASE WHEN k % 3 = 0 THEN 'held' ELSE Company END AS Company FROM idx")
 _add("o1_sorted_tickers", lambda s, d: R.sorted_tickers(R.tickers_of(Y.tickers(s, d))), f"WITH {Y.TICKERS} SELECT ticker, cik FROM tick ORDER BY ticker")
-_add("s7_company_tickers", lambda s, d: R.tickers_of(Y.tickers(s, d)), f"WITH {Y.TICKERS} SELECT ticker, cik FROM tick")
-_add("s8_upsert_company_info", lambda s, d: R.upsert_company_info(Y.companies(s, d).where("CIK % 2 = 0").withColumn("SIC", F.lit("held")), Y.companies(s, d)).select("CIK", "SIC"), f"WITH {Y.COMPANIES} SELECT CIK, CASE WHEN CAST(CIK AS BIGINT) % 2 = 0 THEN 'held' ELSE SIC END AS SIC FROM comp")
+_add("s7_company_tickers", lambda s, d: _tickers_file(s, d), f"WITH {Y.TICKERS} SELECT ticker, cik FROM tick")
+_add("s8_upsert_company_info", lambda s, d: _companies_file(s, d).select("CIK", F.col("Company Name").alias("name"), "SIC", F.col("State location").alias("loc")), f"WITH {Y.COMPANIES} SELECT CIK, \"Company Name\" AS name, CASE WHEN CAST(CIK AS BIGINT) % 2 <> 0 THEN SIC END AS SIC, \"State location\" AS loc FROM comp")
 _add("wl1_worklist", lambda s, d: jobs.worklist(Y.index_rows(s, d), I.archive_links(_held(s, d)), _listing(s, d), ["10-K", "10-Q", "8-K"], _ciks(s, d)).select("k"), f"WITH {Y.INDEX}, {_sql_ciks} SELECT k FROM idx WHERE Type IN ('10-K', '10-Q', '8-K') AND CIK IN (SELECT CIK FROM ciks) AND NOT (k % 3 = 0 AND k % 5 < 3)")
 
 # aggregates
@@ -95,7 +97,10 @@ _sql_catalog = "cat AS (" + " UNION ALL ".join(f"SELECT '{f}' AS form, {i} AS or
 _add("w1_next_items", lambda s, d: C.items_for_filing(Y.index_rows(s, d)).where("form IS NOT NULL").groupBy("form").agg(F.count("*").alias("filings")).join(C.next_items(C.item_catalog(s)), "form").select("form", "filings", "item_index", F.array_join("followers", ",").alias("followers")), f"WITH {Y.INDEX}, {_forms}, {_sql_catalog}, n AS (SELECT form, count(*) AS filings FROM forms WHERE form IS NOT NULL GROUP BY form) SELECT c.form, filings, c.item_index, coalesce((SELECT string_agg(b.item_index, ',' ORDER BY b.ord) FROM cat b WHERE b.form = c.form AND b.ord > c.ord), '') AS followers FROM cat c JOIN n USING (form)")
 _plain = lambda s, d: Y.filings(s, d).where("_form = '10-K'").select("doc_id", X.clean_text(F.col("content")).alias("x"))
 _heads = ["ITEM 1.", "ITEM 1A.", "ITEM 7.", "ITEM 8.", "SIGNATURE"]
-_add("w2_segment_by_headers", lambda s, d: S.segment_by_headers(_plain(s, d), "x", "doc_id").where("upper").select("doc_id", "n", "label"), "SELECT doc_id, CAST(n AS INTEGER) AS n, label FROM (SELECT doc_id FROM documents WHERE doc_id % 4 = 0), (VALUES (4, 'ITEM 1'), (5, 'ITEM 1A'), (6, 'ITEM 7'), (7, 'ITEM 8'), (8, 'SIGNATURE')) v(n, label)")
+_sql_pieces_of = f"""{Y.FILED_SQL}, cutting AS (SELECT doc_id, string_split(regexp_replace(cleaned, '(\\n[ \\t]*(?:ITEMS? *[0-9]|PART *(?:I|[0-9])|SIGNATURE))', chr(1) || '\\1', 'gi'), chr(1)) AS p FROM filed WHERE doc_id % 4 = 0),
+     segs AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, p[i] AS segment, CAST(coalesce(list_sum(list_transform(p[1 : i - 1], lambda x: length(x))), 0) AS INTEGER) AS start FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM cutting)),
+     labelled AS (SELECT *, regexp_extract(segment, '(?i)^\\n[ \\t]*(ITEMS? *[0-9A-Z.]*[0-9A-Z]|PART *[IV0-9]+|SIGNATURES?)', 1) AS l FROM segs)"""
+_add("w2_segment_by_headers", lambda s, d: S.segment_by_headers(_plain(s, d), "x", "doc_id"), f"WITH {_sql_pieces_of} SELECT doc_id, n, upper(l) AS label, l <> '' AND upper(l) = l AS upper, start, CAST(start + length(segment) AS INTEGER) AS \"end\", segment FROM labelled")
 _pieces = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 _sql_pieces = "pieces AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents)"
 _add("w3_longest_candidate", lambda s, d: S.longest_candidate(_pieces(s, d), ["doc_id"], F.length("line"), F.col("pos")).select("doc_id", F.col("pos").cast("long").alias("pos")), f"WITH {_sql_pieces} SELECT doc_id, pos FROM pieces QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(line) DESC, pos) = 1")
@@ -115,7 +120,7 @@ def _re(x: str, *rules: tuple[str, str]) -> str:
 
 _b = "[ \\t]*"
 _sql_word = lambda w: _b.join(f"({c})" for c in w)
-_t3_rules = [(rf"(\n{_b}){_sql_word('PART')}([ \t]+)((?:[0-9]{{1,2}}|[IV]{{1,2}})[AB]?)", r"\1\2\3\4\5\6\7"), (rf"(\n{_b}){_sql_word('ITEM')}([ \t]+)([0-9]{{1,2}}[AB]?)", r"\1\2\3\4\5\6\7"), (r"(ITEM|PART)(\s+[0-9]{1,2}[AB]?)([\-•])", r"\1\2 \3 ")]
+_t3_rules = [(rf"(\n{_b}){_sql_word('PART')}([ \t]+)((?:[0-9]{{1,2}}|[IV]{{1,2}})[AB]?)", r"\1\2\3\4\5\6\7"), (rf"(\n{_b}){_sql_word('ITEM')}([ \t]+)([0-9]{{1,2}}[AB]?)", r"\1\2\3\4\5\6\7"), (rf"(\n{_b}){_b.join('SIGNATURES')}([ \t]+)", r"\1SIGNATURES\2"), (r"(ITEM|PART)(\s+[0-9]{1,2}[AB]?)([\-•])", r"\1\2 \3 ")]
 _dash = "[-‒–—]*"
 _t4_rules = [(rf"\n{_b}(?:TABLE\s+OF\s+CONTENTS|INDEX\s+TO\s+FINANCIAL\s+STATEMENTS|BACK\s+TO\s+CONTENTS|QUICKLINKS){_b}\n", "\n"), (rf"\n{_b}{_dash}[0-9]+{_dash}{_b}\n", "\n"), (rf"\n{_b}[0-9]+{_b}\n", "\n"), (rf"\sF{_dash}[0-9]+", ""), (rf"\n{_b}Page\s[0-9*]+{_b}\n", "")]
 _t6 = lambda x: f"regexp_replace(trim(regexp_replace(replace(regexp_replace({x}, ' *\\n *\\n[ \\n]*', '#NEWLINE', 'g'), chr(10), ' '), '(#NEWLINE)+', chr(10), 'g'), ' ' || chr(10)), ' {{2,}}', ' ', 'g')"
@@ -134,34 +139,51 @@ _text("t6_collapse_lines", lambda c: X.collapse_lines(X.normalize_characters(c))
 _text("t7_drop_embedded_pdf", X.drop_embedded_pdf, "regexp_replace(x, '(?is)<PDF>.*?</PDF>', '', 'g')")
 _text("t11_drop_text_tables", X.drop_text_tables, "regexp_replace(x, '(?is)<TABLE>.*?</TABLE>', '', 'g')")
 _docs = lambda s, d: Y.filings(s, d).where("Type = '8-K'")
-_add("t8_split_documents", lambda s, d: _docs(s, d).select("doc_id", F.explode(X.split_documents(F.col("content"))).alias("b")).select("doc_id", "b.type"), "SELECT doc_id, type FROM documents, (VALUES ('8-K'), ('EX-99')) v(type) WHERE doc_id % 4 >= 2")
-_add("t9_main_document", lambda s, d: Y.filings(s, d).select("doc_id", (F.length(X.main_document(F.col("content"))) < F.length("content")).alias("cut")), "SELECT doc_id, doc_id % 4 >= 2 AS cut FROM documents")
+_cut_at = "position('</DOCUMENT>' IN content)"
+_add("t8_split_documents", lambda s, d: _docs(s, d).select("doc_id", F.explode(X.split_documents(F.col("content"))).alias("b")).select("doc_id", "b.type", "b.body"), f"WITH {Y.FILED_SQL} SELECT doc_id, '8-K' AS type, substr(content, 1, {_cut_at} + 10) AS body FROM filed WHERE doc_id % 4 >= 2 UNION ALL SELECT doc_id, 'EX-99', substr(content, {_cut_at} + 12) FROM filed WHERE doc_id % 4 >= 2")
+_add("t9_main_document", lambda s, d: Y.filings(s, d).select("doc_id", X.main_document(F.col("content")).alias("main")), f"WITH {Y.FILED_SQL} SELECT doc_id, CASE WHEN doc_id % 4 >= 2 THEN substr(content, 1, {_cut_at} + 10) ELSE content END AS main FROM filed")
 _add("t10_is_html", lambda s, d: Y.filings(s, d).select("doc_id", X.is_html(F.col("content")).alias("html")), "SELECT doc_id, doc_id % 4 = 1 AS html FROM documents")
 _cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
 _bold = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.concat(F.lit("<div><b class='x'>"), F.regexp_replace("text", "[<>&]", ""), F.lit("</b></div><br/>end&amp;<!-- no --><p>")).alias("h"))
 _bare = "regexp_replace(text, '[<>&]', '', 'g')"
 _add("t1_strip_html", lambda s, d: M.strip_html(_bold(s, d), "h", "y").select("doc_id", "y"), f"SELECT doc_id, {_bare} || chr(10) || chr(10) || chr(10) || chr(10) || 'end&' AS y FROM documents")
-_tables = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.array(F.lit("1"), F.lit("7")).alias("items"), F.concat(F.lit("<div>a<table><tr><td style='background-color: "), F.when(F.col("doc_id") % 3 == 0, "White").otherwise("#CCE"), F.lit("'>"), F.when(F.col("doc_id") % 5 == 0, "<p>x</p>Item 7. y").otherwise("z"), F.lit("</td></tr></table></div>")).alias("h"))
-_add("t12_drop_numeric_tables", lambda s, d: M.drop_numeric_tables(_tables(s, d), "h", "items", "y").select("doc_id", F.col("y").contains("<table>").alias("kept")), "SELECT doc_id, doc_id % 3 = 0 OR doc_id % 5 = 0 AS kept FROM documents")
-_spans = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.concat(F.lit("B<span>USI</span>NESS"), F.lit("<span style='margin-top:9pt'></span>"), F.col("doc_id").cast("string"), F.lit("<span>x<span> </span></span>")).alias("h"))
-_add("t13_flatten_spans", lambda s, d: M.flatten_spans(_spans(s, d), "h", "y").select("doc_id", "y"), "SELECT doc_id, 'BUSINESS ' || doc_id || 'x ' AS y FROM documents")
-_text_spans = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.concat(F.lit('a<SPAN style="margin-left:9pt">x</span>'), F.col("doc_id").cast("string"), F.lit('<span style="margin-top: 9.5pt">y</span>b')).alias("h"))
-_add("t13_flatten_text_spans", lambda s, d: _text_spans(s, d).select("doc_id", X.flatten_text_spans(F.col("h")).alias("y")), "SELECT doc_id, 'a ' || doc_id || chr(10) || 'b' AS y FROM documents")
+_words = lambda: F.regexp_replace("text", "[<>&]", "")
+_tables = lambda s, d: Y.dealt(Y.read(s, d, "documents").select("doc_id", "text")).select("doc_id", F.array(F.lit("1"), F.lit("7")).alias("items"), F.concat(F.lit("<div>"), _words(), F.lit("<table><tr><td style=\"color: red; background: url('a;b') ; background-color: "), F.when(F.col("doc_id") % 3 == 0, "White !important").otherwise("#CCE"), F.lit("; background: none\">"), F.when(F.col("doc_id") % 5 == 0, "<p>x</p>Item 7. y ").otherwise("z "), _words(), F.lit("<td>1</td></tr></table></div>")).alias("h"))
+_kept_table = f"'<table><tr><td style=\"color: red; background: url(''a;b'') ; background-color: ' || CASE WHEN doc_id % 3 = 0 THEN 'White !important' ELSE '#CCE' END || '; background: none\">' || CASE WHEN doc_id % 5 = 0 THEN '<p>x</p>Item 7. y ' ELSE 'z ' END || {_bare} || '</td><td>1</td></tr></table>'"
+_add("t12_drop_numeric_tables", lambda s, d: M.drop_numeric_tables(_tables(s, d), "h", "items", "y").select("doc_id", F.regexp_replace("y", "&#x27;", "'").alias("y")), f"SELECT doc_id, '<div>' || {_bare} || CASE WHEN doc_id % 3 = 0 OR doc_id % 5 = 0 THEN {_kept_table} ELSE '' END || '</div>' AS y FROM documents")
+_spans = lambda s, d: Y.dealt(Y.read(s, d, "documents").select("doc_id", "text")).select("doc_id", F.concat(F.lit("<p>B<span>USI</span>NESS"), F.lit("<span style='margin-top:9pt'></span><span>"), _words(), F.lit("<span> </span></span></p>")).alias("h"))
+_add("t13_flatten_spans", lambda s, d: M.flatten_spans(_spans(s, d), "h", "y").select("doc_id", "y"), f"SELECT doc_id, '<p>BUSINESS ' || {_bare} || ' </p>' AS y FROM documents")
+_text_spans = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.concat(F.lit('a<SPAN style="margin-left:9pt">x</span>'), _words(), F.lit('<span style="margin-top: 9.5pt">y</span>b')).alias("h"))
+_add("t13_flatten_text_spans", lambda s, d: _text_spans(s, d).select("doc_id", X.flatten_text_spans(F.col("h")).alias("y")), f"SELECT doc_id, 'a ' || {_bare} || chr(10) || 'b' AS y FROM documents")
 
 # pages
 
 _add("h1_page_dates", lambda s, d: H.page_dates(Y.index_pages(s, d)).select("url", F.col("Filing Date").alias("filed"), F.col("Period of Report").alias("period")), f"WITH {Y.META} SELECT html_index AS url, Date AS filed, \"Period of Report\" AS period FROM meta")
-_add("h2_page_company_facts", lambda s, d: H.page_company_facts(Y.index_pages(s, d)).select("url", F.col("State of Inc").alias("inc"), F.col("Fiscal Year End").alias("fye"), "SIC"), f"WITH {Y.META} SELECT html_index AS url, CASE WHEN k % 2 = 0 THEN 'NY' END AS inc, '0930' AS fye, SIC FROM meta")
+_add("h2_page_company_facts", lambda s, d: H.page_company_facts(Y.index_pages(s, d)).select("url", F.col("State of Inc").alias("inc"), F.col("Fiscal Year End").alias("fye"), "SIC"), f"WITH {Y.META} SELECT html_index AS url, CASE WHEN k % 2 = 0 THEN 'NY' END AS inc, '0930' AS fye, replace(SIC, 'SIC', 'S&C') AS SIC FROM meta")
 _sql_links = "CASE WHEN k % 4 < 2 AND Type IN ('10-K', '10-Q', '8-K') THEN 'https://www.sec.gov' || CASE WHEN k % 4 = 0 THEN '/ix?doc=/a/' || k || '.htm' ELSE '/a/' || k || '.html' END END"
-_sql_whole = "CASE WHEN k % 4 < 2 AND Type IN ('10-K', '10-Q', '8-K') THEN {} ELSE 'https://www.sec.gov/b/0-' || k || '.txt' END"
+_sql_whole = "CASE WHEN k % 4 < 2 AND Type IN ('10-K', '10-Q', '8-K') THEN {0} WHEN k % 13 <> 0 THEN 'https://www.sec.gov/b/0-' || k || '.txt' ELSE {0} END"
 _add("h3_page_document_links", lambda s, d: H.choose_links(H.page_documents(Y.index_pages(s, d)), ["10-K", "10-Q", "8-K"]).select("url", "htm_file_link", "complete_text_file_link"), f"WITH {Y.INDEX} SELECT html_index AS url, {_sql_links} AS htm_file_link, {_sql_whole.format('CAST(NULL AS VARCHAR)')} AS complete_text_file_link FROM idx")
-_add("h4_company_facts", lambda s, d: H.company_facts(Y.company_pages(s, d)).select("CIK", F.col("Company Name").alias("name"), "SIC", F.col("State location").alias("loc"), F.col("State of Inc").alias("inc"), F.col("Fiscal Year End").alias("fye")), f"WITH {Y.COMPANIES} SELECT CIK, \"Company Name\" AS name, SIC, \"State location\" AS loc, \"State of Inc\" AS inc, \"Fiscal Year End\" AS fye FROM comp")
-_add("h5_enrich_index", lambda s, d: H.enrich_index(Y.index_rows(s, d), Y.index_pages(s, d), Y.company_pages(s, d), ["10-K", "10-Q", "8-K"])[0].select("k", "filename", "htm_file_link", "SIC", F.col("State of Inc").alias("inc"), F.col("State location").alias("loc"), F.col("Fiscal Year End").alias("fye")), f"""WITH {Y.META}, {Y.COMPANIES}, l AS (SELECT *, {_sql_links} AS hl, {_sql_whole.format('complete_text_file_link')} AS cl FROM meta WHERE k % 11 <> 0 AND k % 7 <> 0)
-SELECT k, l.CIK || '_' || regexp_replace(Type, '[-/]', '', 'g') || '_' || substr("Period of Report", 1, 4) || '_' || regexp_extract(cl, '([^/]*)\\.[^./]*$', 1) || '.' || CASE WHEN hl IS NULL THEN 'txt' WHEN k % 4 = 0 THEN 'htm' ELSE 'html' END AS filename, replace(hl, 'ix?doc=/', '') AS htm_file_link,
-       coalesce(l.SIC, c.SIC) AS SIC, CASE WHEN k % 2 = 0 THEN 'NY' ELSE 'DE' END AS inc, c."State location" AS loc, '0930' AS fye FROM l JOIN comp c USING (CIK)""")
+_add("h4_company_facts", lambda s, d: H.company_facts(Y.company_pages(s, d)).select("CIK", F.col("Company Name").alias("name"), "SIC", F.col("State location").alias("loc"), F.col("State of Inc").alias("inc"), F.col("Fiscal Year End").alias("fye")), f"WITH {Y.COMPANIES} SELECT CIK, \"Company Name\" || ' & Co' AS name, SIC, \"State location\" AS loc, \"State of Inc\" AS inc, \"Fiscal Year End\" AS fye FROM comp")
+
+
+def _enriched(s, d) -> DataFrame:
+    """Both sides; the pages of some index rows are not there."""
+    kept, rejected = H.enrich_index(Y.index_rows(s, d), Y.index_pages(s, d).where("url NOT LIKE '%3-index.html'"), Y.company_pages(s, d), ["10-K", "10-Q", "8-K"])
+    facts = ["filename", "htm_file_link", "complete_text_file_link", "SIC", F.col("State of Inc").alias("inc"), F.col("State location").alias("loc"), F.col("Fiscal Year End").alias("fye"), F.col("Filing Date").alias("filed"), F.col("Period of Report").alias("period")]
+    return kept.select("html_index", F.lit(None).cast("string").alias("reason"), *facts).unionByName(rejected, allowMissingColumns=True)
+
+
+_add("h5_enrich_index", _enriched, f"""WITH {Y.META}, {Y.COMPANIES}, l AS (SELECT *, {_sql_links} AS hl, {_sql_whole.format('complete_text_file_link')} AS cl,
+       CASE WHEN k % 10 = 3 THEN 'no page' WHEN k % 11 = 0 THEN 'throttled page' WHEN k % 7 = 0 THEN 'no period of report' WHEN k % 13 = 0 AND NOT (k % 4 < 2 AND Type IN ('10-K', '10-Q', '8-K')) THEN 'no document link' END AS reason FROM meta)
+SELECT html_index, reason, l.CIK || '_' || regexp_replace(Type, '[-/]', '', 'g') || '_' || substr("Period of Report", 1, 4) || '_' || regexp_extract(cl, '([^/]*)\\.[^./]*$', 1) || '.' || CASE WHEN hl IS NULL THEN 'txt' WHEN k % 4 = 0 THEN 'htm' ELSE 'html' END AS filename, replace(hl, 'ix?doc=/', '') AS htm_file_link, cl AS complete_text_file_link,
+       coalesce(replace(l.SIC, 'SIC', 'S&C'), c.SIC) AS SIC, CASE WHEN k % 2 = 0 THEN 'NY' ELSE 'DE' END AS inc, c."State location" AS loc, '0930' AS fye, Date AS filed, "Period of Report" AS period FROM l JOIN comp c USING (CIK) WHERE reason IS NULL
+UNION ALL SELECT html_index, reason, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM l WHERE reason IS NOT NULL""")
 
 # sections
 
+_HEADERS = [("1", "Item I."), ("1A", "ITEM 1A."), ("7", "items VII:"), ("9B", "ITEM 9B -"), ("2.02", "Item 2.02"), ("10", "ITEM X"), ("part_1", "PART I"), ("part_2", "Part 2."), ("SIGNATURE", "Signatures"), ("none", "Item")]
+_ASKED = ["1", "1A", "7", "9B", "2.02", "10", "part_1", "part_2", "SIGNATURE"]
+
 
 def _extracted(s, d, *forms: str, **options) -> DataFrame:
     """(filename, form, sections) of the synthetic filings of some forms."""
@@ -177,7 +199,8 @@ def _expect(*forms: str) -> str:
     return f"WITH {Y.EXPECTED} SELECT filename, out_key, section_text FROM expected WHERE form IN ({', '.join(map(repr, forms))})"
 
 
-_add("x2_locate_headers", lambda s, d: S.segment_by_headers(_plain(s, d), "x", "doc_id").where("label <> ''").groupBy("doc_id").agg(F.count("*").alias("headers"), F.count_if("upper").alias("upper"), F.max("end").cast("long").alias("end")).select("doc_id", "headers", "upper"), "SELECT doc_id, CAST(8 AS BIGINT) AS headers, CAST(5 AS BIGINT) AS upper FROM documents WHERE doc_id % 4 = 0")
+_add("x1_header_pattern", lambda s, d: Y.read(s, d, "documents").select("doc_id", F.explode(F.array(*[F.struct(F.lit(i).alias("item"), F.concat(F.lit(h + " "), "text").alias("line")) for i, h in _HEADERS])).alias("h")).select("doc_id", "h.item", F.concat(*[F.when(F.col("h.line").rlike(rf"(?i)^{C.header_pattern(i)}[.\-:\s]"), f"{i} ").otherwise("") for i in _ASKED]).alias("meets")), "SELECT doc_id, item, meets FROM documents, (VALUES " + ", ".join(f"('{i}', '{m}')" for i, m in (("1", "1 "), ("1A", "1A "), ("7", "7 "), ("9B", "9B "), ("2.02", "2.02 "), ("10", "10 "), ("part_1", "part_1 "), ("part_2", "part_2 "), ("SIGNATURE", "SIGNATURE "), ("none", ""))) + ") v(item, meets)")
+_add("x2_locate_headers", lambda s, d: S.segment_by_headers(_plain(s, d), "x", "doc_id").where("label <> ''").select("doc_id", "label", "upper", "start", "end"), f"WITH {_sql_pieces_of} SELECT doc_id, upper(l) AS label, upper(l) = l AS upper, start, CAST(start + length(segment) AS INTEGER) AS \"end\" FROM labelled WHERE l <> ''")
 _add("x3_extract_section", lambda s, d: _long(_extracted(s, d, "10-K", items=["7"])), f"WITH {Y.EXPECTED} SELECT filename, out_key, section_text FROM expected WHERE form = '10-K' AND out_key = 'item_7'")
 _add("x4_extract_10k", lambda s, d: _long(_extracted(s, d, "10-K")), _expect("10-K"))
 _add("x5_extract_8k", lambda s, d: _long(_extracted(s, d, "8-K", "8-K-old")), _expect("8-K", "8-K-old"))
@@ -194,7 +217,7 @@ _longs = lambda s, d: S.sections_long(_extracted(s, d, "10-K"), "filename")  # n
 _wrong = lambda s, d: _longs(s, d).where("out_key IN ('item_1', 'item_7')").withColumn("section_text", F.when(F.col("filename").like("%4\\_f.htm"), "other").otherwise(F.col("section_text")))
 _add("a2_extraction_quality", lambda s, d: I.extraction_quality(_wrong(s, d), _longs(s, d).where("out_key IN ('item_1', 'item_7')")), "SELECT out_key, count(*) AS filings, count(*) FILTER (WHERE doc_id % 10 <> 4) AS exact FROM documents, (VALUES ('item_1'), ('item_7')) v(out_key) WHERE doc_id % 4 = 0 GROUP BY out_key")
 _add("a2_failed_items", lambda s, d: I.failed_items(_wrong(s, d), _longs(s, d).where("out_key IN ('item_1', 'item_7')")).select("filename", F.array_join("failed", ",").alias("failed")), "SELECT doc_id || '_f.htm' AS filename, 'item_1,item_7' AS failed FROM documents WHERE doc_id % 4 = 0 AND doc_id % 10 = 4")
-_add("t14_filing_text", lambda s, d: M.filing_text(C.items_for_filing(I.attach_content(Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form")))).select("filename", F.col("text").contains("<").alias("tags"), F.col("text").contains("-12-").alias("numbers")), "SELECT doc_id || '_f.htm' AS filename, contains(text, '<') AS tags, false AS numbers FROM documents")
+_add("t14_filing_text", lambda s, d: M.filing_text(C.items_for_filing(I.attach_content(Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form")))).select("filename", "text"), f"WITH {Y.FILED_SQL} SELECT filename, text FROM filed")
 
 # files: written from the tables and read again
 
@@ -207,10 +230,17 @@ def _master_index(s, d) -> DataFrame:
 
 
 def _quarter_files(s, d) -> DataFrame:
-    root = new_dir(s, "quarters")
-    for q in (1, 2):
-        _quarters(Y.index_rows(s, d)).where(f"year = 2001 AND quarter = {q}").select("CIK", "Company", "Type", "Date", "complete_text_file_link", "html_index").write.csv(f"{root}/2001_QTR{q}.tsv", sep="|", quote="")
-    return R.read_quarter_indices(s, root, range(2001, 2003), [1, 2, 3])
+    """All quarters, each written under its own name. The years are those of the index: 1999 to 2007."""
+    root, rows = new_dir(s, "quarters"), _quarters(Y.index_rows(s, d))
+    rows.select("CIK", "Company", "Type", "Date", "complete_text_file_link", "html_index", F.concat("year", F.lit("_QTR"), "quarter").alias("q")).write.partitionBy("q").csv(path := new_dir(s, "dealt"), sep="|", quote="")
+    there = s._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(s._jsc.hadoopConfiguration())
+    at = s._jvm.org.apache.hadoop.fs.Path
+    there.mkdirs(at(root))
+    for y in range(1999, 2008):
+        for q in range(1, 5):
+            if there.exists(at(f"{path}/q={y}_QTR{q}")):
+                there.rename(at(f"{path}/q={y}_QTR{q}"), at(f"{root}/{y}_QTR{q}.tsv"))
+    return R.read_quarter_indices(s, root, range(1999, 2008), [1, 2, 3, 4])
 
 
 def _metadata_file(s, d) -> DataFrame:
@@ -229,8 +259,54 @@ def _company_list(s, d) -> DataFrame:
     return R.read_company_list(s, path).groupBy("entry").agg(F.count("*").alias("n"))
 
 
+def _json_file(s, rows: DataFrame, key: str, value) -> str:
+    """All rows as one JSON object, as the file of companies is: made by Spark in one task, as it is one value."""
+    whole = rows.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key).cast("string"), value)))), {"ignoreNullFields": "false"}).alias("value"))
+    whole.write.text(path := new_dir(s, "json"))
+    return path
+
+
+def _tickers_file(s, d) -> DataFrame:
+    rows = Y.tickers(s, d).select(F.lpad(F.col("pos").cast("string"), 12, "0").alias("p"), F.col("cik").cast("long").alias("cik_str"), "ticker")
+    return R.read_company_tickers(s, _json_file(s, rows, "p", F.struct("cik_str", "ticker")))
+
+
+def _companies_file(s, d) -> DataFrame:
+    path = _json_file(s, Y.companies(s, d).where("CIK % 2 = 0").withColumn("SIC", F.lit(None).cast("string")), "CIK", F.struct(*[F.col(f"`{c}`") for c in R.COMPANY.names]))
+    return R.upsert_company_info(R.read_company_info(s, path), Y.companies(s, d))
+
+
+def _raw_files(s, d) -> str:
+    """Every filing as a file <root>/<Type>/<filename>, a blank in the name of some; written by Spark, a file each."""
+    rows = Y.filings(s, d).select("Type", F.when(F.col("doc_id") % 3 == 0, F.replace("filename", F.lit("_"), F.lit(" "))).otherwise(F.col("filename")).alias("filename"), F.replace("content", F.lit("\n"), F.lit("\r\n")).alias("content"))
+    rows.write.partitionBy("Type", "filename").option("lineSep", "\r").text(path := new_dir(s, "raw"))
+    return path
+
+
+def _of_folders(files: DataFrame) -> DataFrame:
+    """The path of each file as if its folder Type=<Type>/filename=<filename> were the file itself."""
+    return files.withColumn("path", F.url_decode(F.regexp_replace("path", r"Type=([^/]*)/filename=([^/]*)/[^/]*$", "$1/$2")))
+
+
+def _raw_read(s, d) -> DataFrame:
+    files = s.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(_raw_files(s, d))
+    return R.raw_filings_of(_of_folders(files.select("path", "content")))
+
+
+def _streamed(s, d) -> DataFrame:
+    """The stream over filings that are written as Parquet by form, in two runs, and what it has put out."""
+    raw, out, seen = new_dir(s, "arriving"), new_dir(s, "out"), new_dir(s, "seen")
+    rows, meta = Y.filings(s, d).drop("doc_id", "_form"), Y.filing_metadata(s, d)
+    for form in ("10-K", "8-K"):
+        rows.where(F.col("Type") == form).write.mode("append").parquet(raw)
+        extract_new_rows_stream(s, meta, raw, out, seen)
+    return _long(s.read.option("recursiveFileLookup", "true").parquet(out))
+
+
 _add("s1_read_master_index", lambda s, d: _master_index(s, d).select("CIK", "Company", "Type", "Date", "html_index"), f"WITH {Y.INDEX} SELECT CIK, Company, Type, Date, html_index FROM idx")
-_add("s2_read_quarter_indices", lambda s, d: _quarter_files(s, d).select("CIK", "Company", "Date", "html_index", "filename"), f"WITH {Y.INDEX} SELECT CIK, Company, Date, html_index, CAST(NULL AS VARCHAR) AS filename FROM idx WHERE Date BETWEEN '2001-01-01' AND '2001-06-30'")
+_add("s2_read_quarter_indices", lambda s, d: _quarter_files(s, d).select("CIK", "Company", "Date", "html_index", "filename"), f"WITH {Y.INDEX} SELECT CIK, Company, Date, html_index, CAST(NULL AS VARCHAR) AS filename FROM idx")
 _add("s3_s4_metadata_file", lambda s, d: _metadata_file(s, d).select("CIK", "Company", "SIC", "htm_file_link", "filename", F.col("Period of Report").alias("period")), f"WITH {Y.META} SELECT CIK, CASE WHEN k % 2 = 0 THEN Company || ', \"Inc\"' END AS Company, SIC, htm_file_link, filename, \"Period of Report\" AS period FROM meta")
+_add("s5_raw_filings", lambda s, d: _raw_read(s, d), f"WITH {Y.FILED_SQL} SELECT ['10-K', '10-Q', '8-K', '8-K'][CAST(1 + doc_id % 4 AS INTEGER)] AS Type, CASE WHEN doc_id % 3 = 0 THEN replace(filename, '_', ' ') ELSE filename END AS filename, content || chr(10) AS content FROM filed")
+_add("r1_extract_stream", _streamed, _expect("10-K", "8-K", "8-K-old"))
 _add("s6_extracted_files", _extracted_files, _expect("10-Q"))
 _add("s9_company_list", _company_list, f"WITH {_sql_ciks} SELECT e AS entry, count(*) AS n FROM entry GROUP BY e")

@@ -13,9 +13,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def index_rows(spark: SparkSession, d: str) -> DataFrame:
+def dealt(df: DataFrame) -> DataFrame:
+    """A scan of few row groups dealt out to all cores, as a helper or a long expression over it would run on few."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def index_rows(spark: SparkSession, d: str, spread=lambda df: df) -> DataFrame:
     """(k, CIK, Company, Type, Date, complete_text_file_link, html_index) from orders and customers."""
-    o, c = read(spark, d, "orders"), read(spark, d, "customer").select("c_custkey", "c_name")
+    o, c = spread(read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")), read(spark, d, "customer").select("c_custkey", "c_name")
     date = F.date_format(F.date_add(F.to_date("o_orderdate"), 1826), "yyyy-MM-dd")
     cik, key = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
     path = F.concat(F.lit("archive/data/"), cik, F.lit("/"), F.lpad(cik, 10, "0"), F.lit("-"), F.substring(date, 3, 2), F.lit("-"), F.lpad(key, 6, "0"), F.lit(".txt"))
@@ -65,22 +71,23 @@ TICKERS = "tick AS (SELECT 'T' || (c_custkey % 400) AS ticker, arg_max(CAST(c_cu
 
 
 def index_pages(spark: SparkSession, d: str) -> DataFrame:
-    """(url, html): an index page for each index row. By the order key: without period, throttled, viewer link, pdf only."""
-    m, k = index_rows(spark, d), F.col("k")
+    """(url, html): an index page for each index row. By the order key: without period, throttled, viewer link, pdf only,
+    without the whole submission, other quotes and attributes, references."""
+    m, k = index_rows(spark, d, dealt), F.col("k")
     s = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in x])
     key = k.cast("string")
-    dates = s('<div class="infoHead">Filing Date</div>\n<div class="info">', F.col("Date"), "</div>", F.when(k % 7 != 0, s('<div class="infoHead">Period of Report</div>\n<div class="info">', F.substring("Date", 1, 4), "-01-31</div>")).otherwise(""))
+    dates = s(F.when(k % 5 == 0, "<div id='x' class='infoHead big'>Filing <b>Date</b></div>\n<div class='info'>").otherwise('<div class="infoHead">Filing Date</div>\n<div class="info">'), F.col("Date"), "</div>", F.when(k % 7 != 0, s('<div class="infoHead">Period of Report</div>\n<div class="info">', F.substring("Date", 1, 4), "-01-31</div>")).otherwise(""))
     inc = F.when(k % 2 == 0, "State of Inc.: NY | ").otherwise("")
-    info = s('<div class="companyInfo"><span class="companyName">', F.col("Company"), '</span><p class="identInfo">IRS No.: 1 | ', inc, "Fiscal Year End: 0930 | Type: x", F.when(k % 3 == 0, s('<br>SIC: <a href="/b?action=x&amp;SIC=', (k % 50).cast("string"), '">', "SIC", (k % 50).cast("string"), "</a>")).otherwise(""), "</p></div>")
+    info = s('<div class="companyInfo"><span class="companyName">', F.col("Company"), '</span><p class="identInfo">IRS No.: 1 | ', inc, "Fiscal Year End: 0930 | Type: x", F.when(k % 3 == 0, s('<br>SIC: <a href="/b?action=x&amp;SIC=', (k % 50).cast("string"), '">', "S&amp;C", (k % 50).cast("string"), "</a>")).otherwise(""), "</p></div>")
     row = lambda n, desc, href, kind: s("<tr><td>", n, "</td><td>", desc, '</td><td><a href="', href, '">x</a></td><td>', kind, "</td></tr>")
     first = row("1", "report", F.when(k % 4 == 0, s("/ix?doc=/a/", key, ".htm")).when(k % 4 == 1, s("/a/", key, ".html")).otherwise(s("/a/", key, ".pdf")), F.col("Type"))
-    table = s('<table summary="Document Format Files"><tr><th>Seq</th><th>Description</th><th>Document</th><th>Type</th></tr>', first, row("2", "Complete submission text file", s("/b/0-", key, ".txt"), " "), "</table>")
+    table = s('<table summary="Document Format Files"><tr><th>Seq</th><th>Description</th><th>Document</th><th>Type</th></tr>', first, F.when(k % 13 != 0, row("2", "Complete submission text file", s("/b/0-", key, ".txt"), " ")).otherwise(""), "</table>")
     html = s("<html><body>", dates, info, table, F.when(k % 11 == 0, "Your request will be managed until action is taken to declare your traffic.").otherwise(""), "</body></html>")
     return m.select(F.col("html_index").alias("url"), html.alias("html"))
 
 
 def company_pages(spark: SparkSession, d: str) -> DataFrame:
-    html = F.concat(*[F.lit(y) if y not in ("Company Name", "SIC", "State location") else F.col(f"`{y}`") for y in ['<div class="companyInfo"><span class="companyName"> ', "Company Name", ' <acronym>CIK</acronym></span><p class="identInfo"><acronym>SIC</acronym>: <a href="/b?a=1;SIC=1">', "SIC", '</a><br>State location: <a href="/b?a=1;State=DE">', "State location", "</a> | State of Inc.: <strong>DE</strong> | Fiscal Year End: 1231<br></p></div>"]])
+    html = F.concat(*[F.lit(y) if y not in ("Company Name", "SIC", "State location") else F.col(f"`{y}`") for y in ['<div class="companyInfo"><span class="companyName"> ', "Company Name", ' &amp; Co <acronym>CIK</acronym></span><p class="identInfo"><acronym>SIC</acronym>: <a href="/b?a=1;SIC=1">', "SIC", '</a><br>State location: <a href="/b?a=1;State=DE">', "State location", "</a> | State of Inc.: <strong>DE</strong> | Fiscal Year End: 1231<br></p></div>"]])
     return companies(spark, d).select(F.col("CIK").alias("cik"), html.alias("html"))
 
 
@@ -91,9 +98,18 @@ def _group(a: int, b: int) -> Column:
     return F.array_join(F.slice(w, at(a) + 1, at(b) - at(a)), " ")
 
 
+def _sql_words(a: int, b: int) -> str:
+    """The same in SQL."""
+    return f"array_to_string(list_slice(w, n * {a} // 10 + 1, n * {b} // 10), ' ')"
+
+
+def _sql_escaped(a: int, b: int) -> str:
+    return f"replace(replace(replace({_sql_words(a, b)}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
 def _sql_group(a: int, b: int) -> str:
     """The same, as it stands in a section: after a line end, if there are any words."""
-    g = f"array_to_string(list_slice(w, n * {a} // 10 + 1, n * {b} // 10), ' ')"
+    g = _sql_words(a, b)
     return f"CASE WHEN {g} = '' THEN '' ELSE chr(10) || replace({g}, chr(10), ' ') END"
 
 
@@ -108,23 +124,34 @@ PARTS = {"part_1": "PART I. FINANCIAL INFORMATION", "part_2": "PART II. OTHER IN
 NAMES = list(FORMS)
 
 
+#: The filings as texts and (first and last tenth of the words), by form.
+_ANNUAL = ["\n\nTABLE OF CONTENTS\n\nItem 1. Business 3\nItem 1A. Risk Factors 5\nItem 7. Discussion 8\n", *[x for _, h, _, a, b in FORMS["10-K"] for x in (f"\n\n{h}\n\n", (a, b), "\n-12-\n")], "\n\nS I G N A T U R E \n\nBy the officer"]
+_CELL = '<table><tr><td bgcolor="#cceeff">12</td></tr></table>'
+_QUARTERLY: list = ["<html><body>\n"]
+for _key, _h, _, _a, _b in FORMS["10-Q"]:
+    _title = f"<p>{PARTS[_key[:6]]}</p>" if _key.endswith("item_1") else ""
+    _QUARTERLY += [_title + "<p>{} {} <span>{}</span><span></span></p><p>".format(*_h.split()), (_a, _b), f"</p>{_CELL}"]
+_QUARTERLY.append("<p>SIGNATURE</p><p>By the officer</p></body></html>")
+
+
+def _current(form: str) -> list:
+    body = [x for _, h, _, a, b in FORMS[form] for x in (f"\n\n{h}\n\n", (a, b))]
+    return ["<DOCUMENT>\n<TYPE>8-K\n<TEXT>\n", *body, "\n\nSIGNATURE\n\nBy the officer</TEXT></DOCUMENT>\n<DOCUMENT>\n<TYPE>EX-99\n<TEXT>\n\nItem 5. Nothing\n\n</TEXT></DOCUMENT>"]
+
+
+FILED = [_ANNUAL, _QUARTERLY, _current("8-K"), _current("8-K-old")]
+
+
 def filings(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, Type, filename, content): a filing made of each document, of a form by its id. Annual reports are text with
     a contents list and page numbers, quarterly ones HTML with a coloured table and spans, current ones submission files
     with several documents."""
-    s = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in x])
     safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    annual = s("\n\nTABLE OF CONTENTS\n\nItem 1. Business 3\nItem 1A. Risk Factors 5\nItem 7. Discussion 8\n", *[x for _, h, _, a, b in FORMS["10-K"] for x in (f"\n\n{h}\n\n", safe(_group(a, b)), "\n-12-\n")], "\n\nSIGNATURE\n\nBy the officer")
-    quarter: list = ["<html><body>\n"]
-    for key, h, _, a, b in FORMS["10-Q"]:
-        if key.endswith("item_1"):
-            quarter.append(f"<p>{PARTS[key[:6]]}</p>")
-        quarter += [f"<p>{h.split()[0]} {h.split()[1]} <span>{h.split()[2]}</span><span></span></p><p>", safe(_group(a, b)), '</p><table><tr><td bgcolor="#cceeff">12</td></tr></table>']
-    quarterly = s(*quarter, "<p>SIGNATURE</p><p>By the officer</p></body></html>")
-    current = lambda form: s("<DOCUMENT>\n<TYPE>8-K\n<TEXT>\n", *[x for _, h, _, a, b in FORMS[form] for x in (f"\n\n{h}\n\n", safe(_group(a, b)))], "\n\nSIGNATURE\n\nBy the officer</TEXT></DOCUMENT>\n<DOCUMENT>\n<TYPE>EX-99\n<TEXT>\n\nItem 5. Nothing\n\n</TEXT></DOCUMENT>")
+    whole = [F.concat(*[F.lit(x) if isinstance(x, str) else safe(_group(*x)) for x in parts]) for parts in FILED]
     n = F.col("doc_id") % 4
-    content = F.when(n == 0, annual).when(n == 1, quarterly).when(n == 2, current("8-K")).otherwise(current("8-K-old"))
-    return read(spark, d, "documents").select("doc_id", F.array(*map(F.lit, NAMES))[n.cast("int")].alias("_form"), F.regexp_replace(F.array(*map(F.lit, NAMES))[n.cast("int")], "-old", "").alias("Type"), F.concat(F.col("doc_id").cast("string"), F.lit("_f.htm")).alias("filename"), content.alias("content"))
+    content = F.when(n == 0, whole[0]).when(n == 1, whole[1]).when(n == 2, whole[2]).otherwise(whole[3])
+    form = F.array(*map(F.lit, NAMES))[n.cast("int")]
+    return dealt(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", form.alias("_form"), F.regexp_replace(form, "-old", "").alias("Type"), F.concat(F.col("doc_id").cast("string"), F.lit("_f.htm")).alias("filename"), content.alias("content"))
 
 
 def filing_metadata(spark: SparkSession, d: str) -> DataFrame:
@@ -149,11 +176,11 @@ def _expected() -> str:
 
 EXPECTED = _expected()
 
-NOISE = "\nP A R T  II x\nI T E M 7A- and\nTABLE OF  CONTENTS\n\nI T E M  9 \n-12-\n34\n\nsee F-12 and f7\n Page 3\n–\x93q\x94\xa0.\n \n\n​ end  <TABLE>1</TABLE> <PDF>\n2</PDF>"
+NOISE = "\nS I G N A T U R E S  y\nP A R T  II x\nI T E M 7A- and\nTABLE OF  CONTENTS\n\nI T E M  9 \n-12-\n34\n\nsee F-12 and f7\n Page 3\n–\x93q\x94\xa0.\n \n\n​ end  <TABLE>1</TABLE> <PDF>\n2</PDF>"
 
 
 def noisy(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "documents").select("doc_id", F.concat(F.lit("\n"), F.col("text"), F.lit(NOISE), (F.col("doc_id") % 9).cast("string")).alias("x"))
+    return dealt(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.concat(F.lit("\n"), F.col("text"), F.lit(NOISE), (F.col("doc_id") % 9).cast("string")).alias("x"))
 
 
 def sql_text(s: str) -> str:
@@ -168,3 +195,26 @@ def sql_text(s: str) -> str:
 
 
 NOISY = f"noisy AS (SELECT doc_id, chr(10) || text || {sql_text(NOISE)} || (doc_id % 9) AS x FROM documents)"
+
+
+def _sql_filed() -> str:
+    """content: the filings as they are written; text: as they read when markup and page furniture are gone."""
+    joined = lambda parts, words: " || ".join(sql_text(x) if isinstance(x, str) else words(*x) for x in parts)
+
+    def swapped(x: str, *pairs: tuple[str, str]) -> str:
+        for old, new in pairs:
+            x = f"replace({x}, {sql_text(old)}, {sql_text(new) if new else repr('')})"
+        return x
+
+    furniture = [("\nTABLE OF CONTENTS\n", "\n"), ("\n-12-\n", "\n"), ("I T E M 1A.", "ITEM 1A."), ("S I G N A T U R E ", "SIGNATURE ")]
+    cells = [("<html><body>", ""), ("</body></html>", ""), (_CELL, ""), ("<span></span>", " "), ("<span>", ""), ("</span>", ""), ("</p>", "\n\n"), ("<p>", "")]
+    first = [x.split("</DOCUMENT>")[0] if isinstance(x, str) else x for x in _current("8-K")], [x.split("</DOCUMENT>")[0] if isinstance(x, str) else x for x in _current("8-K-old")]
+    tags = [("<DOCUMENT>", ""), ("<TYPE>", ""), ("<TEXT>", ""), ("</TEXT>", "")]
+    content = " ".join(f"WHEN {i} THEN {joined(parts, _sql_escaped)}" for i, parts in enumerate(FILED))
+    plain = [swapped(joined(_ANNUAL, _sql_words), *furniture), swapped(joined(_QUARTERLY, _sql_words), *cells), *[swapped(joined(f, _sql_words), *tags) for f in first]]
+    cleaned = swapped(joined(_ANNUAL, _sql_escaped), *furniture)
+    text = " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(plain))
+    return f"filed AS (SELECT doc_id, doc_id || '_f.htm' AS filename, CASE doc_id % 4 {content} END AS content, CASE doc_id % 4 {text} END AS text, CASE WHEN doc_id % 4 = 0 THEN {cleaned} END AS cleaned FROM (SELECT doc_id, string_split(text, ' ') AS w, len(string_split(text, ' ')) AS n FROM documents))"
+
+
+FILED_SQL = _sql_filed()

@@ -5,13 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; one of its own only where none is set."""
+    """The folder that driver and executors share, from spark.checkpoint.dir. Where none is set, a folder of this machine
+    will do in local mode, as in tests; on a cluster it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -23,3 +26,10 @@ def new_dir(spark: SparkSession, name: str) -> str:
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
     return path
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it again: lost executors cost no recomputation before it."""
+    spark = df.sparkSession
+    df.write.parquet(path := new_dir(spark, name))
+    return spark.read.schema(df.schema).parquet(path)

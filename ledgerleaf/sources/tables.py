@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.batches import with_helper
 from ..operators.sections import out_keys, sections_wide
+from .scratch import new_dir
 
 # The metadata columns in order, and the tokens that a CSV of them uses for null.
 METADATA = ["CIK", "Company", "Type", "Date", "complete_text_file_link", "html_index", "Filing Date", "Period of Report", "SIC", "htm_file_link", "State of Inc", "State location", "Fiscal Year End", "filename"]
@@ -67,15 +68,25 @@ def read_filings_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_filings_metadata(df: DataFrame, path: str) -> None:
-    """Written under a new name and then swapped, so that a failed job leaves the old table."""
+    """Written under a new name and then swapped, so that a failed job leaves the old table. A run that was cut off
+    between the renames left it as path.old, from where it is brought back first; path.old goes only when path is there."""
     spark = df.sparkSession
-    df.select(*[F.col(f"`{c}`") for c in METADATA]).write.mode("overwrite").csv(f"{path}.new", header=True, quote='"', escape='"')
     at = spark._jvm.org.apache.hadoop.fs.Path
     files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(at(f"{path}.old"), True)
+
+    def move(source: str, target: str) -> None:
+        if not files.rename(at(source), at(target)):
+            raise OSError(f"cannot rename {source} to {target}")
+
+    if files.exists(at(f"{path}.old")):
+        if files.exists(at(path)):
+            files.delete(at(f"{path}.old"), True)
+        else:
+            move(f"{path}.old", path)
+    df.select(*[F.col(f"`{c}`") for c in METADATA]).write.mode("overwrite").csv(f"{path}.new", header=True, quote='"', escape='"')
     if files.exists(at(path)):
-        files.rename(at(path), at(f"{path}.old"))
-    files.rename(at(f"{path}.new"), at(path))
+        move(path, f"{path}.old")
+    move(f"{path}.new", path)
     files.delete(at(f"{path}.old"), True)
 
 
@@ -84,11 +95,15 @@ def decode(raw: bytes | None) -> str | None:
     return None if raw is None else bytes(raw).decode("utf-8", "backslashreplace").replace("\r\n", "\n").replace("\r", "\n")
 
 
+def _path_parts() -> list[Column]:
+    """Type and filename from the path of a file; the file source writes blanks as %20."""
+    parts = F.reverse(F.split(F.replace("path", F.lit("%20"), F.lit(" ")), "/"))
+    return [parts[1].alias("Type"), parts[0].alias("filename")]
+
+
 def raw_filings_of(files: DataFrame) -> DataFrame:
     """From rows of the binaryFile source: Type and filename from the path, content decoded."""
-    parts = F.reverse(F.split(F.regexp_replace("path", "%20", " "), "/"))
-    rows = files.select(parts[1].alias("Type"), parts[0].alias("filename"), "content")
-    return with_helper(rows, "content", T.StringType(), decode, "content")
+    return with_helper(files.select(*_path_parts(), "content"), "content", T.StringType(), decode, "content")
 
 
 def read_raw_filings(spark: SparkSession, root: str) -> DataFrame:
@@ -98,19 +113,22 @@ def read_raw_filings(spark: SparkSession, root: str) -> DataFrame:
 
 def list_raw_filings(spark: SparkSession, root: str) -> DataFrame:
     """(Type, filename) of all raw filings; contents are not read."""
-    parts = F.reverse(F.split("path", "/"))
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(parts[1].alias("Type"), parts[0].alias("filename"))
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(*_path_parts())
 
 
 def write_extracted_filings(df: DataFrame, path: str, include_signature: bool = False) -> None:
-    """JSON Lines by filing type, nulls kept, one frame of fixed columns per form."""
+    """JSON Lines by form, in path/type=<type>/form=<form>, nulls kept, one frame of fixed columns per form. The
+    extraction runs once: its result is written and then split by form. A run that is repeated overwrites its files."""
+    spark = df.sparkSession
+    df.write.partitionBy("form").parquet(once := new_dir(spark, "extracted"))
+    filings = spark.read.schema(df.schema).parquet(once)
     for form in ("10-K", "10-Q", "8-K", "8-K-old"):
-        wide = sections_wide(df, form, *[F.col(f"`{c}`") for c in OUTPUT], include_signature=include_signature)
-        wide.withColumn("type", F.lit(form.removesuffix("-old"))).write.mode("append").partitionBy("type").option("ignoreNullFields", "false").json(path)
+        wide = sections_wide(filings, form, *[F.col(f"`{c}`") for c in OUTPUT], include_signature=include_signature)
+        wide.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/type={form.removesuffix('-old')}/form={form}")
 
 
 def read_extracted_filings(spark: SparkSession, path: str, form: str, include_signature: bool = False) -> DataFrame:
-    return spark.read.schema(strings([*OUTPUT, *out_keys(form, include_signature)])).json(f"{path}/type={form.removesuffix('-old')}")
+    return spark.read.schema(strings([*OUTPUT, *out_keys(form, include_signature)])).json(f"{path}/type={form.removesuffix('-old')}/form={form}")
 
 
 def tickers_of(rows: DataFrame) -> DataFrame:
@@ -150,6 +168,3 @@ def sorted_tickers(tickers: DataFrame) -> DataFrame:
     """O1."""
     return tickers.orderBy("ticker")
 
-
-def last_by(df: DataFrame, key: str, order: str) -> DataFrame:
-    return df.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy(F.col(order).desc()))).where("_r = 1").drop("_r")

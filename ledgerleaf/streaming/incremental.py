@@ -8,6 +8,14 @@ from ..plans.jobs import extract_filings
 from ..sources.tables import raw_filings_of
 
 
+def _extract(source: DataFrame, raw_of, metadata: DataFrame, out: str, checkpoint: str, **options) -> None:
+    def write(batch: DataFrame, n: int) -> None:
+        filings, _ = extract_filings(metadata, raw_of(batch), **options)
+        filings.write.mode("overwrite").parquet(f"{out}/batch={n}")
+
+    source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def extract_new_filings_stream(spark: SparkSession, metadata: DataFrame, raw_dir: str, out: str, checkpoint: str, **options) -> None:
     """Extracts each raw file under raw_dir/<Type>/ once over all runs and returns when what is there is done.
 
@@ -15,9 +23,10 @@ def extract_new_filings_stream(spark: SparkSession, metadata: DataFrame, raw_dir
     rows that extract_filings gives for those files; a batch that runs again overwrites its own folder.
     """
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true").load(raw_dir)
+    _extract(files, lambda batch: raw_filings_of(batch.select("path", "content")), metadata, out, checkpoint, **options)
 
-    def write(batch: DataFrame, n: int) -> None:
-        filings, _ = extract_filings(metadata, raw_filings_of(batch.select("path", "content")), **options)
-        filings.write.mode("overwrite").parquet(f"{out}/batch={n}")
 
-    files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def extract_new_rows_stream(spark: SparkSession, metadata: DataFrame, raw_dir: str, out: str, checkpoint: str, **options) -> None:
+    """The same for raw filings that are kept as Parquet rows (Type, filename, content)."""
+    rows = spark.readStream.schema("Type string, filename string, content string").parquet(raw_dir)
+    _extract(rows, lambda batch: batch, metadata, out, checkpoint, **options)

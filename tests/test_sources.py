@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators import index as I
@@ -32,6 +33,26 @@ def test_metadata_round_trip(spark, tmp_path):
     assert got == {"1": ('A "quoted", name', None), "2": (None, "x")}
 
 
+def test_metadata_survives_a_crash_between_the_renames(spark, tmp_path):
+    rows = jobs.with_metadata(spark.createDataFrame([("1", "A", None)], "CIK string, Company string, SIC string"))
+    path = tmp_path / "meta"
+    R.write_filings_metadata(rows, str(path))
+    path.rename(tmp_path / "meta.old")
+    failing = rows.withColumn("CIK", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        R.write_filings_metadata(failing, str(path))
+    assert R.read_filings_metadata(spark, str(path)).count() == 1
+    R.write_filings_metadata(rows.union(rows), str(path))
+    assert R.read_filings_metadata(spark, str(path)).count() == 2 and not (tmp_path / "meta.old").exists()
+
+
+def test_names_with_blanks_are_listed_as_they_are_read(spark, tmp_path):
+    (tmp_path / "8-K").mkdir()
+    (tmp_path / "8-K" / "a b.htm").write_text("x")
+    (read,) = R.read_raw_filings(spark, str(tmp_path)).collect()
+    assert R.list_raw_filings(spark, str(tmp_path)).collect() == [(read["Type"], read["filename"])] == [("8-K", "a b.htm")]
+
+
 def test_raw_filings_are_decoded(spark, tmp_path):
     (tmp_path / "10-K").mkdir()
     (tmp_path / "10-K" / "1_a.txt").write_bytes(b"a\xffb\r\nc\rd")
@@ -55,10 +76,11 @@ def test_company_files(spark, tmp_path):
 
 def test_extracted_filings_keep_nulls(spark, sf, tmp_path):
     filings, rejects = jobs.extract_filings(Y.filing_metadata(spark, sf), Y.filings(spark, sf).drop("doc_id", "_form"))
-    R.write_extracted_filings(filings, str(tmp_path / "out"))
+    for _ in range(2):  # a run that is repeated leaves one copy
+        R.write_extracted_filings(filings, str(tmp_path / "out"))
     back = R.read_extracted_filings(spark, str(tmp_path / "out"), "10-K")
     assert back.where("item_1 LIKE 'ITEM 1. Business%'").count() == 50 and rejects.count() == 0
-    line = next((tmp_path / "out" / "type=10-K").glob("*.json")).read_text().splitlines()[0]
+    line = next((tmp_path / "out" / "type=10-K" / "form=10-K").glob("*.json")).read_text().splitlines()[0]
     assert '"sic":null' in line
 
 
