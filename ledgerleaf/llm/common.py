@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.scratch import new_dir
+from ..sources.scratch import cut, new_dir
 
 #: Whitespace that separates words wherever a contract says `[^\x20\x09-\x0D]+`.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,13 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it again: lost executors cost no recomputation before it."""
-    spark = df.sparkSession
-    df.write.parquet(path := new_dir(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
     """Joins with right broadcast if it has few rows (it is counted, so it should be cut before), else shuffled."""
     return left.join(F.broadcast(right) if right.limit(rows + 1).count() <= rows else right, on, how)

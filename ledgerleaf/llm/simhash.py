@@ -211,7 +211,9 @@ def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     Near copies have a Jaccard similarity of 0.8 or more of their 5-word shingles, also by chains. SimHash fingerprints of
     these shingles, searched by the vantage-point trees, connect those within 3 bits. At this similarity fingerprints
     differ in about ten bits and up to 17, where vantage points tell nothing apart, so bands of MinHash propose the other
-    pairs (near_sets). All pairs are held against their shingles. Texts without words are copies of each other.
+    pairs (near_sets). All pairs are held against their shingles. Null and empty texts have no words and are copies of each
+    other; texts of any length are read whole; of wholly equal rows one stays; an empty table gives no rows; all columns
+    stay as they are. Rows are chosen by all that they hold, so reruns agree.
     """
     ids = _identity(docs, text, key)
     kind = f"struct<_k: {docs.schema[key].dataType.simpleString()}, _t: long, _u: long, _p: long>"
