@@ -12,13 +12,15 @@ from pyspark.sql.pandas.types import to_arrow_type
 def with_helper(df: DataFrame, name: str, kind: T.DataType, helper: Callable[..., object], *inputs: str) -> DataFrame:
     """df with the column name = helper(*inputs), value by value over Arrow batches; one Python boundary, no shuffle."""
     kept = [c for c in df.columns if c != name]
+    more = [c for c in inputs if c not in kept]
     schema = T.StructType([*[T.StructField(c, df.schema[c].dataType) for c in kept], T.StructField(name, kind)])
+    places = [kept.index(c) if c in kept else len(kept) + more.index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            columns = [b.column(len(kept) + i).to_pylist() for i in range(len(inputs))]
-            made = pa.array([helper(*row) for row in zip(*columns, strict=True)], to_arrow_type(kind))
+            made = pa.array([helper(*row) for row in zip(*(b.column(i).to_pylist() for i in places), strict=True)], to_arrow_type(kind))
             yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], made], names=schema.names)
 
-    given = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(inputs)])
+    # an input that is kept goes to the task once
+    given = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(more)])
     return given.mapInArrow(run, schema)

@@ -221,15 +221,22 @@ def flatten_spans(df: DataFrame, col: str, out: str) -> DataFrame:
     return with_helper(df, out, T.StringType(), helper, col)
 
 
-def filing_text(df: DataFrame, col: str = "content", items: str = "catalog", out: str = "text", remove_tables: bool = True) -> DataFrame:
-    """Main document, tables and spans, markup stripped, cleaned. items: the column with each row's item list."""
+def main_text(df: DataFrame, col: str, remove_tables: bool) -> DataFrame:
+    """Adds _doc, the main document (without tables and spans if it is plain text), and _html. All built in."""
     doc = main_document(drop_embedded_pdf(F.col(col)))
     plain = flatten_text_spans(drop_text_tables(F.col("_doc")) if remove_tables else F.col("_doc"))
-    rows = df.withColumn("_doc", doc).withColumn("_html", is_html(F.col("_doc"))).withColumn("_doc", F.when(F.col("_html"), F.col("_doc")).otherwise(plain))
+    return df.withColumn("_doc", doc).withColumn("_html", is_html(F.col("_doc"))).withColumn("_doc", F.when(F.col("_html"), F.col("_doc")).otherwise(plain))
 
-    def helper(text: str | None, html: bool | None, names: list[str] | None) -> str | None:
-        if text is None:
-            return None
-        return html_text(text, names or [], remove_tables) if html else strip_tags(text)
 
-    return with_helper(rows, out, T.StringType(), helper, "_doc", "_html", items).drop("_doc", "_html").withColumn(out, clean_text(F.col(out)))
+def bare_text(doc: str, html: bool | None, names: list[str] | None, remove_tables: bool) -> str:
+    """The text of a main document without markup, not yet cleaned."""
+    return html_text(doc, names or [], remove_tables) if html else strip_tags(doc) or ""
+
+
+def filing_text(df: DataFrame, col: str = "content", items: str = "catalog", out: str = "text", remove_tables: bool = True) -> DataFrame:
+    """Main document, tables and spans, markup stripped, cleaned. items: the column with each row's item list."""
+
+    def helper(doc: str | None, html: bool | None, names: list[str] | None) -> str | None:
+        return None if doc is None else bare_text(doc, html, names, remove_tables)
+
+    return with_helper(main_text(df, col, remove_tables), out, T.StringType(), helper, "_doc", "_html", items).drop("_doc", "_html").withColumn(out, clean_text(F.col(out)))

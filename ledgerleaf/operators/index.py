@@ -93,10 +93,11 @@ def fill_company_info(df: DataFrame, companies: DataFrame) -> DataFrame:
     return df.join(known, "CIK", "left").withColumns({c: F.coalesce(F.col(f"`{c}`"), F.col(f"_{i}")) for i, c in enumerate(facts)}).drop(*[f"_{i}" for i in range(len(facts))])
 
 
-def attach_content(metadata: DataFrame, raw: DataFrame) -> DataFrame:
+def attach_content(metadata: DataFrame, raw: DataFrame, limit: int = SMALL) -> DataFrame:
     """The content of each filing. The metadata is the side that is broadcast, if it is small; contents then stay
-    where they are."""
-    return raw.join(small_side(metadata), ["Type", "filename"])
+    where they are. Of a larger collection keep the contents in a bucketed table (sources.tables.write_raw_table): then
+    the metadata alone is shuffled."""
+    return raw.join(small_side(metadata, limit), ["Type", "filename"])
 
 
 def missing_content(metadata: DataFrame, listing: DataFrame) -> DataFrame:

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.markup import filing_text
 from ..operators import index as I
 from ..operators.catalog import items_for_filing
-from ..operators.sections import chosen_sections, extract_sections
+from ..operators.sections import chosen_sections, sections_of_content
 from ..sources.tables import METADATA, output_metadata
 
 
@@ -27,8 +26,8 @@ def extract_filings(metadata: DataFrame, raw: DataFrame, items: list[str] | None
     todo = I.pending_filings(metadata, extracted) if extracted is not None else metadata
     ready = items_for_filing(todo, items)
     rejects = ready.where("reject IS NOT NULL").select("filename", F.col("reject").alias("reason"))
-    texts = filing_text(I.attach_content(ready.where("reject IS NULL"), raw), remove_tables=remove_tables).drop("content")
-    sections = chosen_sections(extract_sections(texts), include_signature)
+    cut = sections_of_content(I.attach_content(ready.where("reject IS NULL"), raw), remove_tables=remove_tables)
+    sections = chosen_sections(cut, include_signature)
     return output_metadata(sections, "form", "sections"), rejects
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -75,6 +76,12 @@ _add("j4_held_filings", lambda s, d: I.held_filings(Y.metadata_rows(s, d), _list
 _filled = 'coalesce(m.SIC, c.SIC) AS SIC, coalesce(m."State of Inc", c."State of Inc") AS inc, coalesce(m."State location", c."State location") AS loc, coalesce(m."Fiscal Year End", c."Fiscal Year End") AS fye'
 _add("j5_fill_company_info", lambda s, d: I.fill_company_info(Y.metadata_rows(s, d), Y.companies(s, d)).select("k", "SIC", F.col("State of Inc").alias("inc"), F.col("State location").alias("loc"), F.col("Fiscal Year End").alias("fye")), f"WITH {Y.META}, {Y.COMPANIES} SELECT k, {_filled} FROM meta m LEFT JOIN comp c USING (CIK)")
 _add("j6_attach_content", lambda s, d: I.attach_content(Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form")).select("filename", "content"), f"WITH {Y.FILED_SQL} SELECT filename, content FROM filed")
+def _bucketed(s, d) -> DataFrame:
+    raw = R.write_raw_table(Y.filings(s, d).drop("doc_id", "_form"), f"raw_{uuid.uuid4().hex}", new_dir(s, "raw_table"), 8)
+    return I.attach_content(Y.filing_metadata(s, d).hint("merge"), raw, 0)
+
+
+_add("j6_bucketed_content", lambda s, d: _bucketed(s, d).select("filename", "content"), f"WITH {Y.FILED_SQL} SELECT filename, content FROM filed")
 _add("j6_missing_content", lambda s, d: I.missing_content(Y.filing_metadata(s, d), Y.filings(s, d).where("doc_id % 3 > 0").select("Type", "filename")).select("filename"), "SELECT doc_id || '_f.htm' AS filename FROM documents WHERE doc_id % 3 = 0")
 _add("j7_pending_filings", lambda s, d: I.pending_filings(Y.metadata_rows(s, d), Y.metadata_rows(s, d).where("k % 7 = 0").select(F.col("Type").alias("filing_type"), F.regexp_replace("filename", r"\.htm", ".json").alias("filename"))).select("k"), f"WITH {Y.INDEX} SELECT k FROM idx WHERE k % 7 <> 0")
 _add("j8_attach_pages", lambda s, d: I.attach_pages(Y.index_rows(s, d), H.page_dates(Y.index_pages(s, d)).drop("html")).select("k", F.col("Filing Date").alias("filed")), f"WITH {Y.INDEX} SELECT k, Date AS filed FROM idx")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir. Where none is set, a folder of this machine
@@ -32,4 +35,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: lost executors cost no recomputation before it."""
     spark = df.sparkSession
     df.write.parquet(path := new_dir(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out := spark.read.schema(df.schema).parquet(path)] = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table that cut has made and that nothing will read again."""
+    if path := _FOLDERS.pop(table, None):
+        there = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(there, True)

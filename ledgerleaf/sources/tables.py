@@ -111,6 +111,13 @@ def read_raw_filings(spark: SparkSession, root: str) -> DataFrame:
     return raw_filings_of(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content"))
 
 
+def write_raw_table(raw: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """Raw filings as a table at path, bucketed by type and filename, as J6 joins them: written once, its contents are not
+    shuffled again whatever the number of filings."""
+    raw.write.mode("overwrite").option("path", path).bucketBy(buckets, "Type", "filename").sortBy("Type", "filename").saveAsTable(name)
+    return raw.sparkSession.table(name)
+
+
 def list_raw_filings(spark: SparkSession, root: str) -> DataFrame:
     """(Type, filename) of all raw filings; contents are not read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(*_path_parts())

@@ -106,3 +106,11 @@ def test_rejects_and_skips(spark):
     assert [r["filename"] for r in filings.collect()] == ["a.htm"] and [tuple(r) for r in rejects.collect()] == [("b.htm", "unknown filing type")]
     done = spark.createDataFrame([("10-K", "a.json")], "filing_type string, filename string")
     assert jobs.extract_filings(meta, raw, extracted=done)[0].count() == 0
+
+
+def test_bucketed_contents_are_not_shuffled(spark, sf, tmp_path):
+    raw = R.write_raw_table(Y.filings(spark, sf).drop("doc_id", "_form"), "raw_of_the_test", str(tmp_path / "raw"), 4)
+    got = I.attach_content(Y.filing_metadata(spark, sf).repartition(3).hint("merge"), raw, 0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and got.count() == 200
+    spark.sql("DROP TABLE raw_of_the_test")
