@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.scratch import cut, new_dir
+from ..sources.scratch import cut, discard, new_dir
 
 #: Whitespace that separates words wherever a contract says `[^\x20\x09-\x0D]+`.
 WORD = r"[^\x20\x09-\x0D]+"

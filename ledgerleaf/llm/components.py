@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut
+from .common import cut, discard
 
 
 class Sets:
@@ -49,7 +49,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges, before = cut(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "stars"), state
+        done, before = edges, state
+        edges = cut(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        discard(done)
         if (state := _state(edges)) == before:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

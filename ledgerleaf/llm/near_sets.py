@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut, join_small
+from .common import cut, discard, join_small
 from .components import Sets, components
 from .substring_dedup import _pair, names
 from .words import word_hashes
@@ -203,9 +203,11 @@ def set_links(members: DataFrame, first: DataFrame, contents: DataFrame) -> Data
         left = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         several = left.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("g")
         left = cut(left.join(several, "g", "left_semi"), "open")
-        pairs = cut(block_pairs(left, heads, most), "agree")
-        more, most = bool(pairs.where("more").take(1)), 8 * most
-        pairs = cut(pairs.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")
+        agree = cut(block_pairs(left, heads, most), "agree")
+        more, most = bool(agree.where("more").take(1)), 8 * most
+        pairs = cut(agree.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")
+        discard(left)
+        discard(agree)
         checked, found = checked.union(pairs), cut(verified(pairs, contents), "found")
         if found.take(1):
             roots = cut(components(found.union(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b"), "roots")

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import cut, new_dir, prefix_sums, table
+from .common import cut, join_small, new_dir, prefix_sums, table
 
 ATOMIC = (T.StringType, T.BinaryType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
 
@@ -20,12 +20,12 @@ def _fisher_yates(n: int, seed: int) -> np.ndarray:
 
 def _spread(flat: DataFrame, hot: DataFrame, names: list[str], n_buckets: int, block: int = 1024) -> DataFrame:
     """flat with the wholly equal rows of the hashes in hot counted, and dealt to the buckets by hash and copy number."""
-    hot_rows = flat.join(F.broadcast(hot), "_hash", "left_semi").groupBy(*names, "_hash").agg(F.count("*").alias("_n"))
+    hot_rows = join_small(flat, hot, ["_hash"], "left_semi").groupBy(*names, "_hash").agg(F.count("*").alias("_n"))
     blocks = hot_rows.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / block)))).repartition(F.col("_hash"), F.col("_block"))
     first = F.col("_block") * block
     copies = blocks.withColumn("_copy", F.explode(F.sequence(first, F.least(first + block, "_n") - 1)))
     bucket = F.pmod(F.xxhash64("_hash", "_copy"), F.lit(n_buckets)).alias("_bucket")
-    return flat.join(F.broadcast(hot), "_hash", "left_anti").select(flat.columns).union(copies.select(*names, "_hash", bucket))
+    return join_small(flat, hot, ["_hash"], "left_anti").select(flat.columns).union(copies.select(*names, "_hash", bucket))
 
 
 def shuffle_shards(docs: DataFrame, n_shards: int = 24, text: str = "text", seed: int = 7, bucket_bytes: int = 16 << 20) -> DataFrame:
