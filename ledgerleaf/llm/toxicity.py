@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -231,14 +232,24 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted({term for _, (edits, term) in held.value.hits(t)[1] if edits}) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], ["y", "terms"])
-
+            near, between = [], []
+            for t in b.column(1).to_pylist():
+                tokens, hits = held.value.hits(t)
+                near.append(sorted({term for _, (edits, term) in hits if edits}))
+                beside = lambda i, tokens=tokens: zlib.crc32(" ".join([*tokens[max(0, i - 1) : i], "", *tokens[i + 1 : i + 2]]).encode())
+                between.append([{"k": term, "c": beside(i)} for i, (edits, term) in hits if not edits])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(near, pa.list_(pa.int64())), pa.array(between, pa.list_(pa.struct({"k": pa.int64(), "c": pa.int64()})))], ["y", "terms", "places"])
+
+    measured = cut(sample.mapInArrow(measure, "y int, terms array<long>, places array<struct<k: long, c: long>>"), "measured")
+    # a term that stands between the same words again and again is a piece of a copied passage
+    places = measured.where("y = 1").select(F.explode("places").alias("p")).groupBy("p.k").agg(F.count("*").alias("n"), F.count_distinct("p.c").alias("c"))
+    own = [r["k"] for r in places.where(2 * F.col("c") >= F.col("n")).select("k").orderBy("k").collect()]
     # what a misspelled term tells: as much as half the odds of the term itself, moved by how often rows of both kinds have one
-    near = {(r["y"], r["k"]): r["count"] for r in sample.mapInArrow(measure, "y int, terms array<long>").select("y", F.explode("terms").alias("k")).groupBy("y", "k").count().collect()}
+    near = {(r["y"], r["k"]): r["count"] for r in measured.select("y", F.explode("terms").alias("k")).groupBy("y", "k").count().collect()}
     ratio = rows.get(0, 0) / max(1, rows.get(1, 0))
     for k, w in enumerate(model.worth):
         model.vague[k] = float(np.log((near.get((1, k), 0) * ratio + 2 * np.exp(w / 2)) / (near.get((0, k), 0) + 2)))
+    model = Model([model.terms[k] for k in own], [model.worth[k] for k in own], [model.vague[k] for k in own])
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
