@@ -241,9 +241,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(near, pa.list_(pa.int64())), pa.array(between, pa.list_(pa.struct({"k": pa.int64(), "c": pa.int64()})))], ["y", "terms", "places"])
 
     measured = cut(sample.mapInArrow(measure, "y int, terms array<long>, places array<struct<k: long, c: long>>"), "measured")
-    # a term that stands between the same words again and again is a piece of a copied passage
+    # a term that stands between the same words again and again is a piece of a copied passage; if all do, they are all there is
     places = measured.where("y = 1").select(F.explode("places").alias("p")).groupBy("p.k").agg(F.count("*").alias("n"), F.count_distinct("p.c").alias("c"))
-    own = [r["k"] for r in places.where(2 * F.col("c") >= F.col("n")).select("k").orderBy("k").collect()]
+    own = [r["k"] for r in places.where(2 * F.col("c") >= F.col("n")).select("k").orderBy("k").collect()] or list(range(len(model.terms)))
     # what a misspelled term tells: as much as half the odds of the term itself, moved by how often rows of both kinds have one
     near = {(r["y"], r["k"]): r["count"] for r in measured.select("y", F.explode("terms").alias("k")).groupBy("y", "k").count().collect()}
     ratio = rows.get(0, 0) / max(1, rows.get(1, 0))

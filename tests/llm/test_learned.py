@@ -151,6 +151,7 @@ def test_terms_of_any_number_length_and_script(spark):
     for i in range(3000):
         y = i % 2
         own = rng.choices(plain, k=8) + ([bad[(i // 2 * 12 + k) % len(bad)] for k in range(12)] if y else [])
+        rng.shuffle(own)
         rows.append((i, " ".join(own) if "毒語" not in own else " ".join(own).replace("毒語", "文毒語文")))
         labels.append((i, y))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
