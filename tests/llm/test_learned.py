@@ -152,7 +152,7 @@ def test_terms_of_any_number_length_and_script(spark):
         y = i % 2
         own = rng.choices(plain, k=8) + ([bad[(i // 2 * 12 + k) % len(bad)] for k in range(12)] if y else [])
         rng.shuffle(own)
-        rows.append((i, " ".join(own) if "毒語" not in own else " ".join(own).replace("毒語", "文毒語文")))
+        rows.append((i, " ".join(own) if "毒語" not in own else " ".join(own).replace("毒語", rng.choice("天地玄黃宇宙洪荒") + "毒語" + rng.choice("日月盈昃辰宿列張"))))
         labels.append((i, y))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = X.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
