@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from html import unescape
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -20,84 +19,90 @@ COMPANY = T.StructType([T.StructField(c, T.StringType()) for c in ("name", "sic"
 FILED, PERIOD, INC, END = "Filing Date", "Period of Report", ("State of Inc.", "State of Incorp.", "State of Incorporation."), "Fiscal Year End"
 TABLE, WHOLE = "Document Format Files", "Complete submission text file"
 
-_TAG = re.compile(r"""<!--.*?-->|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
+_TAG = re.compile(r"""<!--.*?-->|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>""", re.DOTALL)
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+#: Elements that may hold a fact, and what an open one of them ends if it was left open.
+_HOLDERS = frozenset("div p span table tr td th a".split())
+_LEFT_OPEN = {"td": ("cell",), "th": ("cell",), "tr": ("cell", "row"), "p": ("ident",)}
 
 
 def _attrs(text: str) -> dict[str, str]:
-    return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(text)}
-
-
-def _events(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
-    """(kind, name or text, attributes) of a page: "open", "shut" and "text", references resolved."""
-    at = 0
-    for m in _TAG.finditer(html):
-        if m.start() > at:
-            yield "text", unescape(html[at : m.start()]), {}
-        at = m.end()
-        if m[2]:
-            yield ("shut" if m[1] else "open"), m[2].lower(), _attrs(m[3]) if m[3] else {}
-    if at < len(html):
-        yield "text", unescape(html[at:]), {}
+    return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(text)} if text else {}
 
 
 class _Held:
-    """An element whose text is gathered: its pieces in order, and its links as (address, text)."""
+    """An element whose text is gathered: its pieces in order, its links, and what it lies in."""
 
-    def __init__(self, tag: str, mark: str, href: str = "") -> None:
-        self.tag, self.mark, self.href, self.depth, self.pieces, self.links = tag, mark, href, 1, [], []
+    def __init__(self, tag: str, mark: str, href: str, at: int, inside: tuple[str, ...]) -> None:
+        self.tag, self.mark, self.href, self.at, self.inside, self.depth, self.pieces, self.links = tag, mark, href, at, inside, 1, [], []
 
     def text(self) -> str:
         return "".join(self.pieces)
 
 
-def _mark(name: str, attrs: dict[str, str], inside: set[str]) -> str | None:
+def _mark(name: str, attrs: dict[str, str], inside: tuple[str, ...]) -> str | None:
     """What an element is held as, if it is."""
-    classes = attrs.get("class", "").split()
+    if name == "a":
+        return "link"
     if name == "div":
-        return next((c for c in ("infoHead", "info", "companyInfo") if c in classes), None)
-    if name == "p" and "identInfo" in classes:
-        return "ident"
-    if name == "span" and "companyName" in classes:
-        return "name"
+        return next((c for c in attrs.get("class", "").split() if c in ("infoHead", "info", "companyInfo")), None)
+    if name == "p":
+        return "ident" if "identInfo" in attrs.get("class", "").split() else None
+    if name == "span":
+        return "name" if "companyName" in attrs.get("class", "").split() else None
     if name == "table":
         return "documents" if attrs.get("summary") == TABLE else None
-    if name in ("tr", "td", "th") and "documents" in inside:
-        return "row" if name == "tr" else "cell"
-    return "link" if name == "a" and inside & {"ident", "companyInfo", "cell"} else None
+    return "row" if name == "tr" else "cell"
 
 
-def _elements(html: str) -> Iterator[tuple[_Held, list[_Held]]]:
-    """The held elements of a page in the order of their ends, each with those around it. Cells, rows and paragraphs that
-    are left open end where the next one starts or what is around them ends."""
+def _elements(html: str) -> list[_Held]:
+    """The held elements of a page in the order of their ends, references resolved. Cells, rows and paragraphs that are left
+    open end where the next one starts or what is around them ends."""
     held: list[_Held] = []
+    out: list[_Held] = []
+    pieces: list[str] = []
 
-    def ended(at: int) -> Iterator[tuple[_Held, list[_Held]]]:
-        while len(held) > at:
+    def end(first: int) -> None:
+        while len(held) > first:
             one = held.pop()
-            yield one, held
+            one.pieces = pieces[one.at :]
+            out.append(one)
 
-    for kind, name, attrs in _events(html):
-        if kind == "text":
-            for h in held:
-                h.pieces.append(name)
+    at = 0
+    for m in _TAG.finditer(html):
+        if held and m.start() > at:
+            pieces.append(unescape(html[at : m.start()]))
+        at = m.end()
+        if not m[2]:
+            continue
+        name = m[2].lower()
+        if m[1]:
+            for i, h in enumerate(held):
+                if h.tag == name:
+                    h.depth -= 1
+                    if h.depth == 0:
+                        end(i)
+                        break
             continue
-        if kind == "open":
-            ends = {"td": ("cell",), "th": ("cell",), "tr": ("cell", "row"), "p": ("ident",)}.get(name, ())
-            first = next((i for i, h in enumerate(held) if h.mark in ends), len(held))
-            yield from ended(first)
-            for h in held:
-                h.depth += h.tag == name
-            if mark := _mark(name, attrs, {h.mark for h in held}):
-                held.append(_Held(name, mark, attrs.get("href", "")))
+        if name not in _HOLDERS:
             continue
-        for i, h in enumerate(held):
-            if h.tag == name:
-                h.depth -= 1
-                if h.depth == 0:
-                    yield from ended(i)
-                    break
-    yield from ended(0)
+        if ends := _LEFT_OPEN.get(name):
+            end(next((i for i, h in enumerate(held) if h.mark in ends), len(held)))
+        inside = tuple(h.mark for h in held)
+        for h in held:
+            h.depth += h.tag == name
+        if name in ("tr", "td", "th") and "documents" not in inside or name == "a" and not inside:
+            continue
+        attrs = _attrs(m[3])
+        if mark := _mark(name, attrs, inside):
+            held.append(one := _Held(name, mark, attrs.get("href", ""), len(pieces), inside))
+            if mark == "link":
+                for h in held[:-1]:
+                    h.links.append(one)
+    if held and at < len(html):
+        pieces.append(unescape(html[at:]))
+    end(0)
+    return out
 
 
 def _page(html: str | None) -> dict | None:
@@ -106,8 +111,7 @@ def _page(html: str | None) -> dict | None:
         return None
     out: dict = dict.fromkeys(FACTS.names)
     head, ident, cells, rows = None, None, [], None
-    for h, around in _elements(html):
-        marks = [x.mark for x in around]
+    for h in _elements(html):
         if h.mark == "infoHead":
             head = h.text().strip()
         elif h.mark == "info":
@@ -116,13 +120,10 @@ def _page(html: str | None) -> dict | None:
             elif head == PERIOD:
                 out["period"] = h.text()
             head = None
-        elif h.mark == "link":
-            for x in around:
-                x.links.append((h.href, h.text()))
         elif h.mark == "ident":
             if out["sic"] is None:
-                out["sic"] = next((text for href, text in h.links if "SIC" in href), None)
-            if ident is None and "companyInfo" in marks:
+                out["sic"] = next((x.text() for x in h.links if "SIC" in x.href), None)
+            if ident is None and "companyInfo" in h.inside:
                 ident = h.text()
         elif h.mark == "cell":
             cells.append(h)
@@ -131,7 +132,7 @@ def _page(html: str | None) -> dict | None:
             rows.append(cells)
             cells = []
         elif h.mark == "documents" and out["documents"] is None:
-            out["documents"] = [{"description": c[1].text(), "href": c[2].links[0][0] if c[2].links else None, "type": c[3].text()} for c in (rows or [])[1:] if len(c) >= 4]
+            out["documents"] = [{"description": c[1].text(), "href": c[2].links[0].href or None if c[2].links else None, "type": c[3].text()} for c in (rows or [])[1:] if len(c) >= 4]
     for part in (ident or "").split("|"):
         name, _, value = part.partition(":")
         if name.strip() in INC:
@@ -146,7 +147,7 @@ def _company(html: str | None) -> dict | None:
     if html is None:
         return None
     out: dict = dict.fromkeys(COMPANY.names)
-    for h, _ in _elements(html):
+    for h in _elements(html):
         if h.mark == "name" and out["name"] is None:
             out["name"] = (h.pieces[0].strip() if h.pieces else "") or None
         elif h.mark == "link":

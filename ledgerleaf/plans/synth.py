@@ -16,7 +16,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dealt(df: DataFrame) -> DataFrame:
     """A scan of few row groups dealt out to all cores, as a helper or a long expression over it would run on few."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < 4 * cores else df
 
 
 def index_rows(spark: SparkSession, d: str, spread=lambda df: df) -> DataFrame:
