@@ -160,9 +160,9 @@ def near_links(prints: DataFrame, n: int, most: int = 3) -> DataFrame:
     dealt = cut(prints.select("fp").mapInArrow(deal, "leaf long, fp long, guest boolean").withColumn("part", F.lit(-1)), "leaves")
     large = cut(dealt.groupBy("leaf").count().where(F.col("count") > LARGE).select("leaf"), "large")
     if large.take(1):
-        other = F.when(F.col("leaf") < (1 << 32), 32).otherwise(0)
-        byte = lambda k: F.lit(256 * k) + F.shiftrightunsigned("fp", other + 8 * k).bitwiseAND(F.lit(255))
-        again = join_small(dealt, large, ["leaf"], "left_semi").select("leaf", "fp", "guest", F.explode(F.array(*map(byte, range(4)))).cast("int").alias("part"))
+        other = F.when(F.col("leaf") < (1 << 32), F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp"))
+        byte = lambda k: F.lit(256 * k) + F.shiftrightunsigned(other, 8 * k).bitwiseAND(F.lit(255)).cast("int")
+        again = join_small(dealt, large, ["leaf"], "left_semi").select("leaf", "fp", "guest", F.explode(F.array(*map(byte, range(4)))).alias("part"))
         dealt = join_small(dealt, large, ["leaf"], "left_anti").union(again)
     return dealt.groupBy("leaf", "part").applyInArrow(meet, "a long, b long")
 
