@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, exact_dedup, language_id, license_scan, mixing, sharding, simhash, substring_dedup, toxicity, warc
+from . import decontamination, exact_dedup, fill_in_middle, language_id, license_scan, mixing, sharding, simhash, substring_dedup, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,17 @@ def queries() -> dict:
         "op8_decontamination": decontamination.op8_decontamination,
         "op9_license_scan": license_scan.op9_license_scan,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": warc.SQL, "op5_mixing": mixing.SQL, "op6_substring_dedup": substring_dedup.SQL, "op8_decontamination": decontamination.SQL, "op9_license_scan": license_scan.SQL, "op10_exact_dedup": exact_dedup.SQL}
+    return {
+        "op4_warc": warc.SQL,
+        "op5_mixing": mixing.SQL,
+        "op6_substring_dedup": substring_dedup.SQL,
+        "op8_decontamination": decontamination.SQL,
+        "op9_license_scan": license_scan.SQL,
+        "op10_exact_dedup": exact_dedup.SQL,
+        "op13_fill_in_middle": fill_in_middle.SQL,
+    }
