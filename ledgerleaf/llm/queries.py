@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, exact_dedup, fill_in_middle, language_id, license_scan, mixing, sharding, simhash, substring_dedup, toxicity, warc
+from . import centroids, decontamination, exact_dedup, fill_in_middle, language_id, license_scan, mixing, sharding, simhash, substring_dedup, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_decontamination": decontamination.op8_decontamination,
         "op9_license_scan": license_scan.op9_license_scan,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+        "op11_centroids": centroids.op11_centroids,
         "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     }
 
@@ -29,5 +30,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_decontamination": decontamination.SQL,
         "op9_license_scan": license_scan.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
+        "op11_centroids": centroids.SQL,
         "op13_fill_in_middle": fill_in_middle.SQL,
     }
