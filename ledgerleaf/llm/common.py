@@ -32,11 +32,12 @@ def crc_mod(col: Column, n: int) -> Column:
 def with_results(docs: DataFrame, text: str, keep: list[str] | None, added: str, found: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """The columns `keep` of docs (all, if None) and those that found makes of each batch of texts; added: their schema.
 
-    A column of docs with the name of an added one gives way to it. Names of docs never meet those used here. The text
+    A column of docs with the name of an added one, in any case, gives way to it. Names of docs never meet those used here. The text
     goes to the tasks once, also where it is kept. No row moves.
     """
     new = T._parse_datatype_string(added)
-    names = [c for c in docs.columns if (keep is None or c in keep) and c not in new.names]
+    given_way = {c.lower() for c in new.names}
+    names = [c for c in docs.columns if (keep is None or c in keep) and c.lower() not in given_way]
     at = names.index(text) if text in names else len(names)
     schema = T.StructType([*[T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)], *new.fields])
 

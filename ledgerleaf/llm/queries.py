@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import centroids, decontamination, exact_dedup, fill_in_middle, language_id, license_scan, mixing, sharding, simhash, substring_dedup, toxicity, warc
+from . import centroids, decontamination, exact_dedup, fill_in_middle, language_id, license_scan, main_text, mixing, sharding, simhash, substring_dedup, toxicity, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_license_scan": license_scan.op9_license_scan,
         "op10_exact_dedup": exact_dedup.op10_exact_dedup,
         "op11_centroids": centroids.op11_centroids,
+        "op12_main_text": main_text.op12_main_text,
         "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     }
 
@@ -31,5 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op9_license_scan": license_scan.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
         "op11_centroids": centroids.SQL,
+        "op12_main_text": main_text.SQL,
         "op13_fill_in_middle": fill_in_middle.SQL,
     }
