@@ -106,12 +106,12 @@ def occurrences(ids: np.ndarray, q: Queries) -> Iterator[tuple[int, np.ndarray,
         yield n, at[array[np.repeat(low, many) + spread(many)]], np.repeat(test, many)
 
 
-def search(texts: list[bytes | None], q: Queries) -> list[tuple]:
+def search(texts: list[bytes | None], q: Queries, size: int = SHARD_BYTES) -> list[tuple]:
     """Per text: words, words hit, ids of items found, longest matches with their places, ranges hit."""
     out, shard, n = [], [], 0
     for raw in texts:
         shard.append(raw)
-        if (n := n + len(raw or b"")) >= SHARD_BYTES:
+        if (n := n + len(raw or b"")) >= size:
             out += _search(shard, q)
             shard, n = [], 0
     return out + _search(shard, q)
@@ -173,8 +173,10 @@ def _found(items: DataFrame, window: int, passes: int, k: int):
     rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k).collect()
     held = items.sparkSession.sparkContext.broadcast(Queries(sorted(map(tuple, rows), key=lambda x: (x[0] or "", x[1])), window))
 
+    size = SHARD_BYTES  # goes to the workers with the closure
+
     def found(texts: pa.Array) -> list[pa.Array]:
-        rows = search(texts.cast(pa.binary()).to_pylist(), held.value)
+        rows = search(texts.cast(pa.binary()).to_pylist(), held.value, size)
         return [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(KINDS)]
 
     return found

@@ -98,7 +98,7 @@ def verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(_alike(common, F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def _agree(n: np.ndarray, heads: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _agree(n: np.ndarray, heads: list[np.ndarray], head: int) -> tuple[np.ndarray, np.ndarray]:
     """Which pairs of sets are near copies as far as their heads tell, and for which the heads are all they have.
 
     Below the lesser of two heads' ends, what is common of both is a sample of what is common of the sets. Of u values
@@ -114,7 +114,7 @@ def _agree(n: np.ndarray, heads: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
         x = np.zeros((m, width if column.max() >= a + width else int(column.max()) - a + 1), np.float32)
         x[row[part], column[part] - a] = 1
         common += x @ x.T
-    whole = n <= HEAD
+    whole = n <= head
     end = np.where(whole, np.uint32(0xFFFFFFFF), np.array([h[-1] for h in heads], np.uint32))
     below = np.stack([np.searchsorted(h, end, "right").astype(np.float32) for h in heads])
     both = below + below.T - common
@@ -122,10 +122,10 @@ def _agree(n: np.ndarray, heads: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
     return np.where(exact, LIKE[1] * common >= LIKE[0] * both, common >= 0.8 * both - 1.8 * np.sqrt(both)), exact
 
 
-def _compare(sid: np.ndarray, root: np.ndarray, n: np.ndarray, heads: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _compare(sid: np.ndarray, root: np.ndarray, n: np.ndarray, heads: list[np.ndarray], most: int, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a block that agree and have different roots, as (a, b, more). Of pairs that are exact enough that connect
     the roots; of others the first `most` that would connect the same two roots. more: others of these two roots are left."""
-    agree, exact = _agree(n, heads)
+    agree, exact = _agree(n, heads, head)
     i, j = np.nonzero(np.triu(agree & (root[:, None] != root[None, :]), 1))
     sure = exact[i, j]
     names_, code = np.unique(root, return_inverse=True)
@@ -168,6 +168,7 @@ def block_pairs(members: DataFrame, heads: DataFrame, most: int) -> DataFrame:
     rest = F.concat(F.transform(upto(nr), lambda r: pair(F.least(own, r), F.greatest(own, r))), F.transform(upto(nm), lambda k: pair(own, nr + k)))
     met = F.when(F.col("m") <= BLOCK, F.array(pair(F.lit(-1), F.lit(-1)))).when(is_main, F.transform(upto(nr), lambda r: pair(r, nr + own))).otherwise(rest)
     dealt = members.join(sizes, "g").withColumn("p", F.explode(met)).select("g", "p.i", "p.j", "sid", "root")
+    size = HEAD  # goes to the workers with the closure
     at = F.when(F.col("i") < 0, F.pmod(F.xxhash64("g"), F.lit(packs))).otherwise(F.xxhash64("g", "i", "j"))
 
     def meet(t: pa.Table) -> pa.Table:
@@ -177,7 +178,7 @@ def block_pairs(members: DataFrame, heads: DataFrame, most: int) -> DataFrame:
         head = np.split(values, ends[:-1])
         order = np.lexsort((sid, j, i, g))
         cuts = np.flatnonzero((np.diff(g[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
-        found = [_compare(sid[o], root[o], n[o], [head[k] for k in o], most) for o in np.split(order, cuts)]
+        found = [_compare(sid[o], root[o], n[o], [head[k] for k in o], most, size) for o in np.split(order, cuts)]
         a, b, more = (np.concatenate(x) for x in zip(*found, strict=True))
         return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64), "more": more.astype(bool)}).group_by(["a", "b"]).aggregate([("more", "max")]).rename_columns(["a", "b", "more"])
 

@@ -65,17 +65,17 @@ def _texts(t: pa.Table) -> list[tuple[int | None, bytes, int]]:
     return sorted(((k, raw or b"", n) for k, raw, n in rows), key=lambda x: LAST if x[0] is None else x[0])
 
 
-def _chunks(texts: list[tuple[int | None, bytes, int]], window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts some at a time: (number of the first, hashes of all their words, places of their ends among these, whether a
-    window that starts at a word lies in one text)."""
+def _chunks(texts: list[tuple[int | None, bytes, int]], window: int, size: int) -> Iterator[tuple[list[bytes], int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts of about `size` bytes at a time: (these, number of the first, hashes of all their words, places of their ends
+    among these, whether a window that starts at a word lies in one text)."""
     at = 0
     while at < len(texts):
         to, n = at, 0
-        while to < len(texts) and (to == at or n + len(texts[to][1]) <= CHUNK_BYTES):
+        while to < len(texts) and (to == at or n + len(texts[to][1]) <= size):
             n, to = n + len(texts[to][1]), to + 1
-        hashes, ends = word_hashes([raw for _, raw, _ in texts[at:to]])
+        hashes, ends = word_hashes(own := [raw for _, raw, _ in texts[at:to]])
         room = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(hashes))
-        yield at, hashes, ends, (room >= window)[: max(0, len(hashes) - window + 1)]
+        yield own, at, hashes, ends, (room >= window)[: max(0, len(hashes) - window + 1)]
         at = to
 
 
@@ -122,12 +122,13 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
 
     window = seed_words * 2 ** k. At each length but the last, the least name of the windows inside each candidate (its
     anchor, the same in all copies of it) is counted over the corpus; candidates whose anchor stands alone are done, the
-    others are extended to twice the length, until at `window` words the full names find each one's first place.
+    others are extended to twice the length, until at `window` words each one's first place is found. There a window is known
+    by 128 bits, two independent names of all its words, so that equal names mean equal words.
     Documents are dealt once to blocks of bounded size by a hash of key and text, and this exchange is used by all levels.
     A block sends each distinct name once, so the most frequent passage takes one entry per block. Wholly equal rows that
     fill a quarter of a block are judged once, with their number.
     """
-    levels = [seed_words]
+    chunk, levels = CHUNK_BYTES, [seed_words]  # chunk goes to the workers with the closures
     while levels[-1] < window:
         levels.append(2 * levels[-1])
     if levels[-1] != window or len(levels) < 2:
@@ -150,7 +151,7 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
         def send(docs: pa.Table, found: pa.Table) -> pa.Table:
             known = np.unique(_values(found["h"])) if len(found) else np.zeros(0, np.uint64)
             out = []
-            for _, hashes, _, fits in _chunks(_texts(docs), window):
+            for _, _, hashes, _, fits in _chunks(_texts(docs), window, chunk):
                 live = fits if before is None else alive(hashes, fits, before, known)
                 if live.any():
                     x = names(hashes, length)
@@ -173,19 +174,20 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
         return pa.table({"block": t["block"], "h": _lists(h[kept], row[kept], len(t))})
 
     def windows(docs: pa.Table, found: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of a block: its texts and their numbers of words; of the windows that are candidates: number of the text, start, both halves' names, and
-        the place of the first equal one of the block, in order of keys and starts."""
+        """Of a block: its texts and their numbers of words; of the windows that are candidates: number of the text, start, the
+        names of all its words by two independent families of hashes, and the place of the first equal one of the block, in
+        order of keys and starts."""
         known = np.unique(_values(found["h"])) if len(found) else np.zeros(0, np.uint64)
-        texts, number, start, one, two, half = _texts(docs), [], [], [], [], window // 2
+        texts, number, start, one, two = _texts(docs), [], [], [], []
         words = []
-        for first, hashes, ends, fits in _chunks(texts, window):
+        for own, first, hashes, ends, fits in _chunks(texts, window, chunk):
             at = np.flatnonzero(alive(hashes, fits, levels[-2], known))
-            of, x = np.searchsorted(ends, at, "right"), names(hashes, half)
+            of = np.searchsorted(ends, at, "right")
             words.append(np.diff(ends, prepend=0))
             number.append(first + of)
             start.append(at - np.concatenate(([0], ends))[of])
-            one.append(x[at])
-            two.append(x[at + half])
+            one.append(names(hashes, window)[at])
+            two.append(names(word_hashes(own, 1)[0], window)[at] if len(at) else one[-1])
         number, start, one, two = _flat(number, np.int64), _flat(start, np.int64), _flat(one, np.uint64), _flat(two, np.uint64)
         key = np.array([LAST if k is None else k for k, _, _ in texts], np.int64)[number] if len(number) else np.zeros(0, np.int64)
         order = np.lexsort((start, key, two, one))

@@ -7,36 +7,34 @@ import numpy as np
 #: Bytes that are hashed at once.
 STEP = 1 << 18
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_BYTE = np.where(SPACE, np.uint64(0), np.random.Generator(np.random.PCG64(41)).integers(1, 1 << 63, 256, dtype=np.uint64))
-_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
+#: Multipliers of the mixing (odd, of no structure), and one start for each family of hashes.
+_STEP, _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_BYTE = np.random.Generator(np.random.PCG64(41)).integers(0, 1 << 64, (2, 256), dtype=np.uint64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, base, np.uint64))))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of x told from every other: each step can be undone, and none is linear in the one before."""
+    x = (x ^ (x >> np.uint64(30))) * _ONE
+    x = (x ^ (x >> np.uint64(27))) * _TWO
+    return x ^ (x >> np.uint64(31))
 
 
-_UP, _DOWN = _powers(_BASE, 2 * STEP), _powers(pow(_BASE, -1, 1 << 64), 2 * STEP)
+def _step(raw: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words of some bytes."""
+    inside = np.flatnonzero(~SPACE[raw])
+    if not len(inside):
+        return np.zeros(0, np.uint64), inside
+    first = np.flatnonzero(np.diff(inside, prepend=-2) > 1)  # of each word, among the bytes of words
+    size, start = np.diff(first, append=len(inside)), inside[first]
+    # a byte counts by itself and its place in the word, mixed, so that no pattern of places cancels out as in a polynomial
+    place = (inside - np.repeat(start, size)).astype(np.uint64)
+    value = _mixed(_BYTE[family][raw[inside]] + place * _STEP)
+    return _mixed(np.add.reduceat(value, first) + size.astype(np.uint64)), start
 
 
-def _step(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and starts of the words of bytes that end with a space."""
-    space = SPACE[raw]
-    edge = np.flatnonzero(np.diff(space, prepend=True))
-    start, end = edge[::2], edge[1::2]
-    if len(raw) > len(_UP):
-        up, down = _powers(_BASE, len(raw)), _powers(pow(_BASE, -1, 1 << 64), len(raw))
-    else:
-        up, down = _UP, _DOWN
-    # a polynomial of the bytes with the word's own powers, as a difference of sums from the first byte on
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=np.uint64)))
-    h = (sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)
-    h = (h ^ (h >> np.uint64(31))) * _MIX
-    return h ^ (h >> np.uint64(29)), start
-
-
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], family: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of the texts (runs of bytes that are no ASCII space), one text after the other, and for
-    each text where its words end among them."""
+    each text where its words end among them. The two families of hashes are independent of each other."""
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     stops = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     hashes, starts, at = [], [], 0
@@ -47,7 +45,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
                 to = at + int(last[-1]) + 1
                 break
             size *= 2
-        h, start = _step(raw[at:to])
+        h, start = _step(raw[at:to], family)
         hashes.append(h)
         starts.append(at + start)
         at = to

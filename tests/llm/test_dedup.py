@@ -111,6 +111,26 @@ def test_wholly_equal_rows_are_judged_once(spark, monkeypatch):
     assert got_removed(repeated_words(spark.createDataFrame(rows, SCHEMA).repartition(4))) == plain_removed(rows, 20)
 
 
+def thue_morse(n, a="a", b="b"):
+    return "".join((a, b)[i.bit_count() & 1] for i in range(n))
+
+
+def test_words_that_polynomials_confuse_are_told_apart(spark):
+    from ledgerleaf.llm.near_sets import shingles
+    from ledgerleaf.llm.words import word_hashes
+
+    one, two = thue_morse(1024), thue_morse(1024, "b", "a")
+    common = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{common} {one}", None, None), (2, f"{common} {two}", None, None), (3, f"{one} {common}", None, None), (4, f"{one} {common}", None, None)]
+    assert got_removed(repeated_words(spark.createDataFrame(rows, SCHEMA))) == plain_removed(rows, 20)
+    a, b = shingles([f"{common} {one}".encode(), f"{common} {two}".encode()])
+    assert len(np.intersect1d(a, b)) == 15
+    for family in (0, 1):
+        h, _ = word_hashes([f"{one} {two} ab ba aab aba baa {one[::-1]}x".encode()], family)
+        assert len(set(h.tolist())) == 8
+    assert not set(word_hashes([b"one two"], 0)[0].tolist()) & set(word_hashes([b"one two"], 1)[0].tolist())
+
+
 def test_kept_text_and_empty(spark):
     row = repeated_words(spark.createDataFrame([(1, "a b  c", None, None)], SCHEMA), with_text=True).first()
     assert row["kept_text"] == "a b c"

@@ -40,6 +40,12 @@ def test_kernel_regression_is_multiplied_out_rightly():
     want = kernel @ np.linalg.solve(kernel + 0.5 * len(texts) / 2 * np.eye(len(texts)), y)
     assert np.allclose(model.scores(grams)[0], want, atol=1e-3)
     few = L.train(labels, grams, landmarks=4).scores(grams)[0]
+    # with fewer, the same regression on the kernel that these four rows span: K[:, S] K[S, S]^+ K[S, :], by eigenvectors
+    chosen = [0, 1, 2, 3]
+    values, vectors = np.linalg.eigh(kernel[np.ix_(chosen, chosen)])
+    phi = kernel[:, chosen] @ vectors / np.sqrt(values)
+    low = phi @ phi.T
+    assert np.allclose(few, low @ np.linalg.solve(low + L.RIDGE * len(texts) / 2 * np.eye(len(texts)), y), atol=1e-3)
     assert (few.argmax(1) == [model.languages.index(x) for x in labels]).all()
 
 
@@ -53,15 +59,34 @@ def test_language_of_awkward_rows(spark):
     assert sorted(r["doc_id"] for r in L.known_language(awkward(spark)).where("doc_id is not null").collect()) == [1, 2, 7, 8, 9, 10, 11, 11]
 
 
+OTHERS = [
+    "Il gatto dorme sul divano mentre il cane gioca nel giardino con i bambini della vicina e la nonna prepara la cena",
+    "Zażółć gęślą jaźń, a potem kot śpi na kanapie, gdy pies bawi się w ogrodzie z dziećmi sąsiadki",
+    "def main(argv): for x in range(10): print(x); import os, sys; return None if x else self.value",
+    "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua",
+    "sdkfjh qwpoeiru zxcvnm asldkj qpwoei zmxncb alskdj",
+]
+
+
 def test_language_stage_uses_the_classifier(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    other = spark.createDataFrame([(-1, "привет как дела сегодня у вас всё хорошо"), (-2, "漢字かな交じり文です"), (-3, "12 34"), (-4, None)], "doc_id long, text string")
+    other = spark.createDataFrame([(-1, "привет как дела сегодня у вас всё хорошо"), (-2, "漢字かな交じり文です"), (-3, "12 34"), (-4, None)] + [(-5 - i, t) for i, t in enumerate(OTHERS)], "doc_id long, text string")
     rows = docs.unionByName(other, allowMissingColumns=True)
     kept = L.known_language(rows).select("doc_id").collect()
     assert len(kept) == docs.count() and all(r["doc_id"] >= 0 for r in kept)
     # without labels, texts with letters stay
     bare = L.known_language(other.withColumn("lang", F.lit(None).cast("string")))
-    assert sorted(r["doc_id"] for r in bare.collect()) == [-2, -1]
+    assert sorted(r["doc_id"] for r in bare.collect()) == sorted([-2, -1] + [-5 - i for i in range(len(OTHERS))])
+
+
+def test_language_of_one_repeated_text_is_learned(spark):
+    """A language in which one row has very many copies: its other rows are in the sample like any other's."""
+    copies = spark.range(200_000).selectExpr("1L AS doc_id", "'immer der gleiche satz' AS text", "'de' AS lang")
+    others = [(i + 10, f"das haus nummer {i} und der garten von dem alten mann", "de") for i in range(40)]
+    others += [(i + 100, f"the house number {i} and the garden of the old man", "en") for i in range(400)]
+    model = L.fit(copies.union(spark.createDataFrame(others, "doc_id long, text string, lang string")))
+    assert model.languages == ["de", "en"]
+    assert model.predict(["der garten von dem mann", "the garden of the man"])[0] == ["de", "en"]
 
 
 def test_language_sample_of_repeated_and_null_ids(spark):
