@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
@@ -14,16 +15,27 @@ from . import rules
 from .batches import with_helper
 from .text import clean_text, drop_embedded_pdf, drop_text_tables, flatten_text_spans, is_html, main_document
 
-# Fixed values of HTML: elements without content, and what ends where another one starts.
+# Fixed values of HTML: elements without content; which open element (first) ends where which other (second) starts; and how
+# end tags rank: one never reaches past an open element that ranks above it. All others rank 100.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-CELLS = frozenset("td th".split())
 ENDS = {
-    "p": frozenset("address article blockquote center dir div dl fieldset form h1 h2 h3 h4 h5 h6 hr menu ol p pre table td th tr ul".split()),
-    "li": frozenset({"li"}), "dd": frozenset({"dd", "dt"}), "dt": frozenset({"dd", "dt"}), "option": frozenset({"option"}),
-    "td": frozenset({"td", "th", "tr", "tbody", "thead", "tfoot"}), "th": frozenset({"td", "th", "tr", "tbody", "thead", "tfoot"}), "tr": frozenset({"tr", "tbody", "thead", "tfoot"}),
-    "a": CELLS | {"a", "fieldset", "table"}, "b": CELLS | {"center", "p"}, "font": CELLS | {"center"}, "i": CELLS | {"center", "p"}, "span": CELLS, "u": CELLS | {"p"},
-    "big": frozenset({"p"}), "s": frozenset({"p"}), "small": frozenset({"p"}), "strike": frozenset({"p"}), "tt": frozenset({"p"}),
+    "a": "a fieldset table td th", "address": "dd dl dt form li ul", "b": "center p td th", "big": "p",
+    "caption": "col colgroup tbody tfoot thead tr", "col": "col colgroup tbody tfoot thead tr", "colgroup": "colgroup tbody tfoot thead tr",
+    "dd": "dt", "dir": "dd dl dt form ul", "dl": "form li", "dt": "dd dl", "font": "center td th", "form": "form",
+    "h1": "fieldset form li p table", "h2": "fieldset form li p table", "h3": "fieldset form li p table", "h4": "fieldset form li p table", "h5": "fieldset form li p table", "h6": "fieldset form li p table",
+    "head": "a abbr acronym address b bdo big blockquote body br center cite code dd dfn dir div dl dt fieldset font form frameset h1 h2 h3 h4 h5 h6 hr i iframe img kbd li listing map menu ol p pre q s samp small span strike strong sub sup table tt u ul var xmp",
+    "i": "center p td th", "legend": "fieldset", "li": "li", "listing": "dd dl dt fieldset form li table ul", "menu": "dd dl dt form ul", "ol": "form ul", "option": "optgroup option",
+    "p": "address blockquote body caption center col colgroup dd dir div dl dt fieldset form frameset h1 h2 h3 h4 h5 h6 head hr li listing menu ol p pre table tbody td tfoot th title tr ul xmp",
+    "pre": "dd dl dt fieldset form li table ul", "s": "p", "script": "noscript", "small": "p", "span": "td th", "strike": "p", "style": "body frameset",
+    "tbody": "tbody tfoot", "td": "tbody td tfoot th tr", "tfoot": "tbody", "th": "tbody td tfoot th tr", "thead": "tbody tfoot", "title": "body frameset", "tr": "tbody tfoot tr",
+    "tt": "p", "u": "p td th", "ul": "address form menu ol pre", "xmp": "dd dl dt fieldset form li table ul",
 }
+RANK = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180, "table": 190, "head": 200, "body": 200, "html": 220}
+ENDED_BY = {tag: frozenset(by.split()) for tag, by in ENDS.items()}
+#: Elements that hold no text of their own: text there is a paragraph.
+BARE = frozenset(("", "html", "head"))
+ONCE = frozenset(("html", "head", "body"))
+
 # Backgrounds that do not count as a colour.
 PLAIN = frozenset({"none", "transparent", "#ffffff", "#fff", "white"})
 
@@ -70,7 +82,7 @@ def clean(text: str) -> str:
 
 class Node:
     def __init__(self, tag: str, attrs: dict[str, str] | None = None, up: Node | None = None) -> None:
-        self.tag, self.attrs, self.up, self.inside, self.bare = tag, attrs or {}, up, [], False
+        self.tag, self.attrs, self.up, self.inside = tag, attrs or {}, up, []
 
     def all(self) -> Iterator[Node]:
         todo = [self]
@@ -109,36 +121,64 @@ class Node:
         return "".join(out)
 
 
+#: A tag whose last character belongs to a value without quotes, so that it is no empty element.
+_VALUE_SLASH = re.compile(r"""=\s*[^\s"'>]*/>$""")
+
+
 class _Tree(HTMLParser):
+    """The tree of a page with its broken markup mended by rule: what an element's start ends (ENDS), and what an end tag may
+    end (RANK). An end tag without its element is nothing; one that finds it ends all that was left open inside."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("")
+        self.open: Counter[str] = Counter()  # how many elements of a name are open
+        self.passed = 0  # starts of html, head and body that came again and were passed over, so are as many ends
+
+    def _up(self) -> None:
+        self.open[self.at.tag] -= 1
+        self.at = self.at.up
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.at.bare and tag in ENDS["p"]:
-            self.at = self.at.up
-        while self.at.tag in ENDS and tag in ENDS[self.at.tag]:
-            self.at = self.at.up
+        while tag in ENDED_BY.get(self.at.tag, ()):
+            self._up()
+        if tag in ONCE and (self.open[tag] or tag == "html" and self.at is not self.root or tag == "head" and self.open["body"]):
+            self.passed += 1
+            return
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.inside.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
+        """An element written as empty is, whatever its name."""
         self.handle_starttag(tag, attrs)
+        if self.at.tag == tag and tag not in VOID | ONCE and not _VALUE_SLASH.search(self.get_starttag_text() or ""):
+            self._up()
 
     def handle_endtag(self, tag: str) -> None:
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.up if node.tag != "table" else None
-        if node is not None and node.up is not None:
-            self.at = node.up
+        if tag in ONCE and self.passed:
+            self.passed -= 1
+            return
+        if not self.open[tag]:
+            return
+        rank, node = RANK.get(tag, 100), self.at
+        while node.tag != tag:
+            if RANK.get(node.tag, 100) > rank:
+                return
+            node = node.up
+        while self.at is not node:
+            self._up()
+        self._up()
+
+    def parse_html_declaration(self, i: int) -> int:
+        """A marked section (`<![if x]>`) is no markup of HTML and goes like a comment."""
+        return self.parse_bogus_comment(i, 0) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
 
     def handle_data(self, data: str) -> None:
-        if self.at is self.root and data.strip():  # text outside of all elements is a paragraph
-            self.at = Node("p", up=self.root)
-            self.at.bare = True
-            self.root.inside.append(self.at)
+        if self.at.tag in BARE and data.strip():
+            self.handle_starttag("p", [])
         self.at.inside.append(data)
 
 

@@ -43,6 +43,9 @@ def collapse_lines(col: Column) -> Column:
     return F.regexp_replace(col, r" {2,}", " ")
 
 
+# The patterns below state what a filing marks its documents, types, tables and spans with.
+
+
 def drop_embedded_pdf(col: Column) -> Column:
     """T7."""
     return F.regexp_replace(col, r"(?is)<PDF>.*?</PDF>", "")

@@ -39,16 +39,84 @@ def test_every_index_row_is_enriched_or_rejected(spark):
 
 
 @pytest.mark.parametrize(("html", "want"), [
+    # implied ends
     ("<table><tr><td><b>x<td>y</table>", "<table><tr><td><b>x</b></td><td>y</td></tr></table>"),
     ("<p>a<p>b", "<p>a</p><p>b</p>"),
     ("<p><b>a<p>b</b>", "<p><b>a</b></p><p>b</p>"),
     ("bare text<div>x</div>more", "<p>bare text</p><div>x</div><p>more</p>"),
     ("<ul><li>a<li>b</ul>", "<ul><li>a</li><li>b</li></ul>"),
+    ("<dl><dt>a<dd>b<dt>c</dl>", "<dl><dt>a</dt><dd>b</dd><dt>c</dt></dl>"),
+    ("<p>a<table><tr><td>x</table>b", "<p>a</p><table><tr><td>x</td></tr></table><p>b</p>"),
+    ("<p>a<h2>b</h2>c", "<p>a</p><h2>b</h2><p>c</p>"),
+    ("<h1>a<p>b", "<h1>a</h1><p>b</p>"),
+    ("<h3>a<table><tr><td>b</table>", "<h3>a</h3><table><tr><td>b</td></tr></table>"),
+    ("<h1>a<h2>b</h2></h1>c", "<h1>a<h2>b</h2></h1><p>c</p>"),
+    ("<form>a<form>b", "<form>a</form><form>b</form>"),
+    ("<h4>a<form>b</form>", "<h4>a</h4><form>b</form>"),
+    ("<p>a<fieldset><legend>b<fieldset>c", "<p>a</p><fieldset><legend>b</legend><fieldset>c</fieldset></fieldset>"),
+    ("<ul>a<ol>b", "<ul>a</ul><ol>b</ol>"),
+    ("<ul><li>a<ol><li>b</ol>c</ul>", "<ul><li>a<ol><li>b</li></ol>c</li></ul>"),
+    ("<select><option>a<option>b<optgroup>c</select>", "<select><option>a</option><option>b</option><optgroup>c</optgroup></select>"),
+    ("<a>x<a>y", "<a>x</a><a>y</a>"),
+    ("<a>x<table><tr><td>y</table>", "<a>x</a><table><tr><td>y</td></tr></table>"),
+    ("<font>a<center>b</center>c", "<font>a</font><center>b</center><p>c</p>"),
+    ("<pre>a<ul><li>b</ul>", "<pre>a</pre><ul><li>b</li></ul>"),
+    ("<tr><td>a<td>b<tr><td>c", "<tr><td>a</td><td>b</td></tr><tr><td>c</td></tr>"),
+    ("<table><thead><tr><th>a<tbody><tr><td>b<tfoot><tr><td>c</table>", "<table><thead><tr><th>a</th></tr></thead><tbody><tr><td>b</td></tr></tbody><tfoot><tr><td>c</td></tr></tfoot></table>"),
+    ("<table><caption>a<tr><td>b</table>", "<table><caption>a</caption><tr><td>b</td></tr></table>"),
+    # end tags by rank
+    ("<p><span>Item 1.</p><p>Business</p>", "<p><span>Item 1.</span></p><p>Business</p>"),
+    ("<div><span>a</div>b</span>", "<div><span>a</span></div><p>b</p>"),
+    ("<span><div>a</span>b</div>c", "<span><div>ab</div>c</span>"),
+    ("<b><i>a</b>b</i>c", "<b><i>a</i></b><p>bc</p>"),
+    ("<div>a</p>b</div>", "<div>ab</div>"),
+    ("<p><div>a</p>b</div>", "<p></p><div>ab</div>"),
+    ("<table><tr><td><p>a</div>b</td></tr></table>", "<table><tr><td><p>ab</p></td></tr></table>"),
+    ("<div><table><tr><td>a</div>b</table>c</div>", "<div><table><tr><td>ab</td></tr></table>c</div>"),
+    ("<table><tr><td><div>a</td><td>b</table>", "<table><tr><td><div>a</div></td><td>b</td></tr></table>"),
+    ("<table><tr><td><table><tr><td>a</tr>b</table>c</table>", "<table><tr><td><table><tr><td>a</td></tr>b</table>c</td></tr></table>"),
+    ("<ul><li><b>a</li><li>b</ul>c", "<ul><li><b>a</b></li><li>b</li></ul><p>c</p>"),
+    ("<ul><li><div>a</ul>b</div>c</ul>d", "<ul><li><div>ab</div>c</li></ul><p>d</p>"),
+    ("<h1><font>a</h1>b</font>", "<h1><font>a</font></h1><p>b</p>"),
+    ("<tr>a</table></tr>b", "<tr>a</tr><p>b</p>"),
+    ("</p></div></td>a", "<p>a</p>"),
+    # what comes again, empty elements, marked sections
+    ("<html><head><title>t</title><body><p>x</body>y</html>", "<html><head><title>t</title></head><body><p>x</p></body><p>y</p></html>"),
+    ("<body>a<body>b</body>c</body>d", "<body>abc</body><p>d</p>"),
+    ("<html><p>a<html>b</html>c", "<html><p>abc</p></html>"),
+    ("<head><p>a", "<head></head><p>a</p>"),
+    ("<p/>x", "<p></p><p>x</p>"),
+    ("<div><span/>a<div/>b</div>c", "<div><span></span>a<div></div>b</div><p>c</p>"),
+    ("<p><a name=y/>z</a>w", '<p><a name="y/">z</a>w</p>'),
+    ("<p>a<![if !x]>b<![endif]>c", "<p>abc</p>"),
 ])
-def test_implied_ends(html, want):
+def test_broken_markup(html, want):
     assert M.tree(html).markup() == want
 
 
+@pytest.mark.parametrize(("html", "want"), [
+    ("<div><p><span>Item 1.</p><p>Business</p><p>text <b>more</p></div><p>Item 2. Properties", [("ITEM 1", 0), ("ITEM 2", 32)]),
+    ("<h1>x<p>Item 1. A<form><p>Item 2. B<form>y", [("ITEM 2", 12)]),
+    ("<table><tr><td><div>a</td><td>Item 7. b</table><p>Item 8. c</p>", [("ITEM 7", 3), ("ITEM 8", 18)]),
+    ("<ul><li><div>x</ul>Item 3. y</div><li>Item 4. z</ul>", [("ITEM 4", 14)]),
+])
+def test_headers_of_broken_markup(html, want):
+    import re
+
+    text = "\n" + M.html_text(html, ["1"], True)
+    found = [(m[1].upper(), m.start()) for m in re.finditer(r"\n[ \t]*(item \d)", text, re.IGNORECASE)]
+    assert found == want, repr(text)
+
+
+def test_deep_and_long_markup():
+    import time
+
+    for html in ("<div>" * 20_000 + "x", "<b>" * 20_000 + "</i>" * 20_000, "<p>" * 20_000, "<ul><li>" * 20_000 + "</td>" * 20_000):
+        began = time.time()
+        M.html_text(html, [], False)
+        assert time.time() - began < 10
+
+
 @pytest.mark.parametrize(("style", "colour"), [
     ("background: white !important", False), ("background-color:#CCE ! important", True), ("background: url(data:image/png;base64,AA==)", True),
     ("background: url('a;b'); background: none", False), ("color: red; BACKGROUND-COLOR : White", False), ("background", False), ("", False),
