@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
+def caught(kind: T.DataType, helper: Callable[..., object]) -> tuple[T.StructType, Callable[..., object]]:
+    """The helper with an error channel: (value, error), of which one is null. A value that makes it raise ends no job."""
+
+    def run(*row: object) -> dict:
+        try:
+            return {"value": helper(*row), "error": None}
+        except Exception as e:  # whatever a value does to the helper is that value's result
+            return {"value": None, "error": f"{type(e).__name__}: {e}"[:300]}
+
+    return T.StructType([T.StructField("value", kind), T.StructField("error", T.StringType())]), run
+
+
 def with_helper(df: DataFrame, name: str, kind: T.DataType, helper: Callable[..., object], *inputs: str) -> DataFrame:
     """df with the column name = helper(*inputs), value by value over Arrow batches; one Python boundary, no shuffle."""
     kept = [c for c in df.columns if c != name]

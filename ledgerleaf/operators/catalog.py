@@ -12,6 +12,8 @@ ITEMS = {
     "8-K-old": "1 2 3 4 5 6 7 8 9 10 11 12 SIGNATURE".split(),
 }
 CUT_OFF = "2004-08-23"
+#: Why a filing cannot be worked on.
+UNKNOWN_TYPE, NO_DATE, NOT_ASKED = "unknown filing type", "no valid date", "no item of this filing was asked for"
 
 
 def roman(n: int) -> str:
@@ -45,8 +47,10 @@ def section_key(item: Column) -> Column:
 
 
 def form_of(kind: Column, date: Column) -> Column:
-    """The form whose list holds for a filing: 8-K filings after the cut-off have the new one. Null for other types."""
-    return F.when(kind.isin("10-K", "10-Q"), kind).when(kind == "8-K", F.when(F.to_date(date) > F.to_date(F.lit(CUT_OFF)), "8-K").otherwise("8-K-old"))
+    """The form whose list holds for a filing: 8-K filings after the cut-off have the new one. Null for other types, and for
+    an 8-K whose date is none."""
+    day = F.try_to_date(date)
+    return F.when(kind.isin("10-K", "10-Q"), kind).when(kind == "8-K", F.when(day > F.to_date(F.lit(CUT_OFF)), "8-K").when(day.isNotNull(), "8-K-old"))
 
 
 def items_for_filing(df: DataFrame, items: list[str] | None = None) -> DataFrame:
@@ -55,7 +59,7 @@ def items_for_filing(df: DataFrame, items: list[str] | None = None) -> DataFrame
     lists = F.create_map(*[x for f, names in ITEMS.items() for x in (F.lit(f), F.array(*map(F.lit, names)))])
     rows = df.withColumn("form", form_of(F.col("Type"), F.col("Date"))).withColumn("catalog", lists[F.col("form")])
     rows = rows.withColumn("items", F.array_intersect("catalog", F.array(*map(F.lit, items))) if items else F.col("catalog"))
-    return rows.withColumn("reject", F.when(F.col("form").isNull(), "unknown filing type").when(F.size("items") == 0, "no item of this filing was asked for"))
+    return rows.withColumn("reject", F.when(F.col("form").isNull() & (F.col("Type") == "8-K"), NO_DATE).when(F.col("form").isNull(), UNKNOWN_TYPE).when(F.size("items") == 0, NOT_ASKED))
 
 
 def next_items(catalog: DataFrame) -> DataFrame:

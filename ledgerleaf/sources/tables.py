@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.batches import with_helper
+from ..operators.index import prune_quarters
 from ..operators.sections import out_keys, sections_wide
+from .commits import commit, committed, new_folder
 from .scratch import new_dir
 
 # The metadata columns in order, and the tokens that a CSV of them uses for null.
@@ -51,6 +58,21 @@ def read_quarter_indices(spark: SparkSession, folder: str, years: range, quarter
     return null_tokens(spark.read.csv(paths, sep="|", quote="", schema=strings(METADATA), mode="PERMISSIVE"))
 
 
+def write_index(df: DataFrame, path: str) -> None:
+    """Index rows as a table laid out by year and quarter of their Date; quarters of df replace those that are there, others
+    stay. Rows without a valid date are in the folder of null."""
+    day = F.try_to_date(F.col("Date"))
+    rows = df.withColumns({"year": F.year(day), "quarter": F.quarter(day)})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "quarter").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str, years: range, quarters: list[int], today: dt.date | None = None) -> DataFrame:
+    """P1 on the layout of write_index: only the folders of the wanted quarters are read."""
+    if not len(years):
+        raise ValueError("no years")
+    return prune_quarters(spark.read.parquet(path), years[0], years[-1], quarters, today or dt.date.today())
+
+
 def checked_quarters(quarters: list[int]) -> list[int]:
     if bad := [q for q in quarters if q not in (1, 2, 3, 4)]:
         raise ValueError(f"no such quarters: {bad}")
@@ -123,19 +145,101 @@ def list_raw_filings(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(*_path_parts())
 
 
-def write_extracted_filings(df: DataFrame, path: str, include_signature: bool = False) -> None:
-    """JSON Lines by form, in path/type=<type>/form=<form>, nulls kept, one frame of fixed columns per form. The
-    extraction runs once: its result is written and then split by form. A run that is repeated overwrites its files."""
+def list_raw_files(spark: SparkSession, root: str) -> DataFrame:
+    """(Type, filename, file, length) of all raw filings, file being its address; contents are not read."""
+    return listed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
+
+
+def listed(files: DataFrame) -> DataFrame:
+    """The same of rows of the binaryFile source, of a stream too."""
+    return files.select(*_path_parts(), F.col("_metadata.file_path").alias("file"), "length")
+
+
+def _bytes_of(address: str) -> bytes:
+    parts = urlsplit(address)
+    if parts.scheme in ("", "file"):
+        with open(unquote(parts.path), "rb") as f:
+            return f.read()
+    files, path = pyarrow.fs.FileSystem.from_uri(address)
+    with files.open_input_stream(path) as f:
+        return f.read()
+
+
+def with_contents(files: DataFrame, task_bytes: int = 64 << 20, step: int = 4 << 20) -> DataFrame:
+    """J6 by path: rows with file and length, and instead of these content (decoded) and unread (why it could not be read).
+
+    The tasks open the files that the rows name and no others, so what is joined and dealt out before is addresses alone, of
+    any number of filings; contents arise where they are worked on. Files are dealt to tasks of about task_bytes; a task
+    hands on some `step` bytes at a time.
+    """
+    kept = [c for c in files.columns if c not in ("file", "length", "content", "unread")]
+    total = files.agg(F.sum(F.col("length").cast("long"))).first()[0] or 0
+    schema = T.StructType([*[files.schema[c] for c in kept], T.StructField("content", T.StringType()), T.StructField("unread", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(b: pa.RecordBatch, at: int, texts: list, errors: list) -> pa.RecordBatch:
+            rows = b.slice(at - len(texts), len(texts))
+            return pa.RecordBatch.from_arrays([*rows.columns[: len(kept)], pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=schema.names)
+
+        for b in batches:
+            texts, errors, held = [], [], 0
+            for i, address in enumerate(b.column(len(kept)).to_pylist()):
+                try:
+                    raw, error = _bytes_of(address), None
+                except OSError as e:
+                    raw, error = None, f"cannot be read: {type(e).__name__}"
+                texts.append(decode(raw))
+                errors.append(error)
+                if (held := held + len(raw or b"")) >= step:
+                    yield made(b, i + 1, texts, errors)
+                    texts, errors, held = [], [], 0
+            if texts:
+                yield made(b, b.num_rows, texts, errors)
+
+    rows = files.select(*[F.col(f"`{c}`") for c in kept], "file")
+    return rows.repartition(max(1, -(-total // task_bytes), min(files.sparkSession.sparkContext.defaultParallelism, total // step)), F.xxhash64("file")).mapInArrow(run, schema)
+
+
+FORMS = ("10-K", "10-Q", "8-K", "8-K-old")
+
+
+def _form_folder(form: str) -> str:
+    return f"type={form.removesuffix('-old')}/form={form}"
+
+
+def write_extracted_filings(df: DataFrame, path: str, include_signature: bool = False, run: str | None = None, facts: dict | None = None) -> dict:
+    """JSON Lines by form, nulls kept, one frame of fixed columns per form, in the folders of a run of its own, which
+    readers take up when all of it is there. Runs before stay as they are; a run that is repeated under its name takes its own
+    place. facts go into the run's entry, which is returned. The extraction runs once: its result is written and then split.
+    """
     spark = df.sparkSession
-    df.write.partitionBy("form").parquet(once := new_dir(spark, "extracted"))
+    df.write.parquet(once := new_dir(spark, "extracted"))
     filings = spark.read.schema(df.schema).parquet(once)
-    for form in ("10-K", "10-Q", "8-K", "8-K-old"):
-        wide = sections_wide(filings, form, *[F.col(f"`{c}`") for c in OUTPUT], include_signature=include_signature)
-        wide.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/type={form.removesuffix('-old')}/form={form}")
+    name = run or f"run-{uuid.uuid4().hex}"
+    folder = new_folder(name)
+    forms = {r["form"]: r["count"] for r in filings.groupBy("form").count().collect()}  # at most four
+    for form in FORMS:
+        if form in forms:
+            wide = sections_wide(filings, form, *[F.col(f"`{c}`") for c in OUTPUT], include_signature=include_signature)
+            wide.write.option("ignoreNullFields", "false").json(f"{path}/{folder}/{_form_folder(form)}")
+    return commit(spark, path, name, {"folder": folder, "forms": forms, "filings": sum(forms.values())} | (facts or {}))
+
+
+def _read_runs(spark: SparkSession, path: str, forms: tuple[str, ...], columns: list[str], but: str | None = None) -> DataFrame:
+    runs = [e for name, e in committed(spark, path).items() if name != but and "forms" in e]
+    paths = [f"{path}/{e['folder']}/{_form_folder(f)}" for e in runs for f in forms if f in e["forms"]]
+    return spark.read.schema(strings(columns)).json(paths) if paths else spark.createDataFrame([], strings(columns))
 
 
 def read_extracted_filings(spark: SparkSession, path: str, form: str, include_signature: bool = False) -> DataFrame:
-    return spark.read.schema(strings([*OUTPUT, *out_keys(form, include_signature)])).json(f"{path}/type={form.removesuffix('-old')}/form={form}")
+    """The filings of a form that all committed runs have put out."""
+    return _read_runs(spark, path, (form,), [*OUTPUT, *out_keys(form, include_signature)])
+
+
+def extracted_keys(spark: SparkSession, path: str, but: str | None = None) -> DataFrame:
+    """(filing_type, filename) of all filings that are put out, for J7; but: a run that is not asked, as one that is repeated
+    must find the same filings to do."""
+    return _read_runs(spark, path, FORMS, ["filing_type", "filename"], but)
 
 
 def tickers_of(rows: DataFrame) -> DataFrame:
@@ -151,9 +255,20 @@ def read_company_tickers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_company_info(spark: SparkSession, path: str) -> DataFrame:
-    """JSON object by CIK."""
-    kind = T.MapType(T.StringType(), COMPANY)
-    return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", kind)).alias("CIK", "c")).select("CIK", "c.*")
+    """A JSON object by CIK, or what write_company_info has put there last."""
+    kind, held = T.MapType(T.StringType(), COMPANY), committed(spark, path).get("current")
+    lines = spark.read.text(f"{path}/{held['folder']}") if held else spark.read.text(path, wholetext=True)
+    return lines.select(F.explode(F.from_json("value", kind)).alias("CIK", "c")).select("CIK", "c.*")
+
+
+def write_company_info(df: DataFrame, path: str) -> None:
+    """Puts df in the place of the companies at path, a JSON object by CIK in each line. df may come from
+    read_company_info(path) itself: the version that is read stays until the write after this one, and counts until this one
+    is whole."""
+    folder = new_folder("current")
+    facts = F.struct(*[F.col(f"`{c}`") for c in COMPANY.names])
+    df.select(F.to_json(F.create_map(F.col("CIK"), facts), {"ignoreNullFields": "false"}).alias("value")).write.text(f"{path}/{folder}")
+    commit(df.sparkSession, path, "current", {"folder": folder})
 
 
 def upsert_company_info(held: DataFrame, new: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ledgerleaf.operators import index as I
 from ledgerleaf.plans import jobs, synth as Y
 from ledgerleaf.sources import tables as R
-from ledgerleaf.streaming.incremental import extract_new_filings_stream
+from ledgerleaf.sources.commits import committed
+from ledgerleaf.streaming.incremental import _drive, extract_new_filings_stream, extract_new_rows_stream, waiting
 
 
 def test_master_index(spark, tmp_path):
@@ -77,10 +78,10 @@ def test_company_files(spark, tmp_path):
 def test_extracted_filings_keep_nulls(spark, sf, tmp_path):
     filings, rejects = jobs.extract_filings(Y.filing_metadata(spark, sf), Y.filings(spark, sf).drop("doc_id", "_form"))
     for _ in range(2):  # a run that is repeated leaves one copy
-        R.write_extracted_filings(filings, str(tmp_path / "out"))
+        R.write_extracted_filings(filings, str(tmp_path / "out"), run="one")
     back = R.read_extracted_filings(spark, str(tmp_path / "out"), "10-K")
     assert back.where("item_1 LIKE 'ITEM 1. Business%'").count() == 50 and rejects.count() == 0
-    line = next((tmp_path / "out" / "type=10-K" / "form=10-K").glob("*.json")).read_text().splitlines()[0]
+    line = next((tmp_path / "out").glob("one/*/type=10-K/form=10-K/*.json")).read_text().splitlines()[0]
     assert '"sic":null' in line
 
 
@@ -93,10 +94,140 @@ def test_stream_gives_what_the_batch_gives_and_no_file_twice(spark, sf, tmp_path
             (raw / r["Type"]).mkdir(parents=True, exist_ok=True)
             (raw / r["Type"] / r["filename"]).write_text(r["content"], newline="")
         extract_new_filings_stream(spark, meta, str(raw), out, seen)
-    got = spark.read.option("recursiveFileLookup", "true").parquet(out)
     want, _ = jobs.extract_filings(meta, R.read_raw_filings(spark, str(raw)))
-    key = lambda df: sorted(repr(tuple(r)) for r in df.collect())
-    assert got.count() == 24 and key(got) == key(want)
+    R.write_extracted_filings(want, batch := str(tmp_path / "batch"))
+    assert sum(v["done"] for k, v in committed(spark, out).items() if k != "waiting") == 24 and all_filings(spark, out) == all_filings(spark, batch)
+
+
+def all_filings(spark, path):
+    return {f: sorted(repr(tuple(r)) for r in R.read_extracted_filings(spark, path, f).collect()) for f in R.FORMS}
+
+
+def put(root, rows):
+    for r in rows:
+        (root / r["Type"]).mkdir(parents=True, exist_ok=True)
+        (root / r["Type"] / r["filename"]).write_text(r["content"], newline="")
+
+
+def test_files_that_come_before_their_metadata_wait(spark, sf, tmp_path):
+    meta = Y.filing_metadata(spark, sf).where("Type <> '10-Q'")
+    rows = Y.filings(spark, sf).where("doc_id < 24 AND Type <> '10-Q'").select("Type", "filename", "content").collect()
+    raw, out, seen = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "seen")
+    put(raw, rows)
+    early = meta.where("Type = '8-K'")
+    extract_new_filings_stream(spark, early, str(raw), out, seen)
+    assert waiting(spark, out)[0].count() == 6 and len(all_filings(spark, out)["10-K"]) == 0
+    # the same again changes nothing; then the metadata comes, without any new file
+    extract_new_filings_stream(spark, early, str(raw), out, seen)
+    extract_new_filings_stream(spark, meta, str(raw), out, seen)
+    want, _ = jobs.extract_filings(meta, R.read_raw_filings(spark, str(raw)))
+    R.write_extracted_filings(want, batch := str(tmp_path / "batch"))
+    assert all_filings(spark, out) == all_filings(spark, batch) and waiting(spark, out)[0].count() == 0
+    # a batch that is repeated, as after a crash, starts from what waited before it and changes nothing either
+    _drive(R.list_raw_files(spark, str(raw)), early, out, "batch-0", 0)
+    assert all_filings(spark, out) == all_filings(spark, batch)
+
+
+def test_rows_that_come_before_their_metadata_wait(spark, sf, tmp_path):
+    meta = Y.filing_metadata(spark, sf).where("Type = '8-K'")
+    Y.filings(spark, sf).where("doc_id < 24 AND Type = '8-K'").select("Type", "filename", "content").write.parquet(raw := str(tmp_path / "raw"))
+    out, seen = str(tmp_path / "out"), str(tmp_path / "seen")
+    extract_new_rows_stream(spark, meta.where("filename <> '2_f.htm'"), raw, out, seen)
+    assert [r["filename"] for r in waiting(spark, out)[0].collect()] == ["2_f.htm"]
+    extract_new_rows_stream(spark, meta, raw, out, seen)
+    assert R.extracted_keys(spark, out).count() == 12 == R.extracted_keys(spark, out).distinct().count()
+
+
+def test_runs_add_to_what_is_there(spark, sf, tmp_path):
+    """The second run has filings of another form; it is repeated, and a third run has nothing to do."""
+    meta, raw = Y.filing_metadata(spark, sf).where("filename RLIKE '^[0-9]_'"), Y.filings(spark, sf).where("doc_id < 10").drop("doc_id", "_form")
+    out = str(tmp_path / "out")
+    one = jobs.extract_run(meta.where("Type = '10-K'"), raw, out, "one")
+    two = [jobs.extract_run(meta, raw, out, "two") for _ in range(2)]
+    three = jobs.extract_run(meta, raw, out, "three")
+    assert (one["done"], two[0]["done"], two[1]["done"], three["todo"]) == (3, 7, 7, 0)
+    want, _ = jobs.extract_filings(meta, raw)
+    R.write_extracted_filings(want, whole := str(tmp_path / "whole"))
+    assert all_filings(spark, out) == all_filings(spark, whole)
+    with pytest.raises(ValueError):
+        jobs.extract_run(meta, raw, out, "../x")
+
+
+def test_a_run_that_fails_leaves_nothing(spark, sf, tmp_path):
+    meta, raw = Y.filing_metadata(spark, sf).where("filename RLIKE '^[0-9]_'"), Y.filings(spark, sf).where("doc_id < 10").drop("doc_id", "_form")
+    out = str(tmp_path / "out")
+    jobs.extract_run(meta.where("Type = '8-K'"), raw, out, "one")
+    before = all_filings(spark, out)
+    with pytest.raises(Exception, match="broken"):
+        jobs.extract_run(meta, raw.withColumn("content", F.raise_error(F.lit("broken")).cast("string")), out, "one")
+    assert all_filings(spark, out) == before
+
+
+def test_counts_and_rejects_of_a_run(spark, tmp_path):
+    kinds = [("10-K", "2020-01-01", "a.htm"), ("4", "2020-01-01", "b.htm"), ("10-K", "2020-01-01", "c.htm"), ("8-K", "2010/13/99", "d.htm"), ("8-K", None, "e.htm"), ("10-K", "2020-01-01", "f.htm"), ("10-K", "2020-01-01", "g.htm"), ("8-K", "2020-01-01", "h.htm")]
+    meta = jobs.with_metadata(spark.createDataFrame(kinds, "Type string, Date string, filename string"))
+    (tmp_path / "raw" / "10-K").mkdir(parents=True)
+    (tmp_path / "raw" / "8-K").mkdir()
+    for name, text in (("a", "\nITEM 1. A\nx y\nSIGNATURE\nz"), ("c", "nothing here"), ("g", "\nITEM 1. A\nx <![bad[ y"), ("unasked", "x")):
+        (tmp_path / "raw" / "10-K" / f"{name}.htm").write_text(text)
+    (tmp_path / "raw" / "8-K" / "h.htm").write_text("\nItem 5.02 x\n")
+    files = R.list_raw_files(spark, str(tmp_path / "raw"))
+    rows = spark.createDataFrame(R.read_raw_filings(spark, str(tmp_path / "raw")).collect())
+    out = str(tmp_path / "out")
+    gone = files.withColumn("file", F.when(F.col("filename") == "h.htm", "file:/nowhere/h.htm").otherwise(F.col("file")))
+    entry = jobs.extract_run(meta, gone, out, items=["1", "5.02"])
+    assert (entry["todo"], entry["done"], entry["empty"]) == (8, 1, 1)
+    assert entry["failed"] == {"unknown filing type": 1, "no valid date": 2, "no raw filing": 1, "cannot be read": 1, "cannot be cut": 1}
+    got = {r["filename"]: r["reason"] for r in jobs.read_rejects(spark, out).collect()}
+    assert got.pop("g.htm").startswith("cannot be cut: AssertionError")
+    assert got == {"b.htm": "unknown filing type", "c.htm": "no section has text", "d.htm": "no valid date", "e.htm": "no valid date", "f.htm": "no raw filing", "h.htm": "cannot be read: FileNotFoundError"}
+    filings, rejects = jobs.extract_filings(meta, rows, items=["1", "5.02"])
+    assert sorted(r["filename"] for r in filings.collect()) == ["a.htm", "h.htm"] and sorted(r["filename"] for r in rejects.collect()) == ["b.htm", "d.htm", "e.htm", "f.htm", "g.htm"]
+
+
+def test_contents_are_read_by_path_and_only_the_wanted(spark, tmp_path):
+    names = ["a b.htm", "c%d.htm", "e#f.htm", "g+h.htm", "ü.htm", "plain.htm"]
+    (tmp_path / "10-K").mkdir()
+    for n in [*names, "other.htm"]:
+        (tmp_path / "10-K" / n).write_bytes(f"{n}\r\n\xff".encode("latin-1"))
+    files = R.list_raw_files(spark, str(tmp_path))
+    meta = spark.createDataFrame([("10-K", n) for n in names], "Type string, filename string")
+    for limit in (10, 0):
+        got = R.with_contents(I.attach_content(meta, files, limit))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert all("content#" not in line and "content:" not in line for line in plan.splitlines() if "Exchange" in line or "FileScan" in line)
+        texts = {r["filename"]: (r["content"], r["unread"]) for r in got.collect()}
+        assert set(texts) == set(names) and texts["a b.htm"] == ("a b.htm\n\\xff", None) and all(e is None for _, e in texts.values())
+
+
+def test_companies_are_written_where_they_are_read(spark, tmp_path):
+    company = lambda k, sic: {"Company Name": f"n{k}", "SIC": sic, "State location": "NY", "State of Inc": None, "Fiscal Year End": "1231"}
+    path = str(tmp_path / "companies")
+    frame = lambda ks, sic: spark.createDataFrame([(str(k), *company(k, sic).values()) for k in ks], R.strings(["CIK", *R.COMPANY.names]))
+    R.write_company_info(frame([1, 2], "a"), path)
+    for ks in ([2, 3], [3, 4], [5]):
+        R.write_company_info(R.upsert_company_info(R.read_company_info(spark, path), frame(ks, "b")), path)
+    with pytest.raises(Exception, match="broken"):
+        R.write_company_info(R.read_company_info(spark, path).withColumn("CIK", F.raise_error(F.lit("broken")).cast("string")), path)
+    got = sorted((r["CIK"], r["SIC"], r["State of Inc"]) for r in R.read_company_info(spark, path).collect())
+    assert got == [("1", "a", None), ("2", "a", None), ("3", "b", None), ("4", "b", None), ("5", "b", None)]
+    assert len([p for p in (tmp_path / "companies" / "current").iterdir()]) == 3  # two versions and the failed attempt
+
+
+def test_an_index_by_quarter_is_read_by_folder(spark, sf, tmp_path):
+    rows = Y.index_rows(spark, sf).unionByName(Y.index_rows(spark, sf).limit(1).withColumn("Date", F.lit("2001/99/1")))
+    path = str(tmp_path / "index")
+    for _ in range(2):
+        R.write_index(rows, path)
+    one = R.read_index(spark, path, range(2001, 2002), [2])
+    assert {p.split("/")[-3] + "/" + p.split("/")[-2] for p in one.inputFiles()} >= {"year=2001/quarter=2"}
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "year" in filters.split("PartitionFilters")[1].split("PushedFilters")[0] and "quarter" in filters
+    assert one.count() == rows.where("Date LIKE '2001-04%' OR Date LIKE '2001-05%' OR Date LIKE '2001-06%'").count() > 0
+    files = one.select(F.input_file_name().alias("f")).distinct().collect()
+    assert all("year=2001/quarter=2" in r["f"] for r in files)
+    assert spark.read.parquet(path).count() == rows.count()
 
 
 def test_rejects_and_skips(spark):
