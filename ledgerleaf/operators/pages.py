@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from html import unescape
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from ..functions.batches import with_helper
 from ..sources.scratch import cut
@@ -19,6 +19,9 @@ COMPANY = T.StructType([T.StructField(c, T.StringType()) for c in ("name", "sic"
 FILED, PERIOD, INC, END = "Filing Date", "Period of Report", ("State of Inc.", "State of Incorp.", "State of Incorporation."), "Fiscal Year End"
 TABLE, WHOLE = "Document Format Files", "Complete submission text file"
 
+#: Why an index row is rejected.
+REASONS = NO_PAGE, THROTTLED_PAGE, NO_PERIOD, NO_LINK = "no page", "throttled page", "no period of report", "no document link"
+
 _TAG = re.compile(r"""<!--.*?-->|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>""", re.DOTALL)
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 #: Elements that may hold a fact, and what an open one of them ends if it was left open.
@@ -206,15 +209,15 @@ def company_facts(pages: DataFrame) -> DataFrame:
     return rows.select("CIK", F.col("facts.name").alias("Company Name"), F.col("facts.sic").alias("SIC"), F.col("facts.location").alias("State location"), F.col("facts.inc").alias("State of Inc"), F.col("facts.end").alias(END))
 
 
-def enrich_index(index: DataFrame, pages: DataFrame, company_pages: DataFrame, types: list[str]) -> tuple[DataFrame, DataFrame]:
+def enrich_index(index: DataFrame, pages: DataFrame, company_pages: DataFrame, types: list[str], seen: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """H5: index rows with all facts, link and filename; and the rejects: every other index row with its reason (no page,
     throttled page, no period of report, no document link).
 
-    Throttled pages and those that do not name a period are told by a look for these words and not parsed; the others are
-    parsed to short columns, all facts in one scan, before the join, so no markup is shuffled. The joined rows are written
-    once, for both results."""
+    Throttled pages are told by a look for their notice and not parsed; the others are parsed to short columns, all facts in
+    one scan, before the join, so no markup is shuffled. The joined rows are written once, for both results; seen, if given,
+    observes in that pass how many rows there are, are done, and are rejected for each reason (A1)."""
     throttled = F.coalesce(F.col("html").contains(I.THROTTLED), F.lit(False))
-    looked = pages.withColumn("_throttled", throttled).withColumn("html", F.when(~throttled & F.col("html").contains(PERIOD), F.col("html")))
+    looked = pages.withColumn("_throttled", throttled).withColumn("html", F.when(~throttled, F.col("html")))
     facts = page_facts(looked).select("url", "_throttled", "facts")
     rows = index.withColumnRenamed("html_index", "url").join(facts, "url", "left").withColumnRenamed("url", "html_index")
     given = {FILED: "filed", PERIOD: "period", "State of Inc": "inc", END: "end", "SIC": "sic"}
@@ -222,8 +225,11 @@ def enrich_index(index: DataFrame, pages: DataFrame, company_pages: DataFrame, t
     rows = choose_links(rows, types)
     linked = F.col("htm_file_link").isNotNull() | F.coalesce(F.exists("documents", lambda d: d["description"] == WHOLE), F.lit(False))
     link = F.coalesce("htm_file_link", "complete_text_file_link").isNotNull()
-    reason = F.when(F.col("_throttled").isNull(), "no page").when(F.col("_throttled"), "throttled page").when(F.col(f"`{PERIOD}`").isNull(), "no period of report").when(~(linked & link), "no document link")
-    rows = cut(rows.withColumn("_reason", reason).drop("_throttled", "documents"), "enriched")
+    reason = F.when(F.col("_throttled").isNull(), NO_PAGE).when(F.col("_throttled"), THROTTLED_PAGE).when(F.col(f"`{PERIOD}`").isNull(), NO_PERIOD).when(~(linked & link), NO_LINK)
+    rows = rows.withColumn("_reason", reason).drop("_throttled", "documents")
+    if seen is not None:
+        rows = rows.observe(seen, F.count("*").alias("todo"), F.count_if(F.col("_reason").isNull()).alias("done"), *[F.count_if(F.coalesce(F.col("_reason") == r, F.lit(False))).alias(r) for r in REASONS])
+    rows = cut(rows, "enriched")
     kept = I.resolve_document_link(I.fill_company_info(rows.where("_reason IS NULL"), company_facts(company_pages)))
     name = I.filing_name(F.col("CIK"), F.col("document_type"), F.col(f"`{PERIOD}`"), F.col("complete_text_file_link"), F.col("extension"))
     kept = kept.withColumn("htm_file_link", F.replace("htm_file_link", F.lit("ix?doc=/"), F.lit(""))).withColumn("filename", name)

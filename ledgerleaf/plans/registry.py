@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -11,7 +13,7 @@ from ..functions import markup as M, text as X
 from ..operators import catalog as C, index as I, pages as H, sections as S
 from ..sources import tables as R
 from ..sources.scratch import new_dir
-from ..streaming.incremental import extract_new_rows_stream
+from ..streaming.incremental import extract_new_filings_stream
 from . import jobs, synth as Y
 
 _QUERIES: dict = {}
@@ -59,6 +61,8 @@ _forms = f"forms AS (SELECT *, {_lists} AS catalog FROM (SELECT *, CASE WHEN Typ
 _add("p10_items_for_filing", lambda s, d: C.items_for_filing(Y.index_rows(s, d), ["7", "1", "2.02", "part_1__2"]).select("k", "form", F.array_join("items", ",").alias("items"), "reject"), f"WITH {Y.INDEX}, {_forms} SELECT k, form, array_to_string(list_filter(catalog, lambda x: list_contains(['7', '1', '2.02', 'part_1__2'], x)), ',') AS items, CASE WHEN form IS NULL THEN 'unknown filing type' END AS reject FROM forms")
 _add("p11_section_key", lambda s, d: C.items_for_filing(Y.index_rows(s, d)).where("reject IS NULL").select("k", F.explode("items").alias("i")).select("k", "i", C.section_key(F.col("i")).alias("out_key")), f"WITH {Y.INDEX}, {_forms}, x AS (SELECT k, unnest(catalog) AS i FROM forms WHERE form IS NOT NULL) SELECT k, i, CASE WHEN i = 'SIGNATURE' THEN i WHEN contains(i, '__') THEN replace(i, '__', '_item_') ELSE 'item_' || i END AS out_key FROM x")
 _lines = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.transform(F.split("text", "\n"), lambda x: F.struct(F.when(F.length(x) > 40, x).otherwise("").alias("section_text"))).alias("sections"))
+_dated = lambda s, d: Y.index_rows(s, d).withColumn("Date", F.when(F.col("k") % 17 == 0, "2010/13/99").when(F.col("k") % 17 == 1, None).otherwise(F.col("Date")))
+_add("p10_malformed_dates", lambda s, d: C.items_for_filing(_dated(s, d), ["7", "1", "2.02", "part_1__2"]).select("k", "form", "reject"), f"WITH {Y.INDEX}, {_forms} SELECT k, CASE WHEN Type <> '8-K' OR k % 17 > 1 THEN form END AS form, CASE WHEN Type = '8-K' AND k % 17 < 2 THEN 'no valid date' WHEN form IS NULL THEN 'unknown filing type' END AS reject FROM forms")
 _add("p12_drop_empty_filings", lambda s, d: S.drop_empty_filings(_lines(s, d)).select("doc_id"), "SELECT doc_id FROM documents WHERE len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 40)) > 0")
 
 # joins and set operations
@@ -102,9 +106,9 @@ _add("a4_dedupe_companies", lambda s, d: I.dedupe_companies(Y.index_rows(s, d)),
 
 _sql_catalog = "cat AS (" + " UNION ALL ".join(f"SELECT '{f}' AS form, {i} AS ord, '{x}' AS item_index" for f, xs in C.ITEMS.items() for i, x in enumerate(xs)) + ")"
 _add("w1_next_items", lambda s, d: C.items_for_filing(Y.index_rows(s, d)).where("form IS NOT NULL").groupBy("form").agg(F.count("*").alias("filings")).join(C.next_items(C.item_catalog(s)), "form").select("form", "filings", "item_index", F.array_join("followers", ",").alias("followers")), f"WITH {Y.INDEX}, {_forms}, {_sql_catalog}, n AS (SELECT form, count(*) AS filings FROM forms WHERE form IS NOT NULL GROUP BY form) SELECT c.form, filings, c.item_index, coalesce((SELECT string_agg(b.item_index, ',' ORDER BY b.ord) FROM cat b WHERE b.form = c.form AND b.ord > c.ord), '') AS followers FROM cat c JOIN n USING (form)")
-_plain = lambda s, d: Y.filings(s, d).where("_form = '10-K'").select("doc_id", X.clean_text(F.col("content")).alias("x"))
+_plain = lambda s, d: Y.filings(s, d).select("doc_id", X.clean_text(F.col("content")).alias("x"))
 _heads = ["ITEM 1.", "ITEM 1A.", "ITEM 7.", "ITEM 8.", "SIGNATURE"]
-_sql_pieces_of = f"""{Y.FILED_SQL}, cutting AS (SELECT doc_id, string_split(regexp_replace(cleaned, '(\\n[ \\t]*(?:ITEMS? *[0-9]|PART *(?:I|[0-9])|SIGNATURE))', chr(1) || '\\1', 'gi'), chr(1)) AS p FROM filed WHERE doc_id % 4 = 0),
+_sql_pieces_of = f"""{Y.FILED_SQL}, cutting AS (SELECT doc_id, string_split(regexp_replace(cleaned, '(\\n[ \\t]*(?:ITEMS? *[0-9]|PART *(?:I|[0-9])|SIGNATURE))', chr(1) || '\\1', 'gi'), chr(1)) AS p FROM filed),
      segs AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, p[i] AS segment, CAST(coalesce(list_sum(list_transform(p[1 : i - 1], lambda x: length(x))), 0) AS INTEGER) AS start FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM cutting)),
      labelled AS (SELECT *, regexp_extract(segment, '(?i)^\\n[ \\t]*(ITEMS? *[0-9A-Z.]*[0-9A-Z]|PART *[IV0-9]+|SIGNATURES?)', 1) AS l FROM segs)"""
 _add("w2_segment_by_headers", lambda s, d: S.segment_by_headers(_plain(s, d), "x", "doc_id"), f"WITH {_sql_pieces_of} SELECT doc_id, n, upper(l) AS label, l <> '' AND upper(l) = l AS upper, start, CAST(start + length(segment) AS INTEGER) AS \"end\", segment FROM labelled")
@@ -213,6 +217,8 @@ _add("x4_extract_10k", lambda s, d: _long(_extracted(s, d, "10-K")), _expect("10
 _add("x5_extract_8k", lambda s, d: _long(_extracted(s, d, "8-K", "8-K-old")), _expect("8-K", "8-K-old"))
 _parts = lambda df: _long(df).where("out_key IN ('part_1', 'part_2')")
 _add("x6_split_10q_parts", lambda s, d: _parts(_extracted(s, d, "10-Q")), f"WITH {Y.EXPECTED} SELECT filename, out_key, section_text FROM expected WHERE form = '10-Q' AND out_key IN ('part_1', 'part_2')")
+_cases = lambda s, d: jobs.extract_filings(Y.filing_metadata(s, d).withColumn("Type", F.lit("10-Q")), Y.case_filings(s, d))[0]
+_add("x6_repaired_parts", lambda s, d: _parts(_cases(s, d)), f"WITH {Y.CASES_SQL} SELECT filename, 'part_1' AS out_key, {_t6('part_1')} AS section_text FROM cases UNION ALL SELECT filename, 'part_2', {_t6('part_2')} FROM cases")
 _add("x7_extract_10q", lambda s, d: _long(_extracted(s, d, "10-Q")), _expect("10-Q"))
 _add("x8_extract_filings", lambda s, d: _long(_extracted(s, d, "10-K", "10-Q", "8-K", "8-K-old")), _expect("10-K", "10-Q", "8-K", "8-K-old"))
 _add("x8_signature_only", lambda s, d: _long(_extracted(s, d, "10-K", "8-K", "8-K-old", items=["SIGNATURE"], include_signature=True)), "SELECT doc_id || '_f.htm' AS filename, 'SIGNATURE' AS out_key, 'SIGNATURE' || chr(10) || 'By the officer' AS section_text FROM documents WHERE doc_id % 4 <> 1")
@@ -255,10 +261,40 @@ def _metadata_file(s, d) -> DataFrame:
     return R.read_filings_metadata(s, path)
 
 
+def _put_out(s, path: str) -> DataFrame:
+    """All that the runs at path have put out, of all forms, as sections."""
+    parts = [S.wide_to_long(R.read_extracted_filings(s, path, f), S.out_keys(f), "filename") for f in R.FORMS]
+    return reduce(DataFrame.unionByName, parts).where("section_text <> ''").select("filename", "out_key", "section_text")
+
+
 def _extracted_files(s, d) -> DataFrame:
-    R.write_extracted_filings(_extracted(s, d, "10-K", "10-Q"), path := new_dir(s, "extracted"))
-    keys = S.out_keys("10-Q")
-    return S.wide_to_long(R.read_extracted_filings(s, path, "10-Q"), keys, "filename").where("section_text <> ''").select("filename", "out_key", "section_text")
+    R.write_extracted_filings(_extracted(s, d, *R.FORMS), path := new_dir(s, "extracted"))
+    return _put_out(s, path)
+
+
+def _runs(s, d) -> DataFrame:
+    """A run over annual reports, one over all filings, which has the others to do, and this one again."""
+    meta, raw, path = Y.filing_metadata(s, d), Y.filings(s, d).drop("doc_id", "_form"), new_dir(s, "runs")
+    jobs.extract_run(meta.where("Type = '10-K'"), raw, path, "one")
+    for _ in range(2):
+        jobs.extract_run(meta, raw, path, "two")
+    return _put_out(s, path)
+
+
+def _faulty_run(s, d) -> tuple[dict, str]:
+    """A run with filings of unknown type, without a valid date and without a raw filing: its entry and where it is."""
+    k = F.regexp_extract("filename", "^([0-9]+)_", 1).cast("long")
+    meta = Y.filing_metadata(s, d).withColumn("Type", F.when(k % 7 == 0, "4").otherwise(F.col("Type"))).withColumn("Date", F.when(k % 11 == 0, "2010/13/99").when(k % 11 == 1, None).otherwise(F.col("Date")))
+    raw = Y.filings(s, d).where("doc_id % 9 > 0").drop("doc_id", "_form")
+    return jobs.extract_run(meta, raw, path := new_dir(s, "faulty")), path
+
+
+def _counts(s, d) -> DataFrame:
+    entry, _ = _faulty_run(s, d)
+    return s.createDataFrame([(k, entry[k]) for k in ("todo", "done")] + list(entry["failed"].items()), "what string, n long")
+
+
+_faults = "CASE WHEN doc_id % 7 = 0 THEN 'unknown filing type' WHEN doc_id % 4 >= 2 AND doc_id % 11 < 2 THEN 'no valid date' WHEN doc_id % 9 = 0 THEN 'no raw filing' END"
 
 
 def _company_list(s, d) -> DataFrame:
@@ -283,37 +319,71 @@ def _companies_file(s, d) -> DataFrame:
     return R.upsert_company_info(R.read_company_info(s, path), Y.companies(s, d))
 
 
-def _raw_files(s, d) -> str:
-    """Every filing as a file <root>/<Type>/<filename>, a blank in the name of some; written by Spark, a file each."""
-    rows = Y.filings(s, d).select("Type", F.when(F.col("doc_id") % 3 == 0, F.replace("filename", F.lit("_"), F.lit(" "))).otherwise(F.col("filename")).alias("filename"), F.replace("content", F.lit("\n"), F.lit("\r\n")).alias("content"))
-    rows.write.partitionBy("Type", "filename").option("lineSep", "\r").text(path := new_dir(s, "raw"))
-    return path
+def _raw_files(s, d, rows: DataFrame | None = None, root: str | None = None) -> str:
+    """Every filing as a file <root>/<Type>/<filename>, a blank in the name of some: written by Spark in a folder each and then
+    moved to that name."""
+    rows = Y.filings(s, d) if rows is None else rows
+    lines = rows.select("Type", "filename", F.replace("content", F.lit("\n"), F.lit("\r\n")).alias("content"))
+    lines.write.partitionBy("Type", "filename").option("lineSep", "\r").text(path := new_dir(s, "written"))
+    root, at = root or new_dir(s, "raw"), s._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(s._jsc.hadoopConfiguration())
+    for found in files.globStatus(at(f"{path}/Type=*/filename=*/part-*")):
+        folder = found.getPath().getParent()
+        kind, name = (unquote(p.getName().partition("=")[2]) for p in (folder.getParent(), folder))
+        files.mkdirs(at(f"{root}/{kind}"))
+        if not files.rename(found.getPath(), at(at(f"{root}/{kind}"), name)):
+            raise OSError(f"cannot move {name}")
+    return root
 
 
-def _of_folders(files: DataFrame) -> DataFrame:
-    """The path of each file as if its folder Type=<Type>/filename=<filename> were the file itself."""
-    return files.withColumn("path", F.url_decode(F.regexp_replace("path", r"Type=([^/]*)/filename=([^/]*)/[^/]*$", "$1/$2")))
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("filename", F.when(F.regexp_extract("filename", "^([0-9]+)_", 1).cast("long") % 3 == 0, F.replace("filename", F.lit("_"), F.lit(" "))).otherwise(F.col("filename")))
 
 
-def _raw_read(s, d) -> DataFrame:
-    files = s.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(_raw_files(s, d))
-    return R.raw_filings_of(_of_folders(files.select("path", "content")))
+def _by_path(s, d) -> DataFrame:
+    """Contents of some filings, read by path out of a folder of all."""
+    files = R.list_raw_files(s, _raw_files(s, d, _named(Y.filings(s, d))))
+    wanted = _named(Y.filing_metadata(s, d)).where("Type <> '10-K'").select("Type", "filename")
+    return R.with_contents(I.attach_content(wanted, files)).drop("unread")
 
 
 def _streamed(s, d) -> DataFrame:
-    """The stream over filings that are written as Parquet by form, in two runs, and what it has put out."""
+    """The stream of files in three runs: annual and current reports with the metadata of the former, quarterly ones with the
+    metadata of these, and the metadata of all without a new file."""
     raw, out, seen = new_dir(s, "arriving"), new_dir(s, "out"), new_dir(s, "seen")
-    rows, meta = Y.filings(s, d).drop("doc_id", "_form"), Y.filing_metadata(s, d)
-    for form in ("10-K", "8-K"):
-        rows.where(F.col("Type") == form).write.mode("append").parquet(raw)
-        extract_new_rows_stream(s, meta, raw, out, seen)
-    return _long(s.read.option("recursiveFileLookup", "true").parquet(out))
+    rows, meta = Y.filings(s, d), Y.filing_metadata(s, d)
+    for arriving, known in ((("10-K", "8-K"), ["10-K"]), (("10-Q",), ["10-K", "10-Q"]), ((), ["10-K", "10-Q", "8-K"])):
+        if arriving:
+            _raw_files(s, d, rows.where(F.col("Type").isin(*arriving)), raw)
+        extract_new_filings_stream(s, meta.where(F.col("Type").isin(known)), raw, out, seen)
+    return _put_out(s, out)
+
+
+def _index_by_quarter(s, d) -> DataFrame:
+    R.write_index(Y.index_rows(s, d), path := new_dir(s, "index"))
+    return R.read_index(s, path, range(2001, 2004), [1, 2, 3], dt.date(2003, 5, 10))
+
+
+def _companies_written(s, d) -> DataFrame:
+    """Half of the companies are written, then all that are new to these in their place."""
+    path = new_dir(s, "held")
+    R.write_company_info(Y.companies(s, d).where("CIK % 2 = 0").withColumn("SIC", F.lit(None).cast("string")), path)
+    R.write_company_info(R.upsert_company_info(R.read_company_info(s, path), Y.companies(s, d)), path)
+    return R.read_company_info(s, path)
 
 
 _add("s1_read_master_index", lambda s, d: _master_index(s, d).select("CIK", "Company", "Type", "Date", "html_index"), f"WITH {Y.INDEX} SELECT CIK, Company, Type, Date, html_index FROM idx")
 _add("s2_read_quarter_indices", lambda s, d: _quarter_files(s, d).select("CIK", "Company", "Date", "html_index", "filename"), f"WITH {Y.INDEX} SELECT CIK, Company, Date, html_index, CAST(NULL AS VARCHAR) AS filename FROM idx")
 _add("s3_s4_metadata_file", lambda s, d: _metadata_file(s, d).select("CIK", "Company", "SIC", "htm_file_link", "filename", F.col("Period of Report").alias("period")), f"WITH {Y.META} SELECT CIK, CASE WHEN k % 2 = 0 THEN Company || ', \"Inc\"' END AS Company, SIC, htm_file_link, filename, \"Period of Report\" AS period FROM meta")
-_add("s5_raw_filings", lambda s, d: _raw_read(s, d), f"WITH {Y.FILED_SQL} SELECT ['10-K', '10-Q', '8-K', '8-K'][CAST(1 + doc_id % 4 AS INTEGER)] AS Type, CASE WHEN doc_id % 3 = 0 THEN replace(filename, '_', ' ') ELSE filename END AS filename, content || chr(10) AS content FROM filed")
-_add("r1_extract_stream", _streamed, _expect("10-K", "8-K", "8-K-old"))
-_add("s6_extracted_files", _extracted_files, _expect("10-Q"))
+_all_forms = _expect(*R.FORMS)
+_named_sql = "CASE WHEN doc_id % 3 = 0 THEN replace(filename, '_', ' ') ELSE filename END AS filename, content || chr(10) AS content FROM filed"
+_add("s5_raw_filings", lambda s, d: R.read_raw_filings(s, _raw_files(s, d, _named(Y.filings(s, d)))), f"WITH {Y.FILED_SQL} SELECT ['10-K', '10-Q', '8-K', '8-K'][CAST(1 + doc_id % 4 AS INTEGER)] AS Type, {_named_sql}")
+_add("j6_contents_by_path", _by_path, f"WITH {Y.FILED_SQL} SELECT ['10-K', '10-Q', '8-K', '8-K'][CAST(1 + doc_id % 4 AS INTEGER)] AS Type, {_named_sql} WHERE doc_id % 4 > 0")
+_add("r1_extract_stream", _streamed, _all_forms)
+_add("s6_extracted_files", _extracted_files, _all_forms)
+_add("s6_runs", _runs, _all_forms)
+_add("a1_counts_of_a_run", _counts, f"SELECT coalesce({_faults}, 'done') AS what, count(*) AS n FROM documents GROUP BY 1 UNION ALL SELECT 'todo', count(*) FROM documents")
+_add("x8_rejects", lambda s, d: jobs.read_rejects(s, _faulty_run(s, d)[1]).select("filename", "reason"), f"SELECT doc_id || '_f.htm' AS filename, {_faults} AS reason FROM documents WHERE {_faults} IS NOT NULL")
+_add("p1_index_by_quarter", lambda s, d: _index_by_quarter(s, d).select("k", "html_index", "year", "quarter"), f"WITH {Y.INDEX}, q AS (SELECT *, CAST(substr(Date, 1, 4) AS INTEGER) AS year, CAST(ceil(CAST(substr(Date, 6, 2) AS INTEGER) / 3.0) AS INTEGER) AS quarter FROM idx) SELECT k, html_index, year, quarter FROM q WHERE year BETWEEN 2001 AND 2003 AND quarter IN (1, 2, 3) AND (year < 2003 OR quarter <= 2)")
+_add("s8_write_company_info", lambda s, d: _companies_written(s, d).select("CIK", F.col("Company Name").alias("name"), "SIC", F.col("State location").alias("loc")), _SQL["s8_upsert_company_info"])
 _add("s9_company_list", _company_list, f"WITH {_sql_ciks} SELECT e AS entry, count(*) AS n FROM entry GROUP BY e")

@@ -76,7 +76,7 @@ def index_pages(spark: SparkSession, d: str) -> DataFrame:
     m, k = index_rows(spark, d, dealt), F.col("k")
     s = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in x])
     key = k.cast("string")
-    dates = s(F.when(k % 5 == 0, "<div id='x' class='infoHead big'>Filing <b>Date</b></div>\n<div class='info'>").otherwise('<div class="infoHead">Filing Date</div>\n<div class="info">'), F.col("Date"), "</div>", F.when(k % 7 != 0, s('<div class="infoHead">Period of Report</div>\n<div class="info">', F.substring("Date", 1, 4), "-01-31</div>")).otherwise(""))
+    dates = s(F.when(k % 5 == 0, "<div id='x' class='infoHead big'>Filing <b>Date</b></div>\n<div class='info'>").otherwise('<div class="infoHead">Filing Date</div>\n<div class="info">'), F.col("Date"), "</div>", F.when(k % 7 != 0, s('<div class="infoHead">Period', F.when(k % 3 == 0, " of <b>Report</b>").when(k % 3 == 1, "&#32;of Rep<!-- -->ort").otherwise(" of Report"), '</div>\n<div class="info">', F.substring("Date", 1, 4), "-01-31</div>")).otherwise(""))
     inc = F.when(k % 2 == 0, "State of Inc.: NY | ").otherwise("")
     info = s('<div class="companyInfo"><span class="companyName">', F.col("Company"), '</span><p class="identInfo">IRS No.: 1 | ', inc, "Fiscal Year End: 0930 | Type: x", F.when(k % 3 == 0, s('<br>SIC: <a href="/b?action=x&amp;SIC=', (k % 50).cast("string"), '">', "S&amp;C", (k % 50).cast("string"), "</a>")).otherwise(""), "</p></div>")
     row = lambda n, desc, href, kind: s("<tr><td>", n, "</td><td>", desc, '</td><td><a href="', href, '">x</a></td><td>', kind, "</td></tr>")
@@ -154,6 +154,49 @@ def filings(spark: SparkSession, d: str) -> DataFrame:
     return dealt(read(spark, d, "documents").select("doc_id", "text")).select("doc_id", form.alias("_form"), F.regexp_replace(form, "-old", "").alias("Type"), F.concat(F.col("doc_id").cast("string"), F.lit("_f.htm")).alias("filename"), content.alias("content"))
 
 
+#: Quarterly reports as texts and (first and last tenth of the words), a case each: no first part; the first part in the contents
+#: list alone, in capitals and not; a second part that is far longer; numbered parts and no signature.
+_END = "\n\nSIGNATURE\n\nBy the officer"
+_BODY = ["ITEM 1. Statements\n\n", (0, 6), "\n"]
+_SECOND = ["\nPART II. OTHER\n\nITEM 1. Proceedings\n\n", (6, 10), "\n"]
+CASES: list[list] = [
+    ["\n\nThe cover\n\n", *_BODY, *_SECOND, _END[1:]],
+    ["\n\nPART I. FINANCIAL 1\n", "\nPART II. OTHER 9\n\n", *_BODY, *_SECOND, _END[1:]],
+    ["\n\nPart I. Financial 1\n", "\nPart II. Other 9\n\n", *_BODY, *_SECOND, _END[1:]],
+    ["\n\nPART I. FINANCIAL\n\nITEM 1. None\n", "\nPART II. OTHER\n\n", (0, 10), "\n", _END[1:]],
+    ["\n\nPart 1. Financial\n\nItem 1. Statements\n\n", (0, 6), "\n", "\nPart 2. Other\n\nItem 1. Proceedings\n\n", (6, 10)],
+]
+
+
+def case_filings(spark: SparkSession, d: str) -> DataFrame:
+    """(Type, filename, content): a quarterly report made of each document, of a case by its id."""
+    safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    whole = [F.concat(*[F.lit(x) if isinstance(x, str) else safe(_group(*x)) for x in parts]) for parts in CASES]
+    n = F.col("doc_id") % len(CASES)
+    content = F.coalesce(*[F.when(n == i, x) for i, x in enumerate(whole)])
+    return dealt(read(spark, d, "documents").select("doc_id", "text")).select(F.lit("10-Q").alias("Type"), F.concat(F.col("doc_id").cast("string"), F.lit("_f.htm")).alias("filename"), content.alias("content"))
+
+
+def _case_parts() -> str:
+    """part_1 and part_2 of each case, before lines are collapsed, as the rules for parts give them."""
+    text = lambda parts: " || ".join(sql_text(x) if isinstance(x, str) else f"({_sql_words(*x)})" for x in parts)
+    body, second = text(_BODY), text(_SECOND)
+    listed, rest = text(CASES[1][:1]), text(CASES[1][1:2])
+    mixed, mixed_rest = text(CASES[2][:1]), text(CASES[2][1:2])
+    one = [
+        text(CASES[0][:1]) + " || " + body,  # all before the second part
+        # the contents list, unless what follows it exceeds it by over 5000: then all before the second header
+        f"CASE WHEN length({rest} || {body} || {second}) - (length({listed}) - 1) > 5000 THEN {listed} || {rest} || {body} ELSE {listed} END",
+        # the gap between the list and the second part is over 200 characters or not
+        f"CASE WHEN length({mixed_rest} || {body}) > 200 THEN {mixed} || {mixed_rest} || {body} ELSE {mixed} END",
+        text(CASES[3][:1]),  # retries change nothing
+        text(CASES[4][:3]),
+    ]
+    two = [second, f"CASE WHEN length({rest} || {body} || {second}) - (length({listed}) - 1) > 5000 THEN {second} ELSE {rest} || {body} || {second} END", second, text(CASES[3][1:4]), text(CASES[4][3:])]
+    cases = lambda xs: "CASE doc_id % 5 " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(xs)) + " END"
+    return f"cases AS (SELECT doc_id, doc_id || '_f.htm' AS filename, {cases(one)} AS part_1, {cases(two)} AS part_2 FROM (SELECT doc_id, string_split(text, ' ') AS w, len(string_split(text, ' ')) AS n FROM documents))"
+
+
 def filing_metadata(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "documents").select("doc_id")
     n = (F.col("doc_id") % 4).cast("int")
@@ -214,7 +257,8 @@ def _sql_filed() -> str:
     plain = [swapped(joined(_ANNUAL, _sql_words), *furniture), swapped(joined(_QUARTERLY, _sql_words), *cells), *[swapped(joined(f, _sql_words), *tags) for f in first]]
     cleaned = swapped(joined(_ANNUAL, _sql_escaped), *furniture)
     text = " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(plain))
-    return f"filed AS (SELECT doc_id, doc_id || '_f.htm' AS filename, CASE doc_id % 4 {content} END AS content, CASE doc_id % 4 {text} END AS text, CASE WHEN doc_id % 4 = 0 THEN {cleaned} END AS cleaned FROM (SELECT doc_id, string_split(text, ' ') AS w, len(string_split(text, ' ')) AS n FROM documents))"
+    return f"filed AS (SELECT doc_id, doc_id || '_f.htm' AS filename, CASE doc_id % 4 {content} END AS content, CASE doc_id % 4 {text} END AS text, CASE WHEN doc_id % 4 = 0 THEN {cleaned} ELSE CASE doc_id % 4 {content} END END AS cleaned FROM (SELECT doc_id, string_split(text, ' ') AS w, len(string_split(text, ' ')) AS n FROM documents))"
 
 
 FILED_SQL = _sql_filed()
+CASES_SQL = _case_parts()
