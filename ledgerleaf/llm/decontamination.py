@@ -15,6 +15,8 @@ from .common import cut, rows_where, table, with_results
 FOLD = bytes(c | 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 #: Benchmark text that one pass over the documents searches for, and document text that one suffix array holds (or one document).
 PASS_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
+#: Places of items whose runs are put together at once.
+AT_ONCE = 1 << 20
 
 HITS = "array<struct<start: int, end: int>>"
 MATCHES = "array<struct<doc_word: int, item_word: int, n_words: int, item_id: string>>"
@@ -70,9 +72,10 @@ def spread(many: np.ndarray) -> np.ndarray:
     return np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
 
 
-def occurrences(ids: np.ndarray, q: Queries) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each window length n: (n, places in ids, the test suffixes found there). ids: the words of all documents of a
-    shard, 0 for words in no item and after each document, and as many 0 at the end as a window has words.
+def occurrences(ids: np.ndarray, q: Queries) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each window length n: (n, places in ids where a test suffix begins, the range of each, the test suffixes found, the
+    range of each): places and suffixes of one range agree in n words, and no pairs of them are made. ids: the words of all
+    documents of a shard, 0 for words in no item and after each document, and as many 0 at the end as a window has words.
 
     The suffix array of the shard is sorted by the suffixes' first words; every test suffix is looked up in it by binary
     search. Only the ranges that are found are sorted on by the words that follow, until n words agree.
@@ -100,10 +103,53 @@ def occurrences(ids: np.ndarray, q: Queries) -> Iterator[tuple[int, np.ndarray,
             both = np.intersect1d(a, b)
             stay, ask = np.isin(a, both), np.isin(b, both)
             at, at_range, test, test_range = at[stay], a[stay], test[ask], b[ask]
-        array = np.argsort(at_range, kind="stable")
-        low, high = np.searchsorted(at_range[array], test_range, "left"), np.searchsorted(at_range[array], test_range, "right")
-        many = high - low
-        yield n, at[array[np.repeat(low, many) + spread(many)]], np.repeat(test, many)
+        ranges = np.unique(at_range)
+        yield n, at, np.searchsorted(ranges, at_range), test, np.searchsorted(ranges, test_range)
+
+
+def _runs(n: int, at: np.ndarray, of: np.ndarray, test: np.ndarray, test_of: np.ndarray, q: Queries) -> Iterator[tuple[int, int, int, int]]:
+    """For every item, the verbatim runs of the places in it: (place, item, word of the item, words). A place begins at the
+    first place of the item that has its window, unless it goes on with the run of the place before it."""
+    item = np.searchsorted(q.ends, test, "right")
+    order = np.lexsort((test, test_of, item))
+    item, test, test_of = item[order], test[order], test_of[order]
+    own = np.ones(len(item), bool)  # the first suffix of each item and range
+    own[1:] = (np.diff(item) != 0) | (np.diff(test_of) != 0)
+    again = np.unique(item[~own])  # items that repeat themselves
+    places = np.argsort(of, kind="stable")
+    low = np.searchsorted(of[places], test_of[own], "left")
+    sizes = np.searchsorted(of[places], test_of[own], "right") - low
+    firsts, items = test[own], item[own]
+    starts = np.concatenate(([0], q.ends))
+    edges = np.append(np.flatnonzero(np.diff(items, prepend=-1)), len(items))
+    a = 0
+    while a < len(edges) - 1:  # some items at a time, so that their places stay few
+        b = a + 1
+        while b < len(edges) - 1 and sizes[edges[a] : edges[b + 1]].sum() <= AT_ONCE:
+            b += 1
+        part = slice(edges[a], edges[b])
+        i, t = np.repeat(items[part], sizes[part]), np.repeat(firsts[part], sizes[part])
+        x = places[np.repeat(low[part], sizes[part]) + spread(sizes[part])]
+        order = np.lexsort((at[x], i))
+        i, t, p, r = i[order], t[order], at[x][order], of[x][order]
+        for k in again[(again >= items[part][0]) & (again <= items[part][-1])]:
+            # where the item has a window more than once, a run goes on with the suffix that follows, if it has the range
+            suffix = slice(*np.searchsorted(item, [k, k + 1]))
+            base = starts[k]
+            range_of = dict(zip((test[suffix] - base).tolist(), test_of[suffix].tolist(), strict=True))
+            lo, hi = np.searchsorted(i, [k, k + 1])
+            before, now, made = -2, 0, []
+            for place, first, range_ in zip(p[lo:hi].tolist(), (t[lo:hi] - base).tolist(), r[lo:hi].tolist(), strict=True):
+                now = now + 1 if place == before + 1 and range_of.get(now + 1) == range_ else first
+                made.append(now)
+                before = place
+            t[lo:hi] = np.array(made, np.int64) + base
+        new = np.ones(len(p), bool)
+        new[1:] = (np.diff(p) != 1) | (np.diff(t) != 1) | (np.diff(i) != 0)
+        begin = np.flatnonzero(new)
+        words = np.diff(np.append(begin, len(p))) - 1 + n
+        yield from zip(p[begin].tolist(), i[begin].tolist(), (t[begin] - starts[i[begin]]).tolist(), words.tolist(), strict=True)
+        a = b
 
 
 def search(texts: list[bytes | None], q: Queries, size: int = SHARD_BYTES) -> list[tuple]:
@@ -126,25 +172,16 @@ def _search(texts: list[bytes | None], q: Queries) -> list[tuple]:
         ids.append(np.array([get(w, 0) for w in found] + [0], np.int32))
     ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
     flat = np.concatenate([*ids, np.zeros(q.window, np.int32)])
-    hit, spots = np.zeros(len(flat) + 1, np.int32), []
-    for n, at, test in occurrences(flat, q):
-        np.add.at(hit, at, 1)
-        np.add.at(hit, at + n, -1)
-        item = np.searchsorted(q.ends, test, "right")
-        spots.append(np.column_stack((at, item, test - np.concatenate(([0], q.ends))[item], np.full(len(at), n))))
-    covered = np.cumsum(hit)[:-1] > 0
+    hit, base = np.zeros(len(flat) + 1, np.int32), np.concatenate(([0], ends))
     out = [[n, 0, [], [], []] for n in lengths]
-    if spots:
-        spots = np.concatenate(spots)  # place, item, word of the item, words
-        spots = spots[np.lexsort((spots[:, 0], spots[:, 0] - spots[:, 2], spots[:, 1]))]
-        new = np.ones(len(spots), bool)
-        new[1:] = (np.diff(spots[:, 0]) != 1) | (np.diff(spots[:, 1]) != 0) | (np.diff(spots[:, 2]) != 1)
-        begin = np.flatnonzero(new)
-        length = np.diff(np.append(begin, len(spots))) - 1 + spots[begin, 3]
-        doc = np.searchsorted(ends, spots[begin, 0], "right")
-        base = np.concatenate(([0], ends))[doc]
-        for d, p, i, j, n in zip(doc.tolist(), (spots[begin, 0] - base).tolist(), spots[begin, 1].tolist(), spots[begin, 2].tolist(), length.tolist(), strict=True):
-            out[d][3].append({"doc_word": p, "item_word": j, "n_words": n, "item_id": q.ids[i]})
+    for n, at, of, test, test_of in occurrences(flat, q):
+        hit[at] += 1
+        hit[at + n] -= 1
+        for place, i, j, words in _runs(n, at, of, test, test_of, q):
+            d = int(np.searchsorted(ends, place, "right"))
+            out[d][3].append({"doc_word": place - int(base[d]), "item_word": j, "n_words": words, "item_id": q.ids[i]})
+    if hit.any():
+        covered = np.cumsum(hit)[:-1] > 0
         edge = np.flatnonzero(np.diff(np.concatenate(([0], covered.astype(np.int8), [0]))))
         for a, b in edge.reshape(-1, 2).tolist():
             d = int(np.searchsorted(ends, a, "right"))
@@ -197,7 +234,8 @@ def find_items(docs: DataFrame, bench: DataFrame, text: str = "text", item: str
 
     Words are runs of ASCII letters and digits, lower-cased, and of other characters beyond ASCII. A window is `window`
     consecutive words of an item, or all words of a shorter one. hits are the ranges of words inside occurrences of
-    windows, in order; matches are the longest verbatim runs with their places; items the ids of items found. Null texts
+    windows, in order; matches are, of each item found, the verbatim runs with their places, each as
+    long as it goes on; items the ids of items found. Null texts
     have no words; items without words are never found; an item with a null id marks words but is not listed; of items
     with equal ids one is listed. Repeated rows are judged alike. An added column replaces one of docs with its name.
 

@@ -219,6 +219,36 @@ def test_suffixes_are_sorted_on_past_their_first_words():
         assert [r[:3] for r in D.search([t.encode() for t in texts], q)] == [list(plain_hits(t, items)) for t in texts]
 
 
+def test_runs_are_verbatim_and_cover_what_is_hit():
+    for seed in range(100):
+        rng = random.Random(seed)
+        items = [(str(i), " ".join(rng.choice("abc") for _ in range(rng.choice([2, 5, 10, 12, 30])))) for i in range(5)]
+        texts = [" ".join(rng.choice("ab" if seed % 3 else "a") for _ in range(rng.choice([3, 12, 40, 80]))) for _ in range(4)]
+        for text, (n_words, n_hit, found, matches, hits) in zip(texts, D.search([t.encode() for t in texts], D.Queries(items, 10)), strict=True):
+            w, by = text.split(), {k: t.split() for k, t in items}
+            for m in matches:
+                x = by[m["item_id"]]
+                assert w[m["doc_word"] : m["doc_word"] + m["n_words"]] == x[m["item_word"] : m["item_word"] + m["n_words"]] and len(x[m["item_word"] :]) >= m["n_words"]
+            for k in found:
+                own = plain_hits(text, [(k, dict(items)[k])])[1]
+                assert len({q for m in matches if m["item_id"] == k for q in range(m["doc_word"], m["doc_word"] + m["n_words"])}) == own
+            assert n_hit == sum(h["end"] - h["start"] for h in hits) and {m["item_id"] for m in matches} == set(found)
+
+
+def test_repeated_words_take_time_and_memory_in_proportion():
+    import tracemalloc
+
+    q = D.Queries([("1", "la " * 2000), ("2", "la " * 50 + "lu")], 10)
+    q.groups()
+    tracemalloc.start()
+    start = time.time()
+    (row,) = D.search([b"la " * 20_000], q)
+    took, peak = time.time() - start, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert row[:3] == [20_000, 20_000, ["1", "2"]] and max(m["n_words"] for m in row[3]) == 2000 and len(row[3]) < 1000
+    assert took < 3 and peak < 100 << 20
+
+
 def test_a_large_benchmark_is_small_in_memory():
     rng = random.Random(1)
     words = [f"w{i}" for i in range(20_000)]
