@@ -1,6 +1,7 @@
 """Pages and markup against texts written by hand."""
 
 import pytest
+from pyspark.sql import Observation
 
 from ledgerleaf.functions import markup as M
 from ledgerleaf.operators import index as I, pages as H
@@ -30,10 +31,20 @@ State location: <a href='/b?a=1;State=DE'>DE</a> | State of Inc.: <strong>N&amp;
     assert got == {"1": ("A & B", "5", "DE", "N&Y", "1231"), "2": (None,) * 5, "3": (None,) * 5}
 
 
+def test_heads_in_pieces_are_read(spark):
+    """No look at the raw page may keep it from being read."""
+    texts = ["Period of <b>Report</b>", "Period&#32;of Report", "Per<!-- -->iod of Report", "<i>P</i>eriod of Report "]
+    pages = spark.createDataFrame([(str(i), PAGE.replace("Period of Report", t)) for i, t in enumerate(texts)], "url string, html string")
+    index = spark.createDataFrame([("1", "n", "10-K", "2010-03-01", "x/0-1.txt", str(i)) for i in range(4)], "CIK string, Company string, Type string, Date string, complete_text_file_link string, html_index string")
+    kept, rejected = H.enrich_index(index, pages, spark.createDataFrame([], "cik string, html string"), ["10-K"])
+    assert kept.count() == 4 and rejected.count() == 0
+
+
 def test_every_index_row_is_enriched_or_rejected(spark):
     pages = spark.createDataFrame([("a", PAGE), ("b", PAGE + I.THROTTLED), ("c", PAGE.replace("Period of Report", "Other")), ("d", PAGE.replace("Complete", "Part").replace("10-K", "X")), ("f", None)], "url string, html string")
     index = spark.createDataFrame([("1", "n", "10-K", "2010-03-01", "x/0-1.txt", u) for u in "abcdef"], "CIK string, Company string, Type string, Date string, complete_text_file_link string, html_index string")
-    kept, rejected = H.enrich_index(index, pages, spark.createDataFrame([], "cik string, html string"), ["10-K"])
+    kept, rejected = H.enrich_index(index, pages, spark.createDataFrame([], "cik string, html string"), ["10-K"], seen := Observation())
+    assert seen.get == {"todo": 6, "done": 1, "no page": 1, "throttled page": 1, "no period of report": 2, "no document link": 1}
     assert [(r["html_index"], r["filename"], r["SIC"]) for r in kept.collect()] == [("a", "1_10K_2009_0-1.htm", "7370")]
     assert sorted(map(tuple, rejected.collect())) == [("b", "throttled page"), ("c", "no period of report"), ("d", "no document link"), ("e", "no page"), ("f", "no period of report")]
 
