@@ -38,20 +38,22 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Each round links the larger neighbours of a node to the smallest one, then the same for the smaller neighbours,
     until the table stays as it is: a number of rounds that grows with the logarithm of the nodes. Minima are taken by
-    partial aggregation, and no neighbour list is ever gathered, so a node may have any number of links.
+    partial aggregation, and no neighbour list is ever gathered. They are written before they are joined, so that both sides of
+    a join are exchanged and Spark can split the links of one node over tasks: a node may have any number of links.
     """
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
     edges = cut(links.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "links")
     state = _state(edges)
     while state[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = cut(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         done, before = edges, state
         edges = cut(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        discard(done)
+        for table in (done, least, large, low):
+            discard(table)
         if (state := _state(edges)) == before:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

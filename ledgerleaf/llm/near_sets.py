@@ -149,25 +149,50 @@ def _compare(sid: np.ndarray, root: np.ndarray, n: np.ndarray, heads: list[np.nd
     return np.maximum(sid[i[own]], sid[j[own]]), np.minimum(sid[i[own]], sid[j[own]]), more
 
 
+def prefix_members(large: DataFrame, contents: DataFrame) -> DataFrame:
+    """Other buckets for sets (sid, root) whose own ones are large: members (g, sid, root, index) by their rarest shingles.
+
+    Of two sets at a similarity of a / b or more, with shingles in one order, the larger has one of the smaller's first
+    1 / 9 (n - 2a / (a + b) n, plus one: index) among its own first 1 / 5 (n - a / b n, plus one). In order of how many of
+    these sets have a shingle, those that a template gives to all come last, so pages of one template meet only if they
+    share what few have. What more than BLOCK sets have counts as equally frequent. No pair at the bound is missed.
+    """
+    own = cut(contents.join(large.select("sid"), "sid", "left_semi"), "large")
+    each = own.select("sid", F.explode("s").alias("g"))
+    shared = cut(each.groupBy("g").agg(F.least(F.count("*"), F.lit(BLOCK + 1)).alias("n")).where("n > 1"), "shared")
+    ordered = F.array_sort(F.collect_list(F.struct("n", "g")))
+    listed = each.join(shared, "g").groupBy("sid").agg(ordered.alias("list")).join(own.select("sid", F.size("s").alias("n")), "sid")
+    alone = F.col("n") - F.size("list")  # shingles that no other set has come first
+    first = lambda a, b: F.col("n") - F.ceil(F.col("n") * a / b).cast("int") + 1 - alone
+    most = F.greatest(F.lit(0), first(*LIKE))
+    kept = listed.select("sid", first(2 * LIKE[0], LIKE[0] + LIKE[1]).alias("i"), F.posexplode(F.slice("list", F.lit(1), most)).alias("at", "x"))
+    members = cut(kept.select("sid", F.col("x.g").alias("g"), (F.col("at") < F.col("i")).alias("index")).join(large, "sid"), "members")
+    useful = members.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("index").alias("z")).where("x <> y AND z")
+    return members.join(cut(useful.select("g"), "useful"), "g", "left_semi").select("g", "sid", "root", "index")
+
+
 def block_pairs(members: DataFrame, heads: DataFrame, most: int) -> DataFrame:
     """Pairs (a, b, more) of members of the same bucket that have different roots and heads that agree.
 
-    members: g (bucket), sid, root; heads: sid, n, head. Small buckets share a task. The members of a large one are dealt to
-    blocks: those of its most frequent root, which are connected already, and the others; each block of others meets
-    every block once, so no task holds a large bucket and connected members do not meet.
+    members: g (bucket), sid, root, index; heads: sid, n, head. Small buckets share a task. The members of a large one are
+    dealt to blocks: those that need not meet each other (of its most frequent root, which are connected already, or those
+    that are not index, whichever are more), and the others; each block of others meets every block once, so no task holds a
+    large bucket.
     """
-    roots = members.groupBy("g", "root").count()
-    sizes = roots.groupBy("g").agg(F.max(F.struct("count", "root")).alias("main"), F.sum("count").alias("m"))
+    roots = members.groupBy("g", "root").agg(F.count("*").alias("count"), F.count_if(~F.col("index")).alias("guests"))
+    sizes = cut(roots.groupBy("g").agg(F.max(F.struct("count", "root")).alias("main"), F.sum("count").alias("m"), F.sum("guests").alias("guests")), "sizes")
     packs = max(1, members.count() // (4 * BLOCK))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    is_main = F.col("root") == F.col("main.root")
-    nm, nr = blocks(F.col("main.count")), blocks(F.col("m") - F.col("main.count"))
+    by_guest = F.col("guests") > F.col("main.count")
+    is_main = F.when(by_guest, ~F.col("index")).otherwise(F.col("root") == F.col("main.root"))
+    n_main = F.greatest("guests", F.col("main.count"))
+    nm, nr = blocks(n_main), blocks(F.col("m") - n_main)
     own = F.pmod(F.xxhash64("sid"), F.when(is_main, nm).otherwise(nr)).cast("int")
     pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
     upto = lambda n: F.sequence(F.lit(0), n - 1)
     rest = F.concat(F.transform(upto(nr), lambda r: pair(F.least(own, r), F.greatest(own, r))), F.transform(upto(nm), lambda k: pair(own, nr + k)))
     met = F.when(F.col("m") <= BLOCK, F.array(pair(F.lit(-1), F.lit(-1)))).when(is_main, F.transform(upto(nr), lambda r: pair(r, nr + own))).otherwise(rest)
-    dealt = members.join(sizes, "g").withColumn("p", F.explode(met)).select("g", "p.i", "p.j", "sid", "root")
+    dealt = members.join(sizes.where(F.col("m") > n_main), "g").withColumn("p", F.explode(met)).select("g", "p.i", "p.j", "sid", "root")
     size = HEAD  # goes to the workers with the closure
     at = F.when(F.col("i") < 0, F.pmod(F.xxhash64("g"), F.lit(packs))).otherwise(F.xxhash64("g", "i", "j"))
 
@@ -190,8 +215,9 @@ def set_links(members: DataFrame, first: DataFrame, contents: DataFrame) -> Data
     """(node, root) of all sets that links of a similarity of LIKE or more connect with others.
 
     members: g (bucket), sid; first: pairs to begin with; contents: sid, s. Large groups of near copies are connected by the
-    first pairs; what is not yet connected in a bucket is compared by blocks, by all that small sets have and the heads of
-    large ones. Of two groups some pairs of large sets are held against the sets first; others follow only if these do
+    first pairs; what is not yet connected in a bucket is compared, by all that small sets have and the heads of large ones:
+    the members of a bucket of at most BLOCK all with each other, those of larger ones in buckets by their rarest shingles
+    instead (prefix_members), where alone blocks may meet blocks. Of two groups some pairs of large sets are held against the sets first; others follow only if these do
     not connect the two.
     """
     head = F.transform(F.slice("s", 1, HEAD), lambda h: F.shiftright(h, 32).cast("int"))
@@ -202,8 +228,13 @@ def set_links(members: DataFrame, first: DataFrame, contents: DataFrame) -> Data
     roots = cut(components(verified(checked, contents), "a", "b"), "roots")
     while more:
         left = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        several = left.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("g")
-        left = cut(left.join(several, "g", "left_semi"), "open")
+        several = left.groupBy("g").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where("x <> y").select("g", (F.col("m") > BLOCK).alias("large"))
+        left = cut(left.join(cut(several, "several"), "g"), "open").withColumn("index", F.lit(True))
+        large = cut(left.where("large").select("sid", "root").distinct(), "large")
+        left = left.where("NOT large").drop("large")
+        if large.take(1):
+            left = left.unionByName(prefix_members(large, contents))
+        left = cut(left, "open")
         agree = cut(block_pairs(left, heads, most), "agree")
         more, most = bool(agree.where("more").take(1)), 8 * most
         pairs = cut(agree.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")

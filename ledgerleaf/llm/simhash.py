@@ -179,7 +179,8 @@ def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     roots = components(near_links(prints, prints.count(), most), "a", "b")
     rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = cut(rooted, "rooted")
-    names = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component")), "root").select("fp", "component")
+    least = cut(rooted.groupBy("root").agg(F.min("first").alias("component")), "least")  # written, so that a root's rows can be split
+    names = rooted.join(least, "root").select("fp", "component")
     return rows.join(names, "fp").select(F.col("key").alias(key), "fp", "component")
 
 

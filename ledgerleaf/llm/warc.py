@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import new_dir, table
+from .common import cut, new_dir, table
 
 #: Fixed value: a gzip member without content (its bytes as Latin-1). It closes a normalised archive.
 END = bytes([0x1F, 0x8B, 8, 0, 0, 0, 0, 0, 0, 3, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
@@ -136,7 +136,8 @@ def write_monolithic(pages: DataFrame, path: str, key: str = "page_id", url: str
     """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     given = pages.select(F.col(key).cast("long").alias("k"), F.col(url).cast("string").alias("url"), payload.alias("html"), F.sha2(payload, 256).alias("sha"))
-    first = given.groupBy("sha").agg(F.min("k").alias("first"))
+    # written, so that both sides of the join are exchanged and Spark can split the keys of one payload over tasks
+    first = cut(given.groupBy("sha").agg(F.min("k").alias("first")), "first")
     kinds = given.select("k", "sha").distinct().join(first, "sha").withColumn("refers", F.when(~F.col("k").eqNullSafe(F.col("first")), F.col("first"))).select(F.col("k").alias("_k"), F.col("sha").alias("_sha"), "refers")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -307,3 +307,70 @@ def test_near_copies_of_the_table_are_found_by_jaccard(spark, sf):
     rows = sorted(tuple(r) for r in docs.select("doc_id", "text").collect())
     root, _ = plain_near_roots(rows)
     assert sorted(r["doc_id"] for r in H.near_dedup(docs).collect()) == [rows[i][0] for i in root if root[i] == i]
+
+
+def template_page(i, n_own):
+    rng = random.Random(i)
+    return " ".join([f"t{k}" for k in range(100)] + [f"u{rng.randrange(10**9)}" for _ in range(n_own)] + [f"t{k}" for k in range(100, 200)])
+
+
+def test_pages_of_one_template_do_not_meet(spark, monkeypatch):
+    """Sets below the bound that share most of what they have: the buckets by rarest shingles hold next to no pairs."""
+    monkeypatch.setattr(N, "BLOCK", 20)
+    rows = [(i, template_page(i, 34)) for i in range(300)] + [(1000 + i, template_page(i, 34).replace("t7 ", "x7 ")) for i in range(0, 300, 60)]
+    sids = [N.shingles([t.encode()])[0] for _, t in rows]
+    contents = spark.createDataFrame([(i, x.view(np.int64).tolist()) for i, x in enumerate(sids)], "sid long, s array<long>")
+    found = N.prefix_members(contents.selectExpr("sid", "sid AS root"), contents).collect()
+    by = {}
+    for r in found:
+        by.setdefault(r["g"], []).append((r["sid"], r["index"]))
+    pairs = {tuple(sorted((a, b))) for x in by.values() for a, i in x for b, j in x if a < b and (i or j)}
+    like = lambda a, b: 5 * len(np.intersect1d(sids[a], sids[b])) >= 4 * len(np.union1d(sids[a], sids[b]))
+    assert {(60 * k, 300 + k) for k in range(5)} <= pairs and len(pairs) < 1000
+    assert all(like(60 * k, 300 + k) for k in range(5)) and not like(0, 1)
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA).repartition(3)
+    assert sorted(r["doc_id"] for r in H.near_dedup(docs).collect()) == list(range(300))
+
+
+def test_rarest_shingles_miss_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 4)
+    rng = random.Random(9)
+    pool = [rng.randrange(1 << 62) for _ in range(60)]
+    sids = []
+    for _ in range(40):
+        base = rng.sample(pool, rng.randint(1, 40))
+        sids += [set(base), set(base[rng.randint(0, 5) :]) | set(rng.sample(pool, rng.randint(0, 3))) or {1}]
+    contents = spark.createDataFrame([(i, sorted(x)) for i, x in enumerate(sids)], "sid long, s array<long>")
+    by = {}
+    for r in N.prefix_members(contents.selectExpr("sid", "sid AS root"), contents).collect():
+        by.setdefault(r["g"], []).append((r["sid"], r["index"]))
+    pairs = {tuple(sorted((a, b))) for x in by.values() for a, i in x for b, j in x if a < b and (i or j)}
+    near = {(i, j) for i in range(80) for j in range(i) if 5 * len(sids[i] & sids[j]) >= 4 * len(sids[i] | sids[j])}
+    assert len(near) > 10 and {tuple(sorted(p)) for p in near} <= pairs
+
+
+def test_both_sides_of_a_components_join_are_exchanged(spark):
+    """So that Spark can split the links of a node that has very many: no aggregate is read as it is below the join's sort."""
+    from pyspark.sql import functions as F
+
+    from ledgerleaf.llm import components as C
+
+    held, plans = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    whole = C.cut
+
+    def cut(df, name):
+        if name in ("large", "stars"):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df, name)
+
+    C.cut = cut
+    try:
+        links = spark.range(300).select(F.col("id").alias("a"), F.lit(1000).cast("long").alias("b"))
+        assert {r["root"] for r in components(links, "a", "b").collect()} == {0}
+    finally:
+        C.cut = whole
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    for plan in plans:
+        joined = plan[plan.index("Join Inner") :]
+        assert "Aggregate" not in joined and joined.count("Relation") >= 2
