@@ -91,6 +91,11 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TEXTS, "license string, text string")
 
 
+def templates_of(spark: SparkSession, folder: str) -> DataFrame:
+    """(license, text) of a folder of license texts, a file each, called by their names: full texts of any length."""
+    return spark.read.text(folder, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("license"), F.col("value").alias("text"))
+
+
 def op9_license_scan(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents"), notices(spark))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import WORD, cut, join_small, table
+from .sharding import ATOMIC
 
 #: A document's place in its source is a hash of 60 bits, refined by these numbers of bits a level.
 BITS = 60
@@ -91,15 +92,21 @@ def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source
 
 
 def _split(out: DataFrame) -> DataFrame:
-    """out, with one more copy for the first _some of the rows whose hash is _split. These are written and numbered: rows
-    of a task in their order, tasks in order of their sums, so that no task holds all of them."""
+    """out, with one more copy for the first _some of the rows whose hash is _split. These are written and numbered in an
+    order of what they hold, wholly equal ones as they come, so reruns agree: the counts of 4096 parts of a hash of all plain
+    columns, in these of its values and of the tasks that hold them, and in a task the rows. No task numbers all of them."""
+    plain = [F.col("_in")[f.name] for f in out.schema["_in"].dataType if isinstance(f.dataType, ATOMIC)]
     at_edge = F.coalesce(F.col("_hash") == F.col("_split"), F.lit(False))
-    edge = cut(out.where(at_edge).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), "edge")
-    parts = edge.groupBy("_source", "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-    before = F.coalesce(F.sum("_n").over(W.partitionBy("_source").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    parts = cut(parts.withColumn("_before", before).select("_source", "_part", "_before"), "parts")
-    place = F.row_number().over(W.partitionBy("_source", "_part").orderBy("_row"))
-    placed = join_small(edge.select("_source", "_part", "_row", "_some").withColumn("_place", place), parts, ["_source", "_part"])
+    told = out.where(at_edge).withColumn("_p", F.xxhash64(F.lit("edge"), *plain)).withColumn("_part", F.spark_partition_id())
+    edge = cut(told.withColumn("_b", F.shiftrightunsigned("_p", 52)).withColumn("_row", F.monotonically_increasing_id()), "edge")
+    held = ["_source", "_b", "_p", "_part"]
+    parts = cut(edge.groupBy(*held).agg(F.count("*").alias("_n")), "parts")
+    before = lambda order: F.coalesce(F.sum("_n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    blocks = parts.groupBy("_source", "_b").agg(F.sum("_n").alias("_n")).withColumn("_upto", before(W.partitionBy("_source").orderBy("_b"))).drop("_n")
+    parts = parts.withColumn("_inside", before(W.partitionBy("_source", "_b").orderBy("_p", "_part"))).join(cut(blocks, "blocks"), ["_source", "_b"])
+    parts = cut(parts.select(*held, (F.col("_inside") + F.col("_upto")).alias("_before")), "places")
+    place = F.row_number().over(W.partitionBy(*held).orderBy("_row"))
+    placed = join_small(edge.select(*held, "_row", "_some").withColumn("_place", place), parts, held)
     more = cut(placed.where(F.col("_before") + F.col("_place") <= F.col("_some")).select("_row"), "more")
     numbered = edge.join(more.withColumn("_one", F.lit(1)), "_row", "left").withColumn("_copies", F.col("_copies") + F.coalesce("_one", F.lit(0)))
     return out.where(~at_edge).union(numbered.select(out.columns))

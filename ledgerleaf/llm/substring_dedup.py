@@ -186,8 +186,11 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
             words.append(np.diff(ends, prepend=0))
             number.append(first + of)
             start.append(at - np.concatenate(([0], ends))[of])
-            one.append(names(hashes, window)[at])
-            two.append(names(word_hashes(own, 1)[0], window)[at] if len(at) else one[-1])
+            one.append(names(hashes, window)[at] if len(at) else hashes[:0])
+            # the second family only for the texts that have candidates
+            some, place = np.unique(of, return_inverse=True)
+            again, stops = word_hashes([own[i] for i in some], 1) if len(some) else (hashes[:0], ends[:0])
+            two.append(names(again, window)[start[-1] + np.concatenate(([0], stops))[place]])
         number, start, one, two = _flat(number, np.int64), _flat(start, np.int64), _flat(one, np.uint64), _flat(two, np.uint64)
         key = np.array([LAST if k is None else k for k, _, _ in texts], np.int64)[number] if len(number) else np.zeros(0, np.int64)
         order = np.lexsort((start, key, two, one))

@@ -18,6 +18,8 @@ from .common import crc_mod, cut, table, with_results
 TOXIC_ROWS, CLEAN_ROWS = 4000, 8000
 #: Words on either side of a term that its context score looks at.
 CONTEXT = 8
+#: States of the automaton that a worker keeps before it begins anew.
+STATES = 200_000
 TOKEN = re.compile(r'[^\W_]+|["“”«»„]')
 #: Scripts that are written without spaces: their terms may begin at any letter of a run.
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
@@ -128,11 +130,12 @@ class Model:
 
     def hits(self, text: str | None) -> tuple[list[str], list[tuple[int, tuple[int, int]]]]:
         """The tokens of a whole text, and of those that are near a term: place, edits and term."""
-        if self._automaton is None:
-            self._automaton = Automaton(self.terms)
         tokens, known = tokens_of(text), self._known
-        if len(known) > 400_000:
+        if len(known) > 400_000 or self._automaton is not None and len(self._automaton.sets) > STATES:
             known.clear()
+            self._automaton = None
+        if self._automaton is None:
+            self._automaton = Automaton(self.terms)
         for w in set(tokens).difference(known):
             known[w] = self._automaton.match(w)
         return tokens, [(i, known[w]) for i, w in enumerate(tokens) if known[w] is not None]

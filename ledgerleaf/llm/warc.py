@@ -220,7 +220,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per entry of the sidecar index: page_id, payload_bytes, payload_digest, record_type, refers_to, url and
     payload (null for revisits). Archives are read member by member where they lie; only what the index says of a record
     (archive, offset, length) is joined to it, so no content moves for the index, whatever its size. Without reading the
-    payload column, payloads do not move either."""
+    payload column, payloads do not move either. A record that the index does not name is an error."""
     entries = spark.read.schema(ENTRIES).parquet(f"{path}/index").select(F.col("archive").alias("_archive"), F.explode("entries").alias("e"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +235,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 yield _rows(rows)
 
     there = (F.col("archive") == F.col("_archive")) & (F.col("offset") == F.col("e.offset")) & (F.col("length") == F.col("e.length"))
-    return _archives(spark, path).mapInArrow(read, RECORD).join(entries, there).select(*_RECORD.names[3:])
+    told = _archives(spark, path).mapInArrow(read, RECORD).join(entries, there, "left")
+    lost = F.raise_error(F.concat(F.lit("no index entry for a record of "), F.col("archive"))).cast("long")
+    first, *others = _RECORD.names[3:]
+    return told.select(F.when(F.col("_archive").isNull(), lost).otherwise(F.col(first)).alias(first), *others)
 
 
 def read_pages(spark: SparkSession, path: str, pages: DataFrame, key: str = "page_id", most: int = 10_000) -> DataFrame:

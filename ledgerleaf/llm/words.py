@@ -13,10 +13,13 @@ _BYTE = np.random.Generator(np.random.PCG64(41)).integers(0, 1 << 64, (2, 256),
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    """Every bit of x told from every other: each step can be undone, and none is linear in the one before."""
-    x = (x ^ (x >> np.uint64(30))) * _ONE
-    x = (x ^ (x >> np.uint64(27))) * _TWO
-    return x ^ (x >> np.uint64(31))
+    """x, in its place, with every bit told from every other: each step can be undone, and none is linear in the one before."""
+    x ^= x >> np.uint64(30)
+    x *= _ONE
+    x ^= x >> np.uint64(27)
+    x *= _TWO
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _step(raw: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
@@ -27,8 +30,10 @@ def _step(raw: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.diff(inside, prepend=-2) > 1)  # of each word, among the bytes of words
     size, start = np.diff(first, append=len(inside)), inside[first]
     # a byte counts by itself and its place in the word, mixed, so that no pattern of places cancels out as in a polynomial
-    place = (inside - np.repeat(start, size)).astype(np.uint64)
-    value = _mixed(_BYTE[family][raw[inside]] + place * _STEP)
+    value = (inside - np.repeat(start, size)).view(np.uint64)
+    value *= _STEP
+    value += _BYTE[family][raw[inside]]
+    value = _mixed(value)
     return _mixed(np.add.reduceat(value, first) + size.astype(np.uint64)), start
 
 

@@ -163,6 +163,16 @@ def test_rows_without_ids_come_near_the_targets(spark):
         assert abs(sum(r["_taken"] for r in own) - own[0]["_target"]) <= own[0]["_size"]
 
 
+def test_reruns_take_the_same_of_rows_that_agree_in_id_and_text(spark):
+    """Rows at a threshold that differ only in other columns are chosen by what they hold, not by where they are read."""
+    rows = [(7, "all alike here", str(i % 50), "d") for i in range(400)] + [(i, f"one {i} " * 9, None, s) for i, s in enumerate("abc" * 40)]
+    docs = spark.createDataFrame(rows, empty(spark).schema)
+    runs = [sorted(map(repr, M.mixed(docs.repartition(n, "text", "lang") if n % 2 else docs.repartition(n)).collect())) for n in (1, 3, 4)]
+    assert runs[0] == runs[1] == runs[2]
+    some = Counter(r["lang"] for r in M.mixed(docs).where("doc_id = 7").collect())
+    assert 0 < sum(some.values()) and len(set(some.values())) > 1
+
+
 # decontamination
 
 
@@ -316,6 +326,32 @@ def test_containment_against_all_windows(spark):
     assert sorted((r["doc_id"], r["license"], round(r["containment"], 9), r["windows"]) for r in got.collect()) == sorted(want)
 
 
+def test_full_license_texts(spark, tmp_path):
+    """Templates of a thousand shingles and more: whole, with a tenth of the words changed, and with a third of them."""
+    rng = random.Random(3)
+    texts = {f"License-{n}": " ".join(rng.choice(["the", "of", "work", "you", "may"]) if rng.random() < 0.5 else f"w{rng.randint(0, 900)}" for _ in range(n)) for n in (1200, 3000, 5600)}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    rows = []
+    for i, (name, text) in enumerate(texts.items()):
+        w = text.split()
+        for k, every in enumerate((0, 40, 9)):
+            rows.append((10 * i + k, "before " * 700 + " ".join("zz" if every and j % every == 0 else x for j, x in enumerate(w)) + " after" * 900, None, None))
+    templates = N.templates_of(spark, str(tmp_path))
+    assert {(r["license"], r["text"]) for r in templates.collect()} == set(texts.items())
+    got = {(r["doc_id"], r["license"]): r["containment"] for r in N.scan(spark.createDataFrame(rows, empty(spark).schema), templates).collect()}
+    cut = lambda t: {tuple(x[i : i + 5]) for x in [re.findall(r"\w+", t.lower())] for i in range(len(x) - 4)}
+    want = {}
+    for k, t, *_ in rows:
+        for name, text in texts.items():
+            own = cut(text)
+            if (share := len(own & cut(t)) / len(own)) >= 0.8:
+                want[k, name] = share
+    # a text that holds a template holds it in one stretch here, so the best window has as much as the whole document
+    assert set(got) == set(want) == {(10 * i + k, name) for i, name in enumerate(texts) for k in (0, 1)}
+    assert all(abs(got[x] - want[x]) < 0.01 for x in want)
+
+
 # WARC
 
 
@@ -339,6 +375,18 @@ def test_archives_round_trip(spark, monkeypatch, size):
     assert W.round_trip(pages.limit(0)).count() == 0
 
 
+def test_a_record_without_an_index_entry_is_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}") for i in range(5)], "page_id long, url string, html string")
+    W.write_monolithic(pages, raw := str(tmp_path / "raw"))
+    W.normalise_archives(spark, raw, path := str(tmp_path / "out"))
+    index = spark.read.schema(W.ENTRIES).parquet(f"{path}/index").collect()
+    less = [(r["archive"], r["entries"][1:]) for r in index]
+    spark.createDataFrame(less, W.ENTRIES).write.parquet(f"{tmp_path}/less/index")
+    (tmp_path / "out" / "archives").rename(tmp_path / "less" / "archives")
+    with pytest.raises(Exception, match="no index entry"):
+        W.read_archives(spark, str(tmp_path / "less")).collect()
+
+
 def test_one_member_per_record_and_offsets(tmp_path):
     raw = [W.record(i, "u", b"p" * i, None) + W.BREAK for i in range(50)]
     whole = W.normalise(gzip.compress(b"".join(raw[:20])) + gzip.compress(b"".join(raw[20:])))

@@ -198,6 +198,16 @@ def test_a_key_with_many_texts_does_not_widen_the_sample(spark):
     assert isinstance(X.fit(docs, labels, toxic_rows=20, clean_rows=20), X.Model)
 
 
+def test_the_automaton_of_a_worker_begins_anew_at_its_bound(monkeypatch):
+    rng = random.Random(4)
+    terms = ["".join(rng.choice("abcdef") for _ in range(7)) for _ in range(30)]
+    texts = [" ".join("".join(rng.choice("abcdef") for _ in range(7)) for _ in range(50)) + " " + rng.choice(terms) for _ in range(20)]
+    hits = [X.Model(terms, [1.0] * 30, [1.0] * 30).hits(t) for t in texts]
+    monkeypatch.setattr(X, "STATES", 20)
+    model = X.Model(terms, [1.0] * 30, [1.0] * 30)
+    assert [model.hits(t) for t in texts] == hits and len(model._automaton.sets) < 3000
+
+
 def test_misspelled_and_quoted():
     model = X.Model(["worthless", "scum"], [5.0, 5.0], [2.5, 2.5], np.array([2.0, 0.0, 0.0, 0.0, -3.0]))
     score = lambda t: float(model.score([t])[0])
