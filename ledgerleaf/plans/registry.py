@@ -192,7 +192,7 @@ UNION ALL SELECT html_index, reason, NULL, NULL, NULL, NULL, NULL, NULL, NULL, N
 
 # sections
 
-_HEADERS = [("1", "Item I."), ("1A", "ITEM 1A."), ("7", "items VII:"), ("9B", "ITEM 9B -"), ("2.02", "Item 2.02"), ("10", "ITEM X"), ("part_1", "PART I"), ("part_2", "Part 2."), ("SIGNATURE", "Signatures"), ("none", "Item")]
+_HEADERS = [("1", "Item I"), ("1A", "ITEM 1A"), ("7", "items VII"), ("9B", "ITEM 9B"), ("2.02", "Item 2.02"), ("10", "ITEM X"), ("part_1", "PART I"), ("part_2", "Part 2"), ("SIGNATURE", "Signatures"), ("none", "Item")]
 _ASKED = ["1", "1A", "7", "9B", "2.02", "10", "part_1", "part_2", "SIGNATURE"]
 
 
@@ -210,7 +210,10 @@ def _expect(*forms: str) -> str:
     return f"WITH {Y.EXPECTED} SELECT filename, out_key, section_text FROM expected WHERE form IN ({', '.join(map(repr, forms))})"
 
 
-_add("x1_header_pattern", lambda s, d: Y.read(s, d, "documents").select("doc_id", F.explode(F.array(*[F.struct(F.lit(i).alias("item"), F.concat(F.lit(h + " "), "text").alias("line")) for i, h in _HEADERS])).alias("h")).select("doc_id", "h.item", F.concat(*[F.when(F.col("h.line").rlike(rf"(?i)^{C.header_pattern(i)}[.\-:\s]"), f"{i} ").otherwise("") for i in _ASKED]).alias("meets")), "SELECT doc_id, item, meets FROM documents, (VALUES " + ", ".join(f"('{i}', '{m}')" for i, m in (("1", "1 "), ("1A", "1A "), ("7", "7 "), ("9B", "9B "), ("2.02", "2.02 "), ("10", "10 "), ("part_1", "part_1 "), ("part_2", "part_2 "), ("SIGNATURE", "SIGNATURE "), ("none", ""))) + ") v(item, meets)")
+_AFTER = [". ", "x", " - ", "9"]  # what follows a header, by document: it ends the header, or goes on with its last word
+_x1_lines = lambda s, d: Y.read(s, d, "documents").select("doc_id", F.explode(F.array(*[F.struct(F.lit(i).alias("item"), F.concat(F.lit(h), F.array(*map(F.lit, _AFTER))[(F.col("doc_id") % 4).cast("int")], "text").alias("line")) for i, h in _HEADERS])).alias("h"))
+_x1_meets = ", ".join(f"('{i}', '{i} ')" if i != "none" else "('none', '')" for i, _ in _HEADERS)
+_add("x1_header_pattern", lambda s, d: _x1_lines(s, d).select("doc_id", "h.item", F.concat(*[F.when(F.col("h.line").rlike(rf"(?i)^{C.header_pattern(i)}[.\-:\s]"), f"{i} ").otherwise("") for i in _ASKED]).alias("meets")), f"SELECT doc_id, item, CASE WHEN doc_id % 2 = 0 THEN m ELSE '' END AS meets FROM documents, (VALUES {_x1_meets}) v(item, m)")
 _add("x2_locate_headers", lambda s, d: S.segment_by_headers(_plain(s, d), "x", "doc_id").where("label <> ''").select("doc_id", "label", "upper", "start", "end"), f"WITH {_sql_pieces_of} SELECT doc_id, upper(l) AS label, upper(l) = l AS upper, start, CAST(start + length(segment) AS INTEGER) AS \"end\" FROM labelled WHERE l <> ''")
 _add("x3_extract_section", lambda s, d: _long(_extracted(s, d, "10-K", items=["7"])), f"WITH {Y.EXPECTED} SELECT filename, out_key, section_text FROM expected WHERE form = '10-K' AND out_key = 'item_7'")
 _add("x4_extract_10k", lambda s, d: _long(_extracted(s, d, "10-K")), _expect("10-K"))
@@ -221,7 +224,7 @@ _cases = lambda s, d: jobs.extract_filings(Y.filing_metadata(s, d).withColumn("T
 _add("x6_repaired_parts", lambda s, d: _parts(_cases(s, d)), f"WITH {Y.CASES_SQL} SELECT filename, 'part_1' AS out_key, {_t6('part_1')} AS section_text FROM cases UNION ALL SELECT filename, 'part_2', {_t6('part_2')} FROM cases")
 _add("x7_extract_10q", lambda s, d: _long(_extracted(s, d, "10-Q")), _expect("10-Q"))
 _add("x8_extract_filings", lambda s, d: _long(_extracted(s, d, "10-K", "10-Q", "8-K", "8-K-old")), _expect("10-K", "10-Q", "8-K", "8-K-old"))
-_add("x8_signature_only", lambda s, d: _long(_extracted(s, d, "10-K", "8-K", "8-K-old", items=["SIGNATURE"], include_signature=True)), "SELECT doc_id || '_f.htm' AS filename, 'SIGNATURE' AS out_key, 'SIGNATURE' || chr(10) || 'By the officer' AS section_text FROM documents WHERE doc_id % 4 <> 1")
+_add("x8_signature_only", lambda s, d: _long(_extracted(s, d, *R.FORMS, items=["SIGNATURE"], include_signature=True)), f"WITH {Y.EXPECTED} SELECT doc_id || '_f.htm' AS filename, 'SIGNATURE' AS out_key, 'SIGNATURE' || chr(10) || 'By the officer' AS section_text FROM documents UNION ALL SELECT filename, out_key, section_text FROM expected WHERE form = '10-Q' AND out_key IN ('part_1', 'part_2')")
 _wide = [k for k, *_ in Y.FORMS["10-K"]]
 _add("x9_sections_wide", lambda s, d: S.sections_wide(_extracted(s, d, "10-K"), "10-K", "filename").select("filename", *_wide, F.col("item_16")), f"WITH {Y.EXPECTED} SELECT filename, " + ", ".join(f"max(section_text) FILTER (WHERE out_key = '{k}') AS {k}" for k in _wide) + ", '' AS item_16 FROM expected WHERE form = '10-K' GROUP BY filename")
 _add("x9_wide_to_long", lambda s, d: S.wide_to_long(S.sections_wide(_extracted(s, d, "10-K"), "10-K", "filename"), S.out_keys("10-K"), "filename").where("section_text <> ''").select("filename", "out_key", "section_text"), _expect("10-K"))

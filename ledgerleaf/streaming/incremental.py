@@ -25,6 +25,8 @@ def _drive(arrived: DataFrame, metadata: DataFrame, out: str, run: str, batch: i
     """Extracts what of arrived has metadata, as a run, and keeps the rest waiting. The run is committed first: if the job
     ends between the two, what is done is found among the extracted filings the next time."""
     spark = arrived.sparkSession
+    if "file" in arrived.columns:  # a file that is written again while it waits has arrived twice
+        arrived = arrived.dropDuplicates(KEYS)
     folder = new_folder("waiting")
     arrived.join(metadata.select(*KEYS).distinct(), KEYS, "left_anti").write.parquet(f"{out}/{folder}")
     ready = metadata.join(arrived.select(*KEYS).distinct(), KEYS, "left_semi").select(*metadata.columns)
