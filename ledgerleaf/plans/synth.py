@@ -168,13 +168,36 @@ CASES: list[list] = [
 ]
 
 
-def case_filings(spark: SparkSession, d: str) -> DataFrame:
-    """(Type, filename, content): a quarterly report made of each document, of a case by its id."""
+#: Reports whose last section runs to the end of the text: numbers in letters, a single item, and a signature that the contents
+#: list names too; with their types.
+ENDINGS: list[list] = [
+    ["\n\nITEM I. Business\n\n", (0, 5), "\n\nITEM II. Properties\n\n", (5, 10)],
+    ["\n\nThe cover\n\nItem 5.02 Departure\n\n", (0, 10)],
+    ["\n\nITEM 1. Business 3\nSIGNATURES 9\n\nITEM 1. Business\n\n", (0, 10), "\n\nSIGNATURES\n\nBy the officer"],
+]
+ENDING_TYPES = ["10-K", "8-K", "10-K"]
+
+
+def case_filings(spark: SparkSession, d: str, cases: list[list] = CASES, types: tuple[str, ...] | list[str] = ("10-Q",)) -> DataFrame:
+    """(Type, filename, content): a report made of each document, of a case and type by its id."""
     safe = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    whole = [F.concat(*[F.lit(x) if isinstance(x, str) else safe(_group(*x)) for x in parts]) for parts in CASES]
-    n = F.col("doc_id") % len(CASES)
+    whole = [F.concat(*[F.lit(x) if isinstance(x, str) else safe(_group(*x)) for x in parts]) for parts in cases]
+    n = F.col("doc_id") % len(cases)
     content = F.coalesce(*[F.when(n == i, x) for i, x in enumerate(whole)])
-    return dealt(read(spark, d, "documents").select("doc_id", "text")).select(F.lit("10-Q").alias("Type"), F.concat(F.col("doc_id").cast("string"), F.lit("_f.htm")).alias("filename"), content.alias("content"))
+    kind = F.array(*map(F.lit, types))[(F.col("doc_id") % len(types)).cast("int")]
+    return dealt(read(spark, d, "documents").select("doc_id", "text")).select(kind.alias("Type"), F.concat(F.col("doc_id").cast("string"), F.lit("_f.htm")).alias("filename"), content.alias("content"))
+
+
+def case_metadata(spark: SparkSession, d: str, types: list[str]) -> DataFrame:
+    k = F.regexp_extract("filename", "^([0-9]+)_", 1).cast("long")
+    return filing_metadata(spark, d).withColumns({"Type": F.array(*map(F.lit, types))[(k % len(types)).cast("int")], "Date": F.lit("2010-03-01")})
+
+
+def _ending_sections() -> str:
+    """Their sections in SQL: (filename, out_key, section_text)."""
+    of = [("item_1", 0, "'ITEM I. Business' || " + _sql_group(0, 5)), ("item_2", 0, "'ITEM II. Properties' || " + _sql_group(5, 10)), ("item_5.02", 1, "'Item 5.02 Departure' || " + _sql_group(0, 10)), ("item_1", 2, "'ITEM 1. Business' || " + _sql_group(0, 10)), ("SIGNATURE", 2, "'SIGNATURES' || chr(10) || 'By the officer'")]
+    rows = " UNION ALL ".join(f"SELECT doc_id || '_f.htm' AS filename, '{key}' AS out_key, {text} AS section_text FROM d WHERE doc_id % 3 = {n}" for key, n, text in of)
+    return f"d AS (SELECT doc_id, string_split(text, ' ') AS w, len(string_split(text, ' ')) AS n FROM documents), endings AS ({rows})"
 
 
 def _case_parts() -> str:
@@ -261,4 +284,4 @@ def _sql_filed() -> str:
 
 
 FILED_SQL = _sql_filed()
-CASES_SQL = _case_parts()
+CASES_SQL, ENDINGS_SQL = _case_parts(), _ending_sections()
