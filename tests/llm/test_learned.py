@@ -221,3 +221,15 @@ def test_toxicity_of_awkward_rows(spark):
     got = X.score(awkward(spark), model)
     assert got.count() == len(ROWS) and got.where("score < 0 or score > 1 or score is null").count() == 0
     assert X.score(empty(spark), X.fit(empty(spark).select("doc_id", "text"), labels.where("false"))).count() == 0
+
+
+def test_names_that_differ_in_case_give_way(spark):
+    from ledgerleaf.llm import decontamination as D
+
+    docs = spark.createDataFrame([(1, "the cat", "en", 7)], "doc_id long, text string, lang string, Score int").withColumns({"LANG_PRED": F.lit(1), "N_Words": F.lit(2), "Predicted": F.lit(3)})
+    model = L.fit(docs)
+    assert L.predict(docs, model).columns == ["doc_id", "text", "lang", "N_Words", "Predicted", "lang_pred", "score", "known"] and L.known_language(docs).columns == docs.columns
+    scored = X.score(docs, X.Model([], [], []))
+    assert scored.columns == ["doc_id", "text", "lang", "LANG_PRED", "N_Words", "score", "predicted"] and scored.first()["score"] == 0
+    found = D.find_items(docs, spark.createDataFrame([("1", "the cat")], "item_id string, text string"))
+    assert "N_Words" not in found.columns and found.first()["n_words"] == 2
