@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from html import unescape
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,8 +46,10 @@ NO_TEXT_NAMES = frozenset(
     "newsletter subscribe subscription signup login search share sharing social related recommended recommendations teaser teasers pagination pager paging widget widgets "
     "copyright colophon legal disclaimer skip skiplink tags".split()
 )
+#: Of these, what names a part of an article where it stands inside one.
+OF_ARTICLE = frozenset("head header teaser teasers".split())
 COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
-STATES = frozenset("has no with without hide show is not js".split()), frozenset("open closed enabled disabled on off visible hidden none active".split())
+STATES = frozenset("has no with without hide show is not js".split()), frozenset("open closed enabled disabled on off visible hidden none active free".split())
 #: Elements whose lines may stand at the edge of the text though they are short.
 PROSE = HEADINGS | {"p", "blockquote", "pre", "dd", "dt", "figcaption"}
 
@@ -74,14 +76,15 @@ ARTICLE, MAIN = 1, 2
 PLAIN, GONE, FIRST = 0, 1, 2
 
 
-def _names(attrs: dict[str, str]) -> tuple[bool, bool]:
-    """Whether class or id have a word for what is no article, and one for comments."""
+def _names(attrs: dict[str, str], inside: int) -> tuple[bool, bool]:
+    """Whether class or id have a word for what is no article, and one for comments. Two words may be one: side-bar, navBar."""
     other = comments = False
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
         words = [w.lower() for w in _WORDS.findall(name)]
         if words and len(words) > 1 and (words[0] in STATES[0] or words[-1] in STATES[1]):
             continue
-        other = other or not NO_TEXT_NAMES.isdisjoint(words)
+        words += [a + b for a, b in pairwise(words)]
+        other = other or not (NO_TEXT_NAMES - OF_ARTICLE if inside else NO_TEXT_NAMES).isdisjoint(words)
         comments = comments or not COMMENTS.isdisjoint(words)
     return other, comments
 
@@ -132,7 +135,7 @@ class _Page:
                 return GONE
             if attrs.get("role", "").lower() == "main" or attrs.get("itemprop", "").lower() == "articlebody":
                 return mark
-        other, comments = _names(attrs)
+        other, comments = _names(attrs, inside)
         if name in ("html", "body", "main") or not (other or comments or name in ("form", "menu") or attrs.get("role", "").lower() in NO_TEXT_ROLES):
             return mark
         if name == "article" and not comments:

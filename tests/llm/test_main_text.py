@@ -34,6 +34,8 @@ MENU = "<ul><li><a href='/'>Home</a><li><a href='/n'>News of the day</a></ul>"
     (f"<article><h1>T</h1><form>{LONG}</form><div class='ad-box'>buy</div><p>a<button>b</button><select><option>c</select></article>", "T a"),
     ("<article><p>He<b>ll</b>o <a href=x>li<i>nk</a>ed w<!-- </article> -->ord<br>a &lt;p&gt; &amp;amp; &#8212;&nbsp;&hellip;</p><pre> a\n  b</pre></article>", "Hello linked word a <p> &amp; — … a b"),
     ("<article>a<script>var t='</article>';</script>b<style>p{}</style><template>c</template><p hidden>d<p style='display: none'>e</p>f<svg><text>g</svg></article>", "ab f"),
+    (f"<article><div class='entry-header'><h2>T</h2><p>by A</div><p class=teaser>lead<p>{LONG}<div class='sideBar'>x</div><div class=ad-free>y</div></article><div class=page-header>z", f"T by A lead {L} y"),
+    (f"<div id=side-bar><p>{LONG}</div><div class=post><h1>T</h1><p>{LONG}<p>{LONG}</div><div class=navBar>{LONG}</div>", f"T {L} {L}"),
     ("<p>a<p class='x", "a"),
     ("<article><p>a</p><script>never closed <p>b</p>", "a"),
     ("<article><table><tr><td>1<td>2<tr><th>3</table><dl><dt>x<dd>y</dl></article>", "1 2 3 x y"),
