@@ -42,8 +42,8 @@ def item_catalog(spark: SparkSession) -> DataFrame:
 
 
 def section_key(item: Column) -> Column:
-    """The key under which an item's section is put out."""
-    return F.when(item == "SIGNATURE", item).when(item.contains("__"), F.regexp_replace(item, "__", "_item_")).otherwise(F.concat(F.lit("item_"), item))
+    """The key under which an item's section, or that of a part, is put out."""
+    return F.when(item.isin("SIGNATURE", "part_1", "part_2"), item).when(item.contains("__"), F.regexp_replace(item, "__", "_item_")).otherwise(F.concat(F.lit("item_"), item))
 
 
 def form_of(kind: Column, date: Column) -> Column:

@@ -72,8 +72,9 @@ def resolve_companies(entries: DataFrame, tickers: DataFrame) -> DataFrame:
 
 
 def filter_companies(index: DataFrame, ciks: DataFrame) -> DataFrame:
-    """Rows of these companies; an empty set keeps all."""
-    return index.join(small_side(ciks), "CIK", "left_semi") if ciks.take(1) else index
+    """Rows of these companies; an empty set keeps all. One count tells whether it is empty and whether it is small."""
+    n = ciks.limit(SMALL + 1).count()
+    return index.join(F.broadcast(ciks) if n <= SMALL else ciks, "CIK", "left_semi") if n else index
 
 
 def new_filings(index: DataFrame, held: DataFrame) -> DataFrame:

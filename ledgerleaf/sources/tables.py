@@ -209,7 +209,7 @@ def _form_folder(form: str) -> str:
 
 def write_extracted_filings(df: DataFrame, path: str, include_signature: bool = False, run: str | None = None, facts: dict | None = None) -> dict:
     """JSON Lines by form, nulls kept, one frame of fixed columns per form, in the folders of a run of its own, which
-    readers take up when all of it is there. Runs before stay as they are; a run that is repeated under its name takes its own
+    readers take up when all of it is there, with a table of its keys. Runs before stay as they are; a run that is repeated under its name takes its own
     place. facts go into the run's entry, which is returned. The extraction runs once: its result is written and then split.
     """
     spark = df.sparkSession
@@ -222,24 +222,27 @@ def write_extracted_filings(df: DataFrame, path: str, include_signature: bool =
         if form in forms:
             wide = sections_wide(filings, form, *[F.col(f"`{c}`") for c in OUTPUT], include_signature=include_signature)
             wide.write.option("ignoreNullFields", "false").json(f"{path}/{folder}/{_form_folder(form)}")
+    filings.select("filing_type", "filename").write.parquet(f"{path}/{folder}/keys")
     return commit(spark, path, name, {"folder": folder, "forms": forms, "filings": sum(forms.values())} | (facts or {}))
 
 
-def _read_runs(spark: SparkSession, path: str, forms: tuple[str, ...], columns: list[str], but: str | None = None) -> DataFrame:
-    runs = [e for name, e in committed(spark, path).items() if name != but and "forms" in e]
-    paths = [f"{path}/{e['folder']}/{_form_folder(f)}" for e in runs for f in forms if f in e["forms"]]
-    return spark.read.schema(strings(columns)).json(paths) if paths else spark.createDataFrame([], strings(columns))
+def _run_folders(spark: SparkSession, path: str, but: str | None = None) -> list[dict]:
+    return [e for name, e in committed(spark, path).items() if name != but and "forms" in e]
 
 
 def read_extracted_filings(spark: SparkSession, path: str, form: str, include_signature: bool = False) -> DataFrame:
     """The filings of a form that all committed runs have put out."""
-    return _read_runs(spark, path, (form,), [*OUTPUT, *out_keys(form, include_signature)])
+    schema = strings([*OUTPUT, *out_keys(form, include_signature)])
+    paths = [f"{path}/{e['folder']}/{_form_folder(form)}" for e in _run_folders(spark, path) if form in e["forms"]]
+    return spark.read.schema(schema).json(paths) if paths else spark.createDataFrame([], schema)
 
 
 def extracted_keys(spark: SparkSession, path: str, but: str | None = None) -> DataFrame:
-    """(filing_type, filename) of all filings that are put out, for J7; but: a run that is not asked, as one that is repeated
-    must find the same filings to do."""
-    return _read_runs(spark, path, FORMS, ["filing_type", "filename"], but)
+    """(filing_type, filename) of all filings that are put out, for J7, out of tables of keys alone; but: a run that is not
+    asked, as one that is repeated must find the same filings to do."""
+    schema = strings(["filing_type", "filename"])
+    paths = [f"{path}/{e['folder']}/keys" for e in _run_folders(spark, path, but)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def tickers_of(rows: DataFrame) -> DataFrame:
