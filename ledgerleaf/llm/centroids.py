@@ -18,76 +18,106 @@ FAR = 1 << 27
 #: Sums of distances are kept in two parts, so that no task's sum leaves 64 bits.
 HALF = 31
 
-_LONGS = T.ArrayType(T.LongType())
+#: Components of all centroids: they are on the driver and in every task.
+MOST = 1 << 20
 
 
 def _state(key: T.DataType) -> T.StructType:
-    """A row is a vector (v its components, null if it is too far; dots its products with all centroids, or in the last
-    table its distance alone), or what a task sums up over its vectors of one cluster (v null, n not)."""
-    kinds = [("key", key), ("v", T.ArrayType(T.IntegerType())), ("dots", _LONGS), ("cluster", T.IntegerType()), ("n", T.LongType()), ("sums", _LONGS)]
+    """A row is a vector (v its components, null if it is too far; dots its products with all centroids; in the last table
+    its distance), or what a task sums up over its vectors of one cluster (v null, n not). v and dots are packed."""
+    kinds = [("key", key), ("v", T.BinaryType()), ("dots", T.BinaryType()), ("cluster", T.IntegerType()), ("distance", T.LongType()), ("n", T.LongType()), ("sums", T.ArrayType(T.LongType()))]
     return T.StructType([T.StructField(a, b) for a, b in kinds])
 
 
-def _integers(vectors: DataFrame, key: str, vector: str, dims: int, scale: int) -> DataFrame:
-    """(key, v): vectors of exactly dims finite components as integers floor(scale * x); v is null where one is too far."""
-    schema = T.StructType([T.StructField("key", vectors.schema[key].dataType), T.StructField("v", T.ArrayType(T.IntegerType()))])
+def _packed(rows: np.ndarray, none: np.ndarray | None = None) -> pa.Array:
+    """Rows of a matrix of whole numbers as binary values, in the least width that holds them; null where none holds."""
+    most = max(int(rows.max(initial=0)), -int(rows.min(initial=0)) - 1)
+    kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(k).max)
+    data = np.ascontiguousarray(rows, np.dtype(kind).newbyteorder("<"))
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * (data.itemsize * rows.shape[1])
+    valid = None if none is None else pa.py_buffer(np.packbits(~none, bitorder="little"))
+    return pa.Array.from_buffers(pa.binary(), len(rows), [valid, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _ordered(rows: np.ndarray, none: np.ndarray) -> pa.Array:
+    """The same in a width and form whose bytes sort as the rows do."""
+    return pa.array([None if gone else row.tobytes() for row, gone in zip((rows + (1 << 31)).astype(">u4"), none, strict=True)], pa.binary())
+
+
+def _unpacked(column: pa.Array, size: int) -> np.ndarray:
+    """The matrix of packed rows of `size` numbers; tasks may have packed theirs in different widths."""
+    lengths = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1])
+    out = np.empty((len(column), size), np.int64)
+    for n in np.unique(lengths):
+        own = lengths == n
+        part = column if own.all() else column.filter(pa.array(own))
+        offsets = np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + len(part) + 1]
+        raw = np.frombuffer(part.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        out[own] = raw.view(f"<i{n // size}").reshape(-1, size)
+    return out
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b in whole numbers: in floats where these are exact, as they are many times faster."""
+    if a.shape[-1] * int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) < 1 << 53:
+        return (a.astype(np.float64) @ b.astype(np.float64)).astype(np.int64)
+    return a @ b
+
+
+def _integers(vectors: DataFrame, key: str, vector: str, dims: int, scale: int, packed: Callable[[np.ndarray, np.ndarray], pa.Array] = _packed, more: str | None = None) -> DataFrame:
+    """(key, v; or h, the column `more`, and v): vectors of exactly dims finite components as packed integers floor(scale * x); v is null where one is too far."""
+    name = "h" if more else "key"
+    schema = T.StructType([T.StructField(name, vectors.schema[more or key].dataType), T.StructField("v", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = b.column(1)
-            sized = np.asarray(lists.value_lengths().fill_null(-1)) == dims
+            sized = b.column(1).value_lengths().fill_null(-1).to_numpy(zero_copy_only=False) == dims
             b = b.filter(pa.array(sized))
             x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)  # a null is NaN here
             fine = np.isfinite(x).all(axis=1)
             with np.errstate(over="ignore"):
                 x = np.floor(scale * x[fine])
             near = (np.abs(x) <= FAR).all(axis=1)
-            v = _lists(np.where(near[:, None], x, 0), pa.int32(), ~near)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(fine)), v], names=schema.names)
-
-    return vectors.select(F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").cast("array<double>").alias("v")).mapInArrow(run, schema)
-
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(fine)), packed(np.where(near[:, None], x, 0).astype(np.int64), ~near)], names=schema.names)
 
-def _matrix(lists: pa.Array, kind: type) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(lists), -1)
+    kind = vectors.schema[vector].dataType
+    given = F.col(f"`{vector}`") if kind in (T.ArrayType(T.FloatType()), T.ArrayType(T.DoubleType())) else F.col(f"`{vector}`").cast("array<double>")
+    return vectors.select(F.col(f"`{more or key}`").alias(name), given.alias("v")).mapInArrow(run, schema)
 
 
-def _lists(rows: np.ndarray, kind: pa.DataType, none: np.ndarray | None = None) -> pa.Array:
-    """Rows of a matrix as lists; null where none holds."""
-    starts = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
-    return pa.ListArray.from_arrays(starts, pa.array(rows.reshape(-1).astype(kind.to_pandas_dtype()), kind), mask=None if none is None else pa.array(none))
-
-
-def _pass(rows: DataFrame, schema: T.StructType, dots_of: Callable[[np.ndarray, pa.RecordBatch], np.ndarray], norms: np.ndarray, last: bool) -> DataFrame:
+def _pass(rows: DataFrame, schema: T.StructType, dots_of: Callable[[np.ndarray, pa.RecordBatch], np.ndarray], norms: np.ndarray, dims: int, last: bool) -> DataFrame:
     """One pass over the vectors: their products with the centroids by dots_of, the nearest centroid (the smaller number of
     equal ones), and behind a task's vectors its sums by cluster: of components, or in the last pass of distances."""
     arrow, k = to_arrow_schema(schema), len(norms)
 
+    def made(rows_: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows_, f.type)) for f in arrow], schema=arrow)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, sums = np.zeros(k, np.int64), None
+        counts, sums = np.zeros(k, np.int64), np.zeros((k, 2 if last else dims), np.int64)
         for b in batches:
-            far, b = b.filter(b.column(1).is_null()), b.filter(b.column(1).is_valid())
-            if far.num_rows:
-                yield pa.RecordBatch.from_arrays([far.column(0), *[pa.nulls(far.num_rows, f.type) for f in list(arrow)[1:]]], schema=arrow)
+            if b.column(1).null_count:
+                far, b = b.filter(b.column(1).is_null()), b.filter(b.column(1).is_valid())
+                yield made(far.num_rows, key=far.column(0))
             if not b.num_rows:
                 continue
-            v = _matrix(b.column(1), np.int64)
+            v = _unpacked(b.column(1), dims)
             dots = dots_of(v, b)
             score = norms - 2 * dots
             nearest = score.argmin(axis=1)
             counts += np.bincount(nearest, minlength=k)
+            cluster = pa.array(nearest.astype(np.int32))
             if last:
                 distance = (v * v).sum(axis=1) + score[np.arange(len(v)), nearest]
-                kept, parts = distance[:, None], np.stack((distance >> HALF, distance & ((1 << HALF) - 1)), axis=1)
+                parts = np.stack((distance >> HALF, distance & ((1 << HALF) - 1)), axis=1)
+                yield made(len(v), key=b.column(0), cluster=cluster, distance=pa.array(distance))
             else:
-                kept, parts = dots, v
-            sums = np.zeros((k, parts.shape[1]), np.int64) if sums is None else sums
-            for c in np.unique(nearest):
-                sums[c] += parts[nearest == c].sum(axis=0)
-            n = b.num_rows
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _lists(kept, pa.int64()), pa.array(nearest.astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, arrow.field("sums").type)], schema=arrow)
-        if sums is not None:
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, arrow.field("key").type), pa.nulls(k, arrow.field("v").type), pa.nulls(k, arrow.field("dots").type), pa.array(np.arange(k, dtype=np.int32)), pa.array(counts), _lists(sums, pa.int64())], schema=arrow)
+                parts = v
+                yield made(len(v), key=b.column(0), v=b.column(1), dots=_packed(dots))
+            sums += _product((nearest == np.arange(k)[:, None]).astype(np.int64), parts)
+        if counts.any():
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(k + 1) * sums.shape[1], pa.int32()), pa.array(sums.reshape(-1)))
+            yield made(k, cluster=pa.array(np.arange(k, dtype=np.int32)), n=pa.array(counts), sums=lists)
 
     return rows.mapInArrow(run, schema)
 
@@ -118,20 +148,32 @@ def cluster_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     without any, both results are empty. A vector with a component beyond FAR has a row without cluster and distance and
     takes part in nothing else. An inertia that a long cannot hold is null in the query, and exact here.
     """
-    kind = vectors.schema[key].dataType
-    given, schema = _integers(vectors, key, vector, dims, scale), _state(kind)
-    draw = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("key").cast("string"), F.lit(""))), 256)
-    first = given.where("v IS NOT NULL").select(draw.alias("h"), "v").orderBy("h", "v").limit(k).collect()
-    centroids = [[int(x) for x in r["v"]] for r in first]
+    name = key
+    vectors, key, vector = vectors.select(F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").alias("vector")), "key", "vector"
+    given, schema = _integers(vectors, key, vector, dims, scale), _state(vectors.schema[key].dataType)
+    if k * dims > MOST:
+        raise ValueError(f"more than {MOST} components of centroids")
+    drawn = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256)
+
+    def first(rows: DataFrame) -> list[list[int]]:
+        """The k vectors of least hash: no more than k rows of a task reach the driver, however many have one hash."""
+        told = _integers(rows.withColumn("_h", drawn), key, vector, dims, scale, _ordered, "_h").where("v IS NOT NULL")
+        return [(np.frombuffer(r["v"], ">u4").astype(np.int64) - (1 << 31)).tolist() for r in told.orderBy("h", "v").limit(k).collect()]
+
+    # few hashes are looked at with their vectors; all, where too many of these are not kept
+    few = vectors.select(drawn.alias("h")).orderBy("h").limit(4 * k).agg(F.max("h")).first()[0]
+    centroids = first(vectors.where(drawn <= few)) if few else []
+    if few and len(centroids) < k:
+        centroids = first(vectors)
     if not centroids:
-        rows = given.select(F.col("key").alias(key), F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("long").alias("distance"))
+        rows = given.select(F.col("key").alias(name), F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("long").alias("distance"))
         return rows, []
 
     start = np.array(centroids, np.int64).T
-    held, dots_of = given, lambda v, b: v @ start
+    held, dots_of = given, lambda v, b: _product(v, start)
     state = None
     for r in range(rounds + 1):
-        now = cut(_pass(held, schema, dots_of, _norms(centroids), last=r == rounds), "vectors")
+        now = cut(_pass(held, schema, dots_of, _norms(centroids), dims, last=r == rounds), "vectors")
         if state is not None:
             discard(state)
         state, held = now, now.where("n IS NULL")
@@ -139,20 +181,20 @@ def cluster_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
             break
         totals = _totals(state, dims)
         after = [[s // totals[c][0] for s in totals[c][1]] if c in totals else old for c, old in enumerate(centroids)]
-        # per changed centroid the components that have changed, and by how much
-        changes = [(c, np.array(at), np.array([after[c][i] - centroids[c][i] for i in at], np.int64)) for c in range(len(after)) if (at := [i for i in range(dims) if after[c][i] != centroids[c][i]])]
+        change = np.array(after, np.int64) - np.array(centroids, np.int64)
+        moved, at = np.flatnonzero(change.any(axis=1)), np.flatnonzero(change.any(axis=0))
+        by = change[np.ix_(moved, at)].T.copy()  # what has changed: some components of some centroids
 
-        def dots_of(v: np.ndarray, b: pa.RecordBatch, changes: list = changes) -> np.ndarray:
-            dots = _matrix(b.column(2), np.int64)
-            for c, at, by in changes:
-                dots[:, c] += v[:, at] @ by
+        def dots_of(v: np.ndarray, b: pa.RecordBatch, k_now: int = len(after), moved: np.ndarray = moved, at: np.ndarray = at, by: np.ndarray = by) -> np.ndarray:
+            dots = _unpacked(b.column(2), k_now)
+            dots[:, moved] += _product(v[:, at], by)
             return dots
 
         centroids = after
     totals = _totals(state, 2)
     inertia = {c: (hi << HALF) + lo for c, (_, (hi, lo)) in totals.items()}
     clusters = [{"cluster": c, "centroid": x, "size": totals[c][0] if c in totals else 0, "inertia": inertia.get(c, 0)} for c, x in enumerate(centroids)]
-    return held.select(F.col("key").alias(key), "cluster", F.col("dots")[0].alias("distance")), clusters
+    return held.select(F.col("key").alias(name), "cluster", "distance"), clusters
 
 
 def op11_centroids(spark, sf_dir):

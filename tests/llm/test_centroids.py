@@ -51,7 +51,7 @@ def test_awkward_vectors(spark):
     bad = [(1, None), (2, []), (3, [1.0]), (4, [1.0, None]), (5, [1.0, math.nan]), (6, [math.inf, 0.0]), (7, [1.0, 2.0, 3.0])]
     far = [(8, [1e300, 0.0]), (9, [-3e6, 0.0])]
     good = [(10, [0.0, 0.0]), (11, [-0.001, 5.0]), (12, [2097152.0, -2097152.0]), (10, [0.0, 0.0])]
-    rows = spark.createDataFrame(bad + far + good, SCHEMA).withColumns({c: F.lit(1) for c in ("key", "v", "dots", "cluster", "n", "sums")})
+    rows = spark.createDataFrame(bad + far + good, SCHEMA).withColumns({c: F.lit(1) for c in ("key", "v", "h", "_h", "vector", "dots", "cluster", "n", "sums")})
     got, clusters = C.cluster_vectors(rows, k=2, dims=2)
     want, centers = plain(bad + far + good, 2, 3, 2)
     assert got.columns == ["vec_id", "cluster", "distance"] and sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.collect())
