@@ -179,6 +179,7 @@ def cluster_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         state, held = now, now.where("n IS NULL")
         if r == rounds:
             break
+        held = held.select("key", "v", "dots")
         totals = _totals(state, dims)
         after = [[s // totals[c][0] for s in totals[c][1]] if c in totals else old for c, old in enumerate(centroids)]
         change = np.array(after, np.int64) - np.array(centroids, np.int64)
