@@ -26,7 +26,7 @@ def plain(rows, names):
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_query_gives_the_rows_of_its_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got = queries.queries()[name](spark, sf)
     want = con.execute(queries.oracle_sql()[name])
