@@ -54,6 +54,17 @@ def test_names_with_blanks_are_listed_as_they_are_read(spark, tmp_path):
     assert R.list_raw_filings(spark, str(tmp_path)).collect() == [(read["Type"], read["filename"])] == [("8-K", "a b.htm")]
 
 
+def test_raw_filings_are_written_by_their_tasks_and_read_in_few(spark, tmp_path):
+    """No rename, task or folder of its own for each of many small files."""
+    rows = spark.range(400).selectExpr("if(id % 2 = 0, '10-K', '8 K%20') AS Type", "concat('a b%', id, '.htm') AS filename", "concat('x\\r\\n', id) AS content")
+    assert R.write_raw_filings(rows, root := str(tmp_path / "raw %41")) == 400
+    assert sorted(p.name for p in (tmp_path / "raw %41").iterdir()) == ["10-K", "8 K%20"] and (tmp_path / "raw %41" / "10-K" / "a b%2.htm").read_bytes() == b"x\r\n2"
+    (tmp_path / "raw %41" / "10-K" / "._hidden").write_text("x")
+    read = R.read_raw_filings(spark, root)
+    assert read.rdd.getNumPartitions() <= 4 and read.count() == 400
+    assert {tuple(r) for r in read.collect()} == {(("10-K", "8 K%20")[i % 2], f"a b%{i}.htm", f"x\n{i}") for i in range(400)}
+
+
 def test_raw_filings_are_decoded(spark, tmp_path):
     (tmp_path / "10-K").mkdir()
     (tmp_path / "10-K" / "1_a.txt").write_bytes(b"a\xffb\r\nc\rd")
