@@ -155,3 +155,14 @@ def test_no_shared_folder_is_an_error_on_a_cluster(spark, monkeypatch):
     with pytest.raises(ValueError, match="checkpoint"):
         scratch.shared_dir(Cluster)
     assert scratch.shared_dir(spark)
+
+
+def test_rows_that_share_an_address_have_a_page_each(spark):
+    dates = {1: "2010-03-01", 2: "2011-04-02"}
+    pages = spark.createDataFrame([(k, "a", PAGE.replace("2010-03-01", d)) for k, d in dates.items()], "k int, url string, html string")
+    index = spark.createDataFrame([(k, "a", "7", "10-K", "a.txt") for k in dates], "k int, html_index string, CIK string, Type string, complete_text_file_link string")
+    got = I.attach_pages(index, H.page_dates(pages), ("k",)).select("k", "Filing Date").collect()
+    kept, rejected = H.enrich_index(index, pages.where("k = 2"), spark.createDataFrame([], "cik string, html string"), ["10-K"], row=("k",))
+    assert {r["k"]: r["Filing Date"] for r in got} == dates and len(got) == 2
+    assert [(r["k"], r["Filing Date"]) for r in kept.collect()] == [(2, dates[2])] and [r["reason"] for r in rejected.collect()] == ["no page"]
+    assert [r["k"] for r in I.new_filings(index, index.where("k = 1"), ("k",)).collect()] == [2]
