@@ -166,3 +166,9 @@ def test_rows_that_share_an_address_have_a_page_each(spark):
     assert {r["k"]: r["Filing Date"] for r in got} == dates and len(got) == 2
     assert [(r["k"], r["Filing Date"]) for r in kept.collect()] == [(2, dates[2])] and [r["reason"] for r in rejected.collect()] == ["no page"]
     assert [r["k"] for r in I.new_filings(index, index.where("k = 1"), ("k",)).collect()] == [2]
+
+
+def test_markup_goes_to_python_and_does_not_come_back(spark):
+    pages = spark.createDataFrame([("a", PAGE)], "url string, html string")
+    assert H.page_dates(pages).columns == ["url", "Filing Date", "Period of Report"]
+    assert H.page_facts(pages, "inc").schema["facts"].dataType.names == ["inc"] and H.page_facts(pages, "inc").first()["facts"]["inc"] == "N&Y"
