@@ -172,3 +172,13 @@ def test_markup_goes_to_python_and_does_not_come_back(spark):
     pages = spark.createDataFrame([("a", PAGE)], "url string, html string")
     assert H.page_dates(pages).columns == ["url", "Filing Date", "Period of Report"]
     assert H.page_facts(pages, "inc").schema["facts"].dataType.names == ["inc"] and H.page_facts(pages, "inc").first()["facts"]["inc"] == "N&Y"
+
+
+def test_text_of_a_tree_is_that_of_its_markup():
+    pages = [
+        "a<p>b &amp; c<p>d<br>e<br class=x>f<td>g</td><th>h", "<table><tr><td bgcolor=red>1<td>2</table>3</>", "<P>x</P><DIV>y</DIV><Li>z",
+        "<script>a</p>b</script><style>c&lt;d</style>e", "<title>a &lt; b</title><textarea></p></textarea>", "<ix:n name='q'>5</ix:n>", "<a<b>c</a<b>", "<p a'b=1>c</p>", "<span>AT&T", "a < b &nbsp; </ p>", "<p/>x<p></p>",
+    ]
+    for page in pages:
+        root = M.tree(page)
+        assert M.text_of(root) == M.strip_tags(root.markup()), page

@@ -152,3 +152,32 @@ def test_submission_with_several_documents(spark):
     got = {r[0]: r[1] for r in rows.select("i", X.main_document(F.col("t"))).collect()}
     assert "three" in got[0] and "one" not in got[0]
     assert got[1] == texts[1] and "z" in got[2] and "y" not in got[2] and got[3] == "bare"
+
+
+def test_making_filings_is_compiled(spark, sf):
+    """Java leaves methods beyond 8000 bytes of code uncompiled for good."""
+    from ledgerleaf.plans import synth as Y
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else code is made only when a stage runs
+    plans = [rows._jdf.queryExecution().executedPlan() for rows in (Y.filings(spark, sf), Y.case_filings(spark, sf), Y.case_filings(spark, sf, Y.ENDINGS, Y.ENDING_TYPES))]
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    for plan in plans:
+        found = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(plan)
+        assert found.size() and all(found.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(found.size()))
+
+
+def test_items_without_a_line_cost_no_matching(monkeypatch):
+    """Lines are told by what they name, once; no header of the other items is looked for."""
+    from ledgerleaf.operators import sections as S
+
+    asked = []
+    matcher = S._matcher
+    monkeypatch.setattr(S, "_matcher", lambda item, *more: asked.append(item) or matcher(item, *more))
+    got = {k: v for _, k, v in sections_of(f"\nITEM 1. A\n{LONG}\nITEM 15. Exhibits\n{LONG}\nSIGNATURE\nBy x", "10-K") if v}
+    assert set(got) == {"1", "15", "SIGNATURE"} and set(asked) == set(got)
+
+
+def test_sections_collapse_as_the_column_does(spark):
+    texts = ["", " ", "a \n b", "a  \n \n\n  b\nc", "#NEWLINE\n\n#NEWLINE", "\n\n a", "a \n\n", "x" + " \n" * 50 + "y", "a\n \t\nb  c"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.collapse_lines(F.col("t")).alias("y")).collect()
+    assert {r["t"]: collapsed(r["t"]) for r in got} == {r["t"]: r["y"] for r in got}
