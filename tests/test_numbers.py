@@ -22,7 +22,7 @@ def numbers(tmp_path_factory):
     return str(d)
 
 
-@pytest.mark.parametrize("name", ["w2_segment_by_headers"])
+@pytest.mark.parametrize("name", ["w2_segment_by_headers", "x2_locate_headers"])
 def test_numbers_stay(spark, numbers, name):
     with duckdb.connect() as con:
         con.execute(f"CREATE VIEW documents AS SELECT * FROM '{numbers}/documents.parquet'")
