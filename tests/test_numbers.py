@@ -22,7 +22,7 @@ def numbers(tmp_path_factory):
     return str(d)
 
 
-@pytest.mark.parametrize("name", ["w2_segment_by_headers", "x2_locate_headers", "x3_extract_section", "x3_sections_to_the_end", "x4_extract_10k", "x5_extract_8k", "x6_repaired_parts", "x6_split_10q_parts", "x7_extract_10q", "x8_extract_filings", "x8_signature_only", "x9_sections_wide", "x9_wide_to_long", "r1_extract_stream"])
+@pytest.mark.parametrize("name", ["w2_segment_by_headers", "x2_locate_headers", "x3_extract_section", "x3_sections_to_the_end", "x4_extract_10k", "x5_extract_8k", "x6_repaired_parts", "x6_split_10q_parts", "x7_extract_10q", "x8_extract_filings", "x8_signature_only", "x9_sections_wide", "x9_wide_to_long", "r1_extract_stream", "s6_extracted_files", "s6_runs", "t14_filing_text"])
 def test_numbers_stay(spark, numbers, name):
     with duckdb.connect() as con:
         con.execute(f"CREATE VIEW documents AS SELECT * FROM '{numbers}/documents.parquet'")
